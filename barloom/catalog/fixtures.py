@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from barloom.model import RATINGS, STATEMENTS, TABLES, service_name
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A given table; its zoneless timestamps are read as UTC."""
@@ -17,14 +19,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _line_order() -> Column:
-    """Order of the lines of a day as one number; equal numbers have equal prices.
+    """Order of the lines of a day, by amount and quantity; equal numbers have equal prices.
 
-    A decimal fits the fixed-width aggregation buffer, so first and last need no sort.
+    One bigint fits the fixed-width aggregation buffer, so first and last need no sort.
     """
-    digits = (F.col("l_orderkey").cast("decimal(20,0)") * F.lit(10**12).cast("decimal(13,0)")
-              + F.round(F.col("l_extendedprice") * 100).cast("bigint") * 100
-              + F.col("l_quantity").cast("bigint"))
-    return digits.cast("decimal(38,0)")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    return cents * 100 + F.col("l_quantity").cast("bigint")
 
 
 def bars(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,3 +44,156 @@ def bars(spark: SparkSession, folder: str) -> DataFrame:
             F.sum("l_quantity").cast("bigint").alias("volume"),
         )
     )
+
+
+def listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Companies, from customers and their nations."""
+    nations = table(spark, folder, "nation")
+    return (
+        table(spark, folder, "customer")
+        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select(
+            F.col("c_name").alias("ticker"), F.col("n_name").alias("exchange"),
+            F.col("c_mktsegment").alias("industry"), "c_custkey", "c_nationkey", "c_acctbal",
+        )
+    )
+
+
+def quarters(spark: SparkSession, folder: str) -> DataFrame:
+    """Order sums per customer, year and quarter; quarters of three orders lack their number."""
+    names = table(spark, folder, "customer").select("c_custkey", F.col("c_name").alias("ticker"))
+    sums = table(spark, folder, "orders").groupBy(
+        "o_custkey", F.year("o_orderdate").alias("year"), F.quarter("o_orderdate").alias("part")
+    ).agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return sums.join(names, F.col("o_custkey") == F.col("c_custkey")).select(
+        "ticker", "year", F.when(F.col("orders") != 3, F.col("part")).alias("quarter"),
+        "orders", "total",
+    )
+
+
+def trades(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as trades: a kind of event is a ticker."""
+    return table(spark, folder, "events").select(
+        F.col("event_type").alias("ticker"), "event_id", "user_id", "ts",
+        F.col("value").alias("price"), F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+    )
+
+
+def second_bars(spark: SparkSession, folder: str) -> DataFrame:
+    """Bars of one second per kind of event, summed map-side."""
+    return trades(spark, folder).groupBy(
+        "ticker", F.date_trunc("second", "ts").alias("time_stamp")
+    ).agg(F.max("price").alias("high"), F.min("price").alias("low"),
+          F.max_by("price", "event_id").alias("close"), F.sum("k").alias("volume"))
+
+
+# JSON bodies ------------------------------------------------------------------------------------
+
+def _body(dataset: str, ticker: Column, flag: Column | int, body: Column) -> list[Column]:
+    flag = F.lit(flag) if isinstance(flag, int) else flag
+    return [F.concat_ws("/", F.lit(dataset), ticker, flag).alias("request_key"),
+            ticker.alias("ticker"), flag.cast("int").alias("flag"), body.alias("body")]
+
+
+def _sample_columns(dataset: str) -> list[T.StructField]:
+    """The first and last three value columns of a table."""
+    values = [f for f in TABLES[dataset].schema if f.name not in ("ticker", "year", "quarter")
+              and not isinstance(f.dataType, T.StringType)]
+    return values if len(values) <= 6 else values[:3] + values[-3:]
+
+
+def _values(dataset: str, whole: Column, amount: Column) -> list[Column]:
+    """Payload fields: the whole number for integers, the amount plus its place for doubles."""
+    return [(whole + i if isinstance(f.dataType, T.LongType) else amount + i)
+            .alias(service_name(f.name)) for i, f in enumerate(_sample_columns(dataset))]
+
+
+def statement_bodies(spark: SparkSession, folder: str, dataset: str) -> DataFrame:
+    """Array bodies: flag 0 has the quarters, flag 1 the years (as quarter 5) of a customer.
+
+    A body has at most one element per quarter of the calendar and per row without one.
+    """
+    per_quarter = quarters(spark, folder)
+    per_year = per_quarter.groupBy("ticker", "year").agg(
+        F.sum("orders").alias("orders"), F.round(F.sum("total"), 2).alias("total"),
+        F.lit(5).alias("quarter"))
+    rows = per_quarter.withColumn("flag", F.lit(0)).unionByName(
+        per_year.withColumn("flag", F.lit(1)))
+    element = F.struct(F.lower("ticker").alias("ticker"), "quarter", "year",
+                       *_values(dataset, F.col("orders"), F.col("total")))
+    return rows.groupBy("ticker", "flag").agg(F.to_json(F.collect_list(element)).alias("json")) \
+        .select(*_body(dataset, F.col("ticker"), F.col("flag"), F.col("json")))
+
+
+def rating_bodies(spark: SparkSession, folder: str, dataset: str) -> DataFrame:
+    """Object bodies, asked for twice per customer."""
+    texts = [F.col("c_mktsegment").alias("industryEn")] \
+        if TABLES[dataset].widths.get("industry_en") else []
+    element = F.struct(F.lower("c_name").alias("ticker"), *texts,
+                       *_values(dataset, F.col("c_custkey"), F.col("c_acctbal")))
+    return table(spark, folder, "customer").select(
+        "*", F.explode(F.array(F.lit(0), F.lit(1))).alias("flag")
+    ).select(*_body(dataset, F.col("c_name"), F.col("flag"), F.to_json(element)))
+
+
+def overview_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    key = F.col("c_custkey")
+    element = F.struct(
+        F.col("exchange"), F.col("ticker").alias("shortName"),
+        F.col("c_nationkey").cast("double").alias("industryID"),
+        (F.col("c_nationkey") + 100).alias("industryIDv2"), "industry",
+        F.lower("industry").alias("industryEn"),
+        (F.lit(1950) + F.pmod(key, F.lit(70))).alias("establishedYear"),
+        key.cast("int").alias("noEmployees"), F.lit("CT").alias("companyType"),
+        (F.col("c_acctbal") / 4).alias("stockRating"), F.col("c_acctbal").alias("issueShare"),
+        F.lower("ticker").alias("ticker"),
+    )
+    return listing(spark, folder).select(
+        *_body("listing_companies", F.col("ticker"), 0, F.to_json(element)))
+
+
+def bar_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """Wrapped bodies per ticker and year: at most 366 bars each."""
+    stamp = F.date_format("time_stamp", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    element = F.struct("open", "high", "low", "close", "volume", stamp.alias("tradingDate"))
+    year = F.year("time_stamp").alias("flag")
+    grouped = bars(spark, folder).groupBy("ticker", year).agg(F.collect_list(element).alias("data"))
+    whole = F.to_json(F.struct(F.lower("ticker").alias("ticker"), "data"))
+    return grouped.select(*_body("stock_history", F.col("ticker"), F.col("flag"), whole))
+
+
+PAGE_ROWS = 500
+
+
+def trade_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """Wrapped pages of all trades: the event number is unique, so a page has at most 500."""
+    element = F.struct(
+        F.col("price").alias("p"), F.col("k").alias("v"), F.col("user_id").alias("cp"),
+        F.lit(0.0).alias("rcp"), F.lit("BU").alias("a"), (F.col("k") > 50).alias("hl"),
+        F.date_format("ts", "HH:mm:ss").alias("t"))
+    page = F.floor(F.col("event_id") / PAGE_ROWS).cast("int").alias("page")
+    grouped = trades(spark, folder).groupBy("ticker", page).agg(
+        F.collect_list(element).alias("data"))
+    whole = F.to_json(F.struct("page", F.lit(PAGE_ROWS).alias("size"), F.lit(-1).alias("headIndex"),
+                               "ticker", "data"))
+    return grouped.select(*_body("stock_intraday_transaction", F.col("ticker"), F.col("page"),
+                                 whole))
+
+
+def master_list_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages of the ticker master list, at most 500 items each."""
+    page = F.floor(F.col("c_custkey") / PAGE_ROWS)
+    items = F.collect_list(F.struct(F.col("c_name").alias("ticker"),
+                                    F.col("c_custkey").alias("organCode")))
+    return table(spark, folder, "customer").groupBy(page.alias("page")).agg(
+        F.to_json(F.struct(items.alias("items"))).alias("body")).select("body")
+
+
+def bodies(spark: SparkSession, folder: str, dataset: str) -> DataFrame:
+    """The bodies of any dataset."""
+    if dataset in STATEMENTS:
+        return statement_bodies(spark, folder, dataset)
+    if dataset in RATINGS:
+        return rating_bodies(spark, folder, dataset)
+    return {"listing_companies": overview_bodies, "stock_history": bar_bodies,
+            "stock_intraday_transaction": trade_bodies}[dataset](spark, folder)

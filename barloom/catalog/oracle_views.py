@@ -2,10 +2,10 @@
 
 BARS = """bars as (
   select p_brand as ticker, l_shipdate as time_stamp,
-         first(l_extendedprice / l_quantity order by l_orderkey, l_extendedprice, l_quantity) as open,
+         first(l_extendedprice / l_quantity order by l_extendedprice, l_quantity) as open,
          max(l_extendedprice / l_quantity) as high,
          min(l_extendedprice / l_quantity) as low,
-         last(l_extendedprice / l_quantity order by l_orderkey, l_extendedprice, l_quantity) as close,
+         last(l_extendedprice / l_quantity order by l_extendedprice, l_quantity) as close,
          cast(sum(l_quantity) as bigint) as volume
   from lineitem join part on l_partkey = p_partkey
   group by 1, 2)"""
