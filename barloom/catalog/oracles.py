@@ -59,24 +59,24 @@ ORACLES: dict[str, str] = {
         round(lower_bollinger, 4) as lower_bollinger,
         round(higher_bollinger, 4) as higher_bollinger from derived"""),
     "money_flow": _indicators("""select ticker, time_stamp,
-        round(typical_price, 4) as typical_price, round(lag_typical_price, 4) as lag_typical_price,
-        round(positive, 4) as positive, round(negative, 4) as negative, round(ratio, 4) as ratio,
+        round(typical_price, 8) as typical_price, round(lag_typical_price, 8) as lag_typical_price,
+        round(positive, 8) as positive, round(negative, 8) as negative, round(ratio, 4) as ratio,
         round(money_flow, 4) as money_flow from derived"""),
     "rolling_month_avg": _bars(f"""select ticker, time_stamp,
-        round(avg(volume) over {_MONTH}, 6) as avg_volume from timed"""),
+        round(avg(volume) over {_MONTH}, 8) as avg_volume from timed"""),
     "rolling_month_sum": _bars(f"""select ticker, time_stamp,
         round(sum(close) over {_MONTH}, 4) as sum_close, count(close) over {_MONTH} as days
         from timed"""),
     "rolling_month_ratio": _bars(f"""select ticker, time_stamp,
-        round(sum(high) over {_MONTH} / nullif(sum(low) over {_MONTH}, 0), 6) as ratio
+        round(sum(high) over {_MONTH} / nullif(sum(low) over {_MONTH}, 0), 8) as ratio
         from timed"""),
     "rolling_day_trades": f"""with timed as (
         select *, cast(floor(epoch(ts)) as bigint) as sec, {_K} as k from events)
         select event_id, event_type as ticker, round(sum(value) over {_DAY}, 4) as sum_price,
                round(avg(k) over {_DAY}, 4) as avg_k, count(value) over {_DAY} as trades
         from timed""",
-    "lag_by_key_bars": _bars("""select ticker, time_stamp, round(typical_price, 6) as typical_price,
-        round(lag(typical_price) over (partition by ticker order by time_stamp), 6)
+    "lag_by_key_bars": _bars("""select ticker, time_stamp, round(typical_price, 8) as typical_price,
+        round(lag(typical_price) over (partition by ticker order by time_stamp), 8)
         as lag_typical_price from timed"""),
     "lag_by_key_trades": """select event_type as ticker, event_id, ts, value as price,
         lag(value) over w as last_price, lag(event_id) over w as last_event from events
@@ -88,7 +88,7 @@ ORACLES: dict[str, str] = {
         row_number() over (order by ts, event_id) - 1 as id from events""",
     "listing_sample": """select c_name as ticker, n_name as exchange, c_mktsegment as industry
         from customer join nation on c_nationkey = n_nationkey order by c_name limit 3""",
-    "trailing_days": _bars("""select ticker, time_stamp, round(close, 6) as close, volume
+    "trailing_days": _bars("""select ticker, time_stamp, round(close, 8) as close, volume
         from bars where time_stamp >= timestamp '2001-11-04' - interval 30 day"""),
     "weekend_rows": "select event_id, ts from events where isodow(ts) > 5",
     "session_times": """select event_id, case when event_type = 'signup'
@@ -157,8 +157,8 @@ ORACLES: dict[str, str] = {
         from (select *, unnest(range(1, l_linenumber)) as i from lineitem)
         union all select l_orderkey, l_partkey, null, null, null from lineitem
         where l_linenumber = 1""",
-    "json_wrapped_rows": _bars("""select upper(ticker) as ticker, time_stamp, round(open, 6) as open,
-        round(high, 6) as high, round(low, 6) as low, round(close, 6) as close, volume
+    "json_wrapped_rows": _bars("""select upper(ticker) as ticker, time_stamp, round(open, 8) as open,
+        round(high, 8) as high, round(low, 8) as low, round(close, 8) as close, volume
         from bars"""),
     "json_quarantine": f"""select event_id,
         case when {_K} between 10 and 98 then 'good' else 'bad' end as state from events""",
@@ -169,17 +169,17 @@ ORACLES: dict[str, str] = {
         round(total + 4, 2) as book_value_per_share_change, round(total + 5, 2) as credit_growth,
         cast(null as double) as roe from statement"""),
     "rating_rows": """select upper(c_name) as ticker, 2024 as year, 1 as quarter,
-        c_mktsegment as industry_en, round(c_acctbal, 6) as valuation,
-        round(c_acctbal + 1, 6) as pe, round(c_acctbal + 2, 6) as pb,
-        round(c_acctbal + 3, 6) as ps, round(c_acctbal + 4, 6) as evebitda,
-        round(c_acctbal + 5, 6) as dividend_rate from customer""",
+        c_mktsegment as industry_en, round(c_acctbal, 8) as valuation,
+        round(c_acctbal + 1, 8) as pe, round(c_acctbal + 2, 8) as pb,
+        round(c_acctbal + 3, 8) as ps, round(c_acctbal + 4, 8) as evebitda,
+        round(c_acctbal + 5, 8) as dividend_rate from customer""",
     "trade_rows": f"""with stamped as (
           select value as price, {_K} as volume, cast(user_id as double) as cp, 0.0::double as rcp,
                  'BU' as a, {_K} > 50 as hl, timestamp '2024-02-15'
                    + (date_trunc('second', ts) - date_trunc('day', ts)) as time_stamp,
                  upper(event_type) as ticker from events)
         select row_number() over (order by ticker, time_stamp, price, volume, cp) - 1 as id,
-               round(price, 6) as price, volume, cp, rcp, a, hl, time_stamp, ticker
+               round(price, 8) as price, volume, cp, rcp, a, hl, time_stamp, ticker
         from stamped""",
     "company_split": """select 'listing' as kind, upper(c_name) as ticker, c_name as name,
           cast(1950 + c_custkey % 70 as double) as number
@@ -189,12 +189,12 @@ ORACLES: dict[str, str] = {
     "store_roundtrip": """select s_name as ticker, s_acctbal as issue_share,
         s_nationkey as no_employees from supplier""",
     "idempotent_append": _bars(
-        "select ticker, time_stamp, round(close, 6) as close, volume from bars"),
-    "trailing_store": _bars("""select ticker, time_stamp, round(close, 6) as close, volume
+        "select ticker, time_stamp, round(close, 8) as close, volume from bars"),
+    "trailing_store": _bars("""select ticker, time_stamp, round(close, 8) as close, volume
         from bars where time_stamp >= timestamp '2001-11-04' - interval 30 day"""),
     "rewrite_after_delete": _bars("""select ticker, count(*) as days,
         cast(sum(volume) as bigint) as volume from bars
-        where ticker not in (select p_brand from part where p_size > 45) group by 1"""),
+        where ticker not in (select p_brand from part group by 1 having avg(p_size) > 25) group by 1"""),
     "table_lifecycle": _bars("""select 'stock_history' as table_name, count(*) as rows,
         round(cast(sum(volume) as double), 2) as total from bars
         union all select 'listing_companies', 0, null"""),

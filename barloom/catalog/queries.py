@@ -47,8 +47,9 @@ def query(function: Query) -> Query:
     return function
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.withColumns({f.name: F.round(f.name, digits) for f in df.schema
+def rounded(df: DataFrame, digits: int = 8, **others: int) -> DataFrame:
+    """Doubles cut to ``digits``, or to those named for a column."""
+    return df.withColumns({f.name: F.round(f.name, others.get(f.name, digits)) for f in df.schema
                            if isinstance(f.dataType, T.DoubleType)})
 
 
@@ -80,7 +81,7 @@ def bollinger_bands(spark, folder):
 
 @query
 def money_flow(spark, folder):
-    return rounded(ind.money_flow(fx.bars(spark, folder)), 4)
+    return rounded(ind.money_flow(fx.bars(spark, folder)), ratio=4, money_flow=4)
 
 
 # Windows and order ------------------------------------------------------------------------------
@@ -475,8 +476,8 @@ def rewrite_after_delete(spark, folder):
     db, name = _new_db(spark), "stock_history"
     store.append(fx.bars(spark, folder), db, name)
     stored = store.read_table(spark, db, name)
-    removed = fx.table(spark, folder, "part").filter("p_size > 45").select(
-        F.col("p_brand").alias("ticker")).distinct()
+    removed = fx.table(spark, folder, "part").groupBy(F.col("p_brand").alias("ticker")).agg(
+        F.avg("p_size").alias("size")).filter("size > 25")
     store.rewrite(cascade_delete(stored, removed, ["ticker"]), db, name)
     return store.read_table(spark, db, name).groupBy("ticker").agg(
         F.count("*").alias("days"), F.sum("volume").alias("volume"))

@@ -7,6 +7,7 @@ out. The second group writes. Dates and times are parameters, so a run can be re
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -82,14 +83,19 @@ def load_companies(spark: SparkSession, db: str, inbox: Inbox) -> None:
                                     "companies_info": (info, "overwrite")})
 
 
+def _side_by_side(load: Callable[[str], None], names: list[str]) -> None:
+    """Independent tables at the same time, so that small ones do not leave the cluster idle."""
+    with ThreadPoolExecutor(len(names)) as pool:
+        for done in [pool.submit(load, name) for name in names]:
+            done.result()
+
+
 def load_statements(db: str, inbox: Inbox) -> None:
-    for name in STATEMENTS:
-        store.overwrite(statements(inbox(name), name), db, name)
+    _side_by_side(lambda n: store.overwrite(statements(inbox(n), n), db, n), STATEMENTS)
 
 
 def load_ratings(db: str, inbox: Inbox, as_of: date) -> None:
-    for name in RATINGS:
-        store.append_new(ratings(inbox(name), name, as_of), db, name)
+    _side_by_side(lambda n: store.append_new(ratings(inbox(n), n, as_of), db, n), RATINGS)
 
 
 def load_bars(db: str, inbox: Inbox) -> None:

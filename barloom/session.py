@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -30,3 +32,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder, so that a lost executor cannot change it."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package; only the data source needs it."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = f"{os.path.basename(package)}.zip"
+    if archive in (os.path.basename(f) for f in spark.sparkContext.listFiles):
+        return
+    folder = tempfile.mkdtemp(prefix="barloom-package-")
+    made = shutil.make_archive(os.path.join(folder, archive.removesuffix(".zip")), "zip",
+                               os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(made)

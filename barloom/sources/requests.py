@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from barloom.model import ENDPOINTS
-from barloom.session import new_path
+from barloom.session import new_path, ship_package
 
 # A transport takes the paths of one request file, in order, and gives one body (or None) for each.
 Transport = Callable[[Iterator[str]], Iterator[str | None]]
@@ -131,14 +131,15 @@ def fetch(requests: DataFrame, transport: Transport = read_files,
           partitions: int | None = None, order: tuple[str, ...] = ("request_key",)) -> DataFrame:
     """Fetch every request once and return the landed bodies.
 
-    ``partitions`` request files are fetched at a time-independent split; a lost task asks again for
-    its own file only. Everything downstream reads the landed copy.
+    One task fetches one of ``partitions`` request files, and a lost task asks again for its own
+    file only. Everything downstream reads the landed copy.
     """
     spark = requests.sparkSession
     n = partitions or spark.sparkContext.defaultParallelism
     listed, landed = new_path(spark, "requests"), new_path(spark, "bodies")
     (requests.repartitionByRange(n, *order).sortWithinPartitions(*order)
      .select("request_key", "ticker", "flag", "path").write.parquet(listed))
+    ship_package(spark)
     spark.dataSource.register(body_source(transport))
     spark.read.format(SOURCE_NAME).option("requests", listed).load().write.parquet(landed)
     return spark.read.parquet(landed)
