@@ -66,10 +66,14 @@ def decode_wrapped(df: DataFrame, schema: T.StructType, header: T.StructType | N
 
 
 def is_readable(kind: str, body: str = "body") -> Column:
-    """True for well-formed JSON whose outermost form is the expected one; never null."""
-    opening = "[" if kind == "array" else "{"
-    text = F.ltrim(F.regexp_replace(body, r"^\s+", ""))
-    return F.coalesce(text.startswith(opening) & F.try_parse_json(body).isNotNull(), F.lit(False))
+    """True for well-formed JSON whose outermost form is the expected one; never null.
+
+    As the only element of an array, so that text after the first value is noticed too.
+    """
+    opening = r"^\s*\[" if kind == "array" else r"^\s*\{"
+    text = F.col(body)
+    elements = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    return F.coalesce(text.rlike(opening) & (elements == 1), F.lit(False))
 
 
 def quarantine(df: DataFrame, kind: str, body: str = "body") -> tuple[DataFrame, DataFrame]:

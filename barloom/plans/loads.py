@@ -17,7 +17,8 @@ from barloom.model import (
     BAR_ROW, ENDPOINTS, PAGE_HEADER, RATINGS, STATEMENTS, TABLES, TRADE_NAMES, TRADE_ROW)
 from barloom.operators.conform import conform
 from barloom.operators.ordering import ordered_id, ticker_sample
-from barloom.operators.payload import decode_array, decode_object, decode_wrapped
+from barloom.operators.payload import (
+    decode_array, decode_object, decode_wrapped, quarantine)
 from barloom.operators.quality import (
     drop_null_keys, normalise_ticker, one_per_ticker, only_new)
 from barloom.plans.indicators import indicators, latest_indicators
@@ -83,6 +84,16 @@ def load_companies(spark: SparkSession, db: str, inbox: Inbox) -> None:
                                     "companies_info": (info, "overwrite")})
 
 
+def unreadable(inbox: Inbox, datasets: list[str]) -> DataFrame:
+    """Bodies that no load can read, with their dataset, to be kept aside and asked for again."""
+    aside = None
+    for name in datasets:
+        _, bad = quarantine(inbox(name), "array" if ENDPOINTS[name].kind == "array" else "object")
+        bad = bad.withColumn("dataset", F.lit(name))
+        aside = bad if aside is None else aside.unionByName(bad)
+    return aside
+
+
 def _side_by_side(load: Callable[[str], None], names: list[str]) -> None:
     """Independent tables at the same time, so that small ones do not leave the cluster idle."""
     with ThreadPoolExecutor(len(names)) as pool:
