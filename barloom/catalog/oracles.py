@@ -34,7 +34,7 @@ statement as (
   select upper(ticker) as ticker, year, quarter, orders, total from stated
   where ticker is not null and year is not null and quarter is not null)"""
 
-_INDICATOR_ROWS = """select ticker, time_stamp, round(sma, 4) as sma,
+_INDICATOR_ROWS = """select ticker, time_stamp, round(sma, 8) as sma,
   round(lower_bollinger, 4) as lower_bollinger, round(higher_bollinger, 4) as higher_bollinger,
   round(money_flow, 4) as money_flow from derived"""
 
@@ -54,7 +54,7 @@ ORACLES: dict[str, str] = {
     "indicators_full": _indicators(_INDICATOR_ROWS),
     "indicators_latest": _indicators(_INDICATOR_ROWS + _LATEST),
     "indicators_dense": _indicators(_INDICATOR_ROWS, SECOND_BARS),
-    "bollinger_bands": _indicators("""select ticker, time_stamp, round(sma, 4) as sma,
+    "bollinger_bands": _indicators("""select ticker, time_stamp, round(sma, 8) as sma,
         round(distance, 4) as distance, round(deviation, 4) as deviation,
         round(lower_bollinger, 4) as lower_bollinger,
         round(higher_bollinger, 4) as higher_bollinger from derived"""),
@@ -65,15 +65,15 @@ ORACLES: dict[str, str] = {
     "rolling_month_avg": _bars(f"""select ticker, time_stamp,
         round(avg(volume) over {_MONTH}, 8) as avg_volume from timed"""),
     "rolling_month_sum": _bars(f"""select ticker, time_stamp,
-        round(sum(close) over {_MONTH}, 4) as sum_close, count(close) over {_MONTH} as days
-        from timed"""),
+        cast(sum(volume) over {_MONTH} as bigint) as sum_volume,
+        count(close) over {_MONTH} as days from timed"""),
     "rolling_month_ratio": _bars(f"""select ticker, time_stamp,
         round(sum(high) over {_MONTH} / nullif(sum(low) over {_MONTH}, 0), 8) as ratio
         from timed"""),
     "rolling_day_trades": f"""with timed as (
         select *, cast(floor(epoch(ts)) as bigint) as sec, {_K} as k from events)
         select event_id, event_type as ticker, round(sum(value) over {_DAY}, 4) as sum_price,
-               round(avg(k) over {_DAY}, 4) as avg_k, count(value) over {_DAY} as trades
+               round(avg(k) over {_DAY}, 8) as avg_k, count(value) over {_DAY} as trades
         from timed""",
     "lag_by_key_bars": _bars("""select ticker, time_stamp, round(typical_price, 8) as typical_price,
         round(lag(typical_price) over (partition by ticker order by time_stamp), 8)

@@ -61,22 +61,22 @@ def _timed_bars(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def indicators_full(spark, folder):
-    return rounded(ind.indicators(fx.bars(spark, folder)), 4)
+    return rounded(ind.indicators(fx.bars(spark, folder)), 4, sma=8)
 
 
 @query
 def indicators_latest(spark, folder):
-    return rounded(ind.latest_indicators(fx.bars(spark, folder)), 4)
+    return rounded(ind.latest_indicators(fx.bars(spark, folder)), 4, sma=8)
 
 
 @query
 def indicators_dense(spark, folder):
-    return rounded(ind.indicators(fx.second_bars(spark, folder), step_seconds=1), 4)
+    return rounded(ind.indicators(fx.second_bars(spark, folder), step_seconds=1), 4, sma=8)
 
 
 @query
 def bollinger_bands(spark, folder):
-    return rounded(ind.bollinger_bands(fx.bars(spark, folder)), 4)
+    return rounded(ind.bollinger_bands(fx.bars(spark, folder)), 4, sma=8)
 
 
 @query
@@ -96,9 +96,9 @@ def rolling_month_avg(spark, folder):
 @query
 def rolling_month_sum(spark, folder):
     framed = rolling(_timed_bars(spark, folder), ["ticker"], "sec",
-                     {"sum_close": ("sum", "close"), "days": ("count", "close")},
+                     {"sum_volume": ("sum", "volume"), "days": ("count", "close")},
                      step_seconds=DAY_SECONDS)
-    return rounded(framed.select("ticker", "time_stamp", "sum_close", "days"), 4)
+    return framed.select("ticker", "time_stamp", "sum_volume", "days")
 
 
 @query
@@ -115,7 +115,7 @@ def rolling_day_trades(spark, folder):
     framed = rolling(timed, ["ticker"], "sec", {
         "sum_price": ("sum", "price"), "avg_k": ("avg", "k"), "trades": ("count", "price")},
         span=DAY_SECONDS)
-    return rounded(framed.select("event_id", "ticker", "sum_price", "avg_k", "trades"), 4)
+    return rounded(framed.select("event_id", "ticker", "sum_price", "avg_k", "trades"), sum_price=4)
 
 
 @query

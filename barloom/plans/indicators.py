@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barloom.functions.timefns import epoch_seconds
-from barloom.operators.ordering import first_per_key, latest_per_key
+from barloom.operators.ordering import latest_per_key
 from barloom.operators.rolling import (
     DAY_SECONDS, MONTH_SECONDS, PART_SECONDS, block_rolling, floor_to, is_sparse, range_frame,
     spread)
@@ -99,18 +99,16 @@ def recent_bars(bars: DataFrame, span: int = MONTH_SECONDS) -> DataFrame:
     """The bars that the newest row of each ticker depends on.
 
     That is two spans before the newest bar, rounded down to a whole span, and the one bar before
-    those for the previous price. A summary with one row per ticker and span finds both.
+    those for the previous price. The bounds come from tickers and times alone, by a summary of one
+    row per ticker and span; the other columns are read once.
     """
     sec = epoch_seconds(F.col("time_stamp"))
-    values = [c for c in bars.columns if c != "ticker"]
-    summary = bars.groupBy("ticker", floor_to(sec, span).alias("_span")).agg(
-        F.max(sec).alias("_newest"), *(F.max_by(c, "time_stamp").alias(c) for c in values))
-    start = floor_to(F.max("_newest") - 2 * span, span)
-    starts = summary.groupBy("ticker").agg(start.alias("_start"))
-    kept = bars.join(starts, "ticker").filter(sec >= F.col("_start"))
-    older = summary.join(starts, "ticker").filter(F.col("_span") < F.col("_start"))
-    before = first_per_key(older, ["ticker"], [F.col("_span").desc()])
-    return kept.select(*bars.columns).unionByName(before.select(*bars.columns))
+    spans = bars.groupBy("ticker", floor_to(sec, span).alias("_span")).agg(F.max(sec).alias("_last"))
+    newest = F.max("_last").over(Window.partitionBy("ticker"))
+    started = spans.withColumn("_start", floor_to(newest - 2 * span, span))
+    before = F.max(F.when(F.col("_span") < F.col("_start"), F.col("_last")))
+    bounds = started.groupBy("ticker").agg(F.coalesce(before, F.min("_start")).alias("_from"))
+    return bars.join(bounds, "ticker").filter(sec >= F.col("_from")).select(*bars.columns)
 
 
 def latest_indicators(bars: DataFrame, span: int = MONTH_SECONDS, **options) -> DataFrame:

@@ -22,6 +22,7 @@ from barloom.operators.payload import (
 from barloom.operators.quality import (
     drop_null_keys, normalise_ticker, one_per_ticker, only_new)
 from barloom.plans.indicators import indicators, latest_indicators
+from barloom.session import checkpoint
 from barloom.sources import store
 
 Inbox = Callable[[str], DataFrame]  # dataset -> landed bodies
@@ -116,17 +117,17 @@ def load_bars(db: str, inbox: Inbox) -> None:
 def load_trades(spark: SparkSession, db: str, inbox: Inbox, trading_date: date) -> None:
     """Add the trades that are not stored yet; equal trades of a session count as often as sent."""
     name = "stock_intraday_transaction"
-    stored = store.read_table(spark, db, name).filter(
-        F.to_date("time_stamp") == F.lit(trading_date)).drop("id")
     sent = trades(inbox(name), trading_date)
+    stored = store.session_rows(spark, db, name, trading_date)
     fresh = sent.exceptAll(stored.select(*sent.columns))
     store.append(numbered_trades(fresh, store.next_id(spark, db)), db, name)
 
 
 def load_indicators(spark: SparkSession, db: str, full: bool) -> None:
+    """All rows, or those of the newest bars; computed once, then compared with what is stored."""
     bars = store.read_table(spark, db, "stock_history")
     derived = indicators(bars) if full else latest_indicators(bars)
-    store.append_new(derived, db, "derived_stock_history", unique=True)
+    store.append_new(checkpoint(derived), db, "derived_stock_history", unique=True)
 
 
 def initial_load(spark: SparkSession, db: str, inbox: Inbox, as_of: date) -> None:

@@ -7,6 +7,7 @@ period tables by their own ``year``, so that refreshes read and write few files.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -69,6 +70,15 @@ def trailing_rows(spark: SparkSession, db: str, name: str, as_of: Column,
             .filter(last_days(F.col(table.year_of), as_of, days)).select(*table.columns))
 
 
+def session_rows(spark: SparkSession, db: str, name: str, day: date) -> DataFrame:
+    """The rows of one day; other years are not read."""
+    table = TABLES[name]
+    ts = F.col(table.year_of)
+    return spark.table(f"{db}.{name}").filter(
+        (F.col(HIDDEN_YEAR) == day.year) & (ts >= F.lit(day).cast("timestamp"))
+        & (ts < F.lit(day + timedelta(days=1)).cast("timestamp"))).select(*table.columns)
+
+
 def _write(df: DataFrame, db: str, name: str, overwrite: bool) -> None:
     table = TABLES[name]
     rows = conform(df, table.schema)
@@ -97,14 +107,29 @@ def rewrite(df: DataFrame, db: str, name: str) -> None:
     overwrite(checkpoint(df), db, name)
 
 
+def _near(stored: DataFrame, rows: DataFrame, table: Table) -> DataFrame:
+    """The stored rows of the time range of ``rows``; other years are not read."""
+    times = table.year_of or ("year" if "year" in table.columns else None)
+    if not times:
+        return stored
+    low, high = rows.agg(F.min(times), F.max(times)).head()
+    if low is None:
+        return stored.limit(0)
+    inside = F.col(times).between(low, high)
+    if table.year_of:
+        inside = inside & F.col(HIDDEN_YEAR).between(low.year, high.year)
+    return stored.filter(inside)
+
+
 def append_new(df: DataFrame, db: str, name: str, unique: bool = False) -> None:
     """Append the rows whose key is not stored; running it again adds nothing.
 
-    ``unique`` says that ``df`` has no two rows of one key, which saves looking for them.
+    ``unique`` says that ``df`` has no two rows of one key, which saves looking for them. ``df``
+    is asked for its time range first, so it should be cheap to read.
     """
     table = TABLES[name]
     rows = conform(df, table.schema)
-    stored = df.sparkSession.table(f"{db}.{name}")
+    stored = _near(df.sparkSession.table(f"{db}.{name}"), rows, table)
     if unique:
         fresh = only_new(rows, stored, table.key)
     else:
