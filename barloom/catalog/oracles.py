@@ -145,7 +145,11 @@ ORACLES: dict[str, str] = {
         from customer, (select unnest([0, 1]) as flag)""",
     "requests_between": """select 'stock_history/' || c_name || '/0' as request_key,
         c_name as ticker, 0 as flag, 'bars-long-term?ticker=' || c_name
-          || '&type=stock&resolution=D&from=946684800&to=978220800' as path from customer""",
+          || '&type=stock&resolution=D&from=946684800&to=978307200' as path from customer""",
+    "requests_of_session": """select c_name as ticker, 'intraday/' || c_name
+        || '/his/paging?page=0&size=1000000'
+        || case when isodow(max(o_orderdate)) > 5 then '&headIndex=-1' else '' end as path
+        from orders join customer on o_custkey = c_custkey group by c_name""",
     "json_object": f"""select event_id, {_K} as k, cast(null as varchar) as absent from events""",
     "json_array_rows": """select l_orderkey, l_partkey, cast(i as integer) as row_no,
         round(trunc(l_quantity) * i, 4) as book_value,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -23,12 +23,13 @@ from barloom.operators.quality import (
     pk_violations, surviving_children, text_violations)
 from barloom.operators.rolling import DAY_SECONDS, rolling, rolling_ratio
 from barloom.plans import indicators as ind, loads
-from barloom.session import new_path
+from barloom.session import checkpoint, new_path
 from barloom.sources import store
-from barloom.sources.requests import fetch_recorded, request_grid
+from barloom.sources.requests import (
+    bar_requests, fetch_recorded, request_grid, trade_requests)
 
 AS_OF = date(2024, 2, 15)
-LAST_BAR = datetime(2001, 11, 4)
+LAST_BAR = "2001-11-04"
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -315,7 +316,20 @@ def requests(spark, folder):
 @query
 def requests_between(spark, folder):
     tickers = fx.listing(spark, folder).select("ticker")
-    return request_grid(tickers, "stock_history", "946684800", "978220800")
+    return bar_requests(tickers, "2000-01-01", "2001-01-01")
+
+
+@query
+def requests_of_session(spark, folder):
+    """Each company asks for the day of one of its orders: weekends use another form."""
+    days = fx.table(spark, folder, "orders").groupBy("o_custkey").agg(
+        F.max("o_orderdate").alias("day"))
+    names = fx.table(spark, folder, "customer").select(F.col("c_name").alias("ticker"), "c_custkey")
+    dated = names.join(days, F.col("c_custkey") == F.col("o_custkey"))
+    weekend = is_weekend(F.col("day"))
+    monday, sunday = F.lit(date(2024, 2, 12)), F.lit(date(2024, 2, 11))
+    return trade_requests(dated.filter(~weekend), monday).unionByName(
+        trade_requests(dated.filter(weekend), sunday)).select("ticker", "path")
 
 
 # Payloads ---------------------------------------------------------------------------------------
@@ -452,7 +466,7 @@ def store_roundtrip(spark, folder):
 def idempotent_append(spark, folder):
     """Two overlapping loads, the second one run twice."""
     db, name = _new_db(spark), "stock_history"
-    bars = fx.bars(spark, folder)
+    bars = checkpoint(fx.bars(spark, folder))
     store.append_new(bars.filter("time_stamp < '1999-01-01'"), db, name)
     late = bars.filter("time_stamp >= '1998-01-01'")
     store.append_new(late.unionByName(late), db, name)

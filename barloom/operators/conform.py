@@ -9,6 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from barloom.functions.naming import snake_name
 
 
+# What number text must look like at least. A failing cast raises and catches an error inside Spark,
+# some twenty microseconds a row, so text that cannot be a number is not tried.
+_WHOLE_TEXT = r"^[\s\p{Cntrl}]*[-+]?[0-9]+[\s\p{Cntrl}]*$"
+_REAL_TEXT = r"[0-9]|(?i:inf|nan)"
+
+
 def conform(df: DataFrame, schema: T.StructType, fill_missing: bool = False) -> DataFrame:
     """The schema's columns, in its order and types, in one projection.
 
@@ -28,7 +34,13 @@ def conform(df: DataFrame, schema: T.StructType, fill_missing: bool = False) ->
 def _fitted(df: DataFrame, target: T.StructField) -> Column:
     actual = next(f.dataType for f in df.schema if f.name.lower() == target.name.lower())
     column = F.col(f"`{target.name}`")
-    return column if actual == target.dataType else column.try_cast(target.dataType)
+    if actual == target.dataType:
+        return column
+    fitted = column.try_cast(target.dataType)
+    if isinstance(actual, T.StringType) and isinstance(target.dataType, T.NumericType):
+        whole = isinstance(target.dataType, T.IntegralType)
+        return F.when(column.rlike(_WHOLE_TEXT if whole else _REAL_TEXT), fitted)
+    return fitted
 
 
 def shared_columns(names: Iterable[str], schema: T.StructType) -> T.StructType:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from barloom.operators.ordering import carried_rows
 
 MONTH_SECONDS = 2_629_800  # fixed value: 30.4375 days
-PART_SECONDS = 12 * MONTH_SECONDS
+PART_SECONDS = 6 * MONTH_SECONDS
 DAY_SECONDS = 86_400
 SPARSE_FRAME_ROWS = 64
 

@@ -17,7 +17,7 @@ from barloom.operators.ordering import latest_per_key
 from barloom.operators.rolling import (
     DAY_SECONDS, MONTH_SECONDS, PART_SECONDS, block_rolling, floor_to, is_sparse, range_frame,
     spread)
-
+from barloom.session import BROADCAST_ROWS, broadcast_if_small
 
 OUTPUT = ["ticker", "time_stamp", "sma", "lower_bollinger", "higher_bollinger", "money_flow"]
 
@@ -95,12 +95,14 @@ def indicators(bars: DataFrame, span: int = MONTH_SECONDS, divisor: float = 30,
     return _compute(bars, span, divisor, average, step_seconds, part_seconds).select(*OUTPUT)
 
 
-def recent_bars(bars: DataFrame, span: int = MONTH_SECONDS) -> DataFrame:
+def recent_bars(bars: DataFrame, span: int = MONTH_SECONDS,
+                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """The bars that the newest row of each ticker depends on.
 
     That is two spans before the newest bar, rounded down to a whole span, and the one bar before
     those for the previous price. The bounds come from tickers and times alone, by a summary of one
-    row per ticker and span; the other columns are read once.
+    row per ticker and span, which is settled first: if the tickers are few enough, older bars are
+    dropped in the scan, before any exchange.
     """
     sec = epoch_seconds(F.col("time_stamp"))
     spans = bars.groupBy("ticker", floor_to(sec, span).alias("_span")).agg(F.max(sec).alias("_last"))
@@ -108,7 +110,8 @@ def recent_bars(bars: DataFrame, span: int = MONTH_SECONDS) -> DataFrame:
     started = spans.withColumn("_start", floor_to(newest - 2 * span, span))
     before = F.max(F.when(F.col("_span") < F.col("_start"), F.col("_last")))
     bounds = started.groupBy("ticker").agg(F.coalesce(before, F.min("_start")).alias("_from"))
-    return bars.join(bounds, "ticker").filter(sec >= F.col("_from")).select(*bars.columns)
+    few = broadcast_if_small(bounds, broadcast_rows)
+    return bars.join(few, "ticker").filter(sec >= F.col("_from")).select(*bars.columns)
 
 
 def latest_indicators(bars: DataFrame, span: int = MONTH_SECONDS, **options) -> DataFrame:

@@ -124,10 +124,10 @@ def load_trades(spark: SparkSession, db: str, inbox: Inbox, trading_date: date)
 
 
 def load_indicators(spark: SparkSession, db: str, full: bool) -> None:
-    """All rows, or those of the newest bars; computed once, then compared with what is stored."""
+    """All indicators in one pass, or those of the newest bars (one row per ticker, set aside)."""
     bars = store.read_table(spark, db, "stock_history")
-    derived = indicators(bars) if full else latest_indicators(bars)
-    store.append_new(checkpoint(derived), db, "derived_stock_history", unique=True)
+    derived = indicators(bars) if full else checkpoint(latest_indicators(bars))
+    store.append_new(derived, db, "derived_stock_history", unique=True, near=not full)
 
 
 def initial_load(spark: SparkSession, db: str, inbox: Inbox, as_of: date) -> None:

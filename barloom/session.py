@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,6 +34,19 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` written once and counted: sent to every task if small, else joined by shuffle.
+
+    For slim rows (a key and a number). Without it the large side of a join would be shuffled
+    before Spark knows how small the other one is.
+    """
+    settled = checkpoint(df)
+    return F.broadcast(settled) if settled.count() <= rows else settled
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give Python workers this package; only the data source needs it."""
     package = os.path.dirname(os.path.abspath(__file__))

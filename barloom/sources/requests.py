@@ -12,9 +12,10 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from barloom.functions.timefns import day_bound, is_weekend
 from barloom.model import ENDPOINTS
 from barloom.session import new_path, ship_package
 
@@ -25,20 +26,38 @@ BODY_SCHEMA = "request_key string, ticker string, flag int, body string"
 SOURCE_NAME = "barloom_bodies"
 
 
-def request_grid(tickers: DataFrame, dataset: str, start: str = "", end: str = "") -> DataFrame:
-    """One row per ticker and flag: ``request_key, ticker, flag, path``."""
+def request_grid(tickers: DataFrame, dataset: str, start: Column | None = None,
+                 end: Column | None = None) -> DataFrame:
+    """One row per ticker and flag: ``request_key, ticker, flag, path``.
+
+    ``start`` and ``end`` are epoch seconds, for the datasets that are asked for by time.
+    """
     endpoint = ENDPOINTS[dataset]
     flags = F.explode(F.sequence(F.lit(0), F.lit(endpoint.flags - 1)))
     path = F.lit(endpoint.path)
-    for mark, value in [("{ticker}", F.col("ticker")), ("{flag}", F.col("flag").cast("string")),
-                        ("{start}", F.lit(start)), ("{end}", F.lit(end))]:
-        path = F.replace(path, F.lit(mark), value)
+    for mark, value in [("{ticker}", F.col("ticker")), ("{flag}", F.col("flag")),
+                        ("{start}", start), ("{end}", end)]:
+        if value is not None:
+            path = F.replace(path, F.lit(mark), value.cast("string"))
     return tickers.select("ticker", flags.alias("flag")).select(
         F.concat_ws("/", F.lit(dataset), "ticker", "flag").alias("request_key"),
         "ticker", "flag", path.alias("path"),
     )
 
 
+def bar_requests(tickers: DataFrame, first: str, last: str, zone: str = "UTC") -> DataFrame:
+    """Requests for the daily bars from midnight of one day to midnight of another."""
+    return request_grid(tickers, "stock_history", day_bound(F.lit(first), zone),
+                        day_bound(F.lit(last), zone))
+
+
+def trade_requests(tickers: DataFrame, day: Column) -> DataFrame:
+    """Requests for the trades of a session; on a weekend the last session is asked for."""
+    last_session = F.when(is_weekend(day), "&headIndex=-1").otherwise("")
+    return request_grid(tickers, "stock_intraday_transaction").withColumn(
+        "path", F.concat("path", last_session))
+
+
 def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
     if path.startswith("file:/") and not path.startswith("file://"):
         path = "file://" + path[len("file:"):]

@@ -112,24 +112,26 @@ def _near(stored: DataFrame, rows: DataFrame, table: Table) -> DataFrame:
     times = table.year_of or ("year" if "year" in table.columns else None)
     if not times:
         return stored
-    low, high = rows.agg(F.min(times), F.max(times)).head()
-    if low is None:
+    year = F.year(times) if table.year_of else F.col(times)
+    first, last = rows.agg(F.min(year), F.max(year)).head()
+    if first is None:
         return stored.limit(0)
-    inside = F.col(times).between(low, high)
-    if table.year_of:
-        inside = inside & F.col(HIDDEN_YEAR).between(low.year, high.year)
-    return stored.filter(inside)
+    return stored.filter(F.col(_partition_column(table)).between(first, last))
 
 
-def append_new(df: DataFrame, db: str, name: str, unique: bool = False) -> None:
+def append_new(df: DataFrame, db: str, name: str, unique: bool = False,
+               near: bool = True) -> None:
     """Append the rows whose key is not stored; running it again adds nothing.
 
-    ``unique`` says that ``df`` has no two rows of one key, which saves looking for them. ``df``
-    is asked for its time range first, so it should be cheap to read.
+    ``unique`` says that ``df`` has no two rows of one key, which saves looking for them. With
+    ``near`` the time range of ``df`` is looked up first, to leave other stored years unread; do so
+    if ``df`` is cheap to read and covers little of what is stored.
     """
     table = TABLES[name]
     rows = conform(df, table.schema)
-    stored = _near(df.sparkSession.table(f"{db}.{name}"), rows, table)
+    stored = df.sparkSession.table(f"{db}.{name}")
+    if near:
+        stored = _near(stored, rows, table)
     if unique:
         fresh = only_new(rows, stored, table.key)
     else:

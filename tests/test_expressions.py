@@ -112,6 +112,16 @@ def test_conform(spark):
     assert [tuple(r) for r in rows.collect()] == [(2, 7, None), (None, None, None)]
 
 
+def test_number_text_is_cast_as_spark_casts_it(spark):
+    texts = ["7", " -7\t", "+7", "\x017", "7.0", "7a", "", "  ", "99999999999", "1e3", "NaN", "-Infinity",
+             "inf", "1.5d", ".5", "5.", "abc", "0x1F", None]
+    df = spark.createDataFrame([(t, t, t) for t in texts], "i string, l string, d string")
+    target = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("l", T.LongType()),
+                           T.StructField("d", T.DoubleType())])
+    plain = df.select(*(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in target))
+    assert repr(conform(df, target).collect()) == repr(plain.collect())
+
+
 def test_shared_columns_keep_the_order_of_the_table(spark):
     df = bodies(spark, None, '[{"roeGrowth":1,"c":2,"b":3},{"a":1}]')
     assert sample_keys(df) == ["roeGrowth", "c", "b"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from barloom.operators.ordering import (
     first_per_key, lag_by_key, latest_per_key, ordered_id, ticker_sample)
 from barloom.operators.rolling import rolling, rolling_ratio
-from barloom.plans.indicators import indicators, latest_indicators
+from barloom.plans.indicators import indicators, latest_indicators, recent_bars
 
 SPAN = 50
 
@@ -173,6 +173,11 @@ def test_bounded_look_back_equals_the_full_computation(spark):
     bars = random_bars(spark)
     full = as_pandas(indicators(bars)).groupby("ticker").tail(1).reset_index(drop=True)
     pd.testing.assert_frame_equal(as_pandas(latest_indicators(bars)), full)
+    slim, shuffled = recent_bars(bars), recent_bars(bars, broadcast_rows=0)
+    assert slim.exceptAll(shuffled).isEmpty() and slim.count() == shuffled.count()
+    assert slim.count() < bars.count() / 4
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (slim, shuffled)]
+    assert "BroadcastHashJoin" in plans[0] and "hashpartitioning" not in plans[0]
 
 
 def test_dense_hot_ticker(spark):

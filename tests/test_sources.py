@@ -10,7 +10,8 @@ from barloom.model import TABLES
 from barloom.operators.conform import conform
 from barloom.plans import loads
 from barloom.sources import jdbc, store
-from barloom.sources.requests import fetch, fetch_recorded, request_grid
+from barloom.sources.requests import (
+    bar_requests, fetch, fetch_recorded, request_grid, trade_requests)
 
 
 @pytest.fixture
@@ -90,8 +91,10 @@ def test_request_grid(spark):
     rows = request_grid(tickers, "cash_flow").orderBy("request_key").collect()
     assert [r["path"] for r in rows] == [
         f"finance/{t}/cashflow?yearly={i}&isAll=True" for t in "AB" for i in range(2)]
-    bars_of = request_grid(tickers, "stock_history", "1", "2").orderBy("ticker").collect()
-    assert bars_of[0]["path"].endswith("ticker=A&type=stock&resolution=D&from=1&to=2")
+    bars_of = bar_requests(tickers, "1970-01-02", "1970-01-03").orderBy("ticker").collect()
+    assert bars_of[0]["path"].endswith("ticker=A&type=stock&resolution=D&from=86400&to=172800")
+    friday, saturday = (trade_requests(tickers, F.lit(date(2024, 1, d))).head()["path"] for d in (5, 6))
+    assert saturday == friday + "&headIndex=-1"
 
 
 def test_every_request_is_fetched_once(spark, tmp_path):
