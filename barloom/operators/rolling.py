@@ -45,20 +45,15 @@ def spread(df: DataFrame, keys: Sequence[str], sec: str, look_back: int,
     that precedes its first one, however long ago, so that ``lag`` is right after a gap.
     A part holds at most ``part_seconds + look_back`` rows of a key, its seconds being unique.
     """
-    marks = df.withColumns({
-        "_first": floor_to(F.col(sec), part_seconds),
-        "_last": floor_to(F.col(sec) + look_back, part_seconds),
-    })
-    copies = (
-        marks.withColumn("_part", F.explode(F.sequence(
-            "_first", "_last", F.lit(part_seconds).cast("bigint"))))
-        .withColumn("_own", F.col("_part") == F.col("_first"))
-        .drop("_first", "_last")
-    )
+    first = floor_to(F.col(sec), part_seconds)
+    last = floor_to(F.col(sec) + look_back, part_seconds)
+    parts = F.explode(F.sequence(first, last, F.lit(part_seconds).cast("bigint")))
+    copies = df.select("*", parts.alias("_part")).withColumn("_own", F.col("_part") == first)
     if not carry:
         return copies
-    extra = carried_rows(marks, keys, [sec], part_seconds).withColumn("_own", F.lit(False))
-    return copies.unionByName(extra)
+    marks = df.select("*", first.alias("_first"), last.alias("_last"))
+    extra = carried_rows(marks, keys, [sec], part_seconds)
+    return copies.unionByName(extra.withColumn("_own", F.lit(False)))
 
 
 def block_rolling(df: DataFrame, by: Sequence[str], sec: str, span: int,
@@ -66,40 +61,38 @@ def block_rolling(df: DataFrame, by: Sequence[str], sec: str, span: int,
     """Add ``{name: ("sum" | "avg" | "count", column)}`` over ``[t - span, t]`` within ``by``."""
     length = span + 1
     offset = F.pmod(sec, F.lit(length).cast("bigint"))
-    blocks = (
-        df.withColumn("_off", offset)
-        .withColumn("_block", F.explode(F.array(F.col(sec) - F.col("_off"),
-                                                F.col(sec) - F.col("_off") + length)))
-        .withColumn("_head", F.col("_block") + F.col("_off") == F.col(sec))
-    )
+    start = F.col(sec) - offset
+    blocks = df.select("*", offset.alias("_off"),
+                       F.explode(F.array(start, start + length)).alias("_block"))
+    in_head = F.col("_block") + F.col("_off") == F.col(sec)
     group = Window.partitionBy(*by, "_block")
     # head rows up to t, and rows of the block before that are less than a frame old
     head = group.orderBy("_off").rangeBetween(Window.unboundedPreceding, 0)
     tail = group.orderBy(F.col("_off").desc()).rangeBetween(Window.unboundedPreceding, -1)
 
-    parts: dict[str, tuple] = {}
+    running = {}
     for kind, column in outputs.values():
         if kind in ("sum", "avg"):
-            parts[f"_sum_{column}"] = (F.sum, column)
+            running[f"_sum_{column}"] = (F.sum, column)
         if kind in ("count", "avg"):
-            parts[f"_count_{column}"] = (F.count, column)
-    heads = {f"{name}_h": agg(F.when(F.col("_head"), F.col(c))).over(head)
-             for name, (agg, c) in parts.items()}
-    tails = {f"{name}_t": agg(F.when(~F.col("_head"), F.col(c))).over(tail)
-             for name, (agg, c) in parts.items()}
-    framed = blocks.withColumns(heads).withColumns(tails).filter("_head")
+            running[f"_count_{column}"] = (F.count, column)
+    sums = {f"{name}_h": aggregate(F.when(in_head, F.col(c))).over(head)
+            for name, (aggregate, c) in running.items()}
+    sums |= {f"{name}_t": aggregate(F.when(~in_head, F.col(c))).over(tail)
+             for name, (aggregate, c) in running.items()}
 
     def total(name: str) -> Column:
         h, t = F.col(f"{name}_h"), F.col(f"{name}_t")
         return F.coalesce(h + t, h, t)
 
-    results = {}
-    for name, (kind, column) in outputs.items():
+    def result(kind: str, column: str) -> Column:
         if kind == "avg":
-            results[name] = F.try_divide(total(f"_sum_{column}"), total(f"_count_{column}"))
-        else:
-            results[name] = total(f"_{kind}_{column}")
-    return framed.withColumns(results).drop("_off", "_block", "_head", *heads, *tails)
+            return F.try_divide(total(f"_sum_{column}"), total(f"_count_{column}"))
+        return total(f"_{kind}_{column}")
+
+    framed = blocks.withColumns(sums).filter(in_head)
+    return framed.select(*df.columns, *(result(kind, column).alias(name)
+                                        for name, (kind, column) in outputs.items()))
 
 
 def range_frame(df: DataFrame, by: Sequence[str], sec: str, span: int,
