@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,17 +34,36 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """Write ``df`` once as Parquet below the shared folder and read that copy.
+
+    Unlike a checkpoint, later reads take only the columns they need. Values that depend on how
+    rows were dealt (row ids, range names) stay as written, whatever executor is lost later.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` written once and counted: sent to every task if small, else joined by shuffle.
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS,
+                       size: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` written once and measured: sent to every task if small, else joined by shuffle.
 
     For slim rows (a key and a number). Without it the large side of a join would be shuffled
-    before Spark knows how small the other one is.
+    before Spark knows how small the other one is. Only the plan depends on the size, never the
+    result. Texts count with their bytes, other columns with 16 each.
     """
-    settled = checkpoint(df)
-    return F.broadcast(settled) if settled.count() <= rows else settled
+    settled = settle(df, "measured")
+    texts = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts),
+                F.lit(16 * len(df.columns)))
+    found = settled.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size")).head()
+    small = found["n"] <= rows and (found["size"] or 0) <= size
+    return F.broadcast(settled) if small else settled
 
 
 def ship_package(spark: SparkSession) -> None:
