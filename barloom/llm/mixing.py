@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barloom.llm.common import WORD
-from barloom.session import broadcast_if_small
+from barloom.session import broadcast_if_small, settle
 
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
@@ -81,8 +81,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null text has no words; a null source is a source. Rows that repeat an id share its draw.
     An empty table gives no rows; where no document has a word, all targets are 0.
     """
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                        words(F.col(text_col)).alias("size"))
+    sized = settle(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+                               words(F.col(text_col)).alias("size")), "sizes")  # texts are read once
     return _with_copies(sized, source_targets(sized, weights, most), seed)
 
 
