@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barloom.llm import exact_dedup, mixing
+from barloom.llm import exact_dedup, mixing, near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,9 @@ select doc_id, size::bigint as size, source_size, target,
        (size * (floor(rate) + case when u < rate - floor(rate) then 1 else 0 end))::bigint as taken
 from r
 """
+
+
+@query
+def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The class of each document under links of 0.8 between sets of five-word shingles."""
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
