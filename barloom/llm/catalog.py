@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barloom.llm import exact_dedup, mixing, near_dedup
+from barloom.llm import exact_dedup, mixing, near_dedup, toxicity
+from barloom.llm.common import id_and_text, is_held_out
+from barloom.llm.labelled import FOLDS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +83,14 @@ from r
 def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """The class of each document under links of 0.8 between sets of five-word shingles."""
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of each document by its nearest labelled examples."""
+    docs = id_and_text(table(spark, folder, "documents"))
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    return toxicity.with_scores(docs, model).select(
+        "doc_id", is_held_out(F.col("doc_id"), FOLDS).alias("held_out"),
+        F.col("toxic_score").alias("score"),
+        (F.col("toxic_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "evidence")
