@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barloom.llm import exact_dedup, mixing, near_dedup, toxicity
+from barloom.llm import (
+    exact_dedup, mixing, near_dedup, quality_classifier, quality_rules, toxicity)
 from barloom.llm.common import id_and_text, is_held_out
 from barloom.llm.labelled import FOLDS
+from barloom.session import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +96,26 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", is_held_out(F.col("doc_id"), FOLDS).alias("held_out"),
         F.col("toxic_score").alias("score"),
         (F.col("toxic_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "evidence")
+
+
+@query
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of each document by the log densities of its statistics."""
+    docs = id_and_text(table(spark, folder, "documents"))
+    described = settle(quality_classifier.with_statistics(docs, carried=["doc_id"]), "statistics")
+    model = quality_classifier.fit(described, table(spark, folder, "labels"))
+    return quality_classifier.with_scores(described, model).select(
+        "doc_id", is_held_out(F.col("doc_id"), FOLDS).alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact counts of each document, the fixed rules, and the verdict of the trees."""
+    docs = id_and_text(table(spark, folder, "documents"))
+    described = settle(quality_rules.counted(docs, carried=["doc_id"]), "counts")
+    trees = quality_rules.fit(described, table(spark, folder, "labels"))
+    return quality_rules.judged(described, trees).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "rule_score")
