@@ -31,7 +31,8 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
 
 
 def texts_of(batch: pa.RecordBatch, column: str) -> pa.Array:
-    return pc.fill_null(batch.column(column).cast(pa.large_string()), "")
+    """The texts as an array of its own: splitting a slice of a longer array reads wrong places."""
+    return pa.array([t or "" for t in batch.column(column).to_pylist()], pa.large_string())
 
 
 class Words:
