@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.llm import (
-    exact_dedup, mixing, near_dedup, quality_classifier, quality_rules, toxicity)
+    exact_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, toxicity)
 from barloom.llm.common import id_and_text, is_held_out
 from barloom.llm.labelled import FOLDS
 from barloom.session import settle
@@ -119,3 +119,15 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(described, trees).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "rule_score")
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """The pieces of all documents in sequences of 1024 tokens."""
+    return packing.packed(table(spark, folder, "documents"), tokenizer_path())
