@@ -121,13 +121,15 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "base_failed", "kept", "rule_score")
 
 
-def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+def byte_bpe() -> tuple[str, str, str]:
+    """The public byte-level vocabulary: its file, its ranks, and how it splits texts."""
     import public_tokenizers
 
-    return public_tokenizers.path(name)
+    return (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+            public_tokenizers.PATTERN)
 
 
 @query
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     """The pieces of all documents in sequences of 1024 tokens."""
-    return packing.packed(table(spark, folder, "documents"), tokenizer_path())
+    return packing.packed(table(spark, folder, "documents"), byte_bpe())
