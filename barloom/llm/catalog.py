@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.llm import (
-    exact_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, toxicity)
+    exact_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, toxicity,
+    url_filter)
 from barloom.llm.common import id_and_text, is_held_out
 from barloom.llm.labelled import FOLDS
 from barloom.session import settle
@@ -133,3 +134,12 @@ def byte_bpe() -> tuple[str, str, str]:
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     """The pieces of all documents in sequences of 1024 tokens."""
     return packing.packed(table(spark, folder, "documents"), byte_bpe())
+
+
+@query
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict on each page's url."""
+    return url_filter.judged_urls(table(spark, folder, "pages"))
+
+
+ORACLES["op2_url_filter"] = url_filter.oracle()
