@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.llm import (
-    exact_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, toxicity,
-    url_filter)
+    exact_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, secrets_scan,
+    toxicity, url_filter)
 from barloom.llm.common import id_and_text, is_held_out
 from barloom.llm.labelled import FOLDS
 from barloom.session import settle
@@ -143,3 +143,11 @@ def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op2_url_filter"] = url_filter.oracle()
+
+
+@query
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in each document by fixed patterns and by the cost of guessing a value."""
+    docs = id_and_text(table(spark, folder, "documents"))
+    ranks = secrets_scan.ranks_of(secrets_scan.common_words(docs))
+    return secrets_scan.with_secrets(docs, ranks, carried=["doc_id"])
