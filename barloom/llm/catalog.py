@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.llm import (
-    exact_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, secrets_scan,
+    exact_dedup, language_model, mixing, near_dedup, packing, quality_classifier, quality_rules, secrets_scan,
     toxicity, url_filter)
 from barloom.llm.common import id_and_text, is_held_out
 from barloom.llm.labelled import FOLDS
@@ -151,3 +151,9 @@ def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = id_and_text(table(spark, folder, "documents"))
     ranks = secrets_scan.ranks_of(secrets_scan.common_words(docs))
     return secrets_scan.with_secrets(docs, ranks, carried=["doc_id"])
+
+
+@query
+def op4_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """The probability of each document under the interpolated model."""
+    return language_model.scored(table(spark, folder, "documents"))
