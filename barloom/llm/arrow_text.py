@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from barloom.session import ship_package
 
@@ -17,6 +17,14 @@ SLICE_BYTES = 4 << 20
 SLICE_ROWS = 4096
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows reach Python a thousand at a time, where the session does not say otherwise: ten
+    thousand long texts, as by default, are more than a task's share of memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "1000")
+
+
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of rows whose texts fill ``SLICE_BYTES`` at most."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -83,6 +91,7 @@ def with_columns_in_arrow(df: DataFrame, text_col: str, added: T.StructType,
     An added column takes the place of a carried one of the same name.
     """
     ship_package(df.sparkSession)
+    small_batches(df.sparkSession)
     names = {f.name.lower() for f in added}
     carried = [c for c in carried if c.lower() not in names]
     fields = [df.schema[c] for c in carried]

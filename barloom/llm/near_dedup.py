@@ -10,11 +10,13 @@ Rows with the same weighted shingles are one *text*. Texts that share a band are
 pair is linked if its exact probability Jaccard or its plain Jaccard is at least the threshold.
 Buckets are not expanded into pairs: each text is first tested against the smallest one of its
 bucket, which joins most of a large group. Then only texts that share a bucket but are not yet in
-one class are paired, as far as enough slots agree; that is exact, as within a class nothing is left to decide.
+one class are paired, as far as enough bits of their slots agree; within a class nothing is left to
+decide. Shingles are not stored: those of candidates are made again from their texts.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +31,9 @@ WIDTH = 5
 THRESHOLD = 0.8
 BANDS = 24
 ROWS = 5
-#: A pair is verified if its slots agree this much less than the threshold asks, or more: over
-#: five standard deviations of the estimate, so that no link is lost to it.
-SLACK = 0.2
+#: One bit of each slot is kept. Bits of unequal slots differ half the time, so a pair at the threshold
+#: differs in a tenth of its bits; this many standard deviations more are still verified.
+DEVIATIONS = 5.0
 _LOW48 = np.uint64((1 << 48) - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -128,15 +130,27 @@ def similarities(a: np.ndarray, a_weight: np.ndarray, b: np.ndarray,
     return chance, float(both.sum()) / len(union)
 
 
-SKETCH = T.StructType([
-    T.StructField("shingle_count", T.LongType()), T.StructField("key_high", T.LongType()),
-    T.StructField("key_low", T.LongType()), T.StructField("signature", T.ArrayType(T.IntegerType())),
-    T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("shingles", T.BinaryType()),
-    T.StructField("times", T.BinaryType())])
+SKETCH = T.StructType([T.StructField(c, T.LongType()) for c in (
+    "shingle_count", "key_high", "key_low", "bits_high", "bits_low")]
+    + [T.StructField("bands", T.ArrayType(T.LongType()))])
+SHINGLED = T.StructType([
+    T.StructField("key_high", T.LongType()), T.StructField("key_low", T.LongType()),
+    T.StructField("shingles", T.BinaryType()), T.StructField("times", T.BinaryType())])
+
+
+def _keys(shingle: np.ndarray, times: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Two sums that do not depend on order name the weighted set of each text."""
+    element = mixed_bits(shingle * _ODD + times.astype(np.uint64))
+    sums = []
+    for salt in (1, 2):
+        total = np.concatenate([np.zeros(1, np.uint64),
+                                np.cumsum(mixed_bits(element + np.uint64(salt)))])
+        sums.append(mixed_bits(total[ends[1:]] - total[ends[:-1]]).view(np.int64))
+    return sums
 
 
 def sketch(texts: pa.Array, width: int, bands: int, rows: int) -> list[pa.Array]:
-    """The columns of ``SKETCH`` for some texts."""
+    """The columns of ``SKETCH`` for some texts; nulls and no bands where there is no shingle."""
     words = Words(texts)
     n = len(words.sizes)
     owner, shingle, times = shingles(words, width)
@@ -147,38 +161,43 @@ def sketch(texts: pa.Array, width: int, bands: int, rows: int) -> list[pa.Array]
     for k in range(rows):
         banded = mixed_bits(banded * _ODD + signed[:, k::rows])
     banded = mixed_bits(banded + np.arange(bands, dtype=np.uint64)[None, :])
-    # two sums that do not depend on order name a weighted set
-    element = mixed_bits(shingle * _ODD + times.astype(np.uint64))
-    sums = []
-    for salt in (1, 2):
-        total = np.concatenate([np.zeros(1, np.uint64),
-                                np.cumsum(mixed_bits(element + np.uint64(salt)))])
-        sums.append(mixed_bits(total[ends[1:]] - total[ends[:-1]]).view(np.int64))
-    some = counts > 0
+    bits = mixed_bits(signed) & np.uint64(1)
+    half = bits.shape[1] // 2
+    longs = [(part << np.arange(part.shape[1], dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
+             for part in (bits[:, :half], bits[:, half:])]
+    none = counts == 0
+    flat = pa.array(np.ascontiguousarray(banded[~none]).reshape(-1).view(np.int64))
+    offsets = np.concatenate([[0], np.cumsum(~none)]).astype(np.int32) * bands
+    return [pa.array(counts, pa.int64()), *(pa.array(x, mask=none) for x in _keys(shingle, times, ends)),
+            *(pa.array(x) for x in longs), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)]
+
+
+def packed_shingles(texts: pa.Array, width: int) -> list[pa.Array]:
+    """The columns of ``SHINGLED``: sorted shingles, and how often each occurs if any does twice."""
+    words = Words(texts)
+    owner, shingle, times = shingles(words, width)
+    ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(words.sizes)))])
     packed, repeats = [], []
-    for i in range(n):
-        own = slice(ends[i], ends[i + 1])
-        packed.append(pack48(shingle[own]))
-        repeats.append(times[own].astype("<i4").tobytes() if (times[own] > 1).any() else b"")
-    listed = np.flatnonzero(some)
-    offsets = np.concatenate([[0], np.cumsum(some)]).astype(np.int32)
-
-    def per_text(values: np.ndarray, kind: pa.DataType) -> pa.Array:
-        flat = pa.array(np.ascontiguousarray(values[listed]).reshape(-1), kind)
-        return pa.ListArray.from_arrays(pa.array(offsets * values.shape[1], pa.int32()), flat)
-
-    return [pa.array(counts, pa.int64()), pa.array(sums[0], mask=~some), pa.array(sums[1], mask=~some),
-            per_text((signed & np.uint64(0x7FFFFFFF)).astype(np.int32), pa.int32()),
-            per_text(banded.view(np.int64), pa.int64()),
+    for a, b in zip(ends[:-1], ends[1:]):
+        packed.append(pack48(shingle[a:b]))
+        repeats.append(times[a:b].astype("<i4").tobytes() if (times[a:b] > 1).any() else b"")
+    return [*(pa.array(x) for x in _keys(shingle, times, ends)),
             pa.array(packed, pa.binary()), pa.array(repeats, pa.binary())]
 
 
-def _verified(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+def _verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, width: int,
+              threshold: float) -> DataFrame:
     """Those of the pairs ``(a, b)`` that are similar enough, with their similarities."""
     ship_package(pairs.sparkSession)
     pairs = settle(pairs, "pairs")
     asked = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "text")
-    held = settle(sketches.join(broadcast_if_small(asked), "text")
+    wanted = settle(sketches.join(broadcast_if_small(asked), "text")
+                    .select("text", "doc_id", "key_high", "key_low"), "wanted")
+    ids = broadcast_if_small(wanted.select(F.col("doc_id").alias("id")).distinct())
+    again = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "body")
+    shingled = with_columns_in_arrow(again, "body", SHINGLED,
+                                     lambda texts: packed_shingles(texts, width), [])
+    held = settle(shingled.join(wanted, ["key_high", "key_low"]).dropDuplicates(["text"])
                   .select("text", "shingles", "times"), "held")
     left = held.select(F.col("text").alias("a"), F.col("shingles").alias("sa"),
                        F.col("times").alias("ta"))
@@ -206,7 +225,7 @@ def _verified(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFr
     return settle(checked.where(F.greatest("probability_jaccard", "jaccard") >= threshold), "links")
 
 
-def _classes(numbered: DataFrame, threshold: float) -> DataFrame:
+def _classes(numbered: DataFrame, docs: DataFrame, width: int, threshold: float, slots: int) -> DataFrame:
     """``(row, class)`` of sketched rows with shingles; the class is its smallest row."""
     keyed = numbered.where("shingle_count > 0")
     texts = keyed.groupBy("key_high", "key_low").agg(F.min("row").alias("text"))
@@ -218,10 +237,10 @@ def _classes(numbered: DataFrame, threshold: float) -> DataFrame:
                     .select("text", F.explode("bands").alias("bucket")), "banded")
 
     buckets = banded.groupBy("bucket").agg(F.min("text").alias("b"), F.max("text").alias("last"))
-    shared = settle(buckets.where("b <> last").select("bucket", "b"), "buckets")
+    shared = buckets.where("b <> last").select("bucket", "b")
     crowded = settle(banded.join(shared, "bucket"), "crowded")
     stars = crowded.where("text <> b").select(F.col("text").alias("a"), "b").distinct()
-    links = _verified(stars, sketches, threshold)
+    links = _verified(stars, sketches, docs, width, threshold)
 
     near = components(links.select("a", "b"))
     placed = crowded.select("bucket", "text").join(
@@ -229,26 +248,28 @@ def _classes(numbered: DataFrame, threshold: float) -> DataFrame:
         "bucket", "text", F.coalesce("component", "text").alias("component"))
     open_buckets = placed.groupBy("bucket").agg(F.min("component").alias("low"),
                                                 F.max("component").alias("high")).where("low <> high")
-    undecided = settle(placed.join(open_buckets.select("bucket"), "bucket"), "undecided")
-    signed = settle(sketches.join(broadcast_if_small(undecided.select("text").distinct()), "text")
-                    .select("text", "signature"), "signed")
-    pairs = settle(_across(undecided), "across").join(stars, ["a", "b"], "left_anti")
-    agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.when(x == y, 1).otherwise(0)),
-                        F.lit(0), lambda total, x: total + x)
-    likely = (pairs.join(signed.select(F.col("text").alias("a"), F.col("signature").alias("sa")), "a")
-              .join(signed.select(F.col("text").alias("b"), F.col("signature").alias("sb")), "b")
-              .where(agree >= (threshold - SLACK) * F.size("sa")).select("a", "b"))
-    more = _verified(likely, sketches, threshold)
+    bits = sketches.select("text", "bits_high", "bits_low")
+    undecided = settle(placed.join(open_buckets.select("bucket"), "bucket").join(bits, "text"), "undecided")
+    more = _verified(_across(undecided, threshold, slots), sketches, docs, width, threshold)
     classes = components(links.select("a", "b").union(more.select("a", "b")))
     return rows.join(classes.withColumnRenamed("node", "text"), "text", "left").select(
         "row", F.coalesce("component", "text").alias("class"))
 
 
-def _across(undecided: DataFrame) -> DataFrame:
-    """Distinct pairs of texts that share a bucket and not a component."""
-    one = undecided.select("bucket", F.col("text").alias("x"), F.col("component").alias("cx"))
-    other = undecided.select("bucket", F.col("text").alias("y"), F.col("component").alias("cy"))
-    return one.join(other, "bucket").where("cx < cy").select(
+def _across(undecided: DataFrame, threshold: float, slots: int) -> DataFrame:
+    """Distinct pairs of texts that share a bucket and not a component, and whose bits are alike
+    enough. The join tests the bits itself, so it gives out no pair that they rule out."""
+    share = (1 - threshold) / 2
+    most = math.ceil(slots * share + DEVIATIONS * math.sqrt(slots * share * (1 - share)))
+    one = undecided.select("bucket", F.col("text").alias("x"), F.col("component").alias("cx"),
+                           F.col("bits_high").alias("hx"), F.col("bits_low").alias("lx"))
+    other = undecided.select(F.col("bucket").alias("same"), F.col("text").alias("y"),
+                             F.col("component").alias("cy"), F.col("bits_high").alias("hy"),
+                             F.col("bits_low").alias("ly"))
+    differ = (F.bit_count(F.col("hx").bitwiseXOR(F.col("hy")))
+              + F.bit_count(F.col("lx").bitwiseXOR(F.col("ly"))))
+    alike = (F.col("bucket") == F.col("same")) & (F.col("cx") < F.col("cy")) & (differ <= most)
+    return one.join(other, alike).select(
         F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
@@ -261,7 +282,9 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, carried: list[str], wi
     sketched = settle(with_columns_in_arrow(
         numbered, "text", SKETCH, lambda texts: sketch(texts, width, bands, rows),
         ["row", "doc_id", "carried"]), "sketched")
-    classes = _classes(sketched.drop("carried", "doc_id"), threshold)
+    bodies = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                         F.col(f"`{text_col}`").alias("body"))
+    classes = _classes(sketched.drop("carried"), bodies, width, threshold, bands * rows)
     ids = sketched.select("row", "doc_id", "shingle_count").join(classes, "row", "left").withColumn(
         "class", F.coalesce("class", "row"))
     ids = settle(ids, "classes")
