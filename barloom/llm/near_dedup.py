@@ -8,10 +8,10 @@ after the latest first arrival of its document, so few shingles need more than o
 
 Rows with the same weighted shingles are one *text*. Texts that share a band are candidates, and a
 pair is linked if its exact probability Jaccard or its plain Jaccard is at least the threshold.
-Buckets are not expanded into pairs: each text is first tested against the smallest one of its
-bucket, which joins most of a large group. Then only texts that share a bucket but are not yet in
-one class are paired, as far as enough bits of their slots agree; within a class nothing is left to
-decide. Shingles are not stored: those of candidates are made again from their texts.
+Buckets are not expanded into pairs: in each of some turns, texts are tested against one text of their
+bucket, which joins large groups. Then texts of buckets that are still in two classes or more are paired
+where they share one of their rarest shingles, as similar texts must, and enough bits of their slots;
+within a class nothing is left to decide. Shingles are not stored: those of candidates are made again from their texts.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from barloom.llm.arrow_text import Words, mixed_bits, with_columns_in_arrow
 from barloom.llm.components import components
@@ -34,6 +34,8 @@ ROWS = 5
 #: One bit of each slot is kept. Bits of unequal slots differ half the time, so a pair at the threshold
 #: differs in a tenth of its bits; this many standard deviations more are still verified.
 DEVIATIONS = 5.0
+#: Turns in which the texts of a bucket are tested against one of them, before those left are paired.
+ROUNDS_OF_STARS = 6
 _LOW48 = np.uint64((1 << 48) - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -115,6 +117,10 @@ def similarities(a: np.ndarray, a_weight: np.ndarray, b: np.ndarray,
     """Exact probability Jaccard and plain Jaccard of two sorted weighted sets."""
     if not len(a) or not len(b):
         return 0.0, 0.0
+    if len(a) == a_weight.sum() and len(b) == b_weight.sum():       # no shingle occurs twice
+        at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+        shared = int((b[at] == a).sum())
+        return (shared / (len(a) + len(b) - shared),) * 2
     union = np.sort(np.concatenate([a, b]))
     union = union[np.concatenate([[True], union[1:] != union[:-1]])]
     wa, wb = np.zeros(len(union)), np.zeros(len(union))
@@ -185,20 +191,25 @@ def packed_shingles(texts: pa.Array, width: int) -> list[pa.Array]:
             pa.array(packed, pa.binary()), pa.array(repeats, pa.binary())]
 
 
-def _verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, width: int,
-              threshold: float) -> DataFrame:
-    """Those of the pairs ``(a, b)`` that are similar enough, with their similarities."""
-    ship_package(pairs.sparkSession)
-    pairs = settle(pairs, "pairs")
-    asked = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "text")
-    wanted = settle(sketches.join(broadcast_if_small(asked), "text")
+def _made_again(texts: DataFrame, sketches: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """``(text, shingles, times)`` of the given texts, from the documents."""
+    wanted = settle(sketches.join(broadcast_if_small(texts), "text")
                     .select("text", "doc_id", "key_high", "key_low"), "wanted")
     ids = broadcast_if_small(wanted.select(F.col("doc_id").alias("id")).distinct())
     again = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "body")
     shingled = with_columns_in_arrow(again, "body", SHINGLED,
                                      lambda texts: packed_shingles(texts, width), [])
-    held = settle(shingled.join(wanted, ["key_high", "key_low"]).dropDuplicates(["text"])
+    return settle(shingled.join(wanted, ["key_high", "key_low"]).dropDuplicates(["text"])
                   .select("text", "shingles", "times"), "held")
+
+
+def _verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, width: int,
+              threshold: float) -> DataFrame:
+    """Those of the pairs ``(a, b)`` that are similar enough, with their similarities."""
+    ship_package(pairs.sparkSession)
+    pairs = settle(pairs, "pairs")
+    asked = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "text")
+    held = _made_again(asked, sketches, docs, width)
     left = held.select(F.col("text").alias("a"), F.col("shingles").alias("sa"),
                        F.col("times").alias("ta"))
     right = held.select(F.col("text").alias("b"), F.col("shingles").alias("sb"),
@@ -239,36 +250,97 @@ def _classes(numbered: DataFrame, docs: DataFrame, width: int, threshold: float,
     buckets = banded.groupBy("bucket").agg(F.min("text").alias("b"), F.max("text").alias("last"))
     shared = buckets.where("b <> last").select("bucket", "b")
     crowded = settle(banded.join(shared, "bucket"), "crowded")
-    stars = crowded.where("text <> b").select(F.col("text").alias("a"), "b").distinct()
-    links = _verified(stars, sketches, docs, width, threshold)
-
-    near = components(links.select("a", "b"))
-    placed = crowded.select("bucket", "text").join(
-        near.withColumnRenamed("node", "text"), "text", "left").select(
-        "bucket", "text", F.coalesce("component", "text").alias("component"))
-    open_buckets = placed.groupBy("bucket").agg(F.min("component").alias("low"),
-                                                F.max("component").alias("high")).where("low <> high")
     bits = sketches.select("text", "bits_high", "bits_low")
-    undecided = settle(placed.join(open_buckets.select("bucket"), "bucket").join(bits, "text"), "undecided")
-    more = _verified(_across(undecided, threshold, slots), sketches, docs, width, threshold)
-    classes = components(links.select("a", "b").union(more.select("a", "b")))
+    crowded = settle(crowded.join(bits, "text"), "crowded")
+    links = found = None
+    for turn in range(ROUNDS_OF_STARS):
+        placed = crowded.withColumn("component", F.col("text")) if links is None else (
+            crowded.join(components(links).withColumnRenamed("node", "text"), "text", "left")
+            .withColumn("component", F.coalesce("component", "text")))
+        undecided = settle(_undecided(placed), "undecided")
+        found = _verified(_stars(undecided, turn, threshold, slots), sketches, docs, width, threshold)
+        links = found.select("a", "b") if links is None else links.union(found.select("a", "b"))
+        crowded = undecided.drop("component")     # what is decided stays so
+        if found.isEmpty():
+            break
+    placed = crowded.join(components(links).withColumnRenamed("node", "text"), "text", "left").withColumn(
+        "component", F.coalesce("component", "text"))
+    undecided = settle(_undecided(placed), "undecided")
+    open_texts = undecided.select("text", "component", "bits_high", "bits_low").distinct()
+    held = _made_again(open_texts.select("text"), sketches, docs, width)
+    more = _verified(_across(open_texts, held, threshold, slots), sketches, docs, width, threshold)
+    classes = components(links.union(more.select("a", "b")))
     return rows.join(classes.withColumnRenamed("node", "text"), "text", "left").select(
         "row", F.coalesce("component", "text").alias("class"))
 
 
-def _across(undecided: DataFrame, threshold: float, slots: int) -> DataFrame:
-    """Distinct pairs of texts that share a bucket and not a component, and whose bits are alike
-    enough. The join tests the bits itself, so it gives out no pair that they rule out."""
+def _undecided(placed: DataFrame) -> DataFrame:
+    """Rows of buckets that hold texts of two components or more."""
+    open_buckets = placed.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    return placed.join(open_buckets.select("bucket"), "bucket")
+
+
+def _differing(threshold: float, slots: int) -> tuple[Column, int]:
+    """In how many bits ``(hx, lx)`` and ``(hy, ly)`` differ, and the most that may."""
     share = (1 - threshold) / 2
     most = math.ceil(slots * share + DEVIATIONS * math.sqrt(slots * share * (1 - share)))
-    one = undecided.select("bucket", F.col("text").alias("x"), F.col("component").alias("cx"),
-                           F.col("bits_high").alias("hx"), F.col("bits_low").alias("lx"))
-    other = undecided.select(F.col("bucket").alias("same"), F.col("text").alias("y"),
-                             F.col("component").alias("cy"), F.col("bits_high").alias("hy"),
-                             F.col("bits_low").alias("ly"))
-    differ = (F.bit_count(F.col("hx").bitwiseXOR(F.col("hy")))
-              + F.bit_count(F.col("lx").bitwiseXOR(F.col("ly"))))
-    alike = (F.col("bucket") == F.col("same")) & (F.col("cx") < F.col("cy")) & (differ <= most)
+    return (F.bit_count(F.col("hx").bitwiseXOR(F.col("hy")))
+            + F.bit_count(F.col("lx").bitwiseXOR(F.col("ly")))), most
+
+
+def _stars(undecided: DataFrame, turn: int, threshold: float, slots: int) -> DataFrame:
+    """Each text with one text of its bucket, another one each turn, if they are not yet joined."""
+    order = F.struct(F.xxhash64("text", F.lit(turn)).alias("order"), F.col("text").alias("y"),
+                     F.col("component").alias("cy"), F.col("bits_high").alias("hy"),
+                     F.col("bits_low").alias("ly"))
+    centres = undecided.groupBy("bucket").agg(F.min(order).alias("c")).select("bucket", "c.*")
+    differ, most = _differing(threshold, slots)
+    return (undecided.withColumnsRenamed({"bits_high": "hx", "bits_low": "lx"}).join(centres, "bucket")
+            .where((F.col("component") != F.col("cy")) & (differ <= most))
+            .select(F.greatest("text", "y").alias("a"), F.least("text", "y").alias("b")).distinct())
+
+
+def _rare_shingles(held: DataFrame, threshold: float) -> DataFrame:
+    """``(text, shingle)``: of each text, so many of its rarest shingles that similar texts share one.
+
+    Similar texts share at least ``threshold`` of either one's shingles, counted or weighted. So the
+    rarest shingle that they share is among those before which at most the rest lies.
+    """
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, packed, times in zip(*(batch.column(c).to_pylist() for c in (
+                    "text", "shingles", "times"))):
+                values = unpack48(packed)
+                weight = weights_of(np.frombuffer(times, "<i4")) if times else np.ones(len(values))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(values), text)), pa.array(values.astype(np.int64)),
+                     pa.array(np.full(len(values), 1 / max(len(values), 1))),
+                     pa.array(weight / weight.sum())], ["text", "shingle", "share", "weighted"])
+
+    rows = settle(held.mapInArrow(unpack, "text long, shingle long, share double, weighted double"),
+                  "shingles")
+    often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"))
+    before = Window.partitionBy("text").orderBy("texts", "shingle").rowsBetween(
+        Window.unboundedPreceding, -1)
+    rest = 1 - threshold + 1e-9
+    return (rows.join(often.where("texts > 1"), "shingle", "left")
+            .withColumn("texts", F.coalesce("texts", F.lit(1)))
+            .withColumns({c: F.coalesce(F.sum(c).over(before), F.lit(0.0)) for c in ("share", "weighted")})
+            .where((F.least("share", "weighted") <= rest) & (F.col("texts") > 1))
+            .select("text", "shingle"))
+
+
+def _across(open_texts: DataFrame, held: DataFrame, threshold: float, slots: int) -> DataFrame:
+    """Distinct pairs of texts of two components that share a rare shingle and enough bits."""
+    rare = settle(_rare_shingles(held, threshold).join(open_texts, "text"), "rare")
+    one = rare.select("shingle", F.col("text").alias("x"), F.col("component").alias("cx"),
+                      F.col("bits_high").alias("hx"), F.col("bits_low").alias("lx"))
+    other = rare.select(F.col("shingle").alias("same"), F.col("text").alias("y"),
+                        F.col("component").alias("cy"), F.col("bits_high").alias("hy"),
+                        F.col("bits_low").alias("ly"))
+    differ, most = _differing(threshold, slots)
+    alike = (F.col("shingle") == F.col("same")) & (F.col("cx") < F.col("cy")) & (differ <= most)
     return one.join(other, alike).select(
         F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
