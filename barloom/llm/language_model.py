@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from barloom.llm.arrow_text import Words, mixed_bits, slices, texts_of
+from barloom.llm.arrow_text import Words, mixed_bits, slices, small_batches, texts_of
 from barloom.llm.common import fold
 from barloom.session import settle, ship_package
 
@@ -36,20 +36,45 @@ _END = np.uint64(0x5851F42D4C957F2D)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 PACKED = ("slice long, tokens long, doc_ids binary, known binary, folds binary, sizes binary,"
-          " words binary, names binary")
+          " words binary, ranks binary, names binary")
 
 
 def _squeezed(values: np.ndarray) -> bytes:
-    return zlib.compress(np.ascontiguousarray(values).tobytes(), 1)
+    """Numbers byte plane by byte plane: the high bytes of small ones are zeros in a row."""
+    planes = np.ascontiguousarray(values, "<i8").view(np.uint8).reshape(-1, 8).T
+    return zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
 
 
-def _opened(packed: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(packed), kind)
+def _opened(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").reshape(-1)
+
+
+def _gaps(keys: np.ndarray) -> bytes:
+    """Sorted hashes as the gaps between them, without high bytes that no gap needs."""
+    gaps = np.diff(keys, prepend=keys[:1] * np.uint64(0)).astype("<u8")
+    planes = gaps.view(np.uint8).reshape(-1, 8).T
+    used = 8
+    while used > 1 and len(keys) > 1 and not planes[used - 1][1:].any():
+        used -= 1
+    first = keys[:1].astype("<u8").tobytes()
+    return bytes([used]) + first + np.ascontiguousarray(planes[:used, 1:]).tobytes()
+
+
+def _keys_of(packed: bytes) -> np.ndarray:
+    used, first = packed[0], np.frombuffer(packed[1:9], "<u8")
+    if not len(first):
+        return np.zeros(0, np.uint64)
+    planes = np.frombuffer(packed[9:], np.uint8).reshape(used, -1)
+    gaps = np.zeros((planes.shape[1], 8), np.uint8)
+    gaps[:, :used] = planes.T
+    return np.cumsum(np.concatenate([first, gaps.reshape(-1).view("<u8")]), dtype=np.uint64)
 
 
 def packed_slices(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Tokens of some documents as numbers into the hashes ``names``; one end closes each."""
     ship_package(docs.sparkSession)
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        fold(F.col(f"`{id_col}`"), FOLDS).alias("fold"),
                        F.col(f"`{text_col}`").alias("text"))
@@ -60,17 +85,20 @@ def packed_slices(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for part in slices(batch, "text"):
                 words = Words(texts_of(part, "text"))
                 hashes = np.append(words.hashes(), _END)
-                ends = np.cumsum(words.sizes)
-                tokens = np.insert(words.ids, ends, len(hashes) - 1).astype(np.uint32)
+                tokens = np.insert(words.ids, np.cumsum(words.sizes), len(hashes) - 1)
+                often = np.argsort(-np.bincount(tokens, minlength=len(hashes)), kind="stable")
+                rank = np.empty(len(often), np.int64)       # frequent words get small numbers
+                rank[often] = np.arange(len(often))
+                order = np.argsort(hashes)
                 ids = part.column("doc_id")
                 row = (number, len(tokens),
                        ids.fill_null(0).to_numpy(zero_copy_only=False).tobytes(),
                        ids.is_valid().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes(),
                        part.column("fold").to_numpy(zero_copy_only=False).astype(np.uint8).tobytes(),
-                       _squeezed((words.sizes + 1).astype(np.uint32)), _squeezed(tokens),
-                       hashes.tobytes())
+                       _squeezed(words.sizes + 1), _squeezed(rank[tokens]), _squeezed(rank[order]),
+                       _gaps(hashes[order]))
                 number += 1
-                kinds = [pa.int64(), pa.int64()] + [pa.binary()] * 6
+                kinds = [pa.int64(), pa.int64()] + [pa.binary()] * 7
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([v], k) for v, k in zip(row, kinds)],
                     [f.split()[0] for f in PACKED.split(", ")])
@@ -79,25 +107,35 @@ def packed_slices(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 class Slice:
-    """The arrays of a packed slice, and its keys: sorted distinct hashes of words and of pairs."""
+    """The arrays of a packed slice, and its keys: sorted distinct hashes of words and of pairs.
+
+    ``word``, ``context`` and ``pair`` are each token's places among the keys.
+    """
 
     def __init__(self, row: dict) -> None:
-        self.sizes = _opened(row["sizes"], "<u4").astype(np.int64)
+        self.sizes = _opened(row["sizes"])
         self.folds = np.frombuffer(row["folds"], np.uint8)
-        names = np.frombuffer(row["names"], "<u8")
-        tokens = _opened(row["words"], "<u4")
-        self.word = names[tokens]
-        before = np.concatenate([[_END], self.word[:-1]])     # an end, too, before a first word
-        self.context = before
-        self.pair = mixed_bits(mixed_bits(before * _ODD) + self.word)
+        names, ranks = _keys_of(row["names"]), _opened(row["ranks"])
+        place = np.empty(len(ranks), np.int64)
+        place[ranks] = np.arange(len(ranks))
+        self.word = place[_opened(row["words"])]
+        end = int(np.searchsorted(names, _END))
+        self.context = np.concatenate([[end], self.word[:-1]])     # an end, too, before a first word
+        # pairs are told apart by their places, which are fewer bits to sort than their hashes
+        both = self.context * len(names) + self.word
+        pairs = _distinct(both)
+        before, after = np.divmod(pairs, len(names))
+        hashes = mixed_bits(mixed_bits(names[before] * _ODD) + names[after])
+        order = np.argsort(hashes)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.pair = place[np.searchsorted(pairs, both)]
         self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        self.keys = {"word": np.sort(names), "pair": _distinct(self.pair)}
+        self.keys = {"word": names, "pair": hashes[order]}
 
     def counts(self, kind: str, folds: np.ndarray) -> np.ndarray:
         """How often each key occurs in documents of the given kind."""
-        chosen = folds[self.owner]
-        at = np.searchsorted(self.keys[kind], getattr(self, kind)[chosen])
-        return np.bincount(at, minlength=len(self.keys[kind]))
+        return np.bincount(getattr(self, kind)[folds[self.owner]], minlength=len(self.keys[kind]))
 
 
 def _distinct(values: np.ndarray) -> np.ndarray:
@@ -120,11 +158,11 @@ def _slice_keys(packed: DataFrame, parts: int) -> DataFrame:
             for row in batch.to_pylist():
                 part = Slice(row)
                 for kind, keys in part.keys.items():
-                    learned = part.counts(kind, part.folds != HELD_OUT).astype(np.uint32)
-                    tuning = part.counts(kind, part.folds == TUNING).astype(np.uint32)
+                    learned = part.counts(kind, part.folds != HELD_OUT)
+                    tuning = part.counts(kind, part.folds == TUNING)
                     edges = _ranges(keys, parts)
-                    made = [(p, row["slice"], kind, keys[a:b].tobytes(), learned[a:b].tobytes(),
-                             tuning[a:b].tobytes())
+                    made = [(p, row["slice"], kind, _gaps(keys[a:b]), _squeezed(learned[a:b]),
+                             _squeezed(tuning[a:b]))
                             for p, (a, b) in enumerate(zip(edges, edges[1:]))]
                     kinds = [pa.int32(), pa.int64(), pa.string()] + [pa.binary()] * 3
                     yield pa.RecordBatch.from_arrays(
@@ -141,8 +179,8 @@ TOTALS = ("slice long, kind string, part int, learned binary, tuning binary, all
 def _totals(key, rows: pd.DataFrame) -> pd.DataFrame:
     """Counts over all slices of the keys of one range, for each slice in its own order."""
     rows = rows.sort_values("slice", kind="stable")
-    keys = np.concatenate([np.frombuffer(k, "<u8") for k in rows["keys"]])
-    sizes = np.array([len(k) // 8 for k in rows["keys"]])
+    own = [_keys_of(k) for k in rows["keys"]]
+    keys, sizes = np.concatenate(own), np.array([len(k) for k in own])
     order = np.argsort(keys, kind="stable")
     new = np.concatenate([[True], keys[order][1:] != keys[order][:-1]]) if len(keys) else \
         np.zeros(0, bool)
@@ -151,7 +189,7 @@ def _totals(key, rows: pd.DataFrame) -> pd.DataFrame:
     groups, ends = int(new.sum()), np.cumsum(sizes)[:-1]
     found, sums = {}, {}
     for column in ("learned", "tuning"):
-        counts = np.concatenate([np.frombuffer(c, "<u4") for c in rows[column]])
+        counts = np.concatenate([_opened(c) for c in rows[column]])
         sums[column] = np.bincount(group, counts, groups).astype(np.int64)
         found[column] = [_squeezed(x) for x in np.split(sums[column][group], ends)]
     words = rows["kind"].iloc[0] == "word"
@@ -163,15 +201,24 @@ def _totals(key, rows: pd.DataFrame) -> pd.DataFrame:
         "distinct_words": first * (words * int((sums["learned"] > 0).sum()))})
 
 
-def _counts_of_tokens(part: Slice, answers: pd.DataFrame, column: str) -> tuple[np.ndarray, ...]:
-    """Corpus counts of each token's pair, context and word."""
-    totals = {}
-    for kind in ("word", "pair"):
-        own = answers[answers["kind"] == kind].sort_values("part")
-        totals[kind] = np.concatenate([_opened(c, "<i8") for c in own[column]])
-    at = {kind: np.searchsorted(part.keys[kind], getattr(part, kind)) for kind in ("word", "pair")}
-    context = np.searchsorted(part.keys["word"], part.context)
-    return totals["pair"][at["pair"]], totals["word"][context], totals["word"][at["word"]]
+def _by_key(answers: pd.DataFrame, kind: str, column: str) -> np.ndarray:
+    """The answers for a slice's keys, in their order."""
+    own = answers[answers["kind"] == kind].sort_values("part")
+    return np.concatenate([_opened(c) for c in own[column]])
+
+
+def _tuning_tokens(packed: DataFrame) -> DataFrame:
+    """Places of pair, context and word of each token of the tuning fold, and no other token."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                part = Slice(row)
+                own = (part.folds == TUNING)[part.owner]
+                made = [row["slice"], *(_squeezed(x[own]) for x in (part.pair, part.context, part.word))]
+                yield pa.RecordBatch.from_arrays([pa.array([v]) for v in made],
+                                                 ["slice", "pair", "context", "word"])
+
+    return packed.mapInArrow(run, "slice long, pair binary, context binary, word binary")
 
 
 def bucket(context_count: np.ndarray) -> np.ndarray:
@@ -226,6 +273,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                       F.sum("distinct_words").alias("v")).head()
     n, v, kept = sums["n"] or 0, sums["v"] or 0, (sums["n"] or 0) - (sums["t"] or 0)
     answers = totals.select("slice", "kind", "part", "learned", "tuning").groupBy("slice")
+    final = totals.select("slice", "kind", "part", "learned").groupBy("slice")
     uniform = 1.0 / (v + 1)
 
     def probabilities(pair, context, word, total):
@@ -233,16 +281,15 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         return p2, word / max(total, 1)
 
     def binned(key, slices: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-        part = Slice(slices.iloc[0].to_dict())
-        own = (part.folds == TUNING)[part.owner]
-        found = [a - b for a, b in zip(_counts_of_tokens(part, counts, "learned"),
-                                       _counts_of_tokens(part, counts, "tuning"))]
-        pair, context, word = (x[own] for x in found)
+        row = slices.iloc[0]
+        kept_of = {k: _by_key(counts, k, "learned") - _by_key(counts, k, "tuning") for k in ("word", "pair")}
+        pair = kept_of["pair"][_opened(row["pair"])]
+        context, word = (kept_of["word"][_opened(row[c])] for c in ("context", "word"))
         p2, p1 = probabilities(pair, context, word, kept)
         frame = pd.DataFrame({"bucket": bucket(context), "pair": _bin(p2), "word": _bin(p1)})
         return frame.groupby(["bucket", "pair", "word"]).size().reset_index(name="times")
 
-    rows = (packed.groupBy("slice").cogroup(answers)
+    rows = (_tuning_tokens(packed).groupBy("slice").cogroup(answers)
             .applyInPandas(binned, "bucket long, pair long, word long, times long")
             .groupBy("bucket", "pair", "word").agg(F.sum("times").alias("times")).collect())
     bins = np.array([tuple(r) for r in rows], np.int64).reshape(-1, 4)
@@ -251,7 +298,9 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     def score(key, slices: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
         row = slices.iloc[0].to_dict()
         part = Slice(row)
-        pair, context, word = _counts_of_tokens(part, counts, "learned")
+        learned = {k: _by_key(counts, k, "learned") for k in ("word", "pair")}
+        pair, context, word = (learned["pair"][part.pair], learned["word"][part.context],
+                               learned["word"][part.word])
         p2, p1 = probabilities(pair, context, word, n)
         w = weights[bucket(context)]
         model = np.log10(w[:, 0] * p2 + w[:, 1] * p1 + w[:, 2] * uniform)
@@ -266,4 +315,4 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             "train_tokens": np.full(docs, n), "base_score": np.bincount(part.owner, base, docs),
             "score": np.bincount(part.owner, model, docs)})
 
-    return packed.groupBy("slice").cogroup(answers).applyInPandas(score, SCORED)
+    return packed.groupBy("slice").cogroup(final).applyInPandas(score, SCORED)

@@ -9,9 +9,9 @@ after the latest first arrival of its document, so few shingles need more than o
 Rows with the same weighted shingles are one *text*. Texts that share a band are candidates, and a
 pair is linked if its exact probability Jaccard or its plain Jaccard is at least the threshold.
 Buckets are not expanded into pairs: in each of some turns, texts are tested against one text of their
-bucket, which joins large groups. Then texts of buckets that are still in two classes or more are paired
-where they share one of their rarest shingles, as similar texts must, and enough bits of their slots;
-within a class nothing is left to decide. Shingles are not stored: those of candidates are made again from their texts.
+bucket, which joins large groups. Within a class nothing is left to decide. Texts of small buckets
+that are in two classes are paired if enough bits of their slots are equal. Those of large buckets are
+compared exactly inside tasks, two blocks of bounded size at a time, which give out links only. Shingles are not stored: those of candidates are made again from their texts.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from barloom.llm.arrow_text import Words, mixed_bits, with_columns_in_arrow
 from barloom.llm.components import components
@@ -36,6 +37,9 @@ ROWS = 5
 DEVIATIONS = 5.0
 #: Turns in which the texts of a bucket are tested against one of them, before those left are paired.
 ROUNDS_OF_STARS = 6
+#: Texts of a bucket that are paired by a join; those of a larger one are compared block by block.
+CROWD = 32
+BLOCK_SHINGLES = 1 << 17
 _LOW48 = np.uint64((1 << 48) - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -112,6 +116,11 @@ def weights_of(times: np.ndarray) -> np.ndarray:
     return 1.0 + np.log(times)
 
 
+def _weighted(packed: bytes, times: bytes) -> tuple[np.ndarray, np.ndarray]:
+    values = unpack48(packed)
+    return values, weights_of(np.frombuffer(times, "<i4")) if times else np.ones(len(values))
+
+
 def similarities(a: np.ndarray, a_weight: np.ndarray, b: np.ndarray,
                  b_weight: np.ndarray) -> tuple[float, float]:
     """Exact probability Jaccard and plain Jaccard of two sorted weighted sets."""
@@ -215,14 +224,10 @@ def _verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, width: int
     right = held.select(F.col("text").alias("b"), F.col("shingles").alias("sb"),
                         F.col("times").alias("tb"))
 
-    def weighted(packed: bytes, times: bytes) -> tuple[np.ndarray, np.ndarray]:
-        values = unpack48(packed)
-        return values, weights_of(np.frombuffer(times, "<i4")) if times else np.ones(len(values))
-
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("sa", "ta", "sb", "tb")]
-            found = [similarities(*weighted(sa, ta), *weighted(sb, tb))
+            found = [similarities(*_weighted(sa, ta), *_weighted(sb, tb))
                      for sa, ta, sb, tb in zip(*columns)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"),
@@ -248,7 +253,7 @@ def _classes(numbered: DataFrame, docs: DataFrame, width: int, threshold: float,
                     .select("text", F.explode("bands").alias("bucket")), "banded")
 
     buckets = banded.groupBy("bucket").agg(F.min("text").alias("b"), F.max("text").alias("last"))
-    shared = buckets.where("b <> last").select("bucket", "b")
+    shared = buckets.where("b <> last").select("bucket")
     crowded = settle(banded.join(shared, "bucket"), "crowded")
     bits = sketches.select("text", "bits_high", "bits_low")
     crowded = settle(crowded.join(bits, "text"), "crowded")
@@ -266,10 +271,10 @@ def _classes(numbered: DataFrame, docs: DataFrame, width: int, threshold: float,
     placed = crowded.join(components(links).withColumnRenamed("node", "text"), "text", "left").withColumn(
         "component", F.coalesce("component", "text"))
     undecided = settle(_undecided(placed), "undecided")
-    open_texts = undecided.select("text", "component", "bits_high", "bits_low").distinct()
-    held = _made_again(open_texts.select("text"), sketches, docs, width)
-    more = _verified(_across(open_texts, held, threshold, slots), sketches, docs, width, threshold)
-    classes = components(links.union(more.select("a", "b")))
+    more = _verified(_pairs(undecided, threshold, slots), sketches, docs, width, threshold)
+    held = _made_again(_crowds(undecided).select("text").distinct(), sketches, docs, width)
+    most = _block_links(_crowds(undecided), held, threshold)
+    classes = components(links.union(more.select("a", "b")).union(most))
     return rows.join(classes.withColumnRenamed("node", "text"), "text", "left").select(
         "row", F.coalesce("component", "text").alias("class"))
 
@@ -301,50 +306,89 @@ def _stars(undecided: DataFrame, turn: int, threshold: float, slots: int) -> Dat
             .select(F.greatest("text", "y").alias("a"), F.least("text", "y").alias("b")).distinct())
 
 
-def _rare_shingles(held: DataFrame, threshold: float) -> DataFrame:
-    """``(text, shingle)``: of each text, so many of its rarest shingles that similar texts share one.
-
-    Similar texts share at least ``threshold`` of either one's shingles, counted or weighted. So the
-    rarest shingle that they share is among those before which at most the rest lies.
-    """
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text, packed, times in zip(*(batch.column(c).to_pylist() for c in (
-                    "text", "shingles", "times"))):
-                values = unpack48(packed)
-                weight = weights_of(np.frombuffer(times, "<i4")) if times else np.ones(len(values))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(values), text)), pa.array(values.astype(np.int64)),
-                     pa.array(np.full(len(values), 1 / max(len(values), 1))),
-                     pa.array(weight / weight.sum())], ["text", "shingle", "share", "weighted"])
-
-    rows = settle(held.mapInArrow(unpack, "text long, shingle long, share double, weighted double"),
-                  "shingles")
-    often = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"))
-    before = Window.partitionBy("text").orderBy("texts", "shingle").rowsBetween(
-        Window.unboundedPreceding, -1)
-    rest = 1 - threshold + 1e-9
-    return (rows.join(often.where("texts > 1"), "shingle", "left")
-            .withColumn("texts", F.coalesce("texts", F.lit(1)))
-            .withColumns({c: F.coalesce(F.sum(c).over(before), F.lit(0.0)) for c in ("share", "weighted")})
-            .where((F.least("share", "weighted") <= rest) & (F.col("texts") > 1))
-            .select("text", "shingle"))
-
-
-def _across(open_texts: DataFrame, held: DataFrame, threshold: float, slots: int) -> DataFrame:
-    """Distinct pairs of texts of two components that share a rare shingle and enough bits."""
-    rare = settle(_rare_shingles(held, threshold).join(open_texts, "text"), "rare")
-    one = rare.select("shingle", F.col("text").alias("x"), F.col("component").alias("cx"),
+def _pairs(undecided: DataFrame, threshold: float, slots: int) -> DataFrame:
+    """Distinct pairs of texts of two components in buckets of ``CROWD`` texts at most, so that a text has a
+    bounded number of partners per band. The join tests the bits itself."""
+    few = undecided.groupBy("bucket").count().where(F.col("count") <= CROWD).select("bucket")
+    held = settle(undecided.join(few, "bucket"), "few")
+    one = held.select("bucket", F.col("text").alias("x"), F.col("component").alias("cx"),
                       F.col("bits_high").alias("hx"), F.col("bits_low").alias("lx"))
-    other = rare.select(F.col("shingle").alias("same"), F.col("text").alias("y"),
+    other = held.select(F.col("bucket").alias("same"), F.col("text").alias("y"),
                         F.col("component").alias("cy"), F.col("bits_high").alias("hy"),
                         F.col("bits_low").alias("ly"))
     differ, most = _differing(threshold, slots)
-    alike = (F.col("shingle") == F.col("same")) & (F.col("cx") < F.col("cy")) & (differ <= most)
+    alike = (F.col("bucket") == F.col("same")) & (F.col("cx") < F.col("cy")) & (differ <= most)
     return one.join(other, alike).select(
         F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
+def _crowds(undecided: DataFrame) -> DataFrame:
+    """``(text, component, crowd)``: texts of larger buckets; buckets that share texts are one crowd."""
+    many = undecided.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.min("text").alias("b")).where(F.col("n") > CROWD)
+    members = undecided.join(many.select("bucket", "b"), "bucket").select("text", "component", "b")
+    crowds = components(members.select(F.col("text").alias("a"), "b"))
+    return members.select("text", "component").distinct().join(
+        crowds.select(F.col("node").alias("text"), F.col("component").alias("crowd")), "text")
+
+
+def _block_links(crowds: DataFrame, held: DataFrame, threshold: float) -> DataFrame:
+    """Links ``(a, b)`` between texts of two components of a crowd.
+
+    A crowd is dealt into blocks of about ``BLOCK_SHINGLES`` shingles. Each task takes two blocks, counts
+    what their texts share by products of 0-1 matrices, and gives out links only, never pairs.
+    """
+    rows = settle(crowds.join(held, "text").withColumn("size", F.octet_length("shingles") / 6), "crowds")
+    sizes = rows.groupBy("crowd").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).alias("blocks"))
+    dealt = rows.join(sizes, "crowd").withColumn("own", F.pmod(F.xxhash64("text"), F.col("blocks")))
+    spread = dealt.select(
+        "crowd", "own", "text", "component", "shingles", "times",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")).select(
+        "crowd", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
+        "text", "component", "shingles", "times")
+    return settle(spread.groupBy("crowd", "i", "j").applyInPandas(
+        lambda key, texts: _links_of_blocks(texts, int(key[1]), int(key[2]), threshold),
+        "a long, b long"), "block_links")
+
+
+def _links_of_blocks(texts: pd.DataFrame, i: int, j: int, threshold: float) -> pd.DataFrame:
+    sets = [_weighted(*x) for x in zip(texts["shingles"], texts["times"])]
+    left, right = (np.flatnonzero(texts["own"].to_numpy() == k) for k in (i, j))
+    sizes = np.array([len(v) for v, _ in sets])
+    owner, values = np.repeat(np.arange(len(sets)), sizes), np.concatenate([v for v, _ in sets])
+    share = np.concatenate([w / w.sum() for _, w in sets])
+    order = np.argsort(values, kind="stable")
+    owner, values, share = owner[order], values[order], share[order]
+    new = np.concatenate([[True], values[1:] != values[:-1]])
+    column = np.cumsum(new) - 1
+    twice = np.bincount(column)[column] > 1         # what one text alone has is shared with none
+    owner, share = owner[twice], share[twice]
+    column = np.cumsum(np.concatenate([[0], np.diff(column[twice]) > 0])) if twice.any() else column[:0]
+    both = np.zeros((len(left), len(right)), np.float32)
+    mass_left, mass_right = both.copy(), both.copy()
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        a, b = np.searchsorted(column, (start, start + 4096))
+        ones, masses = np.zeros((2, len(sets), 4096), np.float32)
+        ones[owner[a:b], column[a:b] - start] = 1
+        masses[owner[a:b], column[a:b] - start] = share[a:b]
+        both += ones[left] @ ones[right].T
+        mass_left += masses[left] @ ones[right].T
+        mass_right += ones[left] @ masses[right].T
+    component, text = texts["component"].to_numpy(), texts["text"].to_numpy()
+    jaccard = both / np.maximum(sizes[left][:, None] + sizes[right][None, :] - both, 1)
+    # the probability Jaccard is at most the share of either weight that lies in both
+    maybe = (np.minimum(mass_left, mass_right) >= threshold - 1e-4) & (jaccard < threshold)
+    plain = np.array([not t for t in texts["times"]])
+    maybe &= ~(plain[left][:, None] & plain[right][None, :])
+    other = component[left][:, None] != component[right][None, :]
+    found = [(x, y) for x, y in np.argwhere((jaccard >= threshold - 1e-6) & other)]
+    found += [(x, y) for x, y in np.argwhere(maybe & other)
+              if similarities(*sets[left[x]], *sets[right[y]])[0] >= threshold]
+    a = np.array([text[left[x]] for x, _ in found], np.int64)
+    b = np.array([text[right[y]] for _, y in found], np.int64)
+    return pd.DataFrame({"a": a, "b": b})
+
+
 def _grouped(docs: DataFrame, id_col: str, text_col: str, carried: list[str], width: int,
              threshold: float, bands: int, rows: int) -> DataFrame:
     numbered = docs.select(
