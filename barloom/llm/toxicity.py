@@ -94,8 +94,8 @@ class BlockMaxIndex:
     def build(cls, vectors: np.ndarray, block: int = BLOCK) -> tuple[BlockMaxIndex, np.ndarray]:
         """The index, and the order in which it holds ``vectors``: by strongest terms."""
         strongest = np.argsort(-vectors, axis=1, kind="stable")[:, :3]
-        order = np.lexsort((*(-vectors[np.arange(len(vectors)), strongest[:, k]] for k in (1, 0)),
-                            *(strongest[:, k] for k in (2, 1, 0))))
+        by_term = [strongest[:, k] for k in reversed(range(strongest.shape[1]))]
+        order = np.lexsort((-vectors[np.arange(len(vectors)), strongest[:, 0]], *by_term))
         held = vectors[order]
         parts = [held[i:i + block] for i in range(0, len(held), block)]
         largest = np.array([p.max(axis=0) for p in parts], np.float32).reshape(len(parts), -1)
