@@ -147,7 +147,7 @@ ORACLES: dict[str, str] = {
         c_name as ticker, 0 as flag, 'bars-long-term?ticker=' || c_name
           || '&type=stock&resolution=D&from=946684800&to=978307200' as path from customer""",
     "requests_of_session": """select c_name as ticker, 'intraday/' || c_name
-        || '/his/paging?page=0&size=1000000'
+        || '/his/paging?page=0&size=100000'
         || case when isodow(max(o_orderdate)) > 5 then '&headIndex=-1' else '' end as path
         from orders join customer on o_custkey = c_custkey group by c_name""",
     "json_object": f"""select event_id, {_K} as k, cast(null as varchar) as absent from events""",
@@ -259,3 +259,35 @@ ORACLES |= {
         counts=[*_company_counts("few"), *_statement_counts("few_statement"),
                 *_rating_counts("few"), *_bar_counts("few_derived", "few_derived")]),
 }
+
+_NULL_MONTH = """(partition by ticker, kept order by sec range between 2629800 preceding
+    and current row)"""
+_NULL_ROWS = "select ticker, time_stamp, volume, close, sec, day(time_stamp) <> 1 as kept from timed"
+
+ORACLES |= {
+    "append_null_keys_twice": _bars("""select ticker,
+        count(*) filter (day(time_stamp) % 7 <> 0) as bars,
+        count(*) filter (day(time_stamp) % 7 = 0) as aside from bars group by 1
+        having bars > 0 and aside > 0"""),
+    "statements_with_failed_bodies": _all(STATEMENT_ROWS, counts=_statement_counts("statement")),
+    "companies_with_failed_bodies": "\nunion all ".join(_company_counts("customer")),
+    "rejects_of_load": """select dataset, upper(c_name) as ticker, 'unreadable body' as reason,
+        '<html>502</html>' as content from customer, (select unnest(%r) as dataset)
+        where c_name like '%%7'""" % (["listing_companies", *RATINGS],),
+    "shared_keys_all_bodies": """select case when l_linenumber > 1 then l_returnflag end as flag,
+        cast(l_orderkey as varchar) as order_key,
+        case when l_linenumber > 2 then cast(trunc(l_quantity) as bigint) end as quantity,
+        cast(null as integer) as status_code from lineitem""",
+    "trade_requests_paged": """select 'stock_intraday_transaction/' || c_name || '/0/page' || page
+          as request_key, c_name as ticker, 0 as flag,
+        'intraday/' || c_name || '/his/paging?page=' || page || '&size=100000' as path
+        from (select o_custkey, unnest(range(1, cast(ceil(count(*) / 2) as bigint))) as page
+              from orders group by 1) join customer on o_custkey = c_custkey""",
+    "rolling_null_seconds": _bars(f"""select kind, ticker, time_stamp,
+        cast(case when kept then sum(volume) over {_NULL_MONTH}
+             else sum(volume) over (partition by ticker, kept) end as bigint) as sum_volume,
+        case when kept then count(close) over {_NULL_MONTH}
+             else count(close) over (partition by ticker, kept) end as days
+        from ({_NULL_ROWS}), (select unnest(['sparse', 'dense', 'any']) as kind)""".replace(
+            "partition by ticker, kept", "partition by kind, ticker, kept")),
+}

@@ -13,7 +13,7 @@ from barloom.functions.naming import snake_map, to_camel, to_snake
 from barloom.functions.timefns import (
     clean_timestamp, day_bound, epoch_seconds, is_weekend, last_days, parse_timestamp,
     session_timestamp, year_quarter)
-from barloom.model import MASTER_LIST, RATINGS, TABLES
+from barloom.model import MASTER_LIST, RATINGS, STATEMENTS, TABLES
 from barloom.operators.conform import conform, flatten, pack, sample_keys, shared_columns
 from barloom.operators.ordering import lag_by_key, latest_per_key, ordered_id, ticker_sample
 from barloom.operators.payload import (
@@ -26,7 +26,7 @@ from barloom.plans import indicators as ind, loads
 from barloom.session import checkpoint, new_path
 from barloom.sources import store
 from barloom.sources.requests import (
-    bar_requests, fetch_recorded, request_grid, trade_requests)
+    bar_requests, fetch_recorded, page_requests, request_grid, trade_requests)
 
 AS_OF = date(2024, 2, 15)
 LAST_BAR = "2001-11-04"
@@ -583,3 +583,94 @@ def sample_run(spark, folder):
     loads.load_bars(db, loads.sample_inbox(inbox, brands))
     loads.load_indicators(spark, db, full=True)
     return _table_counts(spark, db, [n for n in TABLES if n != "stock_intraday_transaction"])
+
+
+# What goes wrong ----------------------------------------------------------------------------------
+
+def _failing(inbox: loads.Inbox, ending: str = "7") -> loads.Inbox:
+    """The same bodies, but an error page for the tickers with this ending."""
+    fails = F.col("ticker").endswith(ending)
+    return lambda name: inbox(name).withColumn(
+        "body", F.when(fails, "<html>502</html>").otherwise(F.col("body")))
+
+
+@query
+def append_null_keys_twice(spark, folder):
+    """Bars, some without a time, appended twice: what is stored, and what is kept aside."""
+    db, name = _new_db(spark), "stock_history"
+    bars = fx.bars(spark, folder).withColumn(
+        "time_stamp", F.when(F.dayofmonth("time_stamp") % 7 != 0, F.col("time_stamp")))
+    store.append_new(bars, db, name)
+    store.append_new(bars, db, name)
+    stored = store.read_table(spark, db, name).groupBy("ticker").agg(F.count("*").alias("bars"))
+    aside = store.rejects(spark, db).groupBy("ticker").agg(F.countDistinct("content").alias("aside"))
+    return stored.join(aside, "ticker")
+
+
+@query
+def statements_with_failed_bodies(spark, folder):
+    """A second load in which some bodies are error pages loses no stored row."""
+    db, inbox = _new_db(spark), _inbox(spark, folder)
+    loads.load_statements(db, inbox)
+    loads.load_statements(db, _failing(inbox))
+    return _table_counts(spark, db, STATEMENTS)
+
+
+@query
+def companies_with_failed_bodies(spark, folder):
+    db, inbox = _new_db(spark), _inbox(spark, folder)
+    loads.load_companies(spark, db, inbox)
+    loads.load_companies(spark, db, _failing(inbox))
+    return _table_counts(spark, db, ["listing_companies", "companies_info"])
+
+
+@query
+def rejects_of_load(spark, folder):
+    """The bodies kept aside by loads that ran twice."""
+    db, inbox = _new_db(spark), _failing(_inbox(spark, folder))
+    for _ in range(2):
+        loads.load_companies(spark, db, inbox)
+        loads.load_ratings(db, inbox, AS_OF)
+    return store.rejects(spark, db).select("dataset", "ticker", "reason", "content")
+
+
+@query
+def shared_keys_all_bodies(spark, folder):
+    """Keys that only some bodies, or only later elements of an array, have."""
+    rows = fx.table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("orderKey"), F.col("l_linestatus").alias("statusCode"),
+        F.when(F.col("l_linenumber") > 1, F.col("l_returnflag")).alias("flag"),
+        F.when(F.col("l_linenumber") > 2, F.col("l_quantity")).alias("quantity"), "l_linenumber")
+    one = F.to_json(F.struct("orderKey", "flag"))
+    many = F.concat(F.lit("["), F.to_json(F.struct("orderKey")), F.lit(","),
+                    F.to_json(F.struct("statusCode", "quantity")), F.lit("]"))
+    keys = sample_keys(rows.select(F.when(F.col("l_linenumber") < 3, one).otherwise(many).alias("body")))
+    return conform(to_snake(rows), shared_columns(keys, _LINE_TARGET))
+
+
+@query
+def trade_requests_paged(spark, folder):
+    """Requests for the pages after the first: a customer's orders, two to a page."""
+    orders = fx.table(spark, folder, "orders").groupBy("o_custkey").count()
+    names = fx.table(spark, folder, "customer").select(F.col("c_name").alias("ticker"), "c_custkey")
+    asked = request_grid(names, "stock_intraday_transaction")
+    bodies = names.join(orders, F.col("c_custkey") == F.col("o_custkey")).select(
+        F.concat_ws("/", F.lit("stock_intraday_transaction"), "ticker", F.lit("0")).alias("request_key"),
+        F.to_json(F.struct(F.lit(0).alias("page"), F.lit(2).alias("size"),
+                           F.col("count").alias("total"))).alias("body"))
+    return page_requests(asked, bodies)
+
+
+@query
+def rolling_null_seconds(spark, folder):
+    """Rows without a time, on either side of the density at which the computation changes."""
+    bars = _timed_bars(spark, folder).withColumn(
+        "sec", F.when(F.dayofmonth("time_stamp") != 1, F.col("sec")))
+    outputs = {"sum_volume": ("sum", "volume"), "days": ("count", "close")}
+    found = None
+    for kind, step in (("sparse", DAY_SECONDS), ("dense", 60), ("any", 0)):
+        one = rolling(bars, ["ticker"], "sec", outputs, step_seconds=step).select(
+            F.lit(kind).alias("kind"), "ticker", "time_stamp", "sum_volume", "days")
+        found = one if found is None else found.unionByName(one)
+    return found
+

@@ -172,7 +172,7 @@ def _endpoints() -> dict[str, Endpoint]:
                  "bars-long-term?ticker={ticker}&type=stock&resolution=D&from={start}&to={end}",
                  1, BAR_ROW),
         Endpoint("stock_intraday_transaction", "wrapped",
-                 "intraday/{ticker}/his/paging?page=0&size=1000000", 1, TRADE_ROW),
+                 "intraday/{ticker}/his/paging?page=0&size=100000", 1, TRADE_ROW),
     ]
     for name in STATEMENTS:
         found.append(Endpoint(name, "array", report % name.replace("_", ""), 2,
@@ -181,7 +181,7 @@ def _endpoints() -> dict[str, Endpoint]:
         kind = name.removesuffix("_rating").replace("_", "-") + "?fType=TICKER"
         if name == "industry_financial_health":
             kind = "financial-health?fType=INDUSTRY"
-        found.append(Endpoint(name, "object", rating % kind, 2,
+        found.append(Endpoint(name, "object", rating % kind, 1,
                               payload_schema(TABLES[name].schema)))
     return {e.dataset: e for e in found}
 

@@ -50,12 +50,15 @@ def shared_columns(names: Iterable[str], schema: T.StructType) -> T.StructType:
 
 
 def sample_keys(bodies: DataFrame, body: str = "body") -> list[str]:
-    """Keys of one payload: of the object, or of the first element of an array."""
-    sample = bodies.filter(F.col(body).isNotNull()).select(body).limit(1)
+    """The keys of all payloads: of objects, and of every element of arrays.
+
+    A distinct of names, combined map-side; only names reach the driver.
+    """
     text = F.trim(body)
-    first = F.when(text.startswith("["), F.get_json_object(text, "$[0]")).otherwise(text)
-    row = sample.select(F.json_object_keys(first).alias("keys")).head()
-    return list(row["keys"] or []) if row else []
+    elements = F.when(text.startswith("["), F.from_json(text, "array<string>")).otherwise(F.array(text))
+    keys = bodies.select(F.explode(elements).alias("e")).select(
+        F.explode(F.json_object_keys("e")).alias("key")).distinct()
+    return sorted(r["key"] for r in keys.collect())
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:

@@ -17,10 +17,17 @@ _WHOLE = (T.IntegerType, T.LongType)
 _READ_WHOLE = T.DecimalType(38, 6)
 
 
+def _read_as(kind: T.DataType) -> T.DataType:
+    """Doubles hold every 32-bit integer and are read faster than decimals."""
+    if isinstance(kind, T.IntegerType):
+        return T.DoubleType()
+    return _READ_WHOLE if isinstance(kind, T.LongType) else kind
+
+
 def _reading(schema: T.StructType) -> T.StructType:
     """The schema to parse by: integers are read as decimals, so that 12.0 survives."""
     return T.StructType([
-        T.StructField(f.name, _READ_WHOLE if isinstance(f.dataType, _WHOLE) else f.dataType)
+        T.StructField(f.name, _read_as(f.dataType))
         for f in schema
     ])
 

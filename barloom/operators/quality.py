@@ -21,6 +21,11 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(keys))
 
 
+def null_key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What :func:`drop_null_keys` leaves out."""
+    return df.filter(~_known(keys))
+
+
 def normalise_ticker(df: DataFrame, ticker: str = "ticker") -> DataFrame:
     return df.withColumn(ticker, F.upper(ticker))
 
@@ -68,8 +73,9 @@ def cascade_delete(child: DataFrame, removed: DataFrame, keys: Sequence[str]) ->
 
 def surviving_children(child: DataFrame, parents: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The child rows of the parents that are left, and those that refer to none."""
-    matched = child.filter(_known(keys)).join(parents.select(*keys), list(keys), "left_semi")
-    return matched.unionByName(child.filter(~_known(keys)))
+    left = parents.select(*keys).distinct().withColumn("_parent", F.lit(True))
+    return child.join(left, list(keys), "left").filter(
+        F.col("_parent") | ~_known(keys)).select(*child.columns)
 
 
 def only_new(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -107,18 +107,20 @@ def range_frame(df: DataFrame, by: Sequence[str], sec: str, span: int,
 def rolling(df: DataFrame, keys: Sequence[str], sec: str, outputs: dict[str, tuple[str, str]],
             span: int = MONTH_SECONDS, step_seconds: int = 0,
             part_seconds: int = PART_SECONDS) -> DataFrame:
-    """Framed ``sum`` / ``avg`` / ``count`` per key; ``sec`` must not be null.
+    """Framed ``sum`` / ``avg`` / ``count`` per key.
 
-    Rows of one second are peers and share their result. With ``step_seconds=0`` they are summed
+    Rows without a second are peers of each other and of no other row. Rows of one second are peers and share their result. With ``step_seconds=0`` they are summed
     per second (map-side) and the results joined back, which bounds a part by its seconds whatever
     the number of rows.
     """
     if is_sparse(span, step_seconds):
         return range_frame(df, keys, sec, span, outputs)
+    timeless = _timeless(df.filter(F.col(sec).isNull()), keys, outputs)
+    df = df.filter(F.col(sec).isNotNull())
     if step_seconds > 0:
         parts = spread(df, keys, sec, span, part_seconds)
         return (block_rolling(parts, [*keys, "_part"], sec, span, outputs)
-                .filter("_own").drop("_own", "_part"))
+                .filter("_own").drop("_own", "_part")).unionByName(timeless)
 
     columns = list(dict.fromkeys(c for _, c in outputs.values()))
     cells = df.groupBy(*keys, sec).agg(
@@ -138,7 +140,17 @@ def rolling(df: DataFrame, keys: Sequence[str], sec: str, outputs: dict[str, tup
         *(picks[kind](c).alias(name) for name, (kind, c) in outputs.items()),
     )
     match = [df[k].eqNullSafe(results[f"_k_{k}"]) for k in (*keys, sec)]
-    return df.join(results, match, "left").drop(*(f"_k_{k}" for k in (*keys, sec)))
+    framed_rows = df.join(results, match, "left").drop(*(f"_k_{k}" for k in (*keys, sec)))
+    return framed_rows.unionByName(timeless)
+
+
+def _timeless(df: DataFrame, keys: Sequence[str], outputs: dict[str, tuple[str, str]]) -> DataFrame:
+    """Rows without a second, each with the totals of those of its key."""
+    functions = {"sum": F.sum, "avg": F.avg, "count": F.count}
+    totals = df.groupBy(*(F.col(k).alias(f"_k_{k}") for k in keys)).agg(
+        *(functions[kind](column).alias(name) for name, (kind, column) in outputs.items()))
+    match = [df[k].eqNullSafe(totals[f"_k_{k}"]) for k in keys]
+    return df.join(totals, match).drop(*(f"_k_{k}" for k in keys))
 
 
 def rolling_ratio(df: DataFrame, keys: Sequence[str], sec: str, above: str, below: str,

@@ -22,7 +22,7 @@ from barloom.operators.payload import (
 from barloom.operators.quality import (
     drop_null_keys, normalise_ticker, one_per_ticker, only_new)
 from barloom.plans.indicators import indicators, latest_indicators
-from barloom.session import checkpoint
+from barloom.session import settle
 from barloom.sources import store
 
 Inbox = Callable[[str], DataFrame]  # dataset -> landed bodies
@@ -77,12 +77,29 @@ def split_companies(overview: DataFrame, listed: DataFrame) -> tuple[DataFrame,
     return only_new(listing, listed, ["ticker"]), info
 
 
+def readable(db: str, inbox: Inbox, name: str) -> tuple[DataFrame, DataFrame]:
+    """The bodies that a load can read, and the tickers of the others, which go to the rejects."""
+    kind = "array" if ENDPOINTS[name].kind == "array" else "object"
+    good, bad = quarantine(inbox(name), kind)
+    store.reject(bad.select(F.lit(name).alias("dataset"), F.upper("ticker").alias("ticker"),
+                            F.lit("unreadable body").alias("reason"),
+                            F.col("body").alias("content")), db, name)
+    return good, bad.select(F.upper("ticker").alias("ticker")).distinct()
+
+
+def with_stored(fresh: DataFrame, failed: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows to overwrite a table with: fresh ones, and the stored ones of tickers that failed."""
+    kept = stored.join(failed, "ticker", "left_semi")
+    return fresh.unionByName(only_new(kept, fresh, keys))
+
+
 def load_companies(spark: SparkSession, db: str, inbox: Inbox) -> None:
-    overview = drop_null_keys(companies(inbox("listing_companies")), ["ticker"])
-    listed = store.read_table(spark, db, "listing_companies")
-    new, info = split_companies(overview, listed)
-    store.write_both(overview, db, {"listing_companies": (new, "append"),
-                                    "companies_info": (info, "overwrite")})
+    good, failed = readable(db, inbox, "listing_companies")
+    overview = settle(drop_null_keys(companies(good), ["ticker"]), "overview")
+    new, info = split_companies(overview, store.read_table(spark, db, "listing_companies"))
+    store.append(new, db, "listing_companies")
+    stored = store.read_table(spark, db, "companies_info")
+    store.rewrite(with_stored(info, failed, stored, ["ticker"]), db, "companies_info")
 
 
 def unreadable(inbox: Inbox, datasets: list[str]) -> DataFrame:
@@ -103,21 +120,35 @@ def _side_by_side(load: Callable[[str], None], names: list[str]) -> None:
 
 
 def load_statements(db: str, inbox: Inbox) -> None:
-    _side_by_side(lambda n: store.overwrite(statements(inbox(n), n), db, n), STATEMENTS)
+    """Replace the statements; tickers with an unreadable body keep the rows they had."""
+    def load(name: str) -> None:
+        good, failed = readable(db, inbox, name)
+        fresh = settle(statements(good, name), name)
+        stored = store.read_table(fresh.sparkSession, db, name)
+        store.rewrite(with_stored(fresh, failed, stored, TABLES[name].key), db, name)
+
+    _side_by_side(load, STATEMENTS)
 
 
 def load_ratings(db: str, inbox: Inbox, as_of: date) -> None:
-    _side_by_side(lambda n: store.append_new(ratings(inbox(n), n, as_of), db, n), RATINGS)
+    def load(name: str) -> None:
+        good, _ = readable(db, inbox, name)
+        store.append_new(ratings(good, name, as_of), db, name)
+
+    _side_by_side(load, RATINGS)
 
 
 def load_bars(db: str, inbox: Inbox) -> None:
-    store.append_new(daily_bars(inbox("stock_history")), db, "stock_history")
+    good, _ = readable(db, inbox, "stock_history")
+    store.append_new(daily_bars(good), db, "stock_history")
 
 
 def load_trades(spark: SparkSession, db: str, inbox: Inbox, trading_date: date) -> None:
     """Add the trades that are not stored yet; equal trades of a session count as often as sent."""
     name = "stock_intraday_transaction"
-    sent = trades(inbox(name), trading_date)
+    good, _ = readable(db, inbox, name)
+    sent = store.reject_null_keys(settle(trades(good, trading_date), name), ["ticker", "time_stamp"],
+                                  db, name)
     stored = store.session_rows(spark, db, name, trading_date)
     fresh = sent.exceptAll(stored.select(*sent.columns))
     store.append(numbered_trades(fresh, store.next_id(spark, db)), db, name)
@@ -126,7 +157,7 @@ def load_trades(spark: SparkSession, db: str, inbox: Inbox, trading_date: date)
 def load_indicators(spark: SparkSession, db: str, full: bool) -> None:
     """All indicators in one pass, or those of the newest bars (one row per ticker, set aside)."""
     bars = store.read_table(spark, db, "stock_history")
-    derived = indicators(bars) if full else checkpoint(latest_indicators(bars))
+    derived = indicators(bars) if full else latest_indicators(bars)
     store.append_new(derived, db, "derived_stock_history", unique=True, near=not full)
 
 

@@ -24,6 +24,8 @@ Transport = Callable[[Iterator[str]], Iterator[str | None]]
 
 BODY_SCHEMA = "request_key string, ticker string, flag int, body string"
 SOURCE_NAME = "barloom_bodies"
+#: Characters of bodies after which a batch is handed on.
+BATCH_CHARS = 8 << 20
 
 
 def request_grid(tickers: DataFrame, dataset: str, start: Column | None = None,
@@ -58,6 +60,27 @@ def trade_requests(tickers: DataFrame, day: Column) -> DataFrame:
         "path", F.concat("path", last_session))
 
 
+def page_requests(requests: DataFrame, first_bodies: DataFrame) -> DataFrame:
+    """Requests for the pages after the first one, as many as the header of its body asks for.
+
+    ``total`` and ``size`` stand in each body; a body without them asks for no more.
+    """
+    total, size = (F.get_json_object("body", f"$.{c}").try_cast("bigint") for c in ("total", "size"))
+    pages = F.ceil(total / F.when(size > 0, size)).cast("int")
+    more = first_bodies.select("request_key", F.explode(F.when(
+        pages > 1, F.sequence(F.lit(1), pages - 1))).alias("page"))
+    return requests.join(more, "request_key").select(
+        F.concat_ws("/", "request_key", F.concat(F.lit("page"), "page")).alias("request_key"),
+        "ticker", "flag", F.replace("path", F.lit("page=0"), F.concat(F.lit("page="), F.col("page").cast(
+            "string"))).alias("path"))
+
+
+def fetch_pages(requests: DataFrame, transport: Transport) -> DataFrame:
+    """The bodies of all pages: the first ones say how many there are."""
+    first = fetch(requests, transport)
+    return first.unionByName(fetch(page_requests(requests, first), transport))
+
+
 def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
     if path.startswith("file:/") and not path.startswith("file://"):
         path = "file://" + path[len("file:"):]
@@ -123,10 +146,18 @@ class _BodyReader(DataSourceReader):
                 yield from batch.column(0).to_pylist()
 
         bodies = self.transport(paths())
-        for batch in requests.iter_batches(256, columns=["request_key", "ticker", "flag"]):
-            texts = pa.array([next(bodies) for _ in range(batch.num_rows)], pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, texts], names=["request_key", "ticker", "flag", "body"])
+        names = ["request_key", "ticker", "flag"]
+        for batch in requests.iter_batches(4096, columns=names):
+            start, texts, held = 0, [], 0
+            for row in range(batch.num_rows):
+                texts.append(next(bodies))
+                held += len(texts[-1] or "")
+                if held >= BATCH_CHARS or row == batch.num_rows - 1:
+                    # bodies are never split; a batch ends with the one that fills it
+                    yield pa.RecordBatch.from_arrays(
+                        [*batch.slice(start, row + 1 - start).columns, pa.array(texts, pa.string())],
+                        names=[*names, "body"])
+                    start, texts, held = row + 1, [], 0
 
 
 def body_source(transport: Transport) -> type[DataSource]:

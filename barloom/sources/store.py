@@ -14,10 +14,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from barloom.functions.timefns import last_days
 from barloom.model import TABLES, Table
 from barloom.operators.conform import conform
-from barloom.operators.quality import idempotent_rows, only_new
-from barloom.session import checkpoint
+from barloom.operators.quality import drop_null_keys, idempotent_rows, null_key_rows, only_new
+from barloom.session import settle
 
 HIDDEN_YEAR = "p_year"
+#: What no load could use, kept beside the tables: bodies that cannot be read, rows without a key.
+#: One table per dataset, as loads run side by side.
+REJECTS = "rejects_"
+REJECT_COLUMNS = ["dataset", "ticker", "reason", "content"]
 
 
 def _partition_column(table: Table) -> str | None:
@@ -104,7 +108,7 @@ def overwrite(df: DataFrame, db: str, name: str) -> None:
 
 def rewrite(df: DataFrame, db: str, name: str) -> None:
     """Replace a table by rows computed from itself, which are written aside first."""
-    overwrite(checkpoint(df), db, name)
+    overwrite(settle(df, name), db, name)
 
 
 def _near(stored: DataFrame, rows: DataFrame, table: Table) -> DataFrame:
@@ -119,16 +123,49 @@ def _near(stored: DataFrame, rows: DataFrame, table: Table) -> DataFrame:
     return stored.filter(F.col(_partition_column(table)).between(first, last))
 
 
+def reject(rows: DataFrame, db: str, name: str) -> None:
+    """Keep ``dataset, ticker, reason, content`` rows; what is kept already is not kept again."""
+    spark = rows.sparkSession
+    columns = ", ".join(f"{c} string" for c in REJECT_COLUMNS)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{REJECTS}{name} ({columns}) USING parquet")
+    known = spark.table(f"{db}.{REJECTS}{name}").select(*(F.col(c).alias(f"_{c}") for c in REJECT_COLUMNS))
+    match = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in REJECT_COLUMNS]
+    rows.select(*REJECT_COLUMNS).distinct().join(known, match, "left_anti").write.insertInto(
+        f"{db}.{REJECTS}{name}")
+
+
+def rejects(spark: SparkSession, db: str) -> DataFrame:
+    """What the loads of all datasets have kept aside."""
+    kept = spark.createDataFrame([], ", ".join(f"{c} string" for c in REJECT_COLUMNS))
+    for found in spark.catalog.listTables(db):
+        if found.name.startswith(REJECTS):
+            kept = kept.unionByName(spark.table(f"{db}.{found.name}"))
+    return kept
+
+
+def reject_null_keys(rows: DataFrame, keys: Iterable[str], db: str, name: str) -> DataFrame:
+    """The rows that have a whole key; the others go to the rejects. ``rows`` is read twice."""
+    bad = null_key_rows(rows, list(keys))
+    reject(bad.select(F.lit(name).alias("dataset"), F.col("ticker"), F.lit("null key").alias("reason"),
+                      F.to_json(F.struct(*bad.columns)).alias("content")), db, name)
+    return drop_null_keys(rows, list(keys))
+
+
 def append_new(df: DataFrame, db: str, name: str, unique: bool = False,
                near: bool = True) -> None:
     """Append the rows whose key is not stored; running it again adds nothing.
 
-    ``unique`` says that ``df`` has no two rows of one key, which saves looking for them. With
-    ``near`` the time range of ``df`` is looked up first, to leave other stored years unread; do so
-    if ``df`` is cheap to read and covers little of what is stored.
+    Rows without a whole key go to the rejects. ``unique`` says that ``df`` has no two rows of one
+    key, which saves looking for them. With ``near`` the rows are written aside once, their time
+    range is looked up there, and other stored years are left unread; without it, for rows that
+    cover most of what is stored, nothing is written aside and rows without a key are left out.
     """
     table = TABLES[name]
     rows = conform(df, table.schema)
+    if near:
+        rows = reject_null_keys(settle(rows, name), table.key, db, name)
+    else:
+        rows = drop_null_keys(rows, table.key)
     stored = df.sparkSession.table(f"{db}.{name}")
     if near:
         stored = _near(stored, rows, table)

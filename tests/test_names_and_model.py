@@ -49,5 +49,5 @@ def test_tables():
 def test_endpoints():
     assert set(ENDPOINTS) == set(TABLES) - {"companies_info", "derived_stock_history"}
     assert all(ENDPOINTS[n].kind == "array" and ENDPOINTS[n].flags == 2 for n in STATEMENTS)
-    assert all(ENDPOINTS[n].kind == "object" and ENDPOINTS[n].flags == 2 for n in RATINGS)
+    assert all(ENDPOINTS[n].kind == "object" and ENDPOINTS[n].flags == 1 for n in RATINGS)
     assert ENDPOINTS["industry_financial_health"].path.endswith("fType=INDUSTRY")
