@@ -95,17 +95,16 @@ def _body(dataset: str, ticker: Column, flag: Column | int, body: Column) -> lis
             ticker.alias("ticker"), flag.cast("int").alias("flag"), body.alias("body")]
 
 
-def _sample_columns(dataset: str) -> list[T.StructField]:
-    """The first and last three value columns of a table."""
-    values = [f for f in TABLES[dataset].schema if f.name not in ("ticker", "year", "quarter")
-              and not isinstance(f.dataType, T.StringType)]
-    return values if len(values) <= 6 else values[:3] + values[-3:]
+def value_columns(dataset: str) -> list[T.StructField]:
+    """The value columns of a table, all of which a body fills."""
+    return [f for f in TABLES[dataset].schema if f.name not in ("ticker", "year", "quarter")
+            and not isinstance(f.dataType, T.StringType)]
 
 
 def _values(dataset: str, whole: Column, amount: Column) -> list[Column]:
     """Payload fields: the whole number for integers, the amount plus its place for doubles."""
     return [(whole + i if isinstance(f.dataType, T.LongType) else amount + i)
-            .alias(service_name(f.name)) for i, f in enumerate(_sample_columns(dataset))]
+            .alias(service_name(f.name)) for i, f in enumerate(value_columns(dataset))]
 
 
 def statement_bodies(spark: SparkSession, folder: str, dataset: str) -> DataFrame:

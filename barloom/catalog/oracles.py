@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from barloom.catalog.fixtures import value_columns
 from barloom.catalog.oracle_views import BARS, INDICATORS, SECONDS, with_views
 from barloom.model import RATINGS, STATEMENTS, TABLES
 from pyspark.sql import types as T
@@ -167,11 +168,6 @@ ORACLES: dict[str, str] = {
     "json_quarantine": f"""select event_id,
         case when {_K} between 10 and 98 then 'good' else 'bad' end as state from events""",
     "master_tickers": "select distinct c_name as ticker from customer",
-    "statement_rows": with_views(STATEMENT_ROWS, query="""select ticker, year, quarter,
-        round(total, 2) as price_to_earning, round(total + 1, 2) as price_to_book,
-        round(total + 3, 2) as ebitda_on_stock_change,
-        round(total + 4, 2) as book_value_per_share_change, round(total + 5, 2) as credit_growth,
-        cast(null as double) as roe from statement"""),
     "rating_rows": """select upper(c_name) as ticker, 2024 as year, 1 as quarter,
         c_mktsegment as industry_en, round(c_acctbal, 8) as valuation,
         round(c_acctbal + 1, 8) as pe, round(c_acctbal + 2, 8) as pb,
@@ -291,3 +287,36 @@ ORACLES |= {
         from ({_NULL_ROWS}), (select unnest(['sparse', 'dense', 'any']) as kind)""".replace(
             "partition by ticker, kept", "partition by kind, ticker, kept")),
 }
+
+
+def _value_list(name: str, whole: str, amount: str, taken: tuple[str, ...] | None = None) -> str:
+    """The value columns of a table as the bodies fill them: each has its place added."""
+    listed = []
+    for i, f in enumerate(value_columns(name)):
+        if taken is None or f.name in taken:
+            value = f"cast({whole} + {i} as bigint)" if isinstance(f.dataType, T.LongType) else \
+                f"cast(round({amount} + {i}, 2) as double)"
+            listed.append(f"{value} as {f.name}")
+    return ", ".join(listed)
+
+
+_RATIOS = ("price_to_earning", "price_to_book", "ebitda_on_stock_change", "book_value_per_share_change",
+           "credit_growth", "roe")
+ORACLES |= {
+    "statement_rows": with_views(STATEMENT_ROWS, query="select ticker, year, quarter, " + _value_list(
+        "financial_ratio", "orders", "total", _RATIOS) + " from statement"),
+    "statements_end_to_end": with_views(STATEMENT_ROWS, query=f"""
+        select ticker, count(*) as rows, round(sum(free_cash_flow), 2) as free_cash_flow
+        from (select ticker, {_value_list("cash_flow", "orders", "total")} from statement)
+        where ticker not like '%7' group by 1
+        union all select upper(c_name), 0, null from customer
+        where c_name like '%7' or upper(c_name) not in (select ticker from statement)"""),
+}
+for _name in STATEMENTS:
+    ORACLES[f"table_{_name}"] = with_views(STATEMENT_ROWS, query=(
+        f"select ticker, year, quarter, {_value_list(_name, 'orders', 'total')} from statement"))
+for _name in RATINGS:
+    _texts = "c_mktsegment as industry_en, " if TABLES[_name].widths.get("industry_en") else ""
+    ORACLES[f"table_{_name}"] = (
+        f"select upper(c_name) as ticker, 2024 as year, 1 as quarter, {_texts}"
+        f"{_value_list(_name, 'c_custkey', 'c_acctbal')} from customer")

@@ -26,7 +26,8 @@ from barloom.plans import indicators as ind, loads
 from barloom.session import checkpoint, new_path
 from barloom.sources import store
 from barloom.sources.requests import (
-    bar_requests, fetch_recorded, page_requests, request_grid, trade_requests)
+    bar_requests, fetch, fetch_recorded, page_requests, recorded_requests, replay, request_grid,
+    trade_requests)
 
 AS_OF = date(2024, 2, 15)
 LAST_BAR = "2001-11-04"
@@ -399,6 +400,21 @@ def statement_rows(spark, folder):
                                "credit_growth", "roe"), 2)
 
 
+def _table_query(name: str) -> None:
+    """All columns of a statement or rating table, from its bodies."""
+    def rows(spark, folder):
+        bodies = fx.bodies(spark, folder, name)
+        made = loads.statements(bodies, name) if name in STATEMENTS else loads.ratings(bodies, name, AS_OF)
+        return rounded(made, 2)
+
+    rows.__name__ = f"table_{name}"
+    query(rows)
+
+
+for _name in (*STATEMENTS, *RATINGS):
+    _table_query(_name)
+
+
 @query
 def rating_rows(spark, folder):
     rows = loads.ratings(fx.rating_bodies(spark, folder, "valuation_rating"), "valuation_rating",
@@ -674,3 +690,21 @@ def rolling_null_seconds(spark, folder):
         found = one if found is None else found.unionByName(one)
     return found
 
+
+@query
+def statements_end_to_end(spark, folder):
+    """From the master list to a table: tickers, requests, recorded bodies (some are missing)."""
+    name, archive = "cash_flow", new_path(spark, "archive")
+    fx.bodies(spark, folder, name).filter(~F.col("ticker").endswith("7")).write.parquet(archive)
+    tickers = tickers_of_master_list(fx.master_list_bodies(spark, folder), MASTER_LIST)
+    wanted = request_grid(tickers, name).drop("path")
+    recorded = recorded_requests(spark, archive).select("request_key", "path")
+    found = wanted.join(recorded, "request_key", "left").withColumn("path", F.coalesce("path", F.lit("")))
+    landed = fetch(found, replay, order=("path",))
+    db = _new_db(spark)
+    good, failed = loads.readable(db, lambda _: landed, name)
+    store.overwrite(loads.statements(good, name), db, name)
+    loaded = store.read_table(spark, db, name).groupBy("ticker").agg(
+        F.count("*").alias("rows"), F.round(F.sum("free_cash_flow"), 2).alias("free_cash_flow"))
+    return loaded.unionByName(failed.select("ticker", F.lit(0).cast("bigint").alias("rows"),
+                                            F.lit(None).cast("double").alias("free_cash_flow")))

@@ -161,11 +161,17 @@ class Endpoint:
     schema: T.StructType
 
 
+MASTER = "master_list"  # not a table: the tickers that everything else is asked for by
+MASTER_LIST = T.StructType([T.StructField("items", T.ArrayType(
+    T.StructType([T.StructField("ticker", T.StringType())])))])
+
+
 def _endpoints() -> dict[str, Endpoint]:
-    """Paths are relative; the transport knows the host."""
+    """Paths are relative; the transport knows the host. The paths."""
     report = "finance/{ticker}/%s?yearly={flag}&isAll=True"
     rating = "rating/{ticker}/%s"
     found = [
+        Endpoint(MASTER, "object", "Master/GetListOrganization?language=vi", 1, MASTER_LIST),
         Endpoint("listing_companies", "object", "ticker/{ticker}/overview", 1,
                  payload_schema(OVERVIEW)),
         Endpoint("stock_history", "wrapped",
@@ -187,5 +193,3 @@ def _endpoints() -> dict[str, Endpoint]:
 
 
 ENDPOINTS = _endpoints()
-MASTER_LIST = T.StructType([T.StructField("items", T.ArrayType(
-    T.StructType([T.StructField("ticker", T.StringType())])))])

@@ -99,10 +99,16 @@ def read_files(paths: Iterator[str]) -> Iterator[str | None]:
 
 
 def replay(paths: Iterator[str]) -> Iterator[str | None]:
-    """Transport for recorded bodies: ``file.parquet#row``, one row group in memory at a time."""
+    """Transport for recorded bodies: ``file.parquet#row``, one row group in memory at a time.
+
+    An empty path, for what was not recorded, gives None.
+    """
     opened, group = None, None
     for path in paths:
         name, _, row = path.rpartition("#")
+        if not name:
+            yield None
+            continue
         if name != opened:
             system, inner = _filesystem(name)
             parquet = pq.ParquetFile(system.open_input_file(inner))
