@@ -320,3 +320,9 @@ for _name in RATINGS:
     ORACLES[f"table_{_name}"] = (
         f"select upper(c_name) as ticker, 2024 as year, 1 as quarter, {_texts}"
         f"{_value_list(_name, 'c_custkey', 'c_acctbal')} from customer")
+ORACLES |= {
+    "daily_refresh_after_gap": _indicators(_INDICATOR_ROWS),
+    "indicators_latest_stored": _indicators(_INDICATOR_ROWS + """
+        where time_stamp < timestamp '2001-01-01' or time_stamp = (
+          select max(time_stamp) from bars where bars.ticker = derived.ticker)"""),
+}

@@ -708,3 +708,26 @@ def statements_end_to_end(spark, folder):
         F.count("*").alias("rows"), F.round(F.sum("free_cash_flow"), 2).alias("free_cash_flow"))
     return loaded.unionByName(failed.select("ticker", F.lit(0).cast("bigint").alias("rows"),
                                             F.lit(None).cast("double").alias("free_cash_flow")))
+
+
+def _rows_of_refresh(spark, folder, first_year_left_out: str, catch_up: bool) -> DataFrame:
+    """Indicators of the early bars, then of what a refresh adds after the late ones came."""
+    db, name = _new_db(spark), "stock_history"
+    bars = fx.bars(spark, folder)
+    store.append_new(bars.filter(F.col("time_stamp") < first_year_left_out), db, name)
+    loads.load_indicators(spark, db, full=True)
+    store.append_new(bars.filter(F.col("time_stamp") >= first_year_left_out), db, name)
+    loads.load_indicators(spark, db, full=False, catch_up=catch_up)
+    return rounded(store.read_table(spark, db, "derived_stock_history"), 4, sma=8)
+
+
+@query
+def daily_refresh_after_gap(spark, folder):
+    """Bars of more than a year came since the last run: catching up derives all of them."""
+    return _rows_of_refresh(spark, folder, "2000-06-01", True)
+
+
+@query
+def indicators_latest_stored(spark, folder):
+    """Only the newest bar of each ticker is added; years that it does not need are not read."""
+    return _rows_of_refresh(spark, folder, "2001-01-01", False)

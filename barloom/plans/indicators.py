@@ -95,6 +95,20 @@ def indicators(bars: DataFrame, span: int = MONTH_SECONDS, divisor: float = 30,
     return _compute(bars, span, divisor, average, step_seconds, part_seconds).select(*OUTPUT)
 
 
+def look_back(bars: DataFrame, wanted: DataFrame, span: int = MONTH_SECONDS) -> DataFrame:
+    """``(ticker, first)`` to ``(ticker, first, reach)``: the second that a ticker's bars are needed from.
+
+    Indicators from second ``first`` on need two spans before it, rounded down to a whole span, and
+    the one bar before those for the previous price. Reads tickers and times only.
+    """
+    start = floor_to(F.col("first") - 2 * span, span)
+    timed = bars.select("ticker", epoch_seconds(F.col("time_stamp")).alias("sec"))
+    earlier = timed.join(wanted, "ticker").filter(F.col("sec") < start).groupBy("ticker").agg(
+        F.max("sec").alias("earlier"))
+    return wanted.join(earlier, "ticker", "left").select(
+        "ticker", "first", F.coalesce("earlier", start).alias("reach"))
+
+
 def recent_bars(bars: DataFrame, span: int = MONTH_SECONDS,
                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """The bars that the newest row of each ticker depends on.

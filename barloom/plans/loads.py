@@ -12,7 +12,8 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from barloom.functions.timefns import parse_timestamp, session_timestamp, year_quarter
+from barloom.functions.timefns import (
+    epoch_seconds, parse_timestamp, session_timestamp, year_quarter)
 from barloom.model import (
     BAR_ROW, ENDPOINTS, PAGE_HEADER, RATINGS, STATEMENTS, TABLES, TRADE_NAMES, TRADE_ROW)
 from barloom.operators.conform import conform
@@ -21,8 +22,8 @@ from barloom.operators.payload import (
     decode_array, decode_object, decode_wrapped, quarantine)
 from barloom.operators.quality import (
     drop_null_keys, normalise_ticker, one_per_ticker, only_new)
-from barloom.plans.indicators import indicators, latest_indicators
-from barloom.session import settle
+from barloom.plans.indicators import OUTPUT, indicators, look_back
+from barloom.session import broadcast_if_small, settle
 from barloom.sources import store
 
 Inbox = Callable[[str], DataFrame]  # dataset -> landed bodies
@@ -154,11 +155,32 @@ def load_trades(spark: SparkSession, db: str, inbox: Inbox, trading_date: date)
     store.append(numbered_trades(fresh, store.next_id(spark, db)), db, name)
 
 
-def load_indicators(spark: SparkSession, db: str, full: bool) -> None:
-    """All indicators in one pass, or those of the newest bars (one row per ticker, set aside)."""
+def load_indicators(spark: SparkSession, db: str, full: bool, catch_up: bool = False) -> None:
+    """All indicators in one pass, or those of the newest bars.
+
+    The newest bar of each ticker, or with ``catch_up`` every bar newer than the ticker's last
+    derived one, so that a missed run leaves no hole. Tickers without a newer bar are left out. Of the
+    others the earliest bar that any needs is looked up first, and stored years before it are not read.
+    """
+    name = "derived_stock_history"
     bars = store.read_table(spark, db, "stock_history")
-    derived = indicators(bars) if full else latest_indicators(bars)
-    store.append_new(derived, db, "derived_stock_history", unique=True, near=not full)
+    if full:
+        store.append_new(indicators(bars), db, name, unique=True, near=False)
+        return
+    sec = epoch_seconds(F.col("time_stamp"))
+    done = store.read_table(spark, db, name).groupBy("ticker").agg(F.max(sec).alias("done"))
+    newest = bars.groupBy("ticker").agg(F.max(sec).alias("newest"), F.min(sec).alias("oldest"))
+    behind = newest.join(done, "ticker", "left").filter(
+        F.col("done").isNull() | (F.col("newest") > F.col("done")))
+    first = F.coalesce(F.col("done") + 1, "oldest") if catch_up else F.col("newest")
+    reach = broadcast_if_small(look_back(bars, behind.select("ticker", first.alias("first"))))
+    lowest = reach.agg(F.timestamp_seconds(F.min("reach"))).head()[0]
+    if lowest is None:
+        return
+    needed = store.rows_since(spark, db, "stock_history", lowest).join(reach, "ticker").filter(
+        sec >= F.col("reach")).select(*bars.columns)
+    derived = indicators(needed).join(reach, "ticker").filter(sec >= F.col("first"))
+    store.append_new(derived.select(*OUTPUT), db, name, unique=True)
 
 
 def initial_load(spark: SparkSession, db: str, inbox: Inbox, as_of: date) -> None:
@@ -175,9 +197,10 @@ def quarterly_refresh(spark: SparkSession, db: str, inbox: Inbox, as_of: date) -
     load_ratings(db, inbox, as_of)
 
 
-def daily_refresh(spark: SparkSession, db: str, inbox: Inbox, trading_date: date) -> None:
+def daily_refresh(spark: SparkSession, db: str, inbox: Inbox, trading_date: date,
+                  catch_up: bool = False) -> None:
     load_bars(db, inbox)
-    load_indicators(spark, db, full=False)
+    load_indicators(spark, db, full=False, catch_up=catch_up)
     load_trades(spark, db, inbox, trading_date)
 
 

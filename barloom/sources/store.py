@@ -7,7 +7,7 @@ period tables by their own ``year``, so that refreshes read and write few files.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -74,6 +74,13 @@ def trailing_rows(spark: SparkSession, db: str, name: str, as_of: Column,
             .filter(last_days(F.col(table.year_of), as_of, days)).select(*table.columns))
 
 
+def rows_since(spark: SparkSession, db: str, name: str, first: datetime) -> DataFrame:
+    """The rows from a moment on; earlier years are not read."""
+    table = TABLES[name]
+    return spark.table(f"{db}.{name}").filter(
+        (F.col(HIDDEN_YEAR) >= first.year) & (F.col(table.year_of) >= F.lit(first))).select(*table.columns)
+
+
 def session_rows(spark: SparkSession, db: str, name: str, day: date) -> DataFrame:
     """The rows of one day; other years are not read."""
     table = TABLES[name]

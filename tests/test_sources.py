@@ -224,3 +224,38 @@ def test_daily_refresh_continues_the_indicators(spark, db):
     from barloom.plans.indicators import indicators
     again = indicators(store.read_table(spark, db, "stock_history"))
     assert conform(again, TABLES["derived_stock_history"].schema).exceptAll(derived).isEmpty()
+
+
+def test_batches_end_by_size_and_bodies_stay_whole(spark, monkeypatch, tmp_path):
+    from barloom.sources import requests as source
+
+    monkeypatch.setattr(source, "BATCH_CHARS", 10)
+    listed = str(tmp_path / "requests")
+    spark.createDataFrame([(f"k{i}", "t", 0, str(i)) for i in range(9)],
+                          "request_key string, ticker string, flag int, path string"
+                          ).coalesce(1).write.parquet(listed)
+    sizes = [25, 0, 3, 3, 3, 3, 40, 1, None]
+
+    def transport(paths):
+        for path in paths:
+            size = sizes[int(path)]
+            yield None if size is None else "x" * size
+
+    reader = source._BodyReader(listed, transport)
+    batches = [b for p in reader.partitions() for b in reader.read(p)]
+    assert [b.num_rows for b in batches] == [1, 5, 1, 2]
+    texts = [x for b in batches for x in b.column("body").to_pylist()]
+    assert [None if x is None else len(x) for x in texts] == sizes
+    assert [x for b in batches for x in b.column("request_key").to_pylist()] == [f"k{i}" for i in range(9)]
+
+
+def test_rows_since_prune_years(spark):
+    from datetime import datetime
+
+    from barloom.catalog.queries import _new_db
+    from barloom.sources import store
+
+    db = _new_db(spark)
+    plan = store.rows_since(spark, db, "stock_history", datetime(2001, 5, 1))._jdf.queryExecution().toString()
+    partition_filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "p_year" in partition_filters and "2001" in partition_filters
