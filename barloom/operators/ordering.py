@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from barloom.session import checkpoint
+from barloom.session import settle
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
@@ -19,7 +19,7 @@ def _ranged(df: DataFrame, order: Sequence[str | Column], partitions: int | None
     """Range-partitioned and sorted rows with their place (`_range`, `_pos`).
 
     Ranges are cut on the whole order tuple, so a hot key is spread over many of them. The result
-    is checkpointed: a second evaluation would sample other range bounds.
+    is settled: a second evaluation would sample other range bounds.
     """
     columns = _columns(order)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -28,7 +28,7 @@ def _ranged(df: DataFrame, order: Sequence[str | Column], partitions: int | None
         .sortWithinPartitions(*columns)
         .withColumn("_place", F.monotonically_increasing_id())
     )
-    return checkpoint(placed).withColumns({
+    return settle(placed, "ranged").withColumns({
         "_range": F.shiftright("_place", _POSITION_BITS),
         "_pos": F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)),
     }).drop("_place")
@@ -64,6 +64,11 @@ def carried_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], step:
     last_rows = df.groupBy(*keys, "_last").agg(
         F.min("_first").alias("_first"), *(F.max_by(c, rank).alias(c) for c in values)
     )
+    return _handed_on(last_rows, keys, step)
+
+
+def _handed_on(last_rows: DataFrame, keys: Sequence[str], step: int) -> DataFrame:
+    """The last row of each part, for the parts of its successor that do not hold it already."""
     series = Window.partitionBy(*keys).orderBy("_last")
     return (
         last_rows.withColumns({
@@ -85,12 +90,14 @@ def lag_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns
 
     Works on ranges of (keys, order), so one key may hold any share of the rows.
     """
-    placed = _ranged(df, [*keys, *order], partitions).drop("_pos")
-    needed = list(dict.fromkeys([*order, *columns.values()]))
-    marks = placed.select(*keys, *needed, F.col("_range").alias("_first"),
-                          F.col("_range").alias("_last"))
-    rows = placed.withColumnRenamed("_range", "_part").withColumn("_own", F.lit(True))
-    extra = carried_rows(marks, keys, order, 1).withColumn("_own", F.lit(False))
+    placed = _ranged(df, [*keys, *order], partitions)
+    needed = list(dict.fromkeys([*keys, *order, *columns.values()]))
+    # a range is sorted, so its last row of a key is the one with the greatest position
+    ends = placed.groupBy(*keys, "_range").agg(F.max("_pos").alias("_pos")).select("_range", "_pos")
+    last_rows = placed.select(*needed, "_range", "_pos").join(ends, ["_range", "_pos"]).select(
+        *needed, F.col("_range").alias("_first"), F.col("_range").alias("_last"))
+    rows = placed.drop("_pos").withColumnRenamed("_range", "_part").withColumn("_own", F.lit(True))
+    extra = _handed_on(last_rows, keys, 1).withColumn("_own", F.lit(False))
     series = Window.partitionBy(*keys, "_part").orderBy(*order)
     return (
         rows.unionByName(extra, allowMissingColumns=True)
