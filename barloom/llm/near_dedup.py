@@ -36,7 +36,7 @@ ROWS = 5
 #: differs in a tenth of its bits; this many standard deviations more are still verified.
 DEVIATIONS = 5.0
 #: Turns in which the texts of a bucket are tested against one of them, before those left are paired.
-ROUNDS_OF_STARS = 6
+ROUNDS_OF_STARS = 2
 #: Texts of a bucket that are paired by a join; those of a larger one are compared block by block.
 CROWD = 32
 BLOCK_SHINGLES = 1 << 17
@@ -266,8 +266,6 @@ def _classes(numbered: DataFrame, docs: DataFrame, width: int, threshold: float,
         found = _verified(_stars(undecided, turn, threshold, slots), sketches, docs, width, threshold)
         links = found.select("a", "b") if links is None else links.union(found.select("a", "b"))
         crowded = undecided.drop("component")     # what is decided stays so
-        if found.isEmpty():
-            break
     placed = crowded.join(components(links).withColumnRenamed("node", "text"), "text", "left").withColumn(
         "component", F.coalesce("component", "text"))
     undecided = settle(_undecided(placed), "undecided")
