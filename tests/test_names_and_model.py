@@ -1,7 +1,7 @@
 import pytest
 
 from barloom.functions.naming import camel_map, snake_map, snake_name, to_camel, to_snake
-from barloom.model import CHILDREN, ENDPOINTS, RATINGS, STATEMENTS, TABLES, service_name
+from barloom.model import CHILDREN, ENDPOINTS, MASTER, RATINGS, STATEMENTS, TABLES, service_name
 
 VECTORS = {
     "avgROE": "avg_ro_e", "last5yearsEBITDAGrowth": "last5years_eb_it_da_growth",
@@ -47,7 +47,7 @@ def test_tables():
 
 
 def test_endpoints():
-    assert set(ENDPOINTS) == set(TABLES) - {"companies_info", "derived_stock_history"}
+    assert set(ENDPOINTS) == set(TABLES) - {"companies_info", "derived_stock_history"} | {MASTER}
     assert all(ENDPOINTS[n].kind == "array" and ENDPOINTS[n].flags == 2 for n in STATEMENTS)
     assert all(ENDPOINTS[n].kind == "object" and ENDPOINTS[n].flags == 1 for n in RATINGS)
     assert ENDPOINTS["industry_financial_health"].path.endswith("fType=INDUSTRY")
