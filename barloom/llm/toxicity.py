@@ -14,7 +14,6 @@ itself) are compared with their labels, and a rising step function turns votes i
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
