@@ -10,8 +10,9 @@ Rows with the same weighted shingles are one *text*. Texts that share a band are
 pair is linked if its exact probability Jaccard or its plain Jaccard is at least the threshold.
 Buckets are not expanded into pairs: in each of some turns, texts are tested against one text of their
 bucket, which joins large groups. Within a class nothing is left to decide. Texts of small buckets
-that are in two classes are paired if enough bits of their slots are equal. Those of large buckets are
-compared exactly inside tasks, two blocks of bounded size at a time, which give out links only. Shingles are not stored: those of candidates are made again from their texts.
+that are in two classes are paired if enough bits of their slots are equal. Those of each large bucket are
+compared exactly inside tasks, two blocks of bounded size at a time, which give out links only. Shingles
+are not stored: those of candidates are made again from their texts.
 """
 
 from __future__ import annotations
@@ -39,7 +40,12 @@ DEVIATIONS = 5.0
 ROUNDS_OF_STARS = 2
 #: Texts of a bucket that are paired by a join; those of a larger one are compared block by block.
 CROWD = 32
+#: What a block of a larger bucket holds on average: so many shingles, and so many texts.
 BLOCK_SHINGLES = 1 << 17
+BLOCK_TEXTS = 2000
+#: Texts of the left block and shingles that one step of products takes.
+TILE_TEXTS = 512
+TILE_SHINGLES = 1024
 _LOW48 = np.uint64((1 << 48) - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -270,8 +276,9 @@ def _classes(numbered: DataFrame, docs: DataFrame, width: int, threshold: float,
         "component", F.coalesce("component", "text"))
     undecided = settle(_undecided(placed), "undecided")
     more = _verified(_pairs(undecided, threshold, slots), sketches, docs, width, threshold)
-    held = _made_again(_crowds(undecided).select("text").distinct(), sketches, docs, width)
-    most = _block_links(_crowds(undecided), held, threshold)
+    crowds = settle(_crowds(undecided), "crowded_buckets")
+    held = _made_again(crowds.select("text").distinct(), sketches, docs, width)
+    most = _block_links(crowds, held, threshold)
     classes = components(links.union(more.select("a", "b")).union(most))
     return rows.join(classes.withColumnRenamed("node", "text"), "text", "left").select(
         "row", F.coalesce("component", "text").alias("class"))
@@ -321,32 +328,49 @@ def _pairs(undecided: DataFrame, threshold: float, slots: int) -> DataFrame:
 
 
 def _crowds(undecided: DataFrame) -> DataFrame:
-    """``(text, component, crowd)``: texts of larger buckets; buckets that share texts are one crowd."""
+    """``(crowd, text, component)``: the texts of each larger bucket. Buckets of the same texts, told by two
+    64-bit sums, are one crowd; others are not joined, whatever texts they share."""
     many = undecided.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min("text").alias("b")).where(F.col("n") > CROWD)
-    members = undecided.join(many.select("bucket", "b"), "bucket").select("text", "component", "b")
-    crowds = components(members.select(F.col("text").alias("a"), "b"))
-    return members.select("text", "component").distinct().join(
-        crowds.select(F.col("node").alias("text"), F.col("component").alias("crowd")), "text")
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("text")).alias("one"),
+        F.bit_xor(F.xxhash64("text", F.lit(1))).alias("two")).where(F.col("n") > CROWD)
+    crowds = many.groupBy("n", "one", "two").agg(F.min("bucket").alias("bucket")).select("bucket")
+    return undecided.join(crowds, "bucket").select(F.col("bucket").alias("crowd"), "text", "component")
+
+
+def _dealt(crowds: DataFrame, held: DataFrame) -> DataFrame:
+    """``(crowd, i, j, own, text, component)``: each text of a crowd in its block ``own``, once for each pair
+    of blocks ``i <= j`` that has it. Blocks are bounded by shingles and by texts."""
+    lengths = held.select("text", (F.octet_length("shingles") / 6).alias("size"))
+    rows = settle(crowds.join(lengths, "text"), "crowds")
+    sizes = rows.groupBy("crowd").agg(F.greatest(
+        F.ceil(F.sum("size") / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS)).alias("blocks"))
+    dealt = rows.join(sizes, "crowd").withColumn("own", F.pmod(F.xxhash64("text"), F.col("blocks")))
+    return dealt.select(
+        "crowd", "own", "text", "component",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")).select(
+        "crowd", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
+        "text", "component")
 
 
 def _block_links(crowds: DataFrame, held: DataFrame, threshold: float) -> DataFrame:
     """Links ``(a, b)`` between texts of two components of a crowd.
 
-    A crowd is dealt into blocks of about ``BLOCK_SHINGLES`` shingles. Each task takes two blocks, counts
-    what their texts share by products of 0-1 matrices, and gives out links only, never pairs.
+    Each task takes two blocks, counts what their texts share by products of 0-1 matrices, and gives out
+    links only, never pairs.
     """
-    rows = settle(crowds.join(held, "text").withColumn("size", F.octet_length("shingles") / 6), "crowds")
-    sizes = rows.groupBy("crowd").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).alias("blocks"))
-    dealt = rows.join(sizes, "crowd").withColumn("own", F.pmod(F.xxhash64("text"), F.col("blocks")))
-    spread = dealt.select(
-        "crowd", "own", "text", "component", "shingles", "times",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")).select(
-        "crowd", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
-        "text", "component", "shingles", "times")
+    spread = _dealt(crowds, held).join(held, "text")
     return settle(spread.groupBy("crowd", "i", "j").applyInPandas(
         lambda key, texts: _links_of_blocks(texts, int(key[1]), int(key[2]), threshold),
-        "a long, b long"), "block_links")
+        "a long, b long").distinct(), "block_links")
+
+
+def _dense(row: np.ndarray, column: np.ndarray, share: np.ndarray, rows: int) -> np.ndarray:
+    """Two matrices of ``rows`` texts: which shingles they have, and with what share of their weight."""
+    made = np.zeros((2, rows, TILE_SHINGLES), np.float32)
+    own = row >= 0
+    made[0, row[own], column[own]] = 1
+    made[1, row[own], column[own]] = share[own]
+    return made
 
 
 def _links_of_blocks(texts: pd.DataFrame, i: int, j: int, threshold: float) -> pd.DataFrame:
@@ -362,28 +386,38 @@ def _links_of_blocks(texts: pd.DataFrame, i: int, j: int, threshold: float) -> p
     twice = np.bincount(column)[column] > 1         # what one text alone has is shared with none
     owner, share = owner[twice], share[twice]
     column = np.cumsum(np.concatenate([[0], np.diff(column[twice]) > 0])) if twice.any() else column[:0]
-    both = np.zeros((len(left), len(right)), np.float32)
-    mass_left, mass_right = both.copy(), both.copy()
-    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
-        a, b = np.searchsorted(column, (start, start + 4096))
-        ones, masses = np.zeros((2, len(sets), 4096), np.float32)
-        ones[owner[a:b], column[a:b] - start] = 1
-        masses[owner[a:b], column[a:b] - start] = share[a:b]
-        both += ones[left] @ ones[right].T
-        mass_left += masses[left] @ ones[right].T
-        mass_right += ones[left] @ masses[right].T
     component, text = texts["component"].to_numpy(), texts["text"].to_numpy()
-    jaccard = both / np.maximum(sizes[left][:, None] + sizes[right][None, :] - both, 1)
-    # the probability Jaccard is at most the share of either weight that lies in both
-    maybe = (np.minimum(mass_left, mass_right) >= threshold - 1e-4) & (jaccard < threshold)
     plain = np.array([not t for t in texts["times"]])
-    maybe &= ~(plain[left][:, None] & plain[right][None, :])
-    other = component[left][:, None] != component[right][None, :]
-    found = [(x, y) for x, y in np.argwhere((jaccard >= threshold - 1e-6) & other)]
-    found += [(x, y) for x, y in np.argwhere(maybe & other)
-              if similarities(*sets[left[x]], *sets[right[y]])[0] >= threshold]
-    a = np.array([text[left[x]] for x, _ in found], np.int64)
-    b = np.array([text[right[y]] for _, y in found], np.int64)
+    at_right = np.full(len(sets), -1)
+    at_right[right] = np.arange(len(right))
+    found = []
+    for top in range(0, len(left), TILE_TEXTS):
+        rows = left[top:top + TILE_TEXTS]
+        at_left = np.full(len(sets), -1)
+        at_left[rows] = np.arange(len(rows))
+        both = np.zeros((len(rows), len(right)), np.float32)
+        mass_left, mass_right = both.copy(), both.copy()
+        for start in range(0, int(column[-1]) + 1 if len(column) else 0, TILE_SHINGLES):
+            a, b = np.searchsorted(column, (start, start + TILE_SHINGLES))
+            of, at, part = owner[a:b], column[a:b] - start, share[a:b]
+            if not (at_left[of] >= 0).any():
+                continue
+            x, x_mass = _dense(at_left[of], at, part, len(rows))
+            y, y_mass = _dense(at_right[of], at, part, len(right))
+            both += x @ y.T
+            if not plain.all():
+                mass_left += x_mass @ y.T
+                mass_right += x @ y_mass.T
+        jaccard = both / np.maximum(sizes[rows][:, None] + sizes[right][None, :] - both, 1)
+        # the probability Jaccard is at most the share of either weight that lies in both
+        maybe = (np.minimum(mass_left, mass_right) >= threshold - 1e-4) & (jaccard < threshold)
+        maybe &= ~(plain[rows][:, None] & plain[right][None, :])
+        other = component[rows][:, None] != component[right][None, :]
+        found += [(rows[x], right[y]) for x, y in np.argwhere((jaccard >= threshold - 1e-6) & other)]
+        found += [(rows[x], right[y]) for x, y in np.argwhere(maybe & other)
+                  if similarities(*sets[rows[x]], *sets[right[y]])[0] >= threshold]
+    a = np.array([text[x] for x, _ in found], np.int64)
+    b = np.array([text[y] for _, y in found], np.int64)
     return pd.DataFrame({"a": a, "b": b})
 
 

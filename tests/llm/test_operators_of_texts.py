@@ -171,6 +171,40 @@ def test_blocks_give_the_links_of_all_pairs():
     assert found == wanted
 
 
+def test_larger_buckets_are_compared_one_by_one(spark):
+    n = near_dedup.CROWD + 8
+    members = [(1, k) for k in range(n)] + [(2, k) for k in range(n)] + [(3, n - 1 + k) for k in range(n)]
+    df = spark.createDataFrame([(*x, x[1]) for x in members], "bucket long, text long, component long")
+    found = near_dedup._crowds(df).groupBy("crowd").agg(F.collect_set("text").alias("texts")).collect()
+    assert {r["crowd"]: sorted(r["texts"]) for r in found} == {
+        1: list(range(n)), 3: list(range(n - 1, 2 * n - 1))}
+
+
+def test_blocks_of_short_texts_are_bounded(spark):
+    n = 3 * near_dedup.BLOCK_TEXTS
+    crowds = spark.range(n).select(F.lit(7).alias("crowd"), F.col("id").alias("text"), F.col("id").alias("component"))
+    held = crowds.select("text", F.lit(bytes(12)).alias("shingles"), F.lit(b"").alias("times"))
+    dealt = near_dedup._dealt(crowds, held)
+    most = dealt.groupBy("crowd", "i", "j").count().agg(F.max("count")).head()[0]
+    assert most <= 2.4 * near_dedup.BLOCK_TEXTS
+    met = dealt.groupBy("text").count().agg(F.min("count"), F.max("count"), F.count("text")).head()
+    assert tuple(met) == (3, 3, n)
+
+
+def test_a_pair_of_blocks_fits_a_task():
+    import pandas as pd
+    import tracemalloc
+
+    n = 2 * near_dedup.BLOCK_TEXTS
+    frame = pd.DataFrame({"own": [k % 2 for k in range(n)], "text": range(n), "component": range(n), "times": b"",
+                          "shingles": [near_dedup.pack48(np.array([1, 2 + k // 2], np.uint64)) for k in range(n)]})
+    tracemalloc.start()
+    found = near_dedup._links_of_blocks(frame, 0, 1, 0.8)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == n // 2 and most < 120e6
+
+
 def test_components(spark):
     rng = random.Random(5)
     links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(k, k + 1) for k in range(300, 340)]
