@@ -7,7 +7,9 @@ Jaccard similarity of their weighted shingles. A shingle is done as soon as its
 after the latest first arrival of its document, so few shingles need more than one.
 
 Rows with the same weighted shingles are one *text*. Texts that share a band are candidates, and a
-pair is linked if its exact probability Jaccard or its plain Jaccard is at least the threshold.
+pair is linked if its exact probability Jaccard or its plain Jaccard is at least the threshold. A text
+that repeats a shingle has a second signature, of weights 1, with bands and bits of its own: slots of two
+texts under weights 1 agree with their plain Jaccard. For all others the two signatures are the same.
 Buckets are not expanded into pairs: in each of some turns, texts are tested against one text of their
 bucket, which joins large groups. Within a class nothing is left to decide. Texts of small buckets
 that are in two classes are paired if enough bits of their slots are equal. Those of each large bucket are
@@ -46,6 +48,7 @@ BLOCK_TEXTS = 2000
 #: Texts of the left block and shingles that one step of products takes.
 TILE_TEXTS = 512
 TILE_SHINGLES = 1024
+BITS = ("bits_high", "bits_low", "plain_high", "plain_low")
 _LOW48 = np.uint64((1 << 48) - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -152,7 +155,7 @@ def similarities(a: np.ndarray, a_weight: np.ndarray, b: np.ndarray,
 
 
 SKETCH = T.StructType([T.StructField(c, T.LongType()) for c in (
-    "shingle_count", "key_high", "key_low", "bits_high", "bits_low")]
+    "shingle_count", "key_high", "key_low", "bits_high", "bits_low", "plain_high", "plain_low")]
     + [T.StructField("bands", T.ArrayType(T.LongType()))])
 SHINGLED = T.StructType([
     T.StructField("key_high", T.LongType()), T.StructField("key_low", T.LongType()),
@@ -170,27 +173,44 @@ def _keys(shingle: np.ndarray, times: np.ndarray, ends: np.ndarray) -> list[np.n
     return sums
 
 
+def _banded(signed: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    banded = np.zeros((len(signed), bands), np.uint64)
+    for k in range(rows):
+        banded = mixed_bits(banded * _ODD + signed[:, k::rows])
+    return mixed_bits(banded + np.arange(bands, dtype=np.uint64)[None, :])
+
+
+def _bits(signed: np.ndarray) -> list[np.ndarray]:
+    """One bit of each slot, in two numbers per text."""
+    bits = mixed_bits(signed) & np.uint64(1)
+    half = bits.shape[1] // 2
+    return [(part << np.arange(part.shape[1], dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
+            for part in (bits[:, :half], bits[:, half:])]
+
+
 def sketch(texts: pa.Array, width: int, bands: int, rows: int) -> list[pa.Array]:
-    """The columns of ``SKETCH`` for some texts; nulls and no bands where there is no shingle."""
+    """The columns of ``SKETCH`` for some texts; nulls and no bands where there is no shingle.
+
+    The plain bits are null, and bands are not doubled, where no shingle is repeated."""
     words = Words(texts)
     n = len(words.sizes)
     owner, shingle, times = shingles(words, width)
     signed = signatures(owner, shingle, weights_of(times), n, bands * rows)
     counts = np.bincount(owner, minlength=n)
     ends = np.concatenate([[0], np.cumsum(counts)])
-    banded = np.zeros((n, bands), np.uint64)
-    for k in range(rows):
-        banded = mixed_bits(banded * _ODD + signed[:, k::rows])
-    banded = mixed_bits(banded + np.arange(bands, dtype=np.uint64)[None, :])
-    bits = mixed_bits(signed) & np.uint64(1)
-    half = bits.shape[1] // 2
-    longs = [(part << np.arange(part.shape[1], dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
-             for part in (bits[:, :half], bits[:, half:])]
+    twice = np.bincount(owner[times > 1], minlength=n) > 0
+    again = twice[owner]
+    alike = signed.copy()
+    alike[twice] = signatures((np.cumsum(twice) - 1)[owner[again]], shingle[again], np.ones(again.sum()),
+                              int(twice.sum()), bands * rows)
     none = counts == 0
-    flat = pa.array(np.ascontiguousarray(banded[~none]).reshape(-1).view(np.int64))
-    offsets = np.concatenate([[0], np.cumsum(~none)]).astype(np.int32) * bands
+    banded, plain = _banded(signed, bands, rows), _banded(alike, bands, rows)
+    asked = np.concatenate([np.broadcast_to(~none[:, None], banded.shape), banded != plain], axis=1)
+    flat = pa.array(np.concatenate([banded, plain], axis=1)[asked].view(np.int64))
+    offsets = np.concatenate([[0], np.cumsum(asked.sum(axis=1))]).astype(np.int32)
     return [pa.array(counts, pa.int64()), *(pa.array(x, mask=none) for x in _keys(shingle, times, ends)),
-            *(pa.array(x) for x in longs), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)]
+            *(pa.array(x) for x in _bits(signed)), *(pa.array(x, mask=~twice) for x in _bits(alike)),
+            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)]
 
 
 def packed_shingles(texts: pa.Array, width: int) -> list[pa.Array]:
@@ -261,7 +281,7 @@ def _classes(numbered: DataFrame, docs: DataFrame, width: int, threshold: float,
     buckets = banded.groupBy("bucket").agg(F.min("text").alias("b"), F.max("text").alias("last"))
     shared = buckets.where("b <> last").select("bucket")
     crowded = settle(banded.join(shared, "bucket"), "crowded")
-    bits = sketches.select("text", "bits_high", "bits_low")
+    bits = sketches.select("text", *BITS)
     crowded = settle(crowded.join(bits, "text"), "crowded")
     links = found = None
     for turn in range(ROUNDS_OF_STARS):
@@ -291,23 +311,31 @@ def _undecided(placed: DataFrame) -> DataFrame:
     return placed.join(open_buckets.select("bucket"), "bucket")
 
 
-def _differing(threshold: float, slots: int) -> tuple[Column, int]:
-    """In how many bits ``(hx, lx)`` and ``(hy, ly)`` differ, and the most that may."""
+def _bits_named(suffix: str) -> list[Column]:
+    return [F.col(c).alias(c + suffix) for c in BITS]
+
+
+def _alike(threshold: float, slots: int) -> Column:
+    """Whether few enough bits of ``x`` and ``y`` differ, of either signature."""
     share = (1 - threshold) / 2
     most = math.ceil(slots * share + DEVIATIONS * math.sqrt(slots * share * (1 - share)))
-    return (F.bit_count(F.col("hx").bitwiseXOR(F.col("hy")))
-            + F.bit_count(F.col("lx").bitwiseXOR(F.col("ly")))), most
+
+    def of(side: str, half: str) -> Column:     # one that repeats nothing has one signature
+        return F.coalesce(f"plain_{half}_{side}", f"bits_{half}_{side}")
+
+    weighted = sum(F.bit_count(F.col(f"bits_{half}_x").bitwiseXOR(F.col(f"bits_{half}_y")))
+                   for half in ("high", "low"))
+    plain = sum(F.bit_count(of("x", half).bitwiseXOR(of("y", half))) for half in ("high", "low"))
+    return F.least(weighted, plain) <= most
 
 
 def _stars(undecided: DataFrame, turn: int, threshold: float, slots: int) -> DataFrame:
     """Each text with one text of its bucket, another one each turn, if they are not yet joined."""
     order = F.struct(F.xxhash64("text", F.lit(turn)).alias("order"), F.col("text").alias("y"),
-                     F.col("component").alias("cy"), F.col("bits_high").alias("hy"),
-                     F.col("bits_low").alias("ly"))
+                     F.col("component").alias("cy"), *_bits_named("_y"))
     centres = undecided.groupBy("bucket").agg(F.min(order).alias("c")).select("bucket", "c.*")
-    differ, most = _differing(threshold, slots)
-    return (undecided.withColumnsRenamed({"bits_high": "hx", "bits_low": "lx"}).join(centres, "bucket")
-            .where((F.col("component") != F.col("cy")) & (differ <= most))
+    return (undecided.select("bucket", "text", "component", *_bits_named("_x")).join(centres, "bucket")
+            .where((F.col("component") != F.col("cy")) & _alike(threshold, slots))
             .select(F.greatest("text", "y").alias("a"), F.least("text", "y").alias("b")).distinct())
 
 
@@ -316,13 +344,10 @@ def _pairs(undecided: DataFrame, threshold: float, slots: int) -> DataFrame:
     bounded number of partners per band. The join tests the bits itself."""
     few = undecided.groupBy("bucket").count().where(F.col("count") <= CROWD).select("bucket")
     held = settle(undecided.join(few, "bucket"), "few")
-    one = held.select("bucket", F.col("text").alias("x"), F.col("component").alias("cx"),
-                      F.col("bits_high").alias("hx"), F.col("bits_low").alias("lx"))
+    one = held.select("bucket", F.col("text").alias("x"), F.col("component").alias("cx"), *_bits_named("_x"))
     other = held.select(F.col("bucket").alias("same"), F.col("text").alias("y"),
-                        F.col("component").alias("cy"), F.col("bits_high").alias("hy"),
-                        F.col("bits_low").alias("ly"))
-    differ, most = _differing(threshold, slots)
-    alike = (F.col("bucket") == F.col("same")) & (F.col("cx") < F.col("cy")) & (differ <= most)
+                        F.col("component").alias("cy"), *_bits_named("_y"))
+    alike = (F.col("bucket") == F.col("same")) & (F.col("cx") < F.col("cy")) & _alike(threshold, slots)
     return one.join(other, alike).select(
         F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 

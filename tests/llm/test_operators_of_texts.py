@@ -171,6 +171,23 @@ def test_blocks_give_the_links_of_all_pairs():
     assert found == wanted
 
 
+def test_a_passage_repeated_on_one_side_hides_no_link(spark):
+    rows = []
+    for pair in range(4):       # plain Jaccard 0.81, probability Jaccard 0.42
+        shared = [f"s{pair}x{k}" for k in range(824)]
+        own = [f"o{pair}x{k}" for k in range(180)]
+        rows += [(2 * pair, " ".join(shared)), (2 * pair + 1, " ".join(shared + own * 200))]
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in found} == {k: k - k % 2 for k in range(8)}
+
+
+def test_texts_without_repeats_have_one_signature():
+    once, twice = " ".join(f"a{k}" for k in range(50)), " ".join(f"a{k % 40}" for k in range(90))
+    columns = near_dedup.sketch(pa.array([once, twice, ""]), 5, 24, 5)
+    assert columns[5].is_null().to_pylist() == [True, False, True]
+    assert len(columns[-1][0]) == 24 and 24 < len(columns[-1][1]) <= 48 and len(columns[-1][2]) == 0
+
+
 def test_larger_buckets_are_compared_one_by_one(spark):
     n = near_dedup.CROWD + 8
     members = [(1, k) for k in range(n)] + [(2, k) for k in range(n)] + [(3, n - 1 + k) for k in range(n)]
