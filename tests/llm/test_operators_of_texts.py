@@ -297,6 +297,19 @@ def test_guessed_values_need_a_place_and_a_price():
     assert [text[s:e] for s, _, e in spans] == ["x7$Kq2!vZp9w", "Tr0ub4dor&3xQz"]
 
 
+@pytest.mark.parametrize("text, value", [
+    ("pwd: kqzvxwjhptrmbnlcgdys", "kqzvxwjhptrmbnlcgdys"), ("the pwd is kqzvxwjhptrmbnlcgdys.", "kqzvxwjhptrmbnlcgdys"),
+    ("auth: 839205716483920571648392057164", "839205716483920571648392057164"),
+    ("pwd: \u044f\u0436\u0449\u0444\u044e", "\u044f\u0436\u0449\u0444\u044e"),
+    ("credentials_for_the_production_db = x7$Kq2!vZp9w", "x7$Kq2!vZp9w"),
+    ("pwd-is x7$Kq2!vZp9w", "x7$Kq2!vZp9w"), ("api key: x7$Kq2!vZp9w", "x7$Kq2!vZp9w"),
+    ("the secret is understatements.", None), ("pwd: password", None), ("auth: 12345678901234567890", None),
+    ("pass" * 20_000, None)])
+def test_price_alone_decides_on_values_in_their_place(text, value):
+    spans = secrets_scan.guessed_spans(text, secrets_scan.ranks_of([]), [])
+    assert [text[s:e] for s, _, e in spans] == ([value] if value else [])
+
+
 @pytest.mark.parametrize("url, host, path, rule, verdict", [
     ("http://WWW.Example.com/en/1?q", "www.example.com", "/en/1", "www.example.com/en/", "allow"),
     ("https://a.example.com/en/", "a.example.com", "/en/", "example.com/en/", "block"),
