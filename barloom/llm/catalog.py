@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.llm import (
-    exact_dedup, language_model, mixing, near_dedup, packing, quality_classifier, quality_rules, secrets_scan,
-    toxicity, url_filter)
+    exact_dedup, importance, language_model, mixing, near_dedup, packing, quality_classifier, quality_rules,
+    ranked_search, secrets_scan, toxicity, url_filter)
 from barloom.llm.common import id_and_text, is_held_out
 from barloom.llm.labelled import FOLDS
 from barloom.session import settle
@@ -157,3 +157,21 @@ def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
 def op4_language_model(spark: SparkSession, folder: str) -> DataFrame:
     """The probability of each document under the interpolated model."""
     return language_model.scored(table(spark, folder, "documents"))
+
+
+@query
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+ORACLES["op11_ranked_search"] = ranked_search.oracle()
+
+
+@query
+def op12_importance_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    """The weight, score and rank of each document in a draw towards the benchmark's words."""
+    return importance.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+ORACLES["op12_importance_sampling"] = importance.oracle()
