@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.llm import (
-    exact_dedup, importance, language_model, mixing, near_dedup, packing, quality_classifier, quality_rules,
-    ranked_search, secrets_scan, toxicity, url_filter)
+    exact_dedup, importance, language_model, mixing, near_dedup, packing, personal_data, quality_classifier,
+    quality_rules, ranked_search, secrets_scan, toxicity, url_filter)
 from barloom.llm.common import id_and_text, is_held_out
 from barloom.llm.labelled import FOLDS
 from barloom.session import settle
@@ -175,3 +175,9 @@ def op12_importance_sampling(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op12_importance_sampling"] = importance.oracle()
+
+
+@query
+def op13_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in each document by fixed patterns and by labelers that a classifier weighs."""
+    return personal_data.personal_data(id_and_text(table(spark, folder, "documents")), carried=["doc_id"])
