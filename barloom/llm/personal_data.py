@@ -36,7 +36,7 @@ SAMPLE_PER_KIND = 4096
 ACCEPTED = 0.5
 EM_STEPS = 60
 #: Weight of the assumed votes, as a share of all spans of a kind.
-ASSUMED = 0.02
+ASSUMED = 0.002
 #: Code points before and after a span that context labelers read.
 AROUND = 48
 
