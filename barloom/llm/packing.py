@@ -11,20 +11,20 @@ dealt anew for the next round, so that shards leave few gaps.
 from __future__ import annotations
 
 import base64
+import json
 import os
 import random
+import re
 import zlib
-from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from barloom.llm.arrow_text import slices, texts_of
+from barloom.llm.arrow_text import slices
 from barloom.session import settle, ship_package
 
 CAPACITY = 1024
@@ -37,80 +37,51 @@ POPULATION = 4
 GENERATIONS = 6
 #: A bin is well filled from this share of the capacity on.
 WELL_FILLED = 0.995
-#: Pieces whose ids a worker remembers before it starts anew.
-CACHED = 500_000
+#: The branch of the cutting pattern that looks ahead, where it matters, and runs that are too long for it.
+LOOK_AHEAD = r"|\s+(?!\S)"
+SPACES = re.compile(r"\s\s")
+LONGEST_SPACE = 10_000
+LONG_SPACE = re.compile(r"\s{%d}" % LONGEST_SPACE)
 
 
 class Encoder:
-    """Token ids of a public byte-level vocabulary; pieces between spaces are encoded once.
+    """Token ids of a public byte-level vocabulary.
 
-    ``path`` is the tokenizer's own file, ``ranks`` the same vocabulary for a faster library, which
-    gives the same ids. The tokenizer never joins what stands before a space to what follows, if it
-    is not white space itself. Texts in which a space follows white space, or that hold a special
-    token, are encoded whole from ``path``.
+    ``path`` is the tokenizer's own file, ``ranks`` the same vocabulary for a faster library, which gives the
+    same ids (a test compares them). ``pattern`` cuts a text before pairs are merged; the branch that looks ahead
+    only matters where white space follows white space, and without it texts are cut twice as fast. Texts that
+    hold a special token, or white space beyond ``LONGEST_SPACE``, are encoded from ``path``, which is
+    loaded when it is first needed.
     """
 
     def __init__(self, path: str, ranks: str, pattern: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         with open(ranks, "rb") as lines:
             vocabulary = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.pieces = tiktoken.Encoding(os.path.basename(ranks), pat_str=pattern,
-                                        mergeable_ranks=vocabulary, special_tokens={})
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-
-    def ids_of(self, strings: list[str]) -> list[bytes]:
-        """The ids of each string, four bytes each."""
-        if len(self.known) > CACHED:
-            self.known = {}
-        known, encode, found = self.known, self.pieces.encode_ordinary, []
-        for s in strings:
-            ids = known.get(s)
-            if ids is None:
-                ids = known[s] = array("I", encode(s)).tobytes()
-            found.append(ids)
-        return found
-
-    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        pieces = pc.split_pattern(texts, " ")
-        sizes = pc.list_value_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64)
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        coded = pieces.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        codes = 2 * coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
-        first = ends[:-1][sizes > 0]
-        codes[first] -= 1          # no space stands before a first piece
-        open_end = np.array([not s or s[-1].isspace() for s in names], bool)
-        special = np.array([any(t in s for t in self.special) for s in names], bool)
-        unsafe = open_end[codes >> 1]
-        unsafe[first] &= np.array([len(names[c >> 1]) > 0 for c in codes[first]], bool)
-        unsafe[ends[1:][sizes > 0] - 1] = False        # after a last piece nothing is cut
-        unsafe |= special[codes >> 1]
-        whole = np.zeros(len(sizes), bool)
-        whole[np.repeat(np.arange(len(sizes)), sizes)[unsafe]] = True
-        codes = codes[~np.repeat(whole, sizes)]
-        used = np.flatnonzero(np.bincount(codes, minlength=2 * len(names)))
-        encoded = self.ids_of([" " + names[c >> 1] if c & 1 else names[c >> 1] for c in used.tolist()])
-        lengths = np.zeros(2 * len(names), np.int64)
-        lengths[used] = [len(e) // 4 for e in encoded]
-        starts = np.zeros(2 * len(names), np.int64)
-        starts[used] = np.concatenate([[0], np.cumsum(lengths[used])])[:-1]
-        flat = np.frombuffer(b"".join(encoded), np.uint32)
-        many = lengths[codes]
-        until = np.concatenate([[0], np.cumsum(many)])
-        ids = flat[np.repeat(starts[codes] - until[:-1], many) + np.arange(until[-1])]
-        at = 0
-        for i, size in enumerate(sizes.tolist()):
-            if whole[i]:
-                text = texts[i].as_py()
-                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            else:
-                yield ids[until[at]:until[at + size]]
-                at += size
+        self.whole, self.plain = (
+            tiktoken.Encoding(f"{os.path.basename(ranks)} {cut}", pat_str=cut, mergeable_ranks=vocabulary,
+                              special_tokens={}).encode_ordinary
+            for cut in (pattern, pattern.replace(LOOK_AHEAD, "")))
+        with open(path, encoding="utf-8") as file:
+            self.special = [t["content"] for t in json.load(file)["added_tokens"]]
+
+    @cached_property
+    def tokenizer(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
+    def ids(self, text: str) -> list[int]:
+        if any(t in text for t in self.special):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        if not SPACES.search(text):
+            return self.plain(text)
+        if LONG_SPACE.search(text):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.whole(text)
 
 
 @lru_cache(maxsize=2)
@@ -136,13 +107,13 @@ def tokenized_pieces(docs: DataFrame, tokenizer: tuple[str, str, str], id_col: s
                        F.col(f"`{text_col}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(*tokenizer).encode
+        ids_of = encoder(*tokenizer).ids
         for batch in batches:
             for part in slices(batch, "text"):
                 made = []
-                keys = zip(part.column("row").to_pylist(), part.column("doc_id").to_pylist())
-                for (row, doc_id), ids in zip(keys, encode(texts_of(part, "text"))):
-                    ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
+                columns = (part.column(c).to_pylist() for c in ("row", "doc_id", "text"))
+                for row, doc_id, text in zip(*columns):
+                    ids = np.array(ids_of(text or "") + [END_ID], "<u4")
                     for k, (start, length) in enumerate(cut(len(ids), capacity)):
                         made.append((row, doc_id, k, start, length,
                                      zlib.crc32(ids[start:start + length].tobytes())))
