@@ -1,7 +1,8 @@
 """Best-fit packing of token sequences by a grouping genetic algorithm on islands.
 
 A solution is a set of bins. Crossover takes whole well-filled bins from one parent, removes their pieces from
-the other (whose bins that held one are opened), and puts what was displaced where it fits best.
+the other (whose bins that held one are opened), and puts what was displaced anew: where it fits best, or
+as fillings, new bins each of which is filled as exactly as up to three further pieces can.
 Pieces are dealt into shards of bounded size by a hash. Each shard is evolved by several islands at once, one
 Spark group each; between epochs every island hands its best solution to the next one of its shard.
 Bins that are not well filled at the end of a round are opened, and the pieces of all shards are
@@ -35,6 +36,11 @@ EPOCHS = 2
 ROUNDS = 3
 POPULATION = 4
 GENERATIONS = 6
+#: Chance that a well-filled bin is opened, and first sizes that are tried for a filling of three items.
+MUTATED = 0.1
+TRIES = 8
+#: What a filling leaves of a gap at most, before the largest item that fits is taken instead.
+SLACK = 24
 #: A bin is well filled from this share of the capacity on.
 WELL_FILLED = 0.995
 #: The branch of the cutting pattern that looks ahead, where it matters, and runs that are too long for it.
@@ -159,43 +165,135 @@ def fitness(bins: Bins, sizes: list[int], capacity: int = CAPACITY) -> tuple[int
     return -len(bins), sum((sum(sizes[i] for i in b) / capacity) ** 2 for b in bins)
 
 
+class Loose:
+    """Items that are in no bin, by size: which sizes there are is one number, a bit for each, so that a pair
+    of sizes with a given sum is found by one shift."""
+
+    def __init__(self, items: list[int], sizes: list[int], capacity: int = CAPACITY) -> None:
+        self.sizes, self.capacity = sizes, capacity
+        self.held: dict[int, list[int]] = {}
+        self.there = self.mirrored = 0           # bit s, and bit capacity - s: some item has size s
+        for i in items:
+            self.put(i)
+
+    def put(self, item: int) -> None:
+        size = self.sizes[item]
+        self.held.setdefault(size, []).append(item)
+        self.there |= 1 << size
+        self.mirrored |= 1 << (self.capacity - size)
+
+    def take(self, size: int) -> int:
+        own = self.held[size]
+        item = own.pop()
+        if not own:
+            del self.held[size]
+            self.there ^= 1 << size
+            self.mirrored ^= 1 << (self.capacity - size)
+        return item
+
+    def largest(self, most: int) -> int:
+        """The largest size up to ``most``, 0 if there is none."""
+        return max((self.there & ((1 << (most + 1)) - 1)).bit_length() - 1, 0) if most > 0 else 0
+
+    def pair(self, total: int) -> tuple[int, ...]:
+        """Two sizes that add up to ``total``, the larger one as large as can be."""
+        both = self.there & (self.mirrored >> (self.capacity - total))
+        while both:
+            one = both.bit_length() - 1
+            if 2 * one != total or len(self.held[one]) > 1:
+                return one, total - one
+            both ^= 1 << one
+        return ()
+
+    def filling(self, gap: int, tries: int) -> tuple[int, ...]:
+        """Sizes of up to three items that fill ``gap`` but for less than ``SLACK``, as well as can be and with few
+        large items; else the largest that fits."""
+        for total in range(gap, max(gap - SLACK, 0), -1):
+            if self.there >> total & 1:
+                return (total,)
+            if found := self.pair(total):
+                return found
+            first, left = self.largest(total - 2), tries
+            while first > 0 and left and 3 * first >= total:
+                item = self.take(first)
+                rest = self.pair(total - first)
+                self.put(item)
+                if rest:
+                    return first, *rest
+                first, left = self.largest(first - 1), left - 1
+        alone = self.largest(gap)
+        return (alone,) if alone else ()
+
+
+def refill(items: list[int], sizes: list[int], bins: Bins, capacity: int = CAPACITY,
+           tries: int = TRIES) -> Bins:
+    """``bins`` and new ones: each begins with the largest item that is left and is filled as well as
+    up to three others can. What fills no bin well is put where it fits best."""
+    loose = Loose(items, sizes, capacity)
+    poor: list[int] = []
+    while loose.there:
+        made = [loose.take(loose.largest(capacity))]
+        gap = capacity - sizes[made[0]]
+        while gap and (chosen := loose.filling(gap, tries)):
+            made += [loose.take(size) for size in chosen]
+            gap -= sum(chosen)
+        if gap <= (1 - WELL_FILLED) * capacity:
+            bins.append(made)
+        else:
+            poor += made
+    poor.sort(key=lambda i: (-sizes[i], i))
+    return best_fit(poor, sizes, bins, capacity)
+
+
 def crossover(giver: Bins, taker: Bins, sizes: list[int], rng: random.Random,
               capacity: int = CAPACITY) -> Bins:
-    """Whole well-filled bins of ``giver`` in ``taker``, and displaced items where they fit best."""
+    """Whole well-filled bins of ``giver`` in ``taker``; what was displaced is put anew, by best fit or by
+    fillings. Poor bins are opened, and a few others by chance, which is the mutation."""
     least = WELL_FILLED * capacity
     injected = [b for b in giver if rng.random() < 0.5 and sum(sizes[i] for i in b) >= least]
     inside = {i for b in injected for i in b}
     child, displaced = [list(b) for b in injected], []
     for b in taker:
         free = [i for i in b if i not in inside]
-        if len(free) == len(b) and (sum(sizes[i] for i in b) >= least or rng.random() < 0.7):
+        poor = sum(sizes[i] for i in b) < least
+        if len(free) == len(b) and rng.random() >= (0.8 if poor else MUTATED):
             child.append(list(b))
-        else:                  # opened: it held an injected item, or it is a poor bin by chance
+        else:
             displaced += free
     displaced.sort(key=lambda i: (-sizes[i], i))
-    return best_fit(displaced, sizes, child, capacity)
+    put = best_fit if rng.random() < 0.3 else refill
+    return put(displaced, sizes, child, capacity)
 
 
 def evolve(sizes: list[int], known: list[Bins], seed: int, generations: int = GENERATIONS,
            population: int = POPULATION, capacity: int = CAPACITY) -> Bins:
-    """The best solution after some generations, beginning with ``known`` ones and fresh ones."""
+    """The best solution after some generations, beginning with ``known`` ones and fresh ones: by best fit
+    from the largest item on, by fillings, and by best fit in a shaken order. Ends when nothing can be better."""
     rng = random.Random(seed)
-    people = list(known)
-    while len(people) < population:
-        noise = 0.0 if len(people) == 0 else 0.02 * capacity
-        order = sorted(range(len(sizes)), key=lambda i: (-sizes[i] + rng.random() * noise, i))
-        people.append(best_fit(order, sizes, [], capacity))
     least = -(-sum(sizes) // capacity)
-    people.sort(key=lambda b: fitness(b, sizes, capacity), reverse=True)
+    people: list[Bins] = []
+
+    def join(bins: Bins) -> bool:
+        people.append(bins)
+        people.sort(key=lambda b: fitness(b, sizes, capacity), reverse=True)
+        del people[population:]
+        return len(people[0]) <= least
+
+    falling = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
+    for bins in known:
+        if join(bins):
+            return people[0]
+    for fresh in range(population - len(known)):
+        if fresh > 1:
+            order = sorted(falling, key=lambda i: -sizes[i] + rng.random() * 0.1 * capacity)
+        if join(refill(falling, sizes, [], capacity) if fresh == 1 else
+                best_fit(falling if fresh == 0 else order, sizes, [], capacity)):
+            return people[0]
     for _ in range(generations):
-        if len(people[0]) <= least:
-            break
-        children = []
         for _ in range(population):
             giver, taker = rng.sample(people, 2) if len(people) > 1 else (people[0], people[0])
-            children.append(crossover(giver, taker, sizes, rng, capacity))
-        people = sorted(people + children, key=lambda b: fitness(b, sizes, capacity),
-                        reverse=True)[:population]
+            if join(crossover(giver, taker, sizes, rng, capacity)):
+                return people[0]
     return people[0]
 
 
