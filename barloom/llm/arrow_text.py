@@ -2,27 +2,63 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, types as T
 
-from barloom.session import ship_package
+from barloom.session import settle, ship_package
 
 #: Bytes of text that one step of work holds; a longer text is a slice of its own.
 SLICE_BYTES = 4 << 20
 SLICE_ROWS = 4096
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Rows reach Python a thousand at a time, where the session does not say otherwise: ten
-    thousand long texts, as by default, are more than a task's share of memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
-        spark.conf.set(key, "1000")
+#: Rows and bytes of a batch where an operator writes its result itself.
+BATCH_ROWS = 1000
+BATCH_BYTES = 16 << 20
+
+
+def settle_texts(df: DataFrame, name: str) -> DataFrame:
+    """``settle``, with batches to Python of ``BATCH_ROWS`` rows and ``BATCH_BYTES`` at most.
+
+    The session has its own settings again afterwards; a result that is returned unwritten goes by
+    those of whoever writes it (64 MB a batch by default).
+    """
+    conf, before = df.sparkSession.conf, {}
+    for key, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        before[key] = conf.get(key, None)
+        conf.set(key, value)
+    try:
+        return settle(df, name)
+    finally:
+        for key, value in before.items():
+            conf.unset(key) if value is None else conf.set(key, value)
+
+
+def give_back() -> None:
+    """Memory that a task has used, back to the system: its worker is kept for later tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):       # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def giving_back(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+                ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` on a task's batches, with memory given back when the task ends."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
 
 
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
@@ -91,7 +127,6 @@ def with_columns_in_arrow(df: DataFrame, text_col: str, added: T.StructType,
     An added column takes the place of a carried one of the same name.
     """
     ship_package(df.sparkSession)
-    small_batches(df.sparkSession)
     names = {f.name.lower() for f in added}
     carried = [c for c in carried if c.lower() not in names]
     fields = [df.schema[c] for c in carried]
@@ -104,4 +139,4 @@ def with_columns_in_arrow(df: DataFrame, text_col: str, added: T.StructType,
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in carried] + made, carried + [f.name for f in added])
 
-    return df.select(*(f"`{c}`" for c in asked)).mapInArrow(run, T.StructType(fields + added.fields))
+    return df.select(*(f"`{c}`" for c in asked)).mapInArrow(giving_back(run), T.StructType(fields + added.fields))

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from barloom.llm.arrow_text import Words, slices, texts_of, with_columns_in_arrow
+from barloom.llm.arrow_text import Words, giving_back, settle_texts, slices, texts_of, with_columns_in_arrow
 from barloom.llm.terms import terms_of
 from barloom.session import settle, ship_package
 
@@ -77,7 +77,7 @@ def bucket_counts(docs: DataFrame, text_col: str = "text", longest: int = LONGES
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["bucket", "n"])
 
-    rows = (docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(run, "bucket long, n long")
+    rows = (docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(giving_back(run), "bucket long, n long")
             .groupBy("bucket").agg(F.sum("n").alias("n")).collect())      # one row per bucket
     counts = np.zeros(buckets, np.int64)
     for row in rows:
@@ -191,7 +191,7 @@ def resampled(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_c
                          F.col(f"`{text_col}`").alias("text"))
     gain = gains(bucket_counts(source, "text", longest, buckets),
                  bucket_counts(target, target_text_col, longest, buckets))
-    scored = settle(with_weights(source, gain, "text", longest, ["row", "key"])
+    scored = settle_texts(with_weights(source, gain, "text", longest, ["row", "key"])
                     .withColumn("score", F.col("weight") + noise(F.col("key"), seed)), "scored")
     asked = scored.where(F.col("n_words") >= least_words)
     count = asked.count()

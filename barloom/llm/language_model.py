@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from barloom.llm.arrow_text import Words, mixed_bits, slices, small_batches, texts_of
+from barloom.llm.arrow_text import Words, giving_back, mixed_bits, settle_texts, slices, texts_of
 from barloom.llm.common import fold
 from barloom.session import settle, ship_package
 
@@ -74,7 +74,6 @@ def _keys_of(packed: bytes) -> np.ndarray:
 def packed_slices(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Tokens of some documents as numbers into the hashes ``names``; one end closes each."""
     ship_package(docs.sparkSession)
-    small_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        fold(F.col(f"`{id_col}`"), FOLDS).alias("fold"),
                        F.col(f"`{text_col}`").alias("text"))
@@ -103,7 +102,7 @@ def packed_slices(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     [pa.array([v], k) for v, k in zip(row, kinds)],
                     [f.split()[0] for f in PACKED.split(", ")])
 
-    return settle(rows.mapInArrow(run, PACKED), "slices")
+    return settle_texts(rows.mapInArrow(giving_back(run), PACKED), "slices")
 
 
 class Slice:

@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from barloom.llm.arrow_text import Words, mixed_bits, with_columns_in_arrow
+from barloom.llm.arrow_text import Words, give_back, giving_back, mixed_bits, settle_texts, with_columns_in_arrow
 from barloom.llm.components import components
 from barloom.session import broadcast_if_small, settle, ship_package
 
@@ -234,7 +234,7 @@ def _made_again(texts: DataFrame, sketches: DataFrame, docs: DataFrame, width: i
     again = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "body")
     shingled = with_columns_in_arrow(again, "body", SHINGLED,
                                      lambda texts: packed_shingles(texts, width), [])
-    return settle(shingled.join(wanted, ["key_high", "key_low"]).dropDuplicates(["text"])
+    return settle_texts(shingled.join(wanted, ["key_high", "key_low"]).dropDuplicates(["text"])
                   .select("text", "shingles", "times"), "held")
 
 
@@ -252,9 +252,11 @@ def _verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, width: int
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("sa", "ta", "sb", "tb")]
-            found = [similarities(*_weighted(sa, ta), *_weighted(sb, tb))
-                     for sa, ta, sb, tb in zip(*columns)]
+            columns = [batch.column(c) for c in ("sa", "ta", "sb", "tb")]
+            found = []
+            for row in range(batch.num_rows):
+                sa, ta, sb, tb = (c[row].as_py() for c in columns)
+                found.append(similarities(*_weighted(sa, ta), *_weighted(sb, tb)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"),
                  pa.array([x for x, _ in found], pa.float64()),
@@ -263,8 +265,8 @@ def _verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, width: int
 
     # so many rows to a batch that two texts of a million shingles each fit
     checked = pairs.join(right, "b").join(left, "a").mapInArrow(
-        verify, "a long, b long, probability_jaccard double, jaccard double")
-    return settle(checked.where(F.greatest("probability_jaccard", "jaccard") >= threshold), "links")
+        giving_back(verify), "a long, b long, probability_jaccard double, jaccard double")
+    return settle_texts(checked.where(F.greatest("probability_jaccard", "jaccard") >= threshold), "links")
 
 
 def _classes(numbered: DataFrame, docs: DataFrame, width: int, threshold: float, slots: int) -> DataFrame:
@@ -384,9 +386,14 @@ def _block_links(crowds: DataFrame, held: DataFrame, threshold: float) -> DataFr
     links only, never pairs.
     """
     spread = _dealt(crowds, held).join(held, "text")
-    return settle(spread.groupBy("crowd", "i", "j").applyInPandas(
-        lambda key, texts: _links_of_blocks(texts, int(key[1]), int(key[2]), threshold),
-        "a long, b long").distinct(), "block_links")
+    def of_blocks(key, texts):
+        try:
+            return _links_of_blocks(texts, int(key[1]), int(key[2]), threshold)
+        finally:
+            give_back()
+
+    return settle(spread.groupBy("crowd", "i", "j").applyInPandas(of_blocks, "a long, b long").distinct(),
+                  "block_links")
 
 
 def _dense(row: np.ndarray, column: np.ndarray, share: np.ndarray, rows: int) -> np.ndarray:
@@ -446,28 +453,27 @@ def _links_of_blocks(texts: pd.DataFrame, i: int, j: int, threshold: float) -> p
     return pd.DataFrame({"a": a, "b": b})
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str, carried: list[str], width: int,
-             threshold: float, bands: int, rows: int) -> DataFrame:
-    numbered = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-        F.struct(*(F.col(f"`{c}`") for c in carried)).alias("carried"),
-        F.col(f"`{text_col}`").alias("text"))
-    sketched = settle(with_columns_in_arrow(
-        numbered, "text", SKETCH, lambda texts: sketch(texts, width, bands, rows),
-        ["row", "doc_id", "carried"]), "sketched")
-    bodies = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-                         F.col(f"`{text_col}`").alias("body"))
-    classes = _classes(sketched.drop("carried"), bodies, width, threshold, bands * rows)
+def _grouped(numbered: DataFrame, width: int, threshold: float, bands: int, rows: int) -> DataFrame:
+    """The class of each of the ``numbered`` rows (``row, doc_id, text``). Their sketches are settled, so row
+    numbers stay as they are there."""
+    sketched = settle_texts(with_columns_in_arrow(
+        numbered, "text", SKETCH, lambda texts: sketch(texts, width, bands, rows), ["row", "doc_id"]), "sketched")
+    bodies = numbered.select("doc_id", F.col("text").alias("body"))
+    classes = _classes(sketched, bodies, width, threshold, bands * rows)
     ids = sketched.select("row", "doc_id", "shingle_count").join(classes, "row", "left").withColumn(
         "class", F.coalesce("class", "row"))
     ids = settle(ids, "classes")
     # the smallest id first (null ids last), of equal ids the first row
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
     groups = ids.groupBy("class").agg(first, F.count(F.lit(1)).alias("class_size"))
-    judged = ids.join(groups, "class").select(
+    return ids.join(groups, "class").select(
         "row", "doc_id", "shingle_count", F.col("first.doc_id").alias("class_id"), "class_size",
         (F.col("row") == F.col("first.row")).alias("kept"))
-    return judged, sketched
+
+
+def _numbered(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
+    return [F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+            F.col(f"`{text_col}`").alias("text")]
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -480,14 +486,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Texts without words, null ones too, have no shingles and are classes of their own. Other columns
     are not read. An empty table gives no rows.
     """
-    judged, _ = _grouped(docs, id_col, text_col, [id_col], width, threshold, bands, rows)
-    return judged.select("doc_id", "class_id", "class_size", "kept", "shingle_count")
+    numbered = docs.select(*_numbered(docs, id_col, text_col))
+    return _grouped(numbered, width, threshold, bands, rows).select(
+        "doc_id", "class_id", "class_size", "kept", "shingle_count")
 
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                             width: int = WIDTH, threshold: float = THRESHOLD, bands: int = BANDS,
                             rows: int = ROWS) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns."""
-    judged, sketched = _grouped(docs, id_col, text_col, docs.columns, width, threshold, bands, rows)
+    """The rows of ``docs`` that are kept, with all their columns. Only ids and texts go through Python."""
+    every = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("carried")
+    numbered = settle(docs.select(every, *_numbered(docs, id_col, text_col)), "numbered")
+    judged = _grouped(numbered.select("row", "doc_id", "text"), width, threshold, bands, rows)
     dropped = broadcast_if_small(judged.where("not kept").select("row"))
-    return sketched.select("row", "carried").join(dropped, "row", "left_anti").select("carried.*")
+    return numbered.select("row", "carried").join(dropped, "row", "left_anti").select("carried.*")

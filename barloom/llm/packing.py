@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from barloom.llm.arrow_text import slices
+from barloom.llm.arrow_text import give_back, giving_back, settle_texts, slices
 from barloom.session import settle, ship_package
 
 CAPACITY = 1024
@@ -128,7 +128,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: tuple[str, str, str], id_col: s
                     [pa.array(c, k) for c, k in zip(zip(*made), kinds)],
                     [f.split()[0] for f in PIECES.split(", ")])
 
-    return rows.mapInArrow(run, PIECES)
+    return rows.mapInArrow(giving_back(run), PIECES)
 
 
 Bins = list[list[int]]
@@ -379,7 +379,7 @@ def packed(docs: DataFrame, tokenizer: tuple[str, str, str], id_col: str = "doc_
     ``tokenizer`` names the files and the pattern that ``Encoder`` takes. Each row of ``docs`` is packed, also those that repeat an id. A null or empty text is its end
     token alone. Only documents longer than ``capacity`` are cut. An empty table gives no rows.
     """
-    pieces = settle(tokenized_pieces(docs, tokenizer, id_col, text_col, capacity), "pieces")
+    pieces = settle_texts(tokenized_pieces(docs, tokenizer, id_col, text_col, capacity), "pieces")
     full = pieces.where(F.col("length") == capacity).select(
         *pieces.columns, (-1 - F.monotonically_increasing_id()).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"))

@@ -26,8 +26,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from barloom.llm.arrow_text import with_columns_in_arrow
-from barloom.session import settle, ship_package
+from barloom.llm.arrow_text import settle_texts, with_columns_in_arrow
+from barloom.session import ship_package
 
 KINDS = ("email", "ip", "card", "phone", "account", "person")
 EMAIL, IP, CARD, PHONE, ACCOUNT, PERSON = range(len(KINDS))
@@ -424,5 +424,5 @@ def personal_data(docs: DataFrame, text_col: str = "text", carried: list[str] |
     """
     names = {f.name.lower() for f in SCANNED} | {"n_added", "spans"}
     held = [c for c in (docs.columns if carried is None else carried) if c.lower() not in names]
-    scanned = settle(with_columns_in_arrow(docs, text_col, SCANNED, scan, held), "scanned")
+    scanned = settle_texts(with_columns_in_arrow(docs, text_col, SCANNED, scan, held), "scanned")
     return with_spans(scanned, fit(scanned, per_kind), least)

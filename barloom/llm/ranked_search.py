@@ -23,9 +23,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from barloom.llm.arrow_text import slices, texts_of
+from barloom.llm.arrow_text import giving_back, settle_texts, slices, texts_of
 from barloom.llm.terms import terms_of
-from barloom.session import settle, ship_package
+from barloom.session import ship_package
 
 K = 10
 #: Bytes of item texts that are answered in one pass over the index.
@@ -108,7 +108,7 @@ def _indexed(docs: DataFrame, vocabulary: pa.Array, id_col: str, text_col: str)
                      pa.array([(keys & _DOCS).astype("<u2").tobytes()], pa.binary()),
                      pa.array([times.astype("<u4").tobytes()], pa.binary())], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(giving_back(run), schema)
 
 
 @dataclass
@@ -236,7 +236,7 @@ def _answers(index: DataFrame, asked: list[tuple[int, np.ndarray, np.ndarray]],
             yield pa.RecordBatch.from_arrays(
                 [pa.array(items, pa.int64()), pa.array(doc_ids, kind), pa.array(scores, pa.int64())], schema.names)
 
-    return index.mapInArrow(run, schema)
+    return index.mapInArrow(giving_back(run), schema)
 
 
 def _ranked(best: DataFrame, k: int) -> DataFrame:
@@ -261,7 +261,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, id_col: str = "doc_id"
     ``block_bytes`` bounds the item texts whose terms are sent to tasks at once (a longer text is a block of its
     own); documents are indexed anew for each block.
     """
-    counted = settle(counted_items(items, item_col, item_text_col), "items")
+    counted = settle_texts(counted_items(items, item_col, item_text_col), "items")
     size = counted.agg(F.sum(F.aggregate("terms", F.lit(0).cast("long"),
                                          lambda n, t: n + F.octet_length(t) + 8))).head()[0] or 0
     blocks = max(1, -(-size // block_bytes))
@@ -274,7 +274,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, id_col: str = "doc_id"
             continue
         names = sorted({t for r in rows for t in r["terms"]})
         vocabulary = pa.array(names, pa.large_string())
-        index = settle(_indexed(docs, vocabulary, id_col, text_col), "index")
+        index = settle_texts(_indexed(docs, vocabulary, id_col, text_col), "index")
         documents, total = index.select(
             F.size(F.filter("lengths", lambda n: n > 0)).alias("documents"),
             F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n).alias("total")).agg(

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from barloom.llm.arrow_text import Words, slices, texts_of, with_columns_in_arrow
+from barloom.llm.arrow_text import Words, giving_back, slices, texts_of, with_columns_in_arrow
 from barloom.llm.labelled import FOLDS, SAMPLE_PER_CLASS, labelled_sample
 from barloom.session import ship_package
 
@@ -238,7 +238,7 @@ def _document_frequencies(docs: DataFrame, vocabulary: Vocabulary, text_col: str
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)],
                                          ["term", "n"])
 
-    rows = (docs.select(f"`{text_col}`").mapInArrow(count, "term long, n long")
+    rows = (docs.select(f"`{text_col}`").mapInArrow(giving_back(count), "term long, n long")
             .groupBy("term").agg(F.sum("n").alias("n")).collect())
     found = np.zeros(len(vocabulary.terms) + 1, np.int64)
     for row in rows:
@@ -249,14 +249,14 @@ def _document_frequencies(docs: DataFrame, vocabulary: Vocabulary, text_col: str
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text_col: str = "text",
         per_class: int = SAMPLE_PER_CLASS, terms: int = TERMS, neighbours: int = NEIGHBOURS,
         folds: int = FOLDS) -> Model | float:
-    """The model, or only the share of toxic labels where one class is missing.
+    """The model; where one class is missing, only the label of the other, and 0 without any label.
 
     ``per_class`` bounds the labelled examples that are indexed; document frequencies are those
     of all documents.
     """
     sample, sizes = labelled_sample(docs, labels, label, per_class, folds)
     if not sizes.get(0) or not sizes.get(1):
-        return 0.5 if not sizes else float(1 in sizes)
+        return float(1 in sizes)
     vocabulary = Vocabulary(choose_terms(sample, terms))
     present, documents = _document_frequencies(docs, vocabulary, text_col)
     vocabulary.idf = np.concatenate([np.log((documents + 1) / (present + 1)) + 0.1, [OTHER_WORDS]])
@@ -299,14 +299,15 @@ SCORED = T.StructType([
         T.StructField("doc_id", T.LongType()), T.StructField("similarity", T.DoubleType())])))])
 
 
-def with_scores(docs: DataFrame, model: Model | float, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``toxic_score`` (0 to 1) and ``evidence``, the nearest examples.
+def with_scores(docs: DataFrame, model: Model | float, text_col: str = "text",
+                carried: list[str] | None = None) -> DataFrame:
+    """``carried`` columns (all, if not given) with ``toxic_score`` (0 to 1) and ``evidence``, the nearest examples.
 
-    All columns stay; one that is called like an added one is replaced. A null text is an empty one;
+    One that is called like an added one is replaced. A null text is an empty one;
     texts without words are compared by what they lack, so they get a score too.
     """
     if isinstance(model, float):
-        kept = [c for c in docs.columns if c.lower() not in ("toxic_score", "evidence")]
+        kept = [c for c in (docs.columns if carried is None else carried) if c.lower() not in ("toxic_score", "evidence")]
         return docs.select(*(f"`{c}`" for c in kept), F.lit(model).alias("toxic_score"),
                            F.array().cast(SCORED["evidence"].dataType).alias("evidence"))
     evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64())]))
@@ -319,4 +320,4 @@ def with_scores(docs: DataFrame, model: Model | float, text_col: str = "text") -
                  for x in zip(ids.tolist(), cosines[:, :EVIDENCE].tolist(), real.tolist())]
         return [pa.array(scores, pa.float64()), pa.array(shown, evidence)]
 
-    return with_columns_in_arrow(docs, text_col, SCORED, score, docs.columns)
+    return with_columns_in_arrow(docs, text_col, SCORED, score, docs.columns if carried is None else carried)
