@@ -13,16 +13,24 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.llm import exact_dedup, mixing, near_dedup, packing, toxicity
 from barloom.llm.catalog import byte_bpe, table
-from barloom.session import settle
+from barloom.session import broadcast_if_small, settle
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents whose score is below the threshold; labels of the held-out fold are not used."""
+    """The documents whose score is below the threshold; labels of the held-out fold are not used.
+
+    Where labels of one class are missing, nothing can be told apart and all documents stay. A score is that of a
+    text, so only texts go through Python: rows leave by the digest of theirs.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
-                       F.col("text").alias("text"))
-    scored = toxicity.with_scores(rows, model)
-    return scored.where(F.col("toxic_score") < toxicity.THRESHOLD).select("row.*")
+    if isinstance(model, float):
+        return docs
+    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+    scored = toxicity.with_scores(docs.select(digest.alias("digest"), F.coalesce("text", F.lit("")).alias("text")),
+                                  model, carried=["digest"])
+    toxic = scored.where(F.col("toxic_score") >= toxicity.THRESHOLD).select("digest").distinct()
+    digests = broadcast_if_small(toxic)
+    return docs.join(digests, digest == digests["digest"], "left_anti")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
