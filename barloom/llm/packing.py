@@ -36,6 +36,7 @@ EPOCHS = 2
 ROUNDS = 3
 POPULATION = 4
 GENERATIONS = 6
+PATIENCE = 2
 #: Chance that a well-filled bin is opened, and first sizes that are tried for a filling of three items.
 MUTATED = 0.1
 TRIES = 8
@@ -162,7 +163,8 @@ def best_fit(order: list[int], sizes: list[int], bins: Bins, capacity: int = CAP
 
 def fitness(bins: Bins, sizes: list[int], capacity: int = CAPACITY) -> tuple[int, float]:
     """Fewer bins are better; of as many, those that are full or empty rather than half full."""
-    return -len(bins), sum((sum(sizes[i] for i in b) / capacity) ** 2 for b in bins)
+    size_of = sizes.__getitem__
+    return -len(bins), sum((sum(map(size_of, b)) / capacity) ** 2 for b in bins)
 
 
 class Loose:
@@ -249,17 +251,16 @@ def crossover(giver: Bins, taker: Bins, sizes: list[int], rng: random.Random,
               capacity: int = CAPACITY) -> Bins:
     """Whole well-filled bins of ``giver`` in ``taker``; what was displaced is put anew, by best fit or by
     fillings. Poor bins are opened, and a few others by chance, which is the mutation."""
-    least = WELL_FILLED * capacity
-    injected = [b for b in giver if rng.random() < 0.5 and sum(sizes[i] for i in b) >= least]
+    least, size_of = WELL_FILLED * capacity, sizes.__getitem__
+    injected = [b for b in giver if rng.random() < 0.5 and sum(map(size_of, b)) >= least]
     inside = {i for b in injected for i in b}
     child, displaced = [list(b) for b in injected], []
     for b in taker:
-        free = [i for i in b if i not in inside]
-        poor = sum(sizes[i] for i in b) < least
-        if len(free) == len(b) and rng.random() >= (0.8 if poor else MUTATED):
+        poor = sum(map(size_of, b)) < least
+        if inside.isdisjoint(b) and rng.random() >= (0.8 if poor else MUTATED):
             child.append(list(b))
         else:
-            displaced += free
+            displaced += [i for i in b if i not in inside]
     displaced.sort(key=lambda i: (-sizes[i], i))
     put = best_fit if rng.random() < 0.3 else refill
     return put(displaced, sizes, child, capacity)
@@ -268,33 +269,39 @@ def crossover(giver: Bins, taker: Bins, sizes: list[int], rng: random.Random,
 def evolve(sizes: list[int], known: list[Bins], seed: int, generations: int = GENERATIONS,
            population: int = POPULATION, capacity: int = CAPACITY) -> Bins:
     """The best solution after some generations, beginning with ``known`` ones and fresh ones: by best fit
-    from the largest item on, by fillings, and by best fit in a shaken order. Ends when nothing can be better."""
+    from the largest item on, by fillings, and by best fit in a shaken order. Ends when nothing can be better, or
+    ``PATIENCE`` generations have brought no fewer bins."""
     rng = random.Random(seed)
     least = -(-sum(sizes) // capacity)
-    people: list[Bins] = []
+    people: list[tuple[tuple[int, float], Bins]] = []       # the fittest first
 
     def join(bins: Bins) -> bool:
-        people.append(bins)
-        people.sort(key=lambda b: fitness(b, sizes, capacity), reverse=True)
+        people.append((fitness(bins, sizes, capacity), bins))
+        people.sort(key=lambda p: p[0], reverse=True)
         del people[population:]
-        return len(people[0]) <= least
+        return len(people[0][1]) <= least
 
     falling = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
     for bins in known:
         if join(bins):
-            return people[0]
+            return people[0][1]
     for fresh in range(population - len(known)):
         if fresh > 1:
             order = sorted(falling, key=lambda i: -sizes[i] + rng.random() * 0.1 * capacity)
         if join(refill(falling, sizes, [], capacity) if fresh == 1 else
                 best_fit(falling if fresh == 0 else order, sizes, [], capacity)):
-            return people[0]
+            return people[0][1]
+    since = 0
     for _ in range(generations):
+        fewest = len(people[0][1])
         for _ in range(population):
             giver, taker = rng.sample(people, 2) if len(people) > 1 else (people[0], people[0])
-            if join(crossover(giver, taker, sizes, rng, capacity)):
-                return people[0]
-    return people[0]
+            if join(crossover(giver[1], taker[1], sizes, rng, capacity)):
+                return people[0][1]
+        since = since + 1 if len(people[0][1]) == fewest else 0
+        if since == PATIENCE:
+            break
+    return people[0][1]
 
 
 def _bins(solution: list[int]) -> Bins:
