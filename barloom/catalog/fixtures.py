@@ -179,6 +179,36 @@ def trade_bodies(spark: SparkSession, folder: str) -> DataFrame:
                                  whole))
 
 
+def whole_bar_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """One wrapped body per ticker with the bars of all years: at most one a day."""
+    stamp = F.date_format("time_stamp", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    element = F.struct("open", "high", "low", "close", "volume", stamp.alias("tradingDate"))
+    grouped = bars(spark, folder).groupBy("ticker").agg(F.collect_list(element).alias("data"))
+    whole = F.to_json(F.struct("ticker", "data"))
+    return grouped.select(*_body("stock_history", F.col("ticker"), 0, whole))
+
+
+def paged_trades(spark: SparkSession, folder: str) -> DataFrame:
+    """``(ticker, page, body)``: trades by pages. Clicks and errors say how many there are in all; the pages of
+    other tickers have no total, only a size that each fills."""
+    element = F.struct(
+        F.col("price").alias("p"), F.col("k").alias("v"), F.lit("BU").alias("a"), (F.col("k") > 50).alias("hl"),
+        F.date_format("ts", "HH:mm:ss").alias("t"))
+    page = F.floor(F.col("event_id") / PAGE_ROWS).cast("int").alias("page")
+    grouped = trades(spark, folder).groupBy("ticker", page).agg(F.collect_list(element).alias("data"))
+    last = grouped.groupBy("ticker").agg(F.max("page").alias("last"))
+    total = F.when(F.col("ticker").isin("click", "error"), (F.col("last") + 1) * PAGE_ROWS)
+    size = F.when(total.isNull(), F.size("data")).otherwise(F.lit(PAGE_ROWS))
+    body = F.to_json(F.struct("page", size.alias("size"), total.alias("total"), "ticker", "data"))
+    return grouped.join(F.broadcast(last), "ticker").select("ticker", "page", body.alias("body"))
+
+
+def archive(found: DataFrame, place: str) -> str:
+    """Write recorded ``path, body`` rows for the transport that looks them up."""
+    found.select("path", "body").repartitionByRange(16, "path").sortWithinPartitions("path").write.parquet(place)
+    return place
+
+
 def master_list_bodies(spark: SparkSession, folder: str) -> DataFrame:
     """Pages of the ticker master list, at most 500 items each."""
     page = F.floor(F.col("c_custkey") / PAGE_ROWS)

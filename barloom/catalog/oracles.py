@@ -235,7 +235,8 @@ _LATEST_VIEW = f"latest as (select * from derived{_LATEST})"
 _FEW = """few as (select * from customer order by c_name limit 3),
 few_statement as (select * from statement where ticker in (select upper(c_name) from few)),
 few_brands as (select distinct p_brand from part order by p_brand limit 3),
-few_derived as (select * from derived where ticker in (from few_brands))"""
+few_derived as (select * from derived where ticker in (from few_brands)),
+few_events as (select * from events where event_type in ('click', 'error'))"""
 
 ORACLES |= {
     "initial_load": _all(
@@ -253,7 +254,8 @@ ORACLES |= {
     "sample_run": _all(
         STATEMENT_ROWS, BARS, SECONDS, INDICATORS, _FEW,
         counts=[*_company_counts("few"), *_statement_counts("few_statement"),
-                *_rating_counts("few"), *_bar_counts("few_derived", "few_derived")]),
+                *_rating_counts("few"), *_bar_counts("few_derived", "few_derived"),
+                _counts("stock_intraday_transaction", "few_events", f"sum({_K})")]),
 }
 
 _NULL_MONTH = """(partition by ticker, kept order by sec range between 2629800 preceding
@@ -326,3 +328,48 @@ ORACLES |= {
         where time_stamp < timestamp '2001-01-01' or time_stamp = (
           select max(time_stamp) from bars where bars.ticker = derived.ticker)"""),
 }
+
+_MANY = "select '%s' as key, '%s' as sent, %s as declared, count(*) as \"values\" from lineitem%s"
+_EARLY = "day(time_stamp) % 7 = 0 or time_stamp < timestamp '1999-01-01'"
+_TRADES = """select event_type as ticker, row_number() over (order by upper(event_type),
+    date_trunc('second', ts) - date_trunc('day', ts)) - 1 as id, value, %s as k from events""" % _K
+
+ORACLES |= {
+    "companies_end_to_end": with_views(STATEMENT_ROWS, query="\nunion all ".join([
+        *_company_counts("customer"), _counts("valuation_rating", "customer", "sum(c_acctbal)"),
+        next(c for c in _statement_counts("statement") if "'cash_flow'" in c)])),
+    "bars_end_to_end": _all(BARS, SECONDS, INDICATORS, counts=_bar_counts("bars", "derived")),
+    "trades_end_to_end": f"""select upper(ticker) as ticker, count(*) as trades, cast(sum(k) as bigint) as volume,
+        round(sum(value), 2) as price, min(id) as first_id, max(id) as last_id from ({_TRADES}) group by 1""",
+    "trade_ids_of_loads": """select strftime(day, '%Y-%m-%d') as day, trades, trades as ids, before as first_id, before + trades - 1 as last_id
+        from (select *, cast(coalesce(sum(trades) over (order by day rows between unbounded preceding and 1 preceding), 0)
+                as bigint) as before
+              from (select date '2024-02-14' + cast(event_id // 500 % 2 as integer) as day, count(*) as trades
+                    from events group by 1))""",
+    "fetch_after_failures": """select page_id, html, case when page_id % 7 = 0 then 2 else 1 end as times
+        from pages""",
+    "payload_types": "\nunion all ".join([
+        _MANY % ("quantity", "VARIANT", "'double'", ""),
+        _MANY % ("lineNumber", "DECIMAL", "'int'", " where l_linenumber = 1"),
+        _MANY % ("remark", "STRING", "null", " where l_linenumber = 1")]),
+    "append_counts": _bars(f"""select load, n as sent, nulls as null_keys, added, n - nulls - added as repeated from (
+        select 0 as load, count(*) as n, count(*) filter (day(time_stamp) % 7 = 0) as nulls,
+          count(*) filter (day(time_stamp) % 7 <> 0) as added from bars where {_EARLY}
+        union all select 1, 2 * count(*), 2 * count(*) filter (day(time_stamp) % 7 = 0), 0 from bars where {_EARLY}
+        union all select 2, count(*), count(*) filter (day(time_stamp) % 7 = 0),
+          count(*) filter (not ({_EARLY})) from bars)"""),
+    "schema_probe": _bars("\nunion all ".join(
+        f"select {i} as place, '{f.name}' as column_name, '{f.dataType.simpleString()}' as type, "
+        f"count({f.name}) as present from bars" for i, f in enumerate(TABLES["stock_history"].schema))),
+    "empty_relation": _bars("select ticker, time_stamp, round(close, 8) as close, volume from bars"),
+    "initial_load_resumed": _all(
+        STATEMENT_ROWS, BARS, SECONDS, INDICATORS,
+        counts=[_company_counts("customer")[0], _counts("valuation_rating", "customer", "sum(c_acctbal)"),
+                next(c for c in _statement_counts("statement") if "'cash_flow'" in c),
+                *_bar_counts("bars", "derived"),
+                *(f"select 'step {name}', 1, null" for name in ("companies", "ratings", "statements", "bars",
+                                                                "indicators"))]),
+    "indicators_of_buckets": _indicators(_INDICATOR_ROWS),
+    "daily_refresh_30_days": _indicators(_INDICATOR_ROWS + " where time_stamp < timestamp '1998-07-31'"),
+    "refresh_reconciled": _indicators(_INDICATOR_ROWS + " where time_stamp < timestamp '1998-09-01'"),
+}

@@ -13,11 +13,11 @@ from barloom.functions.naming import snake_map, to_camel, to_snake
 from barloom.functions.timefns import (
     clean_timestamp, day_bound, epoch_seconds, is_weekend, last_days, parse_timestamp,
     session_timestamp, year_quarter)
-from barloom.model import MASTER_LIST, RATINGS, STATEMENTS, TABLES
-from barloom.operators.conform import conform, flatten, pack, sample_keys, shared_columns
+from barloom.model import ENDPOINTS, MASTER, MASTER_LIST, RATINGS, STATEMENTS, TABLES
+from barloom.operators.conform import conform, empty, flatten, pack, sample_keys, shared_columns
 from barloom.operators.ordering import lag_by_key, latest_per_key, ordered_id, ticker_sample
 from barloom.operators.payload import (
-    decode_array, decode_object, quarantine, tickers_of_master_list)
+    decode_array, decode_object, payload_types as types_of, quarantine, tickers_of_master_list)
 from barloom.operators.quality import (
     cascade_delete, drop_null_keys, fk_orphans, normalise_ticker, one_per_ticker, only_new,
     pk_violations, surviving_children, text_violations)
@@ -26,8 +26,8 @@ from barloom.plans import indicators as ind, loads
 from barloom.session import checkpoint, new_path
 from barloom.sources import store
 from barloom.sources.requests import (
-    bar_requests, fetch, fetch_recorded, page_requests, recorded_requests, replay, request_grid,
-    trade_requests)
+    archived, bar_requests, fetch, fetch_recorded, fetch_resumed, page_requests, recorded_requests, replay,
+    request_grid, trade_requests)
 
 AS_OF = date(2024, 2, 15)
 LAST_BAR = "2001-11-04"
@@ -456,14 +456,11 @@ def fetch_landing(spark, folder):
                          F.col("ticker").alias("url"), F.col("body").alias("html"))
 
 
-def _new_db(spark: SparkSession) -> str:
+def _new_db(spark: SparkSession, buckets: int = 0) -> str:
     db = f"barloom_{uuid.uuid4().hex[:12]}"
-    store.create_tables(spark, db, new_path(spark, db))
+    store.create_tables(spark, db, new_path(spark, db), buckets=buckets)
     return db
 
-
-
-
 @query
 def store_roundtrip(spark, folder):
     """Overwrite twice, then append: supplier balances in the info table."""
@@ -578,27 +575,24 @@ def quarterly_refresh(spark, folder):
 
 @query
 def daily_refresh(spark, folder):
-    """Run twice on one day: the second run finds nothing new."""
+    """Run twice on one day, for the newest bars only: the second run finds nothing new."""
     db, inbox = _new_db(spark), _inbox(spark, folder)
-    loads.daily_refresh(spark, db, inbox, AS_OF)
-    loads.daily_refresh(spark, db, inbox, AS_OF)
+    loads.daily_refresh(spark, db, inbox, AS_OF, catch_up=False)
+    loads.daily_refresh(spark, db, inbox, AS_OF, catch_up=False)
     return _table_counts(spark, db, ["stock_history", "derived_stock_history",
                                      "stock_intraday_transaction"])
 
 
 @query
 def sample_run(spark, folder):
-    """Three companies; the bars of three brands."""
+    """Initial load and daily refresh of three companies, three brands and two kinds of trades."""
     db, inbox = _new_db(spark), _inbox(spark, folder)
     names = fx.listing(spark, folder).select("ticker")
-    few = loads.sample_inbox(inbox, names)
     brands = fx.table(spark, folder, "part").select(F.col("p_brand").alias("ticker")).distinct()
-    loads.load_companies(spark, db, few)
-    loads.load_statements(db, few)
-    loads.load_ratings(db, few, AS_OF)
-    loads.load_bars(db, loads.sample_inbox(inbox, brands))
-    loads.load_indicators(spark, db, full=True)
-    return _table_counts(spark, db, [n for n in TABLES if n != "stock_intraday_transaction"])
+    kinds = fx.trades(spark, folder).select("ticker").distinct()
+    few = ticker_sample(names).unionByName(ticker_sample(brands)).unionByName(ticker_sample(kinds, 2))
+    loads.sample_run(spark, db, inbox, few, AS_OF, n=8)
+    return _table_counts(spark, db, TABLES)
 
 
 # What goes wrong ----------------------------------------------------------------------------------
@@ -694,13 +688,12 @@ def rolling_null_seconds(spark, folder):
 @query
 def statements_end_to_end(spark, folder):
     """From the master list to a table: tickers, requests, recorded bodies (some are missing)."""
-    name, archive = "cash_flow", new_path(spark, "archive")
-    fx.bodies(spark, folder, name).filter(~F.col("ticker").endswith("7")).write.parquet(archive)
+    name, recorded = "cash_flow", new_path(spark, "archive")
+    fx.bodies(spark, folder, name).filter(~F.col("ticker").endswith("7")).write.parquet(recorded)
     tickers = tickers_of_master_list(fx.master_list_bodies(spark, folder), MASTER_LIST)
     wanted = request_grid(tickers, name).drop("path")
-    recorded = recorded_requests(spark, archive).select("request_key", "path")
-    found = wanted.join(recorded, "request_key", "left").withColumn("path", F.coalesce("path", F.lit("")))
-    landed = fetch(found, replay, order=("path",))
+    found = wanted.join(recorded_requests(spark, recorded).select("request_key", "path"), "request_key", "left")
+    landed = fetch(found.withColumn("path", F.coalesce("path", F.lit(""))), replay, order=("path",))
     db = _new_db(spark)
     good, failed = loads.readable(db, lambda _: landed, name)
     store.overwrite(loads.statements(good, name), db, name)
@@ -710,15 +703,201 @@ def statements_end_to_end(spark, folder):
                                             F.lit(None).cast("double").alias("free_cash_flow")))
 
 
+def _recorded(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
+    """What a service would answer for these datasets of all companies, by path."""
+    tickers = fx.listing(spark, folder).select("ticker")
+    found = fx.master_list_bodies(spark, folder).agg(F.to_json(F.struct(F.flatten(F.collect_list(
+        F.from_json("body", MASTER_LIST)["items"])).alias("items"))).alias("body")).select(
+        F.lit(ENDPOINTS[MASTER].path).alias("path"), "body")
+    for name in names:
+        paths = request_grid(tickers, name).select("request_key", "path")
+        found = found.unionByName(fx.bodies(spark, folder, name).join(paths, "request_key").select("path", "body"))
+    return found
+
+
+@query
+def companies_end_to_end(spark, folder):
+    """From the master list over requests, lookups and bodies to the companies, a rating and a statement."""
+    names = ["listing_companies", "valuation_rating", "cash_flow"]
+    place = new_path(spark, "fetched")
+    transport = archived(fx.archive(_recorded(spark, folder, names), new_path(spark, "archive")))
+    tickers = loads.universe(spark, transport, place)
+    asked = loads.fetching_inbox(tickers, transport, place, "1992-01-01", "2002-01-01", AS_OF)
+    db = _new_db(spark)
+    loads.load_companies(spark, db, asked)
+    good, _ = loads.readable(db, asked, "valuation_rating")
+    store.append_new(loads.ratings(good, "valuation_rating", AS_OF), db, "valuation_rating")
+    good, _ = loads.readable(db, asked, "cash_flow")
+    store.overwrite(loads.statements(good, "cash_flow"), db, "cash_flow")
+    return _table_counts(spark, db, ["companies_info", *names])
+
+
+@query
+def bars_end_to_end(spark, folder):
+    """From requests of all brands to bars and indicators, by the daily way."""
+    brands = fx.table(spark, folder, "part").select(F.col("p_brand").alias("ticker")).distinct()
+    paths = bar_requests(brands, "1992-01-01", "2002-01-01").select("request_key", "path")
+    found = fx.whole_bar_bodies(spark, folder).join(paths, "request_key")
+    transport = archived(fx.archive(found, new_path(spark, "archive")))
+    asked = loads.fetching_inbox(brands, transport, new_path(spark, "fetched"), "1992-01-01", "2002-01-01", AS_OF)
+    db = _new_db(spark)
+    loads.load_bars(db, asked)
+    loads.load_indicators(spark, db, full=False)
+    return _table_counts(spark, db, store.SERIES)
+
+
+@query
+def trades_end_to_end(spark, folder):
+    """All pages of all trades, whether or not their number is said, from requests to numbered rows."""
+    tickers = fx.trades(spark, folder).select("ticker").distinct()
+    path = F.replace("path", F.lit("page=0"), F.concat(F.lit("page="), F.col("page").cast("string")))
+    pages = trade_requests(tickers, F.lit(AS_OF)).select("ticker", "path").join(
+        fx.paged_trades(spark, folder), "ticker").withColumn("path", path)
+    transport = archived(fx.archive(pages, new_path(spark, "archive")))
+    asked = loads.fetching_inbox(tickers, transport, new_path(spark, "fetched"), "1992-01-01", "2002-01-01", AS_OF)
+    db, name = _new_db(spark), "stock_intraday_transaction"
+    loads.load_trades(spark, db, asked, AS_OF)
+    rows = store.read_table(spark, db, name)
+    return rows.groupBy("ticker").agg(
+        F.count("*").alias("trades"), F.sum("volume").alias("volume"), F.round(F.sum("price"), 2).alias("price"),
+        F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+
+
+@query
+def trade_ids_of_loads(spark, folder):
+    """Two sessions, loaded one after the other, and the first of them once more: numbers go on without a gap."""
+    db, name = _new_db(spark), "stock_intraday_transaction"
+    landed = _inbox(spark, folder)
+    for day in (14, 15, 14):
+        part = F.col("flag") % 2 == day % 2
+        loads.load_trades(spark, db, lambda dataset: landed(dataset).filter(part), date(2024, 2, day))
+    rows = store.read_table(spark, db, name)
+    return rows.groupBy(F.date_format("time_stamp", "yyyy-MM-dd").alias("day")).agg(
+        F.count("*").alias("trades"), F.countDistinct("id").alias("ids"), F.min("id").alias("first_id"),
+        F.max("id").alias("last_id"))
+
+
+@query
+def fetch_after_failures(spark, folder):
+    """Pages from a service that fails the first time for every seventh: only those are asked for again."""
+    marks = new_path(spark, "marks")
+    fx.table(spark, folder, "pages").select(
+        F.col("page_id").cast("string").alias("path"), F.col("html").alias("body")).write.parquet(f"{marks}/archive")
+    requests = fx.table(spark, folder, "pages").select(
+        F.col("page_id").cast("string").alias("request_key"), F.col("url").alias("ticker"), F.lit(0).alias("flag"),
+        F.col("page_id").cast("string").alias("path"))
+    look_up, ledger = archived(f"{marks}/archive"), f"{marks}/ledger"
+
+    def failing(paths):
+        def passed():
+            for path in paths:
+                if int(path) % 7 == 0:
+                    raise ConnectionError(path)
+                yield path
+
+        yield from look_up(passed())
+
+    first = fetch_resumed(requests, failing, ledger, attempts=1)
+    first.count()
+    landed = fetch_resumed(requests, look_up, ledger)
+    times = spark.read.parquet(ledger).groupBy("request_key").agg(F.count(F.lit(1)).alias("times"))
+    return landed.join(times, "request_key").select(
+        F.col("request_key").cast("bigint").alias("page_id"), F.col("body").alias("html"), "times")
+
+
+@query
+def payload_types(spark, folder):
+    """Keys of order lines whose sent type does not fit: a text among numbers, a fraction, an unknown key."""
+    order = F.col("l_orderkey").alias("orderKey")
+    quantity = F.when(F.col("l_returnflag") == "R", F.to_json(F.struct(F.lit("many").alias("quantity"), order))).otherwise(
+        F.to_json(F.struct(F.col("l_quantity").alias("quantity"), order, F.col("l_linestatus").alias("status"))))
+    rest = F.to_json(F.struct((F.lit(0.5) + F.col("l_linenumber")).alias("lineNumber"), F.col("l_linestatus").alias("remark")))
+    body = F.when(F.col("l_linenumber") == 1, F.concat(F.lit("["), quantity, F.lit(","), rest, F.lit("]"))).otherwise(quantity)
+    schema = T.StructType([T.StructField("quantity", T.DoubleType()), T.StructField("orderKey", T.LongType()),
+                           T.StructField("status", T.StringType()), T.StructField("lineNumber", T.IntegerType())])
+    return types_of(fx.table(spark, folder, "lineitem").select(body.alias("body")), schema)
+
+
+@query
+def append_counts(spark, folder):
+    """What three loads were sent, left out and added, as counted by the passes that wrote."""
+    db, name = _new_db(spark), "stock_history"
+    bars = fx.bars(spark, folder).withColumn(
+        "time_stamp", F.when(F.dayofmonth("time_stamp") % 7 != 0, F.col("time_stamp")))
+    early = bars.filter(F.col("time_stamp").isNull() | (F.col("time_stamp") < "1999-01-01"))
+    rows = []
+    for i, sent in enumerate([early, early.unionByName(early), bars]):
+        done = store.append_new(sent, db, name)
+        rows.append((i, done.sent, done.null_keys, done.added, done.repeated))
+    return spark.createDataFrame(rows, "load int, sent bigint, null_keys bigint, added bigint, repeated bigint")
+
+
+@query
+def schema_probe(spark, folder):
+    """The stored schema of the bars, and how many values each column holds."""
+    db, name = _new_db(spark), "stock_history"
+    store.append(fx.bars(spark, folder), db, name)
+    fields = [(f.name, f.dataType.simpleString()) for f in store.table_schema(spark, db, name)]
+    counts = store.read_table(spark, db, name).select(*(F.count(c).alias(c) for c, _ in fields))
+    listed = F.explode(F.array(*(F.struct(F.lit(i).alias("place"), F.lit(c).alias("column_name"), F.lit(t).alias("type"),
+                                          F.col(c).alias("present")) for i, (c, t) in enumerate(fields))))
+    return counts.select(listed.alias("f")).select("f.*")
+
+
+@query
+def empty_relation(spark, folder):
+    """Bars added to an empty relation of their declared schema, and what is left of them after a filter of it."""
+    schema = TABLES["stock_history"].schema
+    none = empty(spark, schema)
+    rows = none.unionByName(conform(fx.bars(spark, folder), schema))
+    kept = only_new(rows, none, ["ticker", "time_stamp"])
+    return rounded(kept.select("ticker", "time_stamp", "close", "volume"))
+
+
+@query
+def initial_load_resumed(spark, folder):
+    """A load that dies before the bars is begun again: what was finished is not repeated."""
+    db, landed = _new_db(spark), _inbox(spark, folder)
+    died = []
+
+    def dying(dataset: str) -> DataFrame:
+        if dataset == "stock_history" and not died:
+            died.append(dataset)
+            raise ConnectionError(dataset)
+        return landed(dataset)
+
+    try:
+        loads.initial_load(spark, db, dying, AS_OF, run="first")
+    except ConnectionError:
+        loads.initial_load(spark, db, dying, AS_OF, run="first")
+    loads.initial_load(spark, db, dying, AS_OF, run="first")
+    counts = _table_counts(spark, db, ["listing_companies", "cash_flow", "valuation_rating", *store.SERIES])
+    steps = spark.table(f"{db}.{loads.STEPS}").groupBy(F.concat(F.lit("step "), "step").alias("table_name")).agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(None).cast("double").alias("total"))
+    return counts.unionByName(steps)
+
+
+@query
+def indicators_of_buckets(spark, folder):
+    """Indicators over stored bars that are dealt by ticker: no exchange is left."""
+    db = _new_db(spark, buckets=8)
+    store.append(fx.bars(spark, folder), db, "stock_history")
+    return rounded(ind.indicators(store.read_table(spark, db, "stock_history")), 4, sma=8)
+
+
+def _stored_indicators(spark: SparkSession, db: str) -> DataFrame:
+    return rounded(store.read_table(spark, db, "derived_stock_history"), 4, sma=8)
+
+
 def _rows_of_refresh(spark, folder, first_year_left_out: str, catch_up: bool) -> DataFrame:
     """Indicators of the early bars, then of what a refresh adds after the late ones came."""
-    db, name = _new_db(spark), "stock_history"
+    db = _new_db(spark)
     bars = fx.bars(spark, folder)
-    store.append_new(bars.filter(F.col("time_stamp") < first_year_left_out), db, name)
+    loads.add_bars(db, bars.filter(F.col("time_stamp") < first_year_left_out))
     loads.load_indicators(spark, db, full=True)
-    store.append_new(bars.filter(F.col("time_stamp") >= first_year_left_out), db, name)
+    loads.add_bars(db, bars.filter(F.col("time_stamp") >= first_year_left_out))
     loads.load_indicators(spark, db, full=False, catch_up=catch_up)
-    return rounded(store.read_table(spark, db, "derived_stock_history"), 4, sma=8)
+    return _stored_indicators(spark, db)
 
 
 @query
@@ -729,5 +908,33 @@ def daily_refresh_after_gap(spark, folder):
 
 @query
 def indicators_latest_stored(spark, folder):
-    """Only the newest bar of each ticker is added; years that it does not need are not read."""
+    """Only the newest bar of each ticker is added, from the tails that the run before has kept."""
     return _rows_of_refresh(spark, folder, "2001-01-01", False)
+
+
+@query
+def daily_refresh_30_days(spark, folder):
+    """Thirty days, each with its bars and a run, give what one computation over all bars gives."""
+    db, bars = _new_db(spark), checkpoint(fx.bars(spark, folder).filter("time_stamp < '1998-08-01'"))
+    loads.add_bars(db, bars.filter("time_stamp < '1998-07-01'"))
+    loads.load_indicators(spark, db, full=True)
+    for day in range(1, 31):
+        loads.add_bars(db, bars.filter(F.col("time_stamp").cast("date") == F.lit(date(1998, 7, day))))
+        loads.load_indicators(spark, db, full=False)
+    return _stored_indicators(spark, db)
+
+
+@query
+def refresh_reconciled(spark, folder):
+    """Two days were missed, and one ticker's bar of a month before came late: both are found and derived, and the
+    rows that they change are derived anew."""
+    db, bars = _new_db(spark), checkpoint(fx.bars(spark, folder).filter("time_stamp < '1998-09-01'"))
+    late = (F.col("ticker") == "Brand#11") & (F.month("time_stamp") == 6) & (F.year("time_stamp") == 1998)
+    loads.add_bars(db, bars.filter(~late & (F.col("time_stamp") < "1998-08-20")))
+    loads.load_indicators(spark, db, full=True)
+    loads.add_bars(db, bars.filter(F.col("time_stamp") >= "1998-08-20"))
+    loads.load_indicators(spark, db, full=False, catch_up=False)      # derives the newest bars only
+    loads.add_bars(db, bars.filter(late))
+    loads.load_indicators(spark, db, full=False)                      # finds the late ones and those missed
+    loads.reconcile(spark, db)                                        # finds the rest
+    return _stored_indicators(spark, db)

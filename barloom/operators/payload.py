@@ -72,6 +72,70 @@ def decode_wrapped(df: DataFrame, schema: T.StructType, header: T.StructType | N
     return exploded.select(*keep, *_fields("_w", header), *_fields("_o", schema))
 
 
+PARSED = "parsed"
+
+
+def parsed_type(kind: str, schema: T.StructType, header: T.StructType | None = None,
+                rows: str = "data") -> T.DataType:
+    """What a body of a kind ("object", "array" or "wrapped") is parsed into."""
+    if kind == "wrapped":
+        header = header or T.StructType([T.StructField("ticker", T.StringType())])
+        return T.StructType(_reading(header).fields + [T.StructField(rows, T.ArrayType(_reading(schema)))])
+    return T.ArrayType(_reading(schema)) if kind == "array" else _reading(schema)
+
+
+def parse_once(df: DataFrame, kind: str, schema: T.StructType, header: T.StructType | None = None,
+               body: str = "body") -> DataFrame:
+    """``df`` with ``parsed``, and the body itself only where it cannot be read as its kind.
+
+    One parse tells both: the body is read as the only element of an array, so text after its end, an
+    unfinished body and one of another form all leave no single element. A value of another type than
+    its field is null by itself.
+    """
+    whole = F.from_json(F.concat(F.lit("["), body, F.lit("]")), T.ArrayType(parsed_type(kind, schema, header)))
+    opening = r"^\s*\[" if kind == "array" else r"^\s*\{"
+    one = F.when((F.size("_whole") == 1) & F.col(body).rlike(opening), F.col("_whole")[0])
+    others = [c for c in df.columns if c != body]
+    return df.select(*others, body, whole.alias("_whole")).select(
+        *others, body, one.alias(PARSED)).select(
+        *others, F.when(F.col(PARSED).isNull(), F.col(body)).alias(body), PARSED)
+
+
+def rows_of(df: DataFrame, kind: str, schema: T.StructType, header: T.StructType | None = None,
+            keep: Sequence[str] = (), rows: str = "data") -> DataFrame:
+    """The rows of bodies that :func:`parse_once` has read: ``keep``, header and fields in snake_case."""
+    if kind == "object":
+        return df.filter(F.col(PARSED).isNotNull()).select(*keep, *_fields(PARSED, schema))
+    if kind == "array":
+        return df.select(*keep, F.explode(PARSED).alias("_o")).select(*keep, *_fields("_o", schema))
+    header = header or T.StructType([T.StructField("ticker", T.StringType())])
+    exploded = df.select(*keep, PARSED, F.explode(F.col(PARSED)[rows]).alias("_o"))
+    return exploded.select(*keep, *_fields(PARSED, header), *_fields("_o", schema))
+
+
+def payload_types(bodies: DataFrame, schema: T.StructType, body: str = "body") -> DataFrame:
+    """The keys whose sent type does not fit the table's: ``key, sent, declared, bodies``.
+
+    ``sent`` is the least type that holds every value of the key in all bodies, of objects and of elements of
+    arrays, which Spark joins along its own type lattice; ``declared`` is null for a key that the schema
+    lacks. Whole numbers fit doubles, and so do decimals, and nothing but nulls fits every type.
+    """
+    text = F.trim(body)
+    one = F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
+    elements = bodies.select(F.explode(F.try_variant_get(F.try_parse_json(one), "$", "array<variant>")).alias("e"))
+    pairs = elements.select(F.explode(F.try_variant_get("e", "$", "map<string, variant>")).alias("key", "value"))
+    sent = pairs.groupBy("key").agg(F.schema_of_variant_agg("value").alias("sent"), F.count(F.lit(1)).alias("values"))
+    spark = bodies.sparkSession
+    declared = spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema], "key string, declared string")
+    number = F.col("sent").startswith("DECIMAL") | F.col("sent").isin("BIGINT", "DOUBLE", "FLOAT")
+    fits = (F.col("sent") == "VOID") | F.when(F.col("declared") == "double", number) \
+        .when(F.col("declared").isin("bigint", "int"), F.col("sent") == "BIGINT") \
+        .when(F.col("declared") == "string", F.col("sent") == "STRING") \
+        .otherwise(F.col("sent") == F.upper("declared"))
+    return sent.join(F.broadcast(declared), "key", "left").filter(~F.coalesce(fits, F.lit(False))).select(
+        "key", F.regexp_replace("sent", r"\(.*\)", "").alias("sent"), "declared", "values")
+
+
 def is_readable(kind: str, body: str = "body") -> Column:
     """True for well-formed JSON whose outermost form is the expected one; never null.
 

@@ -10,7 +10,8 @@ from barloom.model import Table
 from barloom.operators.ordering import first_per_key
 
 
-def _known(columns: Sequence[str]) -> Column:
+def known_keys(columns: Sequence[str]) -> Column:
+    """Whether no part of a key is null."""
     known = F.lit(True)
     for c in columns:
         known = known & F.col(c).isNotNull()
@@ -23,7 +24,7 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def null_key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """What :func:`drop_null_keys` leaves out."""
-    return df.filter(~_known(keys))
+    return df.filter(~known_keys(keys))
 
 
 def normalise_ticker(df: DataFrame, ticker: str = "ticker") -> DataFrame:
@@ -39,12 +40,12 @@ def one_per_ticker(df: DataFrame, order: Sequence[str | Column],
 def pk_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once or have a null part, with their row count."""
     counted = df.groupBy(*keys).agg(F.count("*").alias("rows"))
-    return counted.filter((F.col("rows") > 1) | ~_known(keys))
+    return counted.filter((F.col("rows") > 1) | ~known_keys(keys))
 
 
 def fk_orphans(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Child rows whose key is known but absent from the parent."""
-    return (child.filter(_known(keys))
+    return (child.filter(known_keys(keys))
             .join(parent.select(*keys), list(keys), "left_anti"))
 
 
@@ -75,7 +76,7 @@ def surviving_children(child: DataFrame, parents: DataFrame, keys: Sequence[str]
     """The child rows of the parents that are left, and those that refer to none."""
     left = parents.select(*keys).distinct().withColumn("_parent", F.lit(True))
     return child.join(left, list(keys), "left").filter(
-        F.col("_parent") | ~_known(keys)).select(*child.columns)
+        F.col("_parent") | ~known_keys(keys)).select(*child.columns)
 
 
 def only_new(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:

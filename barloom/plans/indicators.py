@@ -116,7 +116,7 @@ def recent_bars(bars: DataFrame, span: int = MONTH_SECONDS,
     That is two spans before the newest bar, rounded down to a whole span, and the one bar before
     those for the previous price. The bounds come from tickers and times alone, by a summary of one
     row per ticker and span, which is settled first: if the tickers are few enough, older bars are
-    dropped in the scan, before any exchange.
+    dropped before any exchange, by a condition of the join. All months are read.
     """
     sec = epoch_seconds(F.col("time_stamp"))
     spans = bars.groupBy("ticker", floor_to(sec, span).alias("_span")).agg(F.max(sec).alias("_last"))
@@ -128,7 +128,35 @@ def recent_bars(bars: DataFrame, span: int = MONTH_SECONDS,
     return bars.join(few, "ticker").filter(sec >= F.col("_from")).select(*bars.columns)
 
 
-def latest_indicators(bars: DataFrame, span: int = MONTH_SECONDS, **options) -> DataFrame:
+def tail_of(bars: DataFrame, span: int = MONTH_SECONDS) -> DataFrame:
+    """The same bars as :func:`recent_bars`, for series that a task can hold: their bounds are windows over the
+    ticker, so that all that follows goes by one exchange."""
+    sec, own = epoch_seconds(F.col("time_stamp")), Window.partitionBy("ticker")
+    timed = bars.withColumn("_sec", sec).withColumn("_newest", F.max("_sec").over(own)).withColumn(
+        "_start", floor_to(F.col("_newest") - 2 * span, span))
+    earlier = F.max(F.when(F.col("_sec") < F.col("_start"), F.col("_sec"))).over(own)
+    return timed.withColumn("_from", F.coalesce(earlier, "_start")).filter("_sec >= _from").select(*bars.columns)
+
+
+def latest_indicators(bars: DataFrame, span: int = MONTH_SECONDS, step_seconds: int = DAY_SECONDS,
+                      **options) -> DataFrame:
     """The indicators of the newest bar per ticker, from a bounded look-back."""
-    recent = indicators(recent_bars(bars, span), span, **options)
+    kept = tail_of(bars, span) if is_sparse(span, step_seconds) else recent_bars(bars, span)
+    recent = indicators(kept, span, step_seconds=step_seconds, **options)
     return latest_per_key(recent, ["ticker"], "time_stamp")
+
+
+def affected_rows(marked: DataFrame, span: int = MONTH_SECONDS) -> DataFrame:
+    """Of bars with ``missing`` (their indicators were never computed) those whose indicators may have changed.
+
+    A bar counts in the means of one span after it, and those means in the deviations of one span more. The next
+    bar, however late, has a new previous price, which counts for one span after that bar.
+    """
+    sec, order = epoch_seconds(F.col("time_stamp")), Window.partitionBy("ticker").orderBy("_sec")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    return (marked.withColumn("_sec", sec)
+            .withColumn("_next", F.lag("missing").over(order))
+            .withColumns({"_late": F.max(F.when(F.col("missing"), F.col("_sec"))).over(so_far),
+                          "_follows": F.max(F.when(F.col("_next"), F.col("_sec"))).over(so_far)})
+            .filter((F.col("_sec") - F.col("_late") <= 2 * span) | (F.col("_sec") - F.col("_follows") <= span))
+            .select("ticker", "time_stamp", "missing"))

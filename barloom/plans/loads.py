@@ -2,6 +2,10 @@
 
 The first group is lazy: bodies (``request_key, ticker, flag, body``) in, rows of a declared table
 out. The second group writes. Dates and times are parameters, so a run can be repeated.
+
+Loads keep a few small tables of their own beside the stored ones. ``bars_pending`` holds the bars that were added
+and have no indicators yet, ``bars_tail`` the bars of each ticker that its next indicators look back to, so a
+daily run reads neither stored history nor a summary of it. ``finished_steps`` says what a run has done.
 """
 
 from __future__ import annotations
@@ -10,50 +14,69 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import (
+    Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T)
 
 from barloom.functions.timefns import (
     epoch_seconds, parse_timestamp, session_timestamp, year_quarter)
 from barloom.model import (
-    BAR_ROW, ENDPOINTS, PAGE_HEADER, RATINGS, STATEMENTS, TABLES, TRADE_NAMES, TRADE_ROW)
+    ENDPOINTS, MASTER, MASTER_LIST, PAGE_HEADER, RATINGS, STATEMENTS, TABLES, TRADE_NAMES)
 from barloom.operators.conform import conform
 from barloom.operators.ordering import ordered_id, ticker_sample
-from barloom.operators.payload import (
-    decode_array, decode_object, decode_wrapped, quarantine)
+from barloom.operators.payload import PARSED, parse_once, rows_of, tickers_of_master_list
 from barloom.operators.quality import (
     drop_null_keys, normalise_ticker, one_per_ticker, only_new)
-from barloom.plans.indicators import OUTPUT, indicators, look_back
-from barloom.session import broadcast_if_small, settle
+from barloom.operators.rolling import MONTH_SECONDS
+from barloom.plans.indicators import OUTPUT, affected_rows, indicators, recent_bars, tail_of
+from barloom.session import broadcast_if_small, observed, settle
 from barloom.sources import store
+from barloom.sources.requests import (
+    Transport, bar_requests, fetch_pages, fetch_resumed, request_grid, trade_requests)
 
 Inbox = Callable[[str], DataFrame]  # dataset -> landed bodies
+HEADERS = {"stock_intraday_transaction": PAGE_HEADER}
+PENDING, TAIL, STEPS = "bars_pending", "bars_tail", "finished_steps"
+
+
+def parsed(bodies: DataFrame, name: str) -> DataFrame:
+    """Bodies of a dataset, each parsed once; those of :func:`readable` are so already."""
+    endpoint = ENDPOINTS[name]
+    if PARSED in bodies.columns:
+        return bodies
+    return parse_once(bodies, endpoint.kind, endpoint.schema, HEADERS.get(name))
+
+
+def decoded(bodies: DataFrame, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The rows that the bodies of a dataset hold."""
+    endpoint = ENDPOINTS[name]
+    return rows_of(parsed(bodies, name), endpoint.kind, endpoint.schema, HEADERS.get(name), keep)
 
 
 def statements(bodies: DataFrame, name: str) -> DataFrame:
     """Rows of one of the four statement tables."""
     table = TABLES[name]
-    rows = normalise_ticker(decode_array(bodies, ENDPOINTS[name].schema))
+    rows = normalise_ticker(decoded(bodies, name))
     return conform(drop_null_keys(rows, table.key), table.schema)
 
 
 def ratings(bodies: DataFrame, name: str, as_of: date) -> DataFrame:
     """Rows of one of the six rating tables: one per ticker, for the quarter of ``as_of``."""
     table = TABLES[name]
-    rows = decode_object(bodies, ENDPOINTS[name].schema, keep=["flag"])
+    rows = decoded(bodies, name, ("flag",))
     year, quarter = year_quarter(F.lit(as_of))
     stamped = one_per_ticker(rows, ["flag"]).withColumns({"year": year, "quarter": quarter})
     return conform(drop_null_keys(stamped, table.key), table.schema)
 
 
 def daily_bars(bodies: DataFrame) -> DataFrame:
-    rows = decode_wrapped(bodies, BAR_ROW)
+    rows = decoded(bodies, "stock_history")
     stamped = rows.withColumn("time_stamp", parse_timestamp(F.col("trading_date")))
     return conform(normalise_ticker(stamped), TABLES["stock_history"].schema)
 
 
 def trades(bodies: DataFrame, trading_date: date) -> DataFrame:
     """Trades of one session, without their id."""
-    rows = decode_wrapped(bodies, TRADE_ROW, PAGE_HEADER).withColumnsRenamed(TRADE_NAMES)
+    rows = decoded(bodies, "stock_intraday_transaction").withColumnsRenamed(TRADE_NAMES)
     stamped = rows.withColumn("time_stamp", session_timestamp(F.lit(trading_date), F.col("t")))
     table = TABLES["stock_intraday_transaction"].schema
     return conform(normalise_ticker(stamped), T.StructType([f for f in table if f.name != "id"]))
@@ -67,7 +90,7 @@ def numbered_trades(rows: DataFrame, start: int = 0) -> DataFrame:
 
 def companies(bodies: DataFrame) -> DataFrame:
     """Overview rows, one per ticker, with the columns of both company tables."""
-    rows = decode_object(bodies, ENDPOINTS["listing_companies"].schema, keep=["request_key"])
+    rows = decoded(bodies, "listing_companies", ("request_key",))
     return one_per_ticker(rows, ["request_key"]).drop("request_key")
 
 
@@ -79,13 +102,19 @@ def split_companies(overview: DataFrame, listed: DataFrame) -> tuple[DataFrame,
 
 
 def readable(db: str, inbox: Inbox, name: str) -> tuple[DataFrame, DataFrame]:
-    """The bodies that a load can read, and the tickers of the others, which go to the rejects."""
-    kind = "array" if ENDPOINTS[name].kind == "array" else "object"
-    good, bad = quarantine(inbox(name), kind)
-    store.reject(bad.select(F.lit(name).alias("dataset"), F.upper("ticker").alias("ticker"),
-                            F.lit("unreadable body").alias("reason"),
-                            F.col("body").alias("content")), db, name)
-    return good, bad.select(F.upper("ticker").alias("ticker")).distinct()
+    """The bodies that a load can read, parsed, and the tickers of the others, which go to the rejects.
+
+    Each body is parsed once, in the pass that writes it aside and counts what cannot be read.
+    """
+    seen, bodies = Observation(), parsed(inbox(name), name)
+    unread = F.col(PARSED).isNull()
+    held = settle(bodies.observe(seen, F.count_if(unread).alias("unread")), f"parsed-{name}")
+    bad = held.filter(unread)
+    if observed(seen, unread=0)["unread"]:
+        store.reject(bad.select(F.lit(name).alias("dataset"), F.upper("ticker").alias("ticker"),
+                                F.lit("unreadable body").alias("reason"),
+                                F.col("body").alias("content")), db, name)
+    return held.filter(~unread), bad.select(F.upper("ticker").alias("ticker")).distinct()
 
 
 def with_stored(fresh: DataFrame, failed: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
@@ -100,17 +129,7 @@ def load_companies(spark: SparkSession, db: str, inbox: Inbox) -> None:
     new, info = split_companies(overview, store.read_table(spark, db, "listing_companies"))
     store.append(new, db, "listing_companies")
     stored = store.read_table(spark, db, "companies_info")
-    store.rewrite(with_stored(info, failed, stored, ["ticker"]), db, "companies_info")
-
-
-def unreadable(inbox: Inbox, datasets: list[str]) -> DataFrame:
-    """Bodies that no load can read, with their dataset, to be kept aside and asked for again."""
-    aside = None
-    for name in datasets:
-        _, bad = quarantine(inbox(name), "array" if ENDPOINTS[name].kind == "array" else "object")
-        bad = bad.withColumn("dataset", F.lit(name))
-        aside = bad if aside is None else aside.unionByName(bad)
-    return aside
+    store.overwrite(with_stored(info, failed, stored, ["ticker"]), db, "companies_info")
 
 
 def _side_by_side(load: Callable[[str], None], names: list[str]) -> None:
@@ -126,7 +145,7 @@ def load_statements(db: str, inbox: Inbox) -> None:
         good, failed = readable(db, inbox, name)
         fresh = settle(statements(good, name), name)
         stored = store.read_table(fresh.sparkSession, db, name)
-        store.rewrite(with_stored(fresh, failed, stored, TABLES[name].key), db, name)
+        store.overwrite(with_stored(fresh, failed, stored, TABLES[name].key), db, name)
 
     _side_by_side(load, STATEMENTS)
 
@@ -139,56 +158,190 @@ def load_ratings(db: str, inbox: Inbox, as_of: date) -> None:
     _side_by_side(load, RATINGS)
 
 
-def load_bars(db: str, inbox: Inbox) -> None:
+def add_bars(db: str, bars: DataFrame) -> store.Appended:
+    """Append bars that are not stored yet and note them as without indicators.
+
+    They are noted first: a run that dies in between notes them again, and a note of a bar that has its
+    indicators does no harm.
+    """
+    spark, name = bars.sparkSession, "stock_history"
+    store.side_table(spark, db, PENDING, _columns_of(name))
+    return store.append_new(bars, db, name, before=lambda rows: rows.write.insertInto(f"{db}.{PENDING}"))
+
+
+def load_bars(db: str, inbox: Inbox) -> store.Appended:
     good, _ = readable(db, inbox, "stock_history")
-    store.append_new(daily_bars(good), db, "stock_history")
+    return add_bars(db, daily_bars(good))
 
 
 def load_trades(spark: SparkSession, db: str, inbox: Inbox, trading_date: date) -> None:
     """Add the trades that are not stored yet; equal trades of a session count as often as sent."""
     name = "stock_intraday_transaction"
     good, _ = readable(db, inbox, name)
-    sent = store.reject_null_keys(settle(trades(good, trading_date), name), ["ticker", "time_stamp"],
-                                  db, name)
+    key = ["ticker", "time_stamp"]
+    sent = store.keyed_rows(store.settled_rows(trades(good, trading_date), key, name), key, db, name)
     stored = store.session_rows(spark, db, name, trading_date)
-    fresh = sent.exceptAll(stored.select(*sent.columns))
-    store.append(numbered_trades(fresh, store.next_id(spark, db)), db, name)
+    fresh = store.settled_rows(sent.exceptAll(stored.select(*sent.columns)), key, name)
+    if fresh.sent:
+        store.append(numbered_trades(fresh.rows, store.take_ids(spark, db, fresh.sent)), db, name)
 
 
-def load_indicators(spark: SparkSession, db: str, full: bool, catch_up: bool = False) -> None:
-    """All indicators in one pass, or those of the newest bars.
+def _columns_of(name: str) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TABLES[name].schema)
 
-    The newest bar of each ticker, or with ``catch_up`` every bar newer than the ticker's last
-    derived one, so that a missed run leaves no hole. Tickers without a newer bar are left out. Of the
-    others the earliest bar that any needs is looked up first, and stored years before it are not read.
+
+def load_indicators(spark: SparkSession, db: str, full: bool, catch_up: bool = True) -> None:
+    """All indicators of the stored bars, or those of the bars that were added since the last run.
+
+    The second way reads what was added and each ticker's tail, and no stored bar. Without ``catch_up`` only
+    the newest bar of each ticker is derived, and :func:`reconcile` finds the others. A bar that came
+    later than a newer one of its ticker changes rows that are stored, and is handed to ``reconcile``.
     """
-    name = "derived_stock_history"
-    bars = store.read_table(spark, db, "stock_history")
+    name, columns = "derived_stock_history", _columns_of("stock_history")
+    pending = store.side_table(spark, db, PENDING, columns)
+    tail = store.side_table(spark, db, TAIL, columns)
     if full:
+        bars = store.read_table(spark, db, "stock_history")
         store.append_new(indicators(bars), db, name, unique=True, near=False)
+        store.replace_folder(settle(recent_bars(bars), "tail"), db, TAIL)
+        store.replace_folder(pending.limit(0), db, PENDING)
         return
     sec = epoch_seconds(F.col("time_stamp"))
-    done = store.read_table(spark, db, name).groupBy("ticker").agg(F.max(sec).alias("done"))
-    newest = bars.groupBy("ticker").agg(F.max(sec).alias("newest"), F.min(sec).alias("oldest"))
-    behind = newest.join(done, "ticker", "left").filter(
-        F.col("done").isNull() | (F.col("newest") > F.col("done")))
-    first = F.coalesce(F.col("done") + 1, "oldest") if catch_up else F.col("newest")
-    reach = broadcast_if_small(look_back(bars, behind.select("ticker", first.alias("first"))))
-    lowest = reach.agg(F.timestamp_seconds(F.min("reach"))).head()[0]
-    if lowest is None:
+    done = tail.groupBy("ticker").agg(F.max(sec).alias("done"))
+    late = F.col("done").isNotNull() & (sec <= F.col("done"))
+    seen = Observation()
+    fresh = settle(pending.dropDuplicates(["ticker", "time_stamp"]).join(done, "ticker", "left")
+                   .withColumn("late", late).observe(seen, F.count(F.lit(1)).alias("n"), F.count_if("late").alias("late")),
+                   "fresh")
+    counts = observed(seen, n=0, late=0)
+    if not counts["n"]:
         return
-    needed = store.rows_since(spark, db, "stock_history", lowest).join(reach, "ticker").filter(
-        sec >= F.col("reach")).select(*bars.columns)
-    derived = indicators(needed).join(reach, "ticker").filter(sec >= F.col("first"))
+    touched = fresh.select("ticker").distinct()
+    known = tail.join(touched, "ticker", "left_semi")
+    series = settle(known.unionByName(fresh.select(*tail.columns)).dropDuplicates(["ticker", "time_stamp"]), "series")
+    wanted = fresh.filter("not late").select("ticker", "time_stamp")
+    if not catch_up:
+        wanted = wanted.groupBy("ticker").agg(F.max("time_stamp").alias("time_stamp"))
+    derived = indicators(series).join(wanted, ["ticker", "time_stamp"], "left_semi")
     store.append_new(derived.select(*OUTPUT), db, name, unique=True)
+    if counts["late"]:
+        reconcile(spark, db, fresh.filter("late").select("ticker").distinct())
+    store.replace_folder(tail_of(series).unionByName(tail.join(touched, "ticker", "left_anti")), db, TAIL)
+    store.replace_folder(pending.limit(0), db, PENDING)
 
 
-def initial_load(spark: SparkSession, db: str, inbox: Inbox, as_of: date) -> None:
-    load_companies(spark, db, inbox)
-    load_ratings(db, inbox, as_of)
-    load_statements(db, inbox)
-    load_bars(db, inbox)
-    load_indicators(spark, db, full=True)
+def digests(spark: SparkSession, db: str, name: str, tickers: DataFrame | None = None) -> DataFrame:
+    """``(ticker, p_month, n, keys)``: how many rows a series has in a month, and the XOR of their key hashes.
+
+    Reads keys only, and sums map-side.
+    """
+    rows = spark.table(f"{db}.{name}")
+    if tickers is not None:
+        rows = rows.join(tickers, "ticker", "left_semi")
+    return rows.groupBy("ticker", store.HIDDEN_MONTH).agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("ticker", "time_stamp")).alias("keys"))
+
+
+def differing_months(spark: SparkSession, db: str, tickers: DataFrame | None = None) -> DataFrame:
+    """``(ticker, p_month, differs)``: all months with bars, and whether the indicators lack or repeat some."""
+    month = store.HIDDEN_MONTH
+    bars = digests(spark, db, "stock_history", tickers)
+    derived = digests(spark, db, "derived_stock_history", tickers).select(
+        "ticker", month, F.col("n").alias("m"), F.col("keys").alias("other"))
+    same = (F.col("n") == F.col("m")) & (F.col("keys") == F.col("other"))
+    return bars.join(derived, ["ticker", month], "left").select(
+        "ticker", month, (~F.coalesce(same, F.lit(False))).alias("differs"))
+
+
+def reconcile(spark: SparkSession, db: str, tickers: DataFrame | None = None, span: int = MONTH_SECONDS) -> None:
+    """Derive the bars that have no indicators, and anew the rows that such bars change.
+
+    Bars and indicators are compared by one digest per ticker and month. Rows are read of the months that differ
+    and of those around them: before, two spans and the nearest earlier bar are looked back to; afterwards, two spans
+    and the next bar may change. Stored months that hold a changed row are replaced, others get new rows only.
+    """
+    name, month = "derived_stock_history", store.HIDDEN_MONTH
+    around = -(-3 * span // MONTH_SECONDS)
+    in_order = Window.partitionBy("ticker").orderBy(month)
+    held = settle(differing_months(spark, db, tickers).withColumn("place", F.row_number().over(in_order)), "months")
+    if held.filter("differs").isEmpty():
+        return
+
+    def number(m: Column) -> Column:
+        return F.floor(m / 100) * 12 + m % 100 - 1
+
+    # a month with bars is wanted within some calendar months of one that differs, or next to such in order
+    at = number(F.col(month)).cast("long")
+    by_time = Window.partitionBy("ticker").orderBy("at")
+    near = by_time.rangeBetween(-around, around)
+    marked = held.withColumn("at", at).withColumn(
+        "near", F.max(F.col("differs").cast("int")).over(near) == 1)
+    beside = F.max(F.col("near").cast("int")).over(by_time.rowsBetween(-2, 2)) == 1
+    wanted = broadcast_if_small(marked.withColumn("wanted", beside).filter("wanted").select("ticker", month))
+    bars = settle(store.rows_of_months(spark, db, "stock_history", wanted), "bars")
+    stored = store.rows_of_months(spark, db, name, wanted).select("ticker", "time_stamp", F.lit(False).alias("missing"))
+    flagged = bars.join(stored, ["ticker", "time_stamp"], "left").withColumn(
+        "missing", F.coalesce("missing", F.lit(True)))
+    changed = settle(affected_rows(flagged.select("ticker", "time_stamp", "missing"), span), "changed")
+    derived = indicators(bars, span).join(changed, ["ticker", "time_stamp"]).select(*OUTPUT, "missing")
+    fresh = settle(derived, "derived_again")
+    stale = fresh.filter("not missing")
+    if stale.isEmpty():
+        store.append_new(fresh.select(*OUTPUT), db, name, unique=True)
+        return
+    months = broadcast_if_small(fresh.select(store.month_of(F.col("time_stamp")).alias(month)).distinct())
+    others = spark.table(f"{db}.{name}").join(months, month, "left_semi").select(*OUTPUT).join(
+        fresh.select("ticker", "time_stamp"), ["ticker", "time_stamp"], "left_anti")
+    store.replace_partitions(others.unionByName(fresh.select(*OUTPUT)), db, name)
+
+
+Step = tuple[str, list[str], Callable[[], object]]     # name, datasets that it reads, what it does
+
+
+def inputs_digest(inbox: Inbox, datasets: list[str]) -> str:
+    """A text that changes with any body of the datasets; the order of rows does not count."""
+    parts = []
+    for name in datasets:
+        hashed = F.xxhash64("request_key", "ticker", "flag", "body")
+        found = inbox(name).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(hashed).alias("x"),
+                                F.sum(hashed.cast("decimal(20,0)")).alias("s")).head()
+        parts.append(f"{name}:{found['n']}:{found['x']}:{found['s']}")
+    return ",".join(parts)
+
+
+def run_steps(spark: SparkSession, db: str, run: str, steps: list[Step], inbox: Inbox) -> list[str]:
+    """Do the steps that ``run`` has not finished with the same inputs; returns those that were done now.
+
+    A step is noted when it is finished, so a run that is begun again goes on with the step it died in, which
+    must stand being done twice.
+    """
+    ledger = "run string, step string, inputs string"
+    noted = store.side_table(spark, db, STEPS, ledger).filter(F.col("run") == run)
+    finished = {(r["step"], r["inputs"]) for r in noted.collect()}     # a few rows per run
+    done = []
+    for name, datasets, work in steps:
+        inputs = inputs_digest(inbox, datasets)
+        if (name, inputs) not in finished:
+            work()
+            spark.createDataFrame([(run, name, inputs)], ledger).write.insertInto(f"{db}.{STEPS}")
+            done.append(name)
+    return done
+
+
+def initial_load(spark: SparkSession, db: str, inbox: Inbox, as_of: date, run: str | None = None) -> list[str]:
+    """Companies, ratings, statements, bars and all indicators. With ``run``, a name, the load goes on where one of
+    that name has stopped; without, it does every step."""
+    steps: list[Step] = [
+        ("companies", ["listing_companies"], lambda: load_companies(spark, db, inbox)),
+        ("ratings", RATINGS, lambda: load_ratings(db, inbox, as_of)),
+        ("statements", STATEMENTS, lambda: load_statements(db, inbox)),
+        ("bars", ["stock_history"], lambda: load_bars(db, inbox)),
+        ("indicators", ["stock_history"], lambda: load_indicators(spark, db, full=True))]
+    if run:
+        return run_steps(spark, db, run, steps, inbox)
+    for _, _, work in steps:
+        work()
+    return [name for name, _, _ in steps]
 
 
 def quarterly_refresh(spark: SparkSession, db: str, inbox: Inbox, as_of: date) -> None:
@@ -198,7 +351,7 @@ def quarterly_refresh(spark: SparkSession, db: str, inbox: Inbox, as_of: date) -
 
 
 def daily_refresh(spark: SparkSession, db: str, inbox: Inbox, trading_date: date,
-                  catch_up: bool = False) -> None:
+                  catch_up: bool = True) -> None:
     load_bars(db, inbox)
     load_indicators(spark, db, full=False, catch_up=catch_up)
     load_trades(spark, db, inbox, trading_date)
@@ -216,3 +369,35 @@ def sample_run(spark: SparkSession, db: str, inbox: Inbox, tickers: DataFrame, a
     few = sample_inbox(inbox, tickers, n)
     initial_load(spark, db, few, as_of)
     daily_refresh(spark, db, few, as_of)
+
+
+def fetching_inbox(tickers: DataFrame, transport: Transport, folder: str, first: str, last: str,
+                   trading_date: date) -> Inbox:
+    """An inbox that asks a service: the requests of a dataset for all tickers, fetched when it is first read.
+
+    Bodies land in a folder per dataset below ``folder``, which is also the ledger: an inbox made anew on it asks
+    only for what has not been answered. Trades are asked for page by page.
+    """
+    landed: dict[str, DataFrame] = {}
+
+    def fetched(name: str) -> DataFrame:
+        place = f"{folder.rstrip('/')}/{name}"
+        if name == "stock_intraday_transaction":
+            asked = trade_requests(tickers, F.lit(trading_date))
+            return fetch_pages(asked, transport, lambda more, part: fetch_resumed(more, transport, f"{place}/{part}"))
+        asked = bar_requests(tickers, first, last) if name == "stock_history" else request_grid(tickers, name)
+        return fetch_resumed(asked, transport, place)
+
+    def inbox(name: str) -> DataFrame:
+        if name not in landed:
+            landed[name] = settle(fetched(name), f"landed-{name}")
+        return landed[name]
+
+    return inbox
+
+
+def universe(spark: SparkSession, transport: Transport, folder: str) -> DataFrame:
+    """The tickers of the master list, asked for by one request."""
+    asked = request_grid(spark.createDataFrame([("",)], "ticker string"), MASTER)
+    bodies = fetch_resumed(asked, transport, f"{folder.rstrip('/')}/{MASTER}", partitions=1)
+    return tickers_of_master_list(bodies, MASTER_LIST)

@@ -7,7 +7,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,6 +46,14 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed(seen: Observation, **empty) -> dict:
+    """What a pass has observed; ``empty`` where Spark saw that there was no row and left the pass out."""
+    try:
+        return seen.get
+    except Py4JJavaError:       # nothing was reported
+        return empty
+
+
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 

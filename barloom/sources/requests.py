@@ -7,23 +7,34 @@ file in one task and asks the transport for its paths. The driver sees file name
 from __future__ import annotations
 
 import bisect
+import itertools
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.dataset as ds
 import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from barloom.functions.timefns import day_bound, is_weekend
 from barloom.model import ENDPOINTS
-from barloom.session import new_path, ship_package
+from barloom.session import new_path, observed, settle, ship_package
 
 # A transport takes the paths of one request file, in order, and gives one body (or None) for each.
 Transport = Callable[[Iterator[str]], Iterator[str | None]]
 
 BODY_SCHEMA = "request_key string, ticker string, flag int, body string"
 SOURCE_NAME = "barloom_bodies"
+#: Request files per core: more than one, so that a slow file does not leave the others' cores idle.
+FILES_PER_CORE = 4
+ATTEMPTS = 3
+#: Requests that a resumed fetch lands at once.
+WAVE_REQUESTS = 100_000
+ERROR_CHARS = 200
+#: Paths that are looked up in an archive at once.
+LOOKED_UP = 256
 #: Characters of bodies after which a batch is handed on.
 BATCH_CHARS = 8 << 20
 
@@ -60,25 +71,64 @@ def trade_requests(tickers: DataFrame, day: Column) -> DataFrame:
         "path", F.concat("path", last_session))
 
 
+def _number(name: str) -> Column:
+    return F.get_json_object("body", f"$.{name}").try_cast("bigint")
+
+
+def page_of(requests: DataFrame, pages: DataFrame) -> DataFrame:
+    """The requests for some pages: ``pages`` has ``request_key`` (of the first page) and ``page``."""
+    path = F.replace("path", F.lit("page=0"), F.concat(F.lit("page="), F.col("page").cast("string")))
+    return requests.join(pages, "request_key").select(
+        F.concat_ws("/", "request_key", F.concat(F.lit("page"), "page")).alias("request_key"),
+        "ticker", "flag", path.alias("path"))
+
+
 def page_requests(requests: DataFrame, first_bodies: DataFrame) -> DataFrame:
     """Requests for the pages after the first one, as many as the header of its body asks for.
 
-    ``total`` and ``size`` stand in each body; a body without them asks for no more.
+    ``total`` and ``size`` stand in each body; :func:`fetch_pages` goes on by itself after a body without them.
     """
-    total, size = (F.get_json_object("body", f"$.{c}").try_cast("bigint") for c in ("total", "size"))
-    pages = F.ceil(total / F.when(size > 0, size)).cast("int")
+    pages = F.ceil(_number("total") / F.when(_number("size") > 0, _number("size"))).cast("int")
     more = first_bodies.select("request_key", F.explode(F.when(
         pages > 1, F.sequence(F.lit(1), pages - 1))).alias("page"))
-    return requests.join(more, "request_key").select(
-        F.concat_ws("/", "request_key", F.concat(F.lit("page"), "page")).alias("request_key"),
-        "ticker", "flag", F.replace("path", F.lit("page=0"), F.concat(F.lit("page="), F.col("page").cast(
-            "string"))).alias("path"))
+    return page_of(requests, more)
 
 
-def fetch_pages(requests: DataFrame, transport: Transport) -> DataFrame:
-    """The bodies of all pages: the first ones say how many there are."""
-    first = fetch(requests, transport)
-    return first.unionByName(fetch(page_requests(requests, first), transport))
+def open_ended(requests: DataFrame, bodies: DataFrame, page: int) -> DataFrame:
+    """``(request_key, page)`` of the next pages to ask for where no total says how many there are.
+
+    ``bodies`` are those of page ``page``. One that holds as many rows as its size, or as the request's size if
+    it has none, may not be the last.
+    """
+    key = F.regexp_replace("request_key", r"/page\d+$", "")
+    rows = F.json_array_length(F.get_json_object("body", "$.data"))
+    full = bodies.filter(_number("total").isNull()).select(key.alias("request_key"), rows.alias("rows"),
+                                                          _number("size").alias("size"))
+    asked = requests.select("request_key", F.regexp_extract("path", r"[?&]size=(\d+)", 1).try_cast(
+        "bigint").alias("asked"))
+    return full.join(asked, "request_key").filter(
+        F.col("rows") >= F.coalesce(F.when(F.col("size") > 0, F.col("size")), "asked")).select(
+        "request_key", F.lit(page + 1).alias("page"))
+
+
+def fetch_pages(requests: DataFrame, transport: Transport,
+                fetched: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """The bodies of all pages. The first ones say how many there are; where they do not, pages are asked
+    for one after another until one is not full, all such requests side by side.
+
+    ``fetched`` lands a list of requests under a name of its own.
+    """
+    fetched = fetched or (lambda asked, name: fetch(asked, transport))
+    first = latest = fetched(requests, "first")
+    landed = first.unionByName(fetched(page_requests(requests, first), "counted"))
+    page = 0
+    while True:
+        more = settle(open_ended(requests, latest, page), "more")
+        if more.isEmpty():
+            return landed
+        page += 1
+        latest = fetched(page_of(requests, more), f"page-{page}")
+        landed = landed.unionByName(latest)
 
 
 def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
@@ -122,6 +172,23 @@ def replay(paths: Iterator[str]) -> Iterator[str | None]:
         yield bodies[int(row) - starts[wanted]].as_py()
 
 
+def archived(archive: str) -> Transport:
+    """Transport for recorded bodies that are looked up by the path they were asked for.
+
+    ``archive`` is a Parquet folder with ``path`` and ``body``, in the order of ``path``, so that a request reads the
+    row groups that can hold it; a path that was not recorded gives None.
+    """
+    def transport(paths: Iterator[str]) -> Iterator[str | None]:
+        system, name = _filesystem(archive)
+        bodies = ds.dataset(name, filesystem=system, format="parquet")
+        while asked := list(itertools.islice(paths, LOOKED_UP)):
+            found = bodies.to_table(columns=["path", "body"], filter=ds.field("path").isin(asked))
+            body_of = dict(zip(found.column("path").to_pylist(), found.column("body").to_pylist()))
+            yield from (body_of.get(path) for path in asked)
+
+    return transport
+
+
 def recorded_requests(spark: SparkSession, archive: str) -> DataFrame:
     """The request list of an archive of bodies (``request_key, ticker, flag, body``)."""
     place = F.concat(F.col("_metadata.file_path"), F.lit("#"), F.col("_metadata.row_index"))
@@ -134,9 +201,41 @@ class _RequestFile(InputPartition):
         self.path = path
 
 
+def answers(transport: Transport, paths: Iterator[str]) -> Iterator[tuple[str | None, str | None]]:
+    """A body or an error for each path. After an error the transport is begun anew with the next path;
+    what it had asked for ahead is asked for again, path by path."""
+    waiting: deque[str] = deque()       # handed to the transport and not answered yet
+
+    def handed() -> Iterator[str]:
+        for path in paths:
+            waiting.append(path)
+            yield path
+
+    while True:
+        try:
+            for body in transport(handed()):
+                waiting.popleft()
+                yield body, None
+            if not waiting:
+                return
+            failure = RuntimeError("no answer")
+        except Exception as raised:  # noqa: BLE001 - whatever a transport raises is a request's failure
+            failure = raised
+        if not waiting:
+            raise RuntimeError("the transport failed before it took a path") from failure
+        if len(waiting) == 1:
+            waiting.clear()
+            yield None, f"{type(failure).__name__}: {failure}"[:ERROR_CHARS]
+        else:                # asked for ahead: which of them has failed shows one by one
+            alone = list(waiting)
+            waiting.clear()
+            for path in alone:
+                yield next(answers(transport, iter([path])))
+
+
 class _BodyReader(DataSourceReader):
-    def __init__(self, folder: str, transport: Transport):
-        self.folder, self.transport = folder, transport
+    def __init__(self, folder: str, transport: Transport, errors: bool = False):
+        self.folder, self.transport, self.errors = folder, transport, errors
 
     def partitions(self) -> list[InputPartition]:
         system, name = _filesystem(self.folder)
@@ -151,23 +250,29 @@ class _BodyReader(DataSourceReader):
             for batch in requests.iter_batches(columns=["path"]):
                 yield from batch.column(0).to_pylist()
 
-        bodies = self.transport(paths())
+        if self.errors:
+            bodies = answers(self.transport, paths())
+        else:
+            bodies = ((body, None) for body in self.transport(paths()))
         names = ["request_key", "ticker", "flag"]
         for batch in requests.iter_batches(4096, columns=names):
-            start, texts, held = 0, [], 0
+            start, texts, errors, held = 0, [], [], 0
             for row in range(batch.num_rows):
-                texts.append(next(bodies))
-                held += len(texts[-1] or "")
+                text, error = next(bodies)
+                texts.append(text)
+                errors.append(error)
+                held += len(text or "")
                 if held >= BATCH_CHARS or row == batch.num_rows - 1:
                     # bodies are never split; a batch ends with the one that fills it
                     yield pa.RecordBatch.from_arrays(
-                        [*batch.slice(start, row + 1 - start).columns, pa.array(texts, pa.string())],
-                        names=[*names, "body"])
-                    start, texts, held = row + 1, [], 0
+                        [*batch.slice(start, row + 1 - start).columns, pa.array(texts, pa.string()),
+                         *([pa.array(errors, pa.string())] if self.errors else [])],
+                        names=[*names, "body", *(["error"] if self.errors else [])])
+                    start, texts, errors, held = row + 1, [], [], 0
 
 
-def body_source(transport: Transport) -> type[DataSource]:
-    """A data source class that fetches with ``transport``."""
+def body_source(transport: Transport, errors: bool = False) -> type[DataSource]:
+    """A data source class that fetches with ``transport``; with ``errors`` a failure is a value."""
 
     class BodySource(DataSource):
         @classmethod
@@ -175,30 +280,75 @@ def body_source(transport: Transport) -> type[DataSource]:
             return SOURCE_NAME
 
         def schema(self) -> str:
-            return BODY_SCHEMA
+            return BODY_SCHEMA + (", error string" if errors else "")
 
         def reader(self, schema) -> DataSourceReader:
-            return _BodyReader(self.options["requests"], transport)
+            return _BodyReader(self.options["requests"], transport, errors)
 
     return BodySource
 
 
+def _fetched(requests: DataFrame, transport: Transport, partitions: int | None, order: tuple[str, ...],
+             errors: bool) -> DataFrame:
+    """The bodies of a request list, unwritten: the list is written as files, and a task fetches a file."""
+    spark = requests.sparkSession
+    n = partitions or FILES_PER_CORE * spark.sparkContext.defaultParallelism
+    listed = new_path(spark, "requests")
+    (requests.repartitionByRange(n, *order).sortWithinPartitions(*order)
+     .select("request_key", "ticker", "flag", "path").write.parquet(listed))
+    ship_package(spark)
+    spark.dataSource.register(body_source(transport, errors))
+    return spark.read.format(SOURCE_NAME).option("requests", listed).load()
+
+
 def fetch(requests: DataFrame, transport: Transport = read_files,
           partitions: int | None = None, order: tuple[str, ...] = ("request_key",)) -> DataFrame:
     """Fetch every request once and return the landed bodies.
 
-    One task fetches one of ``partitions`` request files, and a lost task asks again for its own
-    file only. Everything downstream reads the landed copy.
+    One task fetches one of ``partitions`` request files, some to a core, so that slow ones even out, and a lost
+    task asks again for its own file only. Everything downstream reads the landed copy.
+    """
+    landed = new_path(requests.sparkSession, "bodies")
+    _fetched(requests, transport, partitions, order, False).write.parquet(landed)
+    return requests.sparkSession.read.parquet(landed)
+
+
+def fetch_resumed(requests: DataFrame, transport: Transport, folder: str, attempts: int = ATTEMPTS,
+                  wave_requests: int = WAVE_REQUESTS, partitions: int | None = None) -> DataFrame:
+    """Fetch what ``folder`` does not hold yet and return its landed bodies.
+
+    ``folder`` belongs to one list of requests and is its ledger: a row for each answer, with the body or the error,
+    appended wave by wave, so that a run that dies loses the wave it was in and no other. A request that was
+    answered is never asked for again; one that failed is, up to ``attempts`` times in all, and then has no
+    body. An answer of None is one. Two runs on one folder must not overlap.
     """
     spark = requests.sparkSession
-    n = partitions or spark.sparkContext.defaultParallelism
-    listed, landed = new_path(spark, "requests"), new_path(spark, "bodies")
-    (requests.repartitionByRange(n, *order).sortWithinPartitions(*order)
-     .select("request_key", "ticker", "flag", "path").write.parquet(listed))
-    ship_package(spark)
-    spark.dataSource.register(body_source(transport))
-    spark.read.format(SOURCE_NAME).option("requests", listed).load().write.parquet(landed)
-    return spark.read.parquet(landed)
+    schema = BODY_SCHEMA + ", error string"
+    spark.createDataFrame([], schema).write.mode("append").parquet(folder)
+
+    def ledger() -> DataFrame:
+        return spark.read.schema(schema).parquet(folder)
+
+    for _ in range(attempts):
+        tried = ledger().groupBy("request_key").agg(
+            F.max(F.col("error").isNull()).alias("answered"), F.count(F.lit(1)).alias("times"))
+        done = tried.filter(F.col("answered") | (F.col("times") >= attempts))
+        counted = Observation()
+        missing = settle(requests.join(done, "request_key", "left_anti").observe(
+            counted, F.count(F.lit(1)).alias("n")), "missing")
+        waves = -(-observed(counted, n=0)["n"] // wave_requests)
+        wave, failed = F.pmod(F.xxhash64("request_key"), F.lit(max(waves, 1))), 0
+        for number in range(waves):
+            seen, mine = Observation(), missing.filter(wave == number)
+            _fetched(mine, transport, partitions, ("request_key",), True).observe(
+                seen, F.count("error").alias("failed")).write.mode("append").parquet(folder)
+            failed += observed(seen, failed=0)["failed"]
+        if not failed:
+            break
+    answered = ledger().filter(F.col("error").isNull()).drop("error")
+    given_up = ledger().filter(F.col("error").isNotNull()).select("request_key", "ticker", "flag").distinct().join(
+        answered.select("request_key"), "request_key", "left_anti")
+    return answered.unionByName(given_up.withColumn("body", F.lit(None).cast("string")))
 
 
 def fetch_recorded(spark: SparkSession, archive: str, partitions: int | None = None) -> DataFrame:

@@ -1,23 +1,34 @@
 """The tables as Parquet tables of a catalog database.
 
-Bars, indicators and trades are kept by the year of their timestamp (hidden column ``p_year``),
-period tables by their own ``year``, so that refreshes read and write few files.
+Bars and indicators are kept by the month of their timestamp (hidden column ``p_month``), trades by its day
+(``p_date``), ratings by their ``year``, so that refreshes read and write few files. Bars and indicators may be
+bucketed by ticker too: windows per ticker over stored rows then need no exchange. Tables that are
+replaced whole are not partitioned: a replacement is written to a fresh folder, and one change of the
+catalog puts it in place of the old one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from barloom.functions.timefns import last_days
-from barloom.model import TABLES, Table
+from barloom.model import STATEMENTS, TABLES, Table
 from barloom.operators.conform import conform
-from barloom.operators.quality import drop_null_keys, idempotent_rows, null_key_rows, only_new
-from barloom.session import settle
-
-HIDDEN_YEAR = "p_year"
+from barloom.operators.quality import drop_null_keys, idempotent_rows, known_keys, only_new
+from barloom.session import observed, settle
+
+HIDDEN_MONTH, HIDDEN_DATE = "p_month", "p_date"
+#: Tables that loads replace whole.
+REPLACED = (*STATEMENTS, "companies_info")
+#: Tables whose windows go by ticker, which :func:`create_tables` can bucket.
+SERIES = ("stock_history", "derived_stock_history")
+#: The next free number of each numbered table; rows are only added, the highest counts.
+MARKS = "id_marks"
 #: What no load could use, kept beside the tables: bodies that cannot be read, rows without a key.
 #: One table per dataset, as loads run side by side.
 REJECTS = "rejects_"
@@ -26,12 +37,29 @@ REJECT_COLUMNS = ["dataset", "ticker", "reason", "content"]
 
 def _partition_column(table: Table) -> str | None:
     if table.year_of:
-        return HIDDEN_YEAR
-    return "year" if "year" in table.columns else None
+        return HIDDEN_DATE if table.name == "stock_intraday_transaction" else HIDDEN_MONTH
+    return "year" if "year" in table.columns and table.name not in REPLACED else None
+
+
+def month_of(ts: Column) -> Column:
+    """Year and month as one number, such as 202402."""
+    return F.year(ts) * 100 + F.month(ts)
+
+
+def _partition_value(table: Table) -> Column:
+    """What a row's partition column holds."""
+    by = _partition_column(table)
+    if by == HIDDEN_MONTH:
+        return month_of(F.col(table.year_of))
+    return F.col(table.year_of).cast("date") if by == HIDDEN_DATE else F.col(by)
 
 
 def create_tables(spark: SparkSession, db: str, location: str | None = None,
-                  names: Iterable[str] = TABLES) -> None:
+                  names: Iterable[str] = TABLES, buckets: int = 0) -> None:
+    """The database and its tables, where they are not there yet.
+
+    With ``buckets`` the rows of the series are dealt by ticker into so many files per month, each in order.
+    """
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{place}")
     for name in names:
@@ -39,12 +67,23 @@ def create_tables(spark: SparkSession, db: str, location: str | None = None,
         columns = [f"{f.name} {f.dataType.simpleString()}" for f in table.schema]
         by = _partition_column(table)
         if table.year_of:
-            columns.append(f"{HIDDEN_YEAR} int")
+            columns.append(f"{by} {'int' if by == HIDDEN_MONTH else 'date'}")
         layout = f" PARTITIONED BY ({by})" if by else ""
+        if buckets and name in SERIES:
+            layout += f" CLUSTERED BY (ticker) SORTED BY ({', '.join(table.key)}) INTO {buckets} BUCKETS"
         spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{name} ({', '.join(columns)}) "
                   f"USING parquet{layout}")
 
 
+def _described(spark: SparkSession, db: str, name: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {db}.{name}").collect()}
+
+
+def buckets_of(spark: SparkSession, db: str, name: str) -> int:
+    """Into how many buckets a table is dealt, 0 if it is not."""
+    return int(_described(spark, db, name).get("Num Buckets", 0))
+
+
 def truncate_tables(spark: SparkSession, db: str, names: Iterable[str] = TABLES) -> None:
     for name in names:
         spark.sql(f"TRUNCATE TABLE {db}.{name}")
@@ -67,67 +106,98 @@ def table_schema(spark: SparkSession, db: str, name: str):
 
 def trailing_rows(spark: SparkSession, db: str, name: str, as_of: Column,
                   days: int = 30) -> DataFrame:
-    """Rows of the last ``days`` before ``as_of``; older years are not read."""
+    """Rows of the last ``days`` before ``as_of``; older months are not read."""
     table = TABLES[name]
-    first_year = F.year(as_of - F.make_dt_interval(F.lit(days)))
-    return (spark.table(f"{db}.{name}").filter(F.col(HIDDEN_YEAR) >= first_year)
+    first = month_of(as_of - F.make_dt_interval(F.lit(days)))
+    return (spark.table(f"{db}.{name}").filter(F.col(HIDDEN_MONTH) >= first)
             .filter(last_days(F.col(table.year_of), as_of, days)).select(*table.columns))
 
 
 def rows_since(spark: SparkSession, db: str, name: str, first: datetime) -> DataFrame:
-    """The rows from a moment on; earlier years are not read."""
+    """The rows from a moment on; earlier months are not read."""
     table = TABLES[name]
     return spark.table(f"{db}.{name}").filter(
-        (F.col(HIDDEN_YEAR) >= first.year) & (F.col(table.year_of) >= F.lit(first))).select(*table.columns)
+        (F.col(HIDDEN_MONTH) >= first.year * 100 + first.month)
+        & (F.col(table.year_of) >= F.lit(first))).select(*table.columns)
+
+
+def rows_of_months(spark: SparkSession, db: str, name: str, wanted: DataFrame) -> DataFrame:
+    """The rows of some tickers in some months: ``wanted`` has ``ticker`` and ``p_month``, few enough rows to be
+    broadcast. Months that no ticker asks for are not read, as the join prunes partitions when it runs."""
+    return (spark.table(f"{db}.{name}").join(wanted, ["ticker", HIDDEN_MONTH], "left_semi")
+            .select(*TABLES[name].columns))
 
 
 def session_rows(spark: SparkSession, db: str, name: str, day: date) -> DataFrame:
-    """The rows of one day; other years are not read."""
-    table = TABLES[name]
-    ts = F.col(table.year_of)
-    return spark.table(f"{db}.{name}").filter(
-        (F.col(HIDDEN_YEAR) == day.year) & (ts >= F.lit(day).cast("timestamp"))
-        & (ts < F.lit(day + timedelta(days=1)).cast("timestamp"))).select(*table.columns)
+    """The trades of one day; other days are not read."""
+    return spark.table(f"{db}.{name}").filter(F.col(HIDDEN_DATE) == F.lit(day)).select(*TABLES[name].columns)
 
 
-def _write(df: DataFrame, db: str, name: str, overwrite: bool) -> None:
+def _insert(df: DataFrame, db: str, name: str, overwrite: bool = False) -> None:
+    """Add rows, or replace all rows by them."""
     table = TABLES[name]
-    rows = conform(df, table.schema)
-    by = _partition_column(table)
-    if table.year_of:
-        rows = rows.withColumn(HIDDEN_YEAR, F.year(table.year_of))
+    rows, by = conform(df, table.schema), _partition_column(table)
     if by:
-        # adaptive rebalancing splits a large year and joins small ones; no sampling pass
-        rows = rows.hint("rebalance", by).sortWithinPartitions(by, *table.key)
+        rows = rows.withColumn(by, _partition_value(table))
+        buckets = buckets_of(df.sparkSession, db, name) if name in SERIES else 0
+        # one file per bucket and month; else adaptive rebalancing splits a large partition and joins
+        # small ones, without a sampling pass
+        rows = rows.repartition(buckets, "ticker") if buckets else rows.hint("rebalance", by)
+        rows = rows.sortWithinPartitions(by, *table.key)
         rows = rows.select(*(c for c in rows.columns if c != by), by)
-    (rows.write.option("partitionOverwriteMode", "static")
-     .insertInto(f"{db}.{name}", overwrite=overwrite))
+    rows.write.insertInto(f"{db}.{name}", overwrite=overwrite)
 
 
 def append(df: DataFrame, db: str, name: str) -> None:
-    _write(df, db, name, overwrite=False)
+    _insert(df, db, name)
+
+
+def _switch(spark: SparkSession, db: str, name: str, path: str) -> None:
+    """Let a table read another folder from now on, by one change of the catalog."""
+    spark.sql(f"ALTER TABLE {db}.{name} SET LOCATION '{path}'")
 
 
 def overwrite(df: DataFrame, db: str, name: str) -> None:
-    """Replace all rows; the table and its layout stay."""
-    _write(df, db, name, overwrite=True)
+    """Replace all rows; the table and its layout stay. ``df`` may read the table itself.
 
+    A table that is not partitioned is written to a fresh folder beside the old one, which readers see until
+    the catalog names the new one: who stops in between has changed nothing. Of a partitioned table, the
+    rows are written aside first.
+    """
+    table = TABLES[name]
+    if _partition_column(table):
+        _insert(settle(conform(df, table.schema), name), db, name, overwrite=True)
+    else:
+        replace_folder(conform(df, table.schema), db, name)
 
-def rewrite(df: DataFrame, db: str, name: str) -> None:
-    """Replace a table by rows computed from itself, which are written aside first."""
-    overwrite(settle(df, name), db, name)
+
+def replace_folder(rows: DataFrame, db: str, name: str) -> None:
+    """Write ``rows`` to a fresh folder and put it in place of a table's old one."""
+    spark = rows.sparkSession
+    path = f"{_described(spark, db, name)['Location'].rsplit('/', 1)[0]}/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    _switch(spark, db, name, path)
+
+
+def replace_partitions(df: DataFrame, db: str, name: str) -> None:
+    """Replace the rows of those partitions that ``df`` has rows of; all others stay."""
+    conf, mode = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    rows, before = settle(conform(df, TABLES[name].schema), name), conf.get(mode)
+    conf.set(mode, "dynamic")        # for this write; a table of this kind heeds no option of the writer
+    try:
+        _insert(rows, db, name, overwrite=True)
+    finally:
+        conf.set(mode, before)
 
 
-def _near(stored: DataFrame, rows: DataFrame, table: Table) -> DataFrame:
-    """The stored rows of the time range of ``rows``; other years are not read."""
-    times = table.year_of or ("year" if "year" in table.columns else None)
-    if not times:
-        return stored
-    year = F.year(times) if table.year_of else F.col(times)
-    first, last = rows.agg(F.min(year), F.max(year)).head()
-    if first is None:
-        return stored.limit(0)
-    return stored.filter(F.col(_partition_column(table)).between(first, last))
+#: A replacement computed from the table itself.
+rewrite = overwrite
+
+
+def side_table(spark: SparkSession, db: str, name: str, columns: str) -> DataFrame:
+    """A table that loads keep for themselves, made when it is first asked for."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{name} ({columns}) USING parquet")
+    return spark.table(f"{db}.{name}")
 
 
 def reject(rows: DataFrame, db: str, name: str) -> None:
@@ -150,38 +220,86 @@ def rejects(spark: SparkSession, db: str) -> DataFrame:
     return kept
 
 
-def reject_null_keys(rows: DataFrame, keys: Iterable[str], db: str, name: str) -> DataFrame:
-    """The rows that have a whole key; the others go to the rejects. ``rows`` is read twice."""
-    bad = null_key_rows(rows, list(keys))
+@dataclass(frozen=True)
+class Sent:
+    """Rows written aside for a load, and what was counted while they were written."""
+
+    rows: DataFrame
+    sent: int
+    null_keys: int
+    first: object = None       # least and greatest value of the partition column
+    last: object = None
+
+
+def settled_rows(rows: DataFrame, keys: Iterable[str], name: str, part: Column | None = None) -> Sent:
+    """Write ``rows`` aside once; the pass that writes counts those without a whole key and finds the
+    range of ``part``."""
+    seen, known = Observation(), known_keys(list(keys))
+    part = F.lit(None).cast("int") if part is None else part
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("sent"), F.count_if(~known).alias("null_keys"),
+                            F.min(part).alias("first"), F.max(part).alias("last"))
+    return Sent(settle(counted, name), **observed(seen, sent=0, null_keys=0))
+
+
+def keyed_rows(sent: Sent, keys: Iterable[str], db: str, name: str) -> DataFrame:
+    """The rows that have a whole key; the others, if any were counted, go to the rejects."""
+    keys = list(keys)
+    if not sent.null_keys:
+        return sent.rows
+    bad = sent.rows.filter(~known_keys(keys))
     reject(bad.select(F.lit(name).alias("dataset"), F.col("ticker"), F.lit("null key").alias("reason"),
                       F.to_json(F.struct(*bad.columns)).alias("content")), db, name)
-    return drop_null_keys(rows, list(keys))
+    return drop_null_keys(sent.rows, keys)
+
+
+@dataclass(frozen=True)
+class Appended:
+    """What an append was given, left out for want of a key, and added; the rest was stored or repeated."""
+
+    sent: int
+    null_keys: int
+    added: int
+
+    @property
+    def repeated(self) -> int:
+        return self.sent - self.null_keys - self.added
 
 
 def append_new(df: DataFrame, db: str, name: str, unique: bool = False,
-               near: bool = True) -> None:
+               near: bool = True, before: Callable[[DataFrame], None] | None = None) -> Appended:
     """Append the rows whose key is not stored; running it again adds nothing.
 
     Rows without a whole key go to the rejects. ``unique`` says that ``df`` has no two rows of one
     key, which saves looking for them. With ``near`` the rows are written aside once, their time
-    range is looked up there, and other stored years are left unread; without it, for rows that
-    cover most of what is stored, nothing is written aside and rows without a key are left out.
+    range and faults are found in that pass, and other stored partitions are left unread; without it, for
+    rows that cover most of what is stored, nothing is written aside and rows without a key are left out.
+    ``before`` gets the rows that are about to be appended, written aside. All counts come from the passes that write.
     """
     table = TABLES[name]
-    rows = conform(df, table.schema)
-    if near:
-        rows = reject_null_keys(settle(rows, name), table.key, db, name)
-    else:
-        rows = drop_null_keys(rows, table.key)
+    rows, by = conform(df, table.schema), _partition_column(table)
     stored = df.sparkSession.table(f"{db}.{name}")
     if near:
-        stored = _near(stored, rows, table)
+        sent = settled_rows(rows, table.key, name, _partition_value(table) if by else None)
+        rows = keyed_rows(sent, table.key, db, name)
+        if by:
+            stored = stored.limit(0) if sent.first is None else stored.filter(
+                F.col(by).between(F.lit(sent.first), F.lit(sent.last)))
+    else:
+        counted = Observation()
+        rows = drop_null_keys(rows.observe(counted, F.count(F.lit(1)).alias("sent"), F.count_if(
+            ~known_keys(table.key)).alias("null_keys")), table.key)
     if unique:
         fresh = only_new(rows, stored, table.key)
     else:
         others = [c for c in rows.columns if c not in table.key]
         fresh = idempotent_rows(rows, stored, table.key, others)
-    append(fresh, db, name)
+    if before:
+        fresh = settle(fresh, name)
+        before(fresh)
+    written = Observation()
+    append(fresh.observe(written, F.count(F.lit(1)).alias("added")), db, name)
+    seen = {"sent": sent.sent, "null_keys": sent.null_keys} if near else observed(counted, sent=0, null_keys=0)
+    return Appended(**seen, **observed(written, added=0))
 
 
 def write_both(df: DataFrame, db: str, targets: dict[str, tuple[DataFrame, str]]) -> None:
@@ -194,6 +312,16 @@ def write_both(df: DataFrame, db: str, targets: dict[str, tuple[DataFrame, str]]
         df.unpersist()
 
 
-def next_id(spark: SparkSession, db: str, name: str = "stock_intraday_transaction") -> int:
-    highest = spark.table(f"{db}.{name}").agg(F.max("id")).head()[0]
-    return 0 if highest is None else highest + 1
+def take_ids(spark: SparkSession, db: str, count: int, name: str = "stock_intraday_transaction") -> int:
+    """Take the next ``count`` numbers of a table and return the first of them.
+
+    They are noted as taken before any row is written, so no two loads get the same; a load that fails
+    afterwards leaves a gap. The numbered table itself is read only if nothing was noted yet.
+    """
+    marks = side_table(spark, db, MARKS, "table_name string, next bigint").filter(F.col("table_name") == name)
+    start = marks.agg(F.max("next")).head()[0]
+    if start is None:
+        highest = spark.table(f"{db}.{name}").agg(F.max("id")).head()[0]
+        start = 0 if highest is None else highest + 1
+    spark.createDataFrame([(name, start + count)], "table_name string, next bigint").write.insertInto(f"{db}.{MARKS}")
+    return start
