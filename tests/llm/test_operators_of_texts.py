@@ -94,9 +94,27 @@ def test_block_naming_tells_texts_apart(spark):
     rng = random.Random(1)
     texts = ["".join(rng.choice("ab") for _ in range(rng.choice([0, 3, 8, 9, 17]))) for _ in range(300)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for r in exact_dedup.exact_groups(df, block_chars=3, probe_chars=2).collect():
-        same = [i for i, t in enumerate(texts) if t == texts[r["doc_id"]]]
-        assert (r["keep_id"], r["group_size"]) == (max(same), len(same))
+    for probe in (0, 2):
+        for r in exact_dedup.exact_groups(df, block_chars=3, probe_chars=probe).collect():
+            same = [i for i, t in enumerate(texts) if t == texts[r["doc_id"]]]
+            assert (r["keep_id"], r["group_size"]) == (max(same), len(same))
+
+
+@pytest.mark.parametrize("probe", [0, 2])
+def test_texts_are_equal_as_they_are_normalised(spark, probe):
+    df = spark.createDataFrame(enumerate(["abc", " abc ", "abc  d", "abd", "  abd"]), "doc_id long, text string")
+    rows = exact_dedup.exact_groups(df, normalise=F.trim, probe_chars=probe).collect()
+    assert {r["doc_id"]: r["keep_id"] for r in rows} == {0: 1, 1: 1, 2: 2, 3: 4, 4: 4}
+
+
+def test_hot_blocks_and_texts_are_named_apart(spark):
+    """Of 5,000 rows more than a thousandth share a block or a whole text; two rows share each of the others."""
+    texts = ["hot text"] * 2000 + ["hotblock" + str(k // 2) for k in range(2000)] + [f"own {k // 2}" for k in range(1000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = exact_dedup.exact_groups(df, block_chars=8).collect()
+    assert {r["doc_id"]: r["group_size"] for r in rows} == {i: 2000 if i < 2000 else 2 for i in range(5000)}
+    assert {r["keep_id"] for r in rows} == {1999, *range(2001, 5000, 2)}
+    assert exact_dedup.deduplicate(df, block_chars=8).count() == 1 + 1000 + 500
 
 
 def test_targets_are_filled_by_weight(spark):
