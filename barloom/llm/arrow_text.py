@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from barloom.session import settle, ship_package
 
@@ -19,29 +19,34 @@ SLICE_BYTES = 4 << 20
 SLICE_ROWS = 4096
 
 
-#: Rows and bytes of a batch where an operator writes its result itself.
+#: Rows and bytes of a batch where an operator runs a job itself.
 BATCH_ROWS = 1000
 BATCH_BYTES = 16 << 20
 
 
-def settle_texts(df: DataFrame, name: str) -> DataFrame:
-    """``settle``, with batches to Python of ``BATCH_ROWS`` rows and ``BATCH_BYTES`` at most.
-
-    The session has its own settings again afterwards; a result that is returned unwritten goes by
-    those of whoever writes it (64 MB a batch by default).
-    """
-    conf, before = df.sparkSession.conf, {}
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches to Python of ``BATCH_ROWS`` rows and ``BATCH_BYTES`` at most, for what runs within; the session
+    has its own settings again afterwards."""
+    conf, before = spark.conf, {}
     for key, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         key = f"spark.sql.execution.arrow.{key}"
         before[key] = conf.get(key, None)
         conf.set(key, value)
     try:
-        return settle(df, name)
+        yield
     finally:
         for key, value in before.items():
             conf.unset(key) if value is None else conf.set(key, value)
 
 
+def settle_texts(df: DataFrame, name: str) -> DataFrame:
+    """``settle`` with small batches. A result that is returned unwritten goes by the settings of whoever writes
+    it (64 MB a batch by default)."""
+    with small_batches(df.sparkSession):
+        return settle(df, name)
+
+
 def give_back() -> None:
     """Memory that a task has used, back to the system: its worker is kept for later tasks."""
     pa.default_memory_pool().release_unused()

@@ -22,7 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from barloom.llm.arrow_text import Words, giving_back, settle_texts, slices, texts_of, with_columns_in_arrow
+from barloom.llm.arrow_text import (
+    Words, giving_back, settle_texts, slices, small_batches, texts_of, with_columns_in_arrow)
 from barloom.llm.terms import terms_of
 from barloom.session import settle, ship_package
 
@@ -77,8 +78,9 @@ def bucket_counts(docs: DataFrame, text_col: str = "text", longest: int = LONGES
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["bucket", "n"])
 
-    rows = (docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(giving_back(run), "bucket long, n long")
-            .groupBy("bucket").agg(F.sum("n").alias("n")).collect())      # one row per bucket
+    with small_batches(docs.sparkSession):
+        rows = (docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(giving_back(run), "bucket long, n long")
+                .groupBy("bucket").agg(F.sum("n").alias("n")).collect())      # one row per bucket
     counts = np.zeros(buckets, np.int64)
     for row in rows:
         counts[row["bucket"]] = row["n"]

@@ -471,11 +471,6 @@ def _grouped(numbered: DataFrame, width: int, threshold: float, bands: int, rows
         (F.col("row") == F.col("first.row")).alias("kept"))
 
 
-def _numbered(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
-    return [F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-            F.col(f"`{text_col}`").alias("text")]
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     width: int = WIDTH, threshold: float = THRESHOLD, bands: int = BANDS,
                     rows: int = ROWS) -> DataFrame:
@@ -486,7 +481,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Texts without words, null ones too, have no shingles and are classes of their own. Other columns
     are not read. An empty table gives no rows.
     """
-    numbered = docs.select(*_numbered(docs, id_col, text_col))
+    numbered = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+        F.col(f"`{text_col}`").alias("text"))
     return _grouped(numbered, width, threshold, bands, rows).select(
         "doc_id", "class_id", "class_size", "kept", "shingle_count")
 
@@ -496,7 +493,9 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
                             rows: int = ROWS) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns. Only ids and texts go through Python."""
     every = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("carried")
-    numbered = settle(docs.select(every, *_numbered(docs, id_col, text_col)), "numbered")
-    judged = _grouped(numbered.select("row", "doc_id", "text"), width, threshold, bands, rows)
+    numbered = settle(docs.select(every, F.monotonically_increasing_id().alias("row")), "numbered")
+    carried = F.col("carried")
+    judged = _grouped(numbered.select("row", carried.getField(id_col).cast("long").alias("doc_id"),
+                                      carried.getField(text_col).alias("text")), width, threshold, bands, rows)
     dropped = broadcast_if_small(judged.where("not kept").select("row"))
     return numbered.select("row", "carried").join(dropped, "row", "left_anti").select("carried.*")

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from barloom.llm.arrow_text import Words, giving_back, slices, texts_of, with_columns_in_arrow
+from barloom.llm.arrow_text import Words, giving_back, slices, small_batches, texts_of, with_columns_in_arrow
 from barloom.llm.labelled import FOLDS, SAMPLE_PER_CLASS, labelled_sample
 from barloom.session import ship_package
 
@@ -238,8 +238,9 @@ def _document_frequencies(docs: DataFrame, vocabulary: Vocabulary, text_col: str
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)],
                                          ["term", "n"])
 
-    rows = (docs.select(f"`{text_col}`").mapInArrow(giving_back(count), "term long, n long")
-            .groupBy("term").agg(F.sum("n").alias("n")).collect())
+    with small_batches(docs.sparkSession):
+        rows = (docs.select(f"`{text_col}`").mapInArrow(giving_back(count), "term long, n long")
+                .groupBy("term").agg(F.sum("n").alias("n")).collect())
     found = np.zeros(len(vocabulary.terms) + 1, np.int64)
     for row in rows:
         found[row["term"]] = row["n"]
