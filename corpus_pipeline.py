@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.llm import exact_dedup, mixing, near_dedup, packing, toxicity
+from barloom.llm.arrow_text import settle_texts
 from barloom.llm.catalog import byte_bpe, table
 from barloom.session import broadcast_if_small, settle
 
@@ -28,8 +29,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
     scored = toxicity.with_scores(docs.select(digest.alias("digest"), F.coalesce("text", F.lit("")).alias("text")),
                                   model, carried=["digest"])
-    toxic = scored.where(F.col("toxic_score") >= toxicity.THRESHOLD).select("digest").distinct()
-    digests = broadcast_if_small(toxic)
+    toxic = settle_texts(scored.where(F.col("toxic_score") >= toxicity.THRESHOLD).select("digest"), "toxic")
+    digests = broadcast_if_small(toxic.distinct())
     return docs.join(digests, digest == digests["digest"], "left_anti")
 
 
