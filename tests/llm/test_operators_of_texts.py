@@ -345,7 +345,42 @@ def test_templates_learn_from_their_labelled_pages(spark):
     df = spark.createDataFrame(rows, "host string, path string, bad int").withColumn(
         "lexical", url_filter.lexical_template(F.col("path")))
     found = {r["lexical"]: r["rejected"] for r in url_filter.templates(df).collect()}
-    assert found == {"/x/*": True, "/y/*": False}
+    assert found == {"/x/*": True, "/y/*": True}          # nothing but the host's other pages speaks for /y
+
+
+def judged(spark, rows):
+    df = spark.createDataFrame(rows, "host string, path string, bad int").withColumn(
+        "lexical", url_filter.lexical_template(F.col("path")))
+    return {(r["host"], r["lexical"]): r for r in url_filter.templates(df).collect()}
+
+
+def test_too_few_labels_are_judged_by_the_nearest_ancestor(spark):
+    rows = [("bad", f"/es/p{'x' * k}", 1) for k in range(6)] + [("bad", "/en/some", None), ("bad", "", None)]
+    rows += [("mixed", f"/es/p{'x' * k}", 1) for k in range(6)] + [("mixed", f"/en/p{'x' * k}", 0) for k in range(6)]
+    rows += [("mixed", "/es/other", None), ("mixed", "/en/other", None), ("mixed", "/fr/other", None)]
+    rows += [("good", f"/a/p{'x' * k}", 0) for k in range(6)] + [("good", "/b", None), ("few", "/a", 1), ("few", "/b", None)]
+    found = judged(spark, rows)
+    told = {key: (r["judged_by"], r["rejected"]) for key, r in found.items()}
+    assert told["bad", "/en/some"] == ("", True) and told["bad", ""] == ("", True)
+    assert told["mixed", "/es/other"] == ("/es", True) and told["mixed", "/en/other"] == ("/en", False)
+    assert told["mixed", "/fr/other"] == ("", False)             # half of the host is good
+    assert told["good", "/b"] == ("", False) and told["few", "/b"] == (None, None)
+
+
+def test_deep_slugs_are_one_template(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [("h", f"/es/2019/05/x/slug{c}", 1 if k < 6 else None) for k, c in enumerate(letters)]
+    rows += [("h", f"/es/2019/05/good/text{c}", 0) for c in letters[:8]]
+    found = judged(spark, rows)
+    assert found["h", "/es/*/*/x/slugz"]["template"] == "/es/*/*/x/*" and found["h", "/es/*/*/x/slugz"]["rejected"]
+    assert not found["h", "/es/*/*/good/texta"]["rejected"]
+
+
+def test_urls_at_the_edge(spark):
+    rows = [(1, None, 1), (1, "http://x.net/es/" + "a/" * 300, 1), (2, "", None), (None, "://", 3), (3, "http://h" + "/" * 50, 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, template long")
+    assert len(url_filter.judged_urls(pages).collect()) == 5
+    assert url_filter.judged_urls(pages.limit(0)).count() == 0
 
 
 def test_statistics_of_nothing():
