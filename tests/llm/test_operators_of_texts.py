@@ -52,8 +52,7 @@ def operators(labels):
             described(d), quality_classifier.fit(described(d), labels)),
         "rules": lambda d: quality_rules.judged(
             quality_rules.counted(d), quality_rules.fit(quality_rules.counted(d), labels)),
-        "secrets": lambda d: secrets_scan.with_secrets(
-            d, secrets_scan.ranks_of(secrets_scan.common_words(d))),
+        "secrets": secrets_scan.with_secrets,
         "near": near_dedup.near_duplicates}
 
 
