@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from barloom.session import settle
 
+#: Rows of a part that a series is cut into, and how many times as many one may hold.
+PART_ROWS = 1 << 20
+MOST_PART = 8
 _POSITION_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
@@ -85,11 +88,53 @@ def _handed_on(last_rows: DataFrame, keys: Sequence[str], step: int) -> DataFram
 
 
 def lag_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str],
-               partitions: int | None = None) -> DataFrame:
+               partitions: int | None = None, part_rows: int = PART_ROWS) -> DataFrame:
     """Value of the previous row of the key: ``columns`` maps new name -> source column.
 
-    Works on ranges of (keys, order), so one key may hold any share of the rows.
+    One key may hold any share of the rows. Where the order begins with a time or a number, series are cut by it into
+    parts of ``part_rows`` rows on average, each with the last row of the part before: one exchange of all
+    rows. Where it does not, or a part holds far more rows than the others, or ``partitions`` asks for it, ranges
+    of the whole order do the same with a sample and a settled copy.
     """
+    kind = df.schema[order[0]].dataType
+    if partitions or not isinstance(kind, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return _lag_over_ranges(df, keys, order, columns, partitions)
+    place = F.col(order[0]) if isinstance(kind, T.NumericType) else F.unix_micros(F.col(order[0]).cast("timestamp"))
+    place = place.cast("double")
+    low, high, rows = df.agg(F.min(place), F.max(place), F.count(F.lit(1))).head()
+    parts = max(1, -(-rows // part_rows))
+    if parts == 1 or low is None or low == high:
+        whole = Window.partitionBy(*keys).orderBy(*order)
+        if rows > MOST_PART * part_rows:
+            return _lag_over_ranges(df, keys, order, columns, None)
+        return df.withColumns({new: F.lag(old).over(whole) for new, old in columns.items()})
+    # nulls come first in the order
+    part = F.coalesce(F.floor((place - low) / ((high - low) / parts)), F.lit(-1)).cast("int").alias("_part")
+    needed = list(dict.fromkeys([*keys, *order, *columns.values()]))
+    last = F.max_by(F.struct(*needed), F.struct(*order)).alias("_row")
+    ends = settle(df.select(*needed, part).groupBy(*keys, "_part").agg(last, F.count(F.lit(1)).alias("_rows")), "ends")
+    if (ends.agg(F.max("_rows")).head()[0] or 0) > MOST_PART * part_rows:
+        return _lag_over_ranges(df, keys, order, columns, None)
+    extra = _handed_on(ends.select(*(F.col("_row")[c].alias(c) for c in needed), F.col("_part").alias("_first"),
+                                   F.col("_part").alias("_last")), keys, 1).withColumn("_own", F.lit(False))
+    own = df.select("*", part).withColumn("_own", F.lit(True))
+    return _lagged(own, extra, keys, order, columns)
+
+
+def _lagged(own: DataFrame, extra: DataFrame, keys: Sequence[str], order: Sequence[str],
+            columns: dict[str, str]) -> DataFrame:
+    """Previous values within parts, which ``extra`` rows begin."""
+    series = Window.partitionBy(*keys, "_part").orderBy(*order)
+    return (
+        own.unionByName(extra, allowMissingColumns=True)
+        .withColumns({new: F.lag(old).over(series) for new, old in columns.items()})
+        .filter("_own").drop("_own", "_part")
+    )
+
+
+def _lag_over_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str],
+                     partitions: int | None) -> DataFrame:
+    """:func:`lag_by_key` by ranges of (keys, order), whatever their types and density."""
     placed = _ranged(df, [*keys, *order], partitions)
     needed = list(dict.fromkeys([*keys, *order, *columns.values()]))
     # a range is sorted, so its last row of a key is the one with the greatest position
@@ -98,12 +143,7 @@ def lag_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns
         *needed, F.col("_range").alias("_first"), F.col("_range").alias("_last"))
     rows = placed.drop("_pos").withColumnRenamed("_range", "_part").withColumn("_own", F.lit(True))
     extra = _handed_on(last_rows, keys, 1).withColumn("_own", F.lit(False))
-    series = Window.partitionBy(*keys, "_part").orderBy(*order)
-    return (
-        rows.unionByName(extra, allowMissingColumns=True)
-        .withColumns({new: F.lag(old).over(series) for new, old in columns.items()})
-        .filter("_own").drop("_own", "_part")
-    )
+    return _lagged(rows, extra, keys, order, columns)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

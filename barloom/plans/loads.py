@@ -23,7 +23,8 @@ from barloom.model import (
     ENDPOINTS, MASTER, MASTER_LIST, PAGE_HEADER, RATINGS, STATEMENTS, TABLES, TRADE_NAMES)
 from barloom.operators.conform import conform
 from barloom.operators.ordering import ordered_id, ticker_sample
-from barloom.operators.payload import PARSED, parse_once, rows_of, tickers_of_master_list
+from barloom.operators.payload import (
+    PARSED, decode_array, decode_object, decode_wrapped, parse_once, rows_of, tickers_of_master_list)
 from barloom.operators.quality import (
     drop_null_keys, normalise_ticker, one_per_ticker, only_new)
 from barloom.operators.rolling import MONTH_SECONDS
@@ -35,21 +36,25 @@ from barloom.sources.requests import (
 
 Inbox = Callable[[str], DataFrame]  # dataset -> landed bodies
 HEADERS = {"stock_intraday_transaction": PAGE_HEADER}
+#: Rows that one task sorts when trades are numbered.
+RANGE_ROWS = 1 << 20
 PENDING, TAIL, STEPS = "bars_pending", "bars_tail", "finished_steps"
 
 
 def parsed(bodies: DataFrame, name: str) -> DataFrame:
-    """Bodies of a dataset, each parsed once; those of :func:`readable` are so already."""
+    """Bodies of a dataset, each parsed once, to be written aside and read for good and bad ones."""
     endpoint = ENDPOINTS[name]
-    if PARSED in bodies.columns:
-        return bodies
     return parse_once(bodies, endpoint.kind, endpoint.schema, HEADERS.get(name))
 
 
 def decoded(bodies: DataFrame, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The rows that the bodies of a dataset hold."""
-    endpoint = ENDPOINTS[name]
-    return rows_of(parsed(bodies, name), endpoint.kind, endpoint.schema, HEADERS.get(name), keep)
+    """The rows that the bodies of a dataset hold; those of :func:`readable` are parsed already."""
+    endpoint, header = ENDPOINTS[name], HEADERS.get(name)
+    if PARSED in bodies.columns:
+        return rows_of(bodies, endpoint.kind, endpoint.schema, header, keep)
+    if endpoint.kind == "wrapped":
+        return decode_wrapped(bodies, endpoint.schema, header, keep)
+    return (decode_array if endpoint.kind == "array" else decode_object)(bodies, endpoint.schema, keep)
 
 
 def statements(bodies: DataFrame, name: str) -> DataFrame:
@@ -82,10 +87,12 @@ def trades(bodies: DataFrame, trading_date: date) -> DataFrame:
     return conform(normalise_ticker(stamped), T.StructType([f for f in table if f.name != "id"]))
 
 
-def numbered_trades(rows: DataFrame, start: int = 0) -> DataFrame:
-    """Ids by ticker and time; the other columns only settle ties."""
+def numbered_trades(rows: DataFrame, start: int = 0, count: int | None = None) -> DataFrame:
+    """Ids by ticker and time; the other columns only settle ties. ``count`` rows, if known, say how many ranges
+    they are sorted in."""
     first = ["ticker", "time_stamp"]
-    return ordered_id(rows, first + [c for c in rows.columns if c not in first], start=start)
+    return ordered_id(rows, first + [c for c in rows.columns if c not in first], start=start,
+                      partitions=count and -(-count // RANGE_ROWS))
 
 
 def companies(bodies: DataFrame) -> DataFrame:
@@ -183,7 +190,8 @@ def load_trades(spark: SparkSession, db: str, inbox: Inbox, trading_date: date)
     stored = store.session_rows(spark, db, name, trading_date)
     fresh = store.settled_rows(sent.exceptAll(stored.select(*sent.columns)), key, name)
     if fresh.sent:
-        store.append(numbered_trades(fresh.rows, store.take_ids(spark, db, fresh.sent)), db, name)
+        start = store.take_ids(spark, db, fresh.sent)
+        store.append(numbered_trades(fresh.rows, start, fresh.sent), db, name)
 
 
 def _columns_of(name: str) -> str:
@@ -211,19 +219,21 @@ def load_indicators(spark: SparkSession, db: str, full: bool, catch_up: bool = T
     late = F.col("done").isNotNull() & (sec <= F.col("done"))
     seen = Observation()
     fresh = settle(pending.dropDuplicates(["ticker", "time_stamp"]).join(done, "ticker", "left")
-                   .withColumn("late", late).observe(seen, F.count(F.lit(1)).alias("n"), F.count_if("late").alias("late")),
-                   "fresh")
-    counts = observed(seen, n=0, late=0)
+                   .withColumn("late", late).observe(
+                       seen, F.count(F.lit(1)).alias("n"), F.count_if("late").alias("late"),
+                       F.min(store.quarter_of(F.col("time_stamp"))).alias("first"),
+                       F.max(store.quarter_of(F.col("time_stamp"))).alias("last")), "fresh")
+    counts = observed(seen, n=0, late=0, first=None, last=None)
     if not counts["n"]:
         return
     touched = fresh.select("ticker").distinct()
     known = tail.join(touched, "ticker", "left_semi")
-    series = settle(known.unionByName(fresh.select(*tail.columns)).dropDuplicates(["ticker", "time_stamp"]), "series")
+    series = known.unionByName(fresh.select(*tail.columns)).dropDuplicates(["ticker", "time_stamp"])
     wanted = fresh.filter("not late").select("ticker", "time_stamp")
     if not catch_up:
         wanted = wanted.groupBy("ticker").agg(F.max("time_stamp").alias("time_stamp"))
     derived = indicators(series).join(wanted, ["ticker", "time_stamp"], "left_semi")
-    store.append_new(derived.select(*OUTPUT), db, name, unique=True)
+    store.append_new(derived.select(*OUTPUT), db, name, unique=True, within=(counts["first"], counts["last"]))
     if counts["late"]:
         reconcile(spark, db, fresh.filter("late").select("ticker").distinct())
     store.replace_folder(tail_of(series).unionByName(tail.join(touched, "ticker", "left_anti")), db, TAIL)
@@ -231,55 +241,54 @@ def load_indicators(spark: SparkSession, db: str, full: bool, catch_up: bool = T
 
 
 def digests(spark: SparkSession, db: str, name: str, tickers: DataFrame | None = None) -> DataFrame:
-    """``(ticker, p_month, n, keys)``: how many rows a series has in a month, and the XOR of their key hashes.
+    """``(ticker, p_quarter, n, keys)``: how many rows a series has in a quarter, and the XOR of their key hashes.
 
     Reads keys only, and sums map-side.
     """
     rows = spark.table(f"{db}.{name}")
     if tickers is not None:
         rows = rows.join(tickers, "ticker", "left_semi")
-    return rows.groupBy("ticker", store.HIDDEN_MONTH).agg(
+    return rows.groupBy("ticker", store.HIDDEN_QUARTER).agg(
         F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("ticker", "time_stamp")).alias("keys"))
 
 
-def differing_months(spark: SparkSession, db: str, tickers: DataFrame | None = None) -> DataFrame:
-    """``(ticker, p_month, differs)``: all months with bars, and whether the indicators lack or repeat some."""
-    month = store.HIDDEN_MONTH
+def differing_quarters(spark: SparkSession, db: str, tickers: DataFrame | None = None) -> DataFrame:
+    """``(ticker, p_quarter, differs)``: all quarters with bars, and whether the indicators lack or repeat some."""
+    quarter = store.HIDDEN_QUARTER
     bars = digests(spark, db, "stock_history", tickers)
     derived = digests(spark, db, "derived_stock_history", tickers).select(
-        "ticker", month, F.col("n").alias("m"), F.col("keys").alias("other"))
+        "ticker", quarter, F.col("n").alias("m"), F.col("keys").alias("other"))
     same = (F.col("n") == F.col("m")) & (F.col("keys") == F.col("other"))
-    return bars.join(derived, ["ticker", month], "left").select(
-        "ticker", month, (~F.coalesce(same, F.lit(False))).alias("differs"))
+    return bars.join(derived, ["ticker", quarter], "left").select(
+        "ticker", quarter, (~F.coalesce(same, F.lit(False))).alias("differs"))
 
 
 def reconcile(spark: SparkSession, db: str, tickers: DataFrame | None = None, span: int = MONTH_SECONDS) -> None:
     """Derive the bars that have no indicators, and anew the rows that such bars change.
 
-    Bars and indicators are compared by one digest per ticker and month. Rows are read of the months that differ
+    Bars and indicators are compared by one digest per ticker and quarter. Rows are read of the quarters that differ
     and of those around them: before, two spans and the nearest earlier bar are looked back to; afterwards, two spans
-    and the next bar may change. Stored months that hold a changed row are replaced, others get new rows only.
+    and the next bar may change. Stored quarters that hold a changed row are replaced, others get new rows only.
     """
-    name, month = "derived_stock_history", store.HIDDEN_MONTH
+    name, quarter = "derived_stock_history", store.HIDDEN_QUARTER
     around = -(-3 * span // MONTH_SECONDS)
-    in_order = Window.partitionBy("ticker").orderBy(month)
-    held = settle(differing_months(spark, db, tickers).withColumn("place", F.row_number().over(in_order)), "months")
+    held = settle(differing_quarters(spark, db, tickers), "quarters")
     if held.filter("differs").isEmpty():
         return
 
     def number(m: Column) -> Column:
         return F.floor(m / 100) * 12 + m % 100 - 1
 
-    # a month with bars is wanted within some calendar months of one that differs, or next to such in order
-    at = number(F.col(month)).cast("long")
+    # a quarter with bars is wanted within some months of one that differs, or next to such in order
+    at = number(F.col(quarter)).cast("long")
     by_time = Window.partitionBy("ticker").orderBy("at")
     near = by_time.rangeBetween(-around, around)
     marked = held.withColumn("at", at).withColumn(
         "near", F.max(F.col("differs").cast("int")).over(near) == 1)
     beside = F.max(F.col("near").cast("int")).over(by_time.rowsBetween(-2, 2)) == 1
-    wanted = broadcast_if_small(marked.withColumn("wanted", beside).filter("wanted").select("ticker", month))
-    bars = settle(store.rows_of_months(spark, db, "stock_history", wanted), "bars")
-    stored = store.rows_of_months(spark, db, name, wanted).select("ticker", "time_stamp", F.lit(False).alias("missing"))
+    wanted = broadcast_if_small(marked.withColumn("wanted", beside).filter("wanted").select("ticker", quarter))
+    bars = settle(store.rows_of_quarters(spark, db, "stock_history", wanted), "bars")
+    stored = store.rows_of_quarters(spark, db, name, wanted).select("ticker", "time_stamp", F.lit(False).alias("missing"))
     flagged = bars.join(stored, ["ticker", "time_stamp"], "left").withColumn(
         "missing", F.coalesce("missing", F.lit(True)))
     changed = settle(affected_rows(flagged.select("ticker", "time_stamp", "missing"), span), "changed")
@@ -289,8 +298,8 @@ def reconcile(spark: SparkSession, db: str, tickers: DataFrame | None = None, sp
     if stale.isEmpty():
         store.append_new(fresh.select(*OUTPUT), db, name, unique=True)
         return
-    months = broadcast_if_small(fresh.select(store.month_of(F.col("time_stamp")).alias(month)).distinct())
-    others = spark.table(f"{db}.{name}").join(months, month, "left_semi").select(*OUTPUT).join(
+    changed_quarters = broadcast_if_small(fresh.select(store.quarter_of(F.col("time_stamp")).alias(quarter)).distinct())
+    others = spark.table(f"{db}.{name}").join(changed_quarters, quarter, "left_semi").select(*OUTPUT).join(
         fresh.select("ticker", "time_stamp"), ["ticker", "time_stamp"], "left_anti")
     store.replace_partitions(others.unionByName(fresh.select(*OUTPUT)), db, name)
 

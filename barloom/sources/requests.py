@@ -94,41 +94,43 @@ def page_requests(requests: DataFrame, first_bodies: DataFrame) -> DataFrame:
     return page_of(requests, more)
 
 
-def open_ended(requests: DataFrame, bodies: DataFrame, page: int) -> DataFrame:
-    """``(request_key, page)`` of the next pages to ask for where no total says how many there are.
+def open_ended(requests: DataFrame, bodies: DataFrame, page: int, ahead: int) -> DataFrame:
+    """``(request_key, page)`` of the next ``ahead`` pages to ask for where no total says how many there are.
 
-    ``bodies`` are those of page ``page``. One that holds as many rows as its size, or as the request's size if
+    Of ``bodies`` those of page ``page`` decide: one that holds as many rows as its size, or as the request's size if
     it has none, may not be the last.
     """
-    key = F.regexp_replace("request_key", r"/page\d+$", "")
+    number = F.regexp_extract("request_key", r"/page(\d+)$", 1)
     rows = F.json_array_length(F.get_json_object("body", "$.data"))
-    full = bodies.filter(_number("total").isNull()).select(key.alias("request_key"), rows.alias("rows"),
-                                                          _number("size").alias("size"))
+    full = bodies.filter(_number("total").isNull() & (F.coalesce(number.try_cast("int"), F.lit(0)) == page)).select(
+        F.regexp_replace("request_key", r"/page\d+$", "").alias("request_key"), rows.alias("rows"),
+        _number("size").alias("size"))
     asked = requests.select("request_key", F.regexp_extract("path", r"[?&]size=(\d+)", 1).try_cast(
         "bigint").alias("asked"))
     return full.join(asked, "request_key").filter(
         F.col("rows") >= F.coalesce(F.when(F.col("size") > 0, F.col("size")), "asked")).select(
-        "request_key", F.lit(page + 1).alias("page"))
+        "request_key", F.explode(F.sequence(F.lit(page + 1), F.lit(page + ahead))).alias("page"))
 
 
 def fetch_pages(requests: DataFrame, transport: Transport,
                 fetched: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
-    """The bodies of all pages. The first ones say how many there are; where they do not, pages are asked
-    for one after another until one is not full, all such requests side by side.
+    """The bodies of all pages. The first ones say how many there are. Where they do not, further pages are asked
+    for, each time twice as many as before, until the last of them is not full: few turns, and no more
+    requests in vain than there are pages.
 
     ``fetched`` lands a list of requests under a name of its own.
     """
     fetched = fetched or (lambda asked, name: fetch(asked, transport))
     first = latest = fetched(requests, "first")
     landed = first.unionByName(fetched(page_requests(requests, first), "counted"))
-    page = 0
+    page, ahead = 0, 1
     while True:
-        more = settle(open_ended(requests, latest, page), "more")
+        more = settle(open_ended(requests, latest, page, ahead), "more")
         if more.isEmpty():
             return landed
-        page += 1
-        latest = fetched(page_of(requests, more), f"page-{page}")
+        latest = fetched(page_of(requests, more), f"pages-{page + 1}")
         landed = landed.unionByName(latest)
+        page, ahead = page + ahead, 2 * ahead
 
 
 def _filesystem(path: str) -> tuple[fs.FileSystem, str]:

@@ -1,6 +1,6 @@
 """The tables as Parquet tables of a catalog database.
 
-Bars and indicators are kept by the month of their timestamp (hidden column ``p_month``), trades by its day
+Bars and indicators are kept by the quarter of their timestamp (hidden column ``p_quarter``), trades by its day
 (``p_date``), ratings by their ``year``, so that refreshes read and write few files. Bars and indicators may be
 bucketed by ticker too: windows per ticker over stored rows then need no exchange. Tables that are
 replaced whole are not partitioned: a replacement is written to a fresh folder, and one change of the
@@ -22,7 +22,7 @@ from barloom.operators.conform import conform
 from barloom.operators.quality import drop_null_keys, idempotent_rows, known_keys, only_new
 from barloom.session import observed, settle
 
-HIDDEN_MONTH, HIDDEN_DATE = "p_month", "p_date"
+HIDDEN_QUARTER, HIDDEN_DATE = "p_quarter", "p_date"
 #: Tables that loads replace whole.
 REPLACED = (*STATEMENTS, "companies_info")
 #: Tables whose windows go by ticker, which :func:`create_tables` can bucket.
@@ -37,20 +37,20 @@ REJECT_COLUMNS = ["dataset", "ticker", "reason", "content"]
 
 def _partition_column(table: Table) -> str | None:
     if table.year_of:
-        return HIDDEN_DATE if table.name == "stock_intraday_transaction" else HIDDEN_MONTH
+        return HIDDEN_DATE if table.name == "stock_intraday_transaction" else HIDDEN_QUARTER
     return "year" if "year" in table.columns and table.name not in REPLACED else None
 
 
-def month_of(ts: Column) -> Column:
-    """Year and month as one number, such as 202402."""
-    return F.year(ts) * 100 + F.month(ts)
+def quarter_of(ts: Column) -> Column:
+    """The year and the first month of the quarter as one number, such as 202404."""
+    return F.year(ts) * 100 + F.quarter(ts) * 3 - 2
 
 
 def _partition_value(table: Table) -> Column:
     """What a row's partition column holds."""
     by = _partition_column(table)
-    if by == HIDDEN_MONTH:
-        return month_of(F.col(table.year_of))
+    if by == HIDDEN_QUARTER:
+        return quarter_of(F.col(table.year_of))
     return F.col(table.year_of).cast("date") if by == HIDDEN_DATE else F.col(by)
 
 
@@ -58,7 +58,7 @@ def create_tables(spark: SparkSession, db: str, location: str | None = None,
                   names: Iterable[str] = TABLES, buckets: int = 0) -> None:
     """The database and its tables, where they are not there yet.
 
-    With ``buckets`` the rows of the series are dealt by ticker into so many files per month, each in order.
+    With ``buckets`` the rows of the series are dealt by ticker into so many files per quarter, each in order.
     """
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{place}")
@@ -67,7 +67,7 @@ def create_tables(spark: SparkSession, db: str, location: str | None = None,
         columns = [f"{f.name} {f.dataType.simpleString()}" for f in table.schema]
         by = _partition_column(table)
         if table.year_of:
-            columns.append(f"{by} {'int' if by == HIDDEN_MONTH else 'date'}")
+            columns.append(f"{by} {'int' if by == HIDDEN_QUARTER else 'date'}")
         layout = f" PARTITIONED BY ({by})" if by else ""
         if buckets and name in SERIES:
             layout += f" CLUSTERED BY (ticker) SORTED BY ({', '.join(table.key)}) INTO {buckets} BUCKETS"
@@ -106,25 +106,25 @@ def table_schema(spark: SparkSession, db: str, name: str):
 
 def trailing_rows(spark: SparkSession, db: str, name: str, as_of: Column,
                   days: int = 30) -> DataFrame:
-    """Rows of the last ``days`` before ``as_of``; older months are not read."""
+    """Rows of the last ``days`` before ``as_of``; older quarters are not read."""
     table = TABLES[name]
-    first = month_of(as_of - F.make_dt_interval(F.lit(days)))
-    return (spark.table(f"{db}.{name}").filter(F.col(HIDDEN_MONTH) >= first)
+    first = quarter_of(as_of - F.make_dt_interval(F.lit(days)))
+    return (spark.table(f"{db}.{name}").filter(F.col(HIDDEN_QUARTER) >= first)
             .filter(last_days(F.col(table.year_of), as_of, days)).select(*table.columns))
 
 
 def rows_since(spark: SparkSession, db: str, name: str, first: datetime) -> DataFrame:
-    """The rows from a moment on; earlier months are not read."""
+    """The rows from a moment on; earlier quarters are not read."""
     table = TABLES[name]
     return spark.table(f"{db}.{name}").filter(
-        (F.col(HIDDEN_MONTH) >= first.year * 100 + first.month)
+        (F.col(HIDDEN_QUARTER) >= first.year * 100 + first.month - (first.month - 1) % 3)
         & (F.col(table.year_of) >= F.lit(first))).select(*table.columns)
 
 
-def rows_of_months(spark: SparkSession, db: str, name: str, wanted: DataFrame) -> DataFrame:
-    """The rows of some tickers in some months: ``wanted`` has ``ticker`` and ``p_month``, few enough rows to be
-    broadcast. Months that no ticker asks for are not read, as the join prunes partitions when it runs."""
-    return (spark.table(f"{db}.{name}").join(wanted, ["ticker", HIDDEN_MONTH], "left_semi")
+def rows_of_quarters(spark: SparkSession, db: str, name: str, wanted: DataFrame) -> DataFrame:
+    """The rows of some tickers in some quarters: ``wanted`` has ``ticker`` and ``p_quarter``, few enough rows to be
+    broadcast. Quarters that no ticker asks for are not read, as the join prunes partitions when it runs."""
+    return (spark.table(f"{db}.{name}").join(wanted, ["ticker", HIDDEN_QUARTER], "left_semi")
             .select(*TABLES[name].columns))
 
 
@@ -140,7 +140,7 @@ def _insert(df: DataFrame, db: str, name: str, overwrite: bool = False) -> None:
     if by:
         rows = rows.withColumn(by, _partition_value(table))
         buckets = buckets_of(df.sparkSession, db, name) if name in SERIES else 0
-        # one file per bucket and month; else adaptive rebalancing splits a large partition and joins
+        # one file per bucket and quarter; else adaptive rebalancing splits a large partition and joins
         # small ones, without a sampling pass
         rows = rows.repartition(buckets, "ticker") if buckets else rows.hint("rebalance", by)
         rows = rows.sortWithinPartitions(by, *table.key)
@@ -266,28 +266,30 @@ class Appended:
 
 
 def append_new(df: DataFrame, db: str, name: str, unique: bool = False,
-               near: bool = True, before: Callable[[DataFrame], None] | None = None) -> Appended:
+               near: bool = True, before: Callable[[DataFrame], None] | None = None,
+               within: tuple | None = None) -> Appended:
     """Append the rows whose key is not stored; running it again adds nothing.
 
     Rows without a whole key go to the rejects. ``unique`` says that ``df`` has no two rows of one
     key, which saves looking for them. With ``near`` the rows are written aside once, their time
     range and faults are found in that pass, and other stored partitions are left unread; without it, for
     rows that cover most of what is stored, nothing is written aside and rows without a key are left out.
-    ``before`` gets the rows that are about to be appended, written aside. All counts come from the passes that write.
+    So it is for rows whose partitions the caller knows to lie ``within`` two values, but then others are not
+    read. ``before`` gets the rows that are about to be appended, written aside. All counts come from the passes that write.
     """
     table = TABLES[name]
     rows, by = conform(df, table.schema), _partition_column(table)
     stored = df.sparkSession.table(f"{db}.{name}")
+    near = near and within is None
     if near:
         sent = settled_rows(rows, table.key, name, _partition_value(table) if by else None)
-        rows = keyed_rows(sent, table.key, db, name)
-        if by:
-            stored = stored.limit(0) if sent.first is None else stored.filter(
-                F.col(by).between(F.lit(sent.first), F.lit(sent.last)))
+        rows, within = keyed_rows(sent, table.key, db, name), (sent.first, sent.last)
     else:
         counted = Observation()
         rows = drop_null_keys(rows.observe(counted, F.count(F.lit(1)).alias("sent"), F.count_if(
             ~known_keys(table.key)).alias("null_keys")), table.key)
+    if by and within:
+        stored = stored.limit(0) if within[0] is None else stored.filter(F.col(by).between(*map(F.lit, within)))
     if unique:
         fresh = only_new(rows, stored, table.key)
     else:

@@ -58,7 +58,7 @@ def test_bars_in_any_order_end_as_one_computation(spark, db):
     loads.reconcile(spark, db)
     assert store.read_table(spark, db, "derived_stock_history").count() == len(days)
     assert derived_equals_full(spark, db)
-    assert loads.differing_months(spark, db).filter("differs").isEmpty()
+    assert loads.differing_quarters(spark, db).filter("differs").isEmpty()
 
 
 def test_a_hole_is_found_later(spark, db):
@@ -90,7 +90,7 @@ def test_a_daily_run_reads_no_stored_bar(spark, db, monkeypatch):
 
     with monkeypatch.context() as patched:
         patched.setattr(store, "read_table", unread)
-        patched.setattr(store, "rows_of_months", None)
+        patched.setattr(store, "rows_of_quarters", None)
         loads.load_indicators(spark, db, full=False)
     assert derived_equals_full(spark, db)
     assert spark.table(f"{db}.{loads.PENDING}").isEmpty()
@@ -127,11 +127,12 @@ def test_windows_over_buckets_need_no_exchange(spark, tmp_path):
     assert store.buckets_of(spark, name, "stock_history") == 4 and store.buckets_of(spark, name, "cash_flow") == 0
 
 
-def test_months_are_pruned_by_the_join(spark, db):
+def test_quarters_are_pruned_by_the_join(spark, db):
     store.append(bars(spark, [(t, datetime(2023, m, 5), 1.0) for t in "AB" for m in range(1, 13)]), db, "stock_history")
-    wanted = settle(spark.createDataFrame([("A", 202303), ("A", 202307), ("B", 202307)], "ticker string, p_month int"))
-    rows = store.rows_of_months(spark, db, "stock_history", F.broadcast(wanted.filter("p_month > 202300")))
-    assert sorted((r["ticker"], r["time_stamp"].month) for r in rows.collect()) == [("A", 3), ("A", 7), ("B", 7)]
+    wanted = settle(spark.createDataFrame([("A", 202301), ("A", 202307), ("B", 202307)], "ticker string, p_quarter int"))
+    rows = store.rows_of_quarters(spark, db, "stock_history", F.broadcast(wanted.filter("p_quarter > 202300")))
+    assert sorted((r["ticker"], r["time_stamp"].month) for r in rows.collect()) == [
+        *(("A", m) for m in (1, 2, 3, 7, 8, 9)), *(("B", m) for m in (7, 8, 9))]
     assert "dynamicpruning" in plan_of(rows).split("PartitionFilters: [")[1].split("]")[0]
 
 

@@ -196,3 +196,19 @@ def test_dense_hot_ticker(spark):
     volume = ids % 7
     expected = [volume[(ids >= i - 20_000) & (ids <= i)].mean() for i in (0, 30_000, 150_000)]
     assert [hot[i // 3] for i in (0, 30_000, 150_000)] == pytest.approx(expected)
+
+
+@pytest.mark.parametrize("part_rows", [1 << 20, 40, 3])
+def test_lag_over_parts_by_time(spark, part_rows):
+    """A hot key, rows without a time, a burst in one second, and keys that skip parts."""
+    rng = random.Random(part_rows)
+    rows = [("hot", i * 7, i) for i in range(300)] + [("burst", 1000, 1000 + i) for i in range(30)]
+    rows += [("far", s, 2000 + s) for s in (0, 1, 2000, 2099)] + [("none", None, 3000 + i) for i in range(3)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "key string, sec long, id long")
+    found = lag_by_key(df, ["key"], ["sec", "id"], {"before": "id"}, part_rows=part_rows)
+    wanted = {}
+    for key in ("hot", "burst", "far", "none"):
+        own = sorted((s is not None, s or 0, i) for k, s, i in rows if k == key)
+        wanted |= {b[2]: a[2] for a, b in zip(own, own[1:])} | {own[0][2]: None}
+    assert {r["id"]: r["before"] for r in found.collect()} == wanted

@@ -64,7 +64,7 @@ def test_trailing_rows_read_only_recent_years(spark, db):
     recent = store.trailing_rows(spark, db, "stock_history", F.lit(NEW).cast("timestamp"))
     assert sorted(r["close"] for r in recent.collect()) == [2.0, 3.0]
     plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(p_month" in plan and "202012" in plan
+    assert "PartitionFilters: [isnotnull(p_quarter" in plan and "202010" in plan
 
 
 def test_life_of_the_tables(spark, db):
@@ -249,7 +249,7 @@ def test_batches_end_by_size_and_bodies_stay_whole(spark, monkeypatch, tmp_path)
     assert [x for b in batches for x in b.column("request_key").to_pylist()] == [f"k{i}" for i in range(9)]
 
 
-def test_rows_since_prune_months(spark):
+def test_rows_since_prune_quarters(spark):
     from datetime import datetime
 
     from barloom.catalog.queries import _new_db
@@ -258,4 +258,4 @@ def test_rows_since_prune_months(spark):
     db = _new_db(spark)
     plan = store.rows_since(spark, db, "stock_history", datetime(2001, 5, 1))._jdf.queryExecution().toString()
     partition_filters = plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert "p_month" in partition_filters and "200105" in partition_filters
+    assert "p_quarter" in partition_filters and "200104" in partition_filters
