@@ -21,7 +21,7 @@ SLICE_ROWS = 4096
 
 #: Rows and bytes of a batch where an operator runs a job itself.
 BATCH_ROWS = 1000
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 @contextlib.contextmanager
@@ -66,12 +66,12 @@ def giving_back(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
     return run
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """``batch`` in runs of rows whose texts fill ``SLICE_BYTES`` at most."""
+def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows whose texts fill ``most`` bytes."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, size in enumerate(sizes.tolist()):
-        if i > start and (held + size > SLICE_BYTES or i - start >= SLICE_ROWS):
+        if i > start and (held + size > most or i - start >= SLICE_ROWS):
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += size
@@ -126,7 +126,7 @@ def mixed_bits(x: np.ndarray) -> np.ndarray:
 
 def with_columns_in_arrow(df: DataFrame, text_col: str, added: T.StructType,
                           work: Callable[[pa.Array], list[pa.Array]],
-                          carried: list[str]) -> DataFrame:
+                          carried: list[str], most: int = SLICE_BYTES) -> DataFrame:
     """The ``carried`` columns of ``df`` and those that ``work`` makes of each slice of texts.
 
     An added column takes the place of a carried one of the same name.
@@ -139,7 +139,7 @@ def with_columns_in_arrow(df: DataFrame, text_col: str, added: T.StructType,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text_col):
+            for part in slices(batch, text_col, most):
                 made = work(texts_of(part, text_col))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in carried] + made, carried + [f.name for f in added])

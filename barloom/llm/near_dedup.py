@@ -45,6 +45,8 @@ CROWD = 32
 #: What a block of a larger bucket holds on average: so many shingles, and so many texts.
 BLOCK_SHINGLES = 1 << 17
 BLOCK_TEXTS = 2000
+#: Bytes of text that are sketched at once; a shingle takes some hundred bytes meanwhile.
+SKETCH_BYTES = 1 << 20
 #: Texts of the left block and shingles that one step of products takes.
 TILE_TEXTS = 512
 TILE_SHINGLES = 1024
@@ -233,7 +235,7 @@ def _made_again(texts: DataFrame, sketches: DataFrame, docs: DataFrame, width: i
     ids = broadcast_if_small(wanted.select(F.col("doc_id").alias("id")).distinct())
     again = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "body")
     shingled = with_columns_in_arrow(again, "body", SHINGLED,
-                                     lambda texts: packed_shingles(texts, width), [])
+                                     lambda texts: packed_shingles(texts, width), [], SKETCH_BYTES)
     return settle_texts(shingled.join(wanted, ["key_high", "key_low"]).dropDuplicates(["text"])
                   .select("text", "shingles", "times"), "held")
 
@@ -457,7 +459,8 @@ def _grouped(numbered: DataFrame, width: int, threshold: float, bands: int, rows
     """The class of each of the ``numbered`` rows (``row, doc_id, text``). Their sketches are settled, so row
     numbers stay as they are there."""
     sketched = settle_texts(with_columns_in_arrow(
-        numbered, "text", SKETCH, lambda texts: sketch(texts, width, bands, rows), ["row", "doc_id"]), "sketched")
+        numbered, "text", SKETCH, lambda texts: sketch(texts, width, bands, rows), ["row", "doc_id"],
+        SKETCH_BYTES), "sketched")
     bodies = numbered.select("doc_id", F.col("text").alias("body"))
     classes = _classes(sketched, bodies, width, threshold, bands * rows)
     ids = sketched.select("row", "doc_id", "shingle_count").join(classes, "row", "left").withColumn(

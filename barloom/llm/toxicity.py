@@ -35,6 +35,8 @@ PREFIXES = (4, 6, 8)
 #: Weight of the term that stands for all words without a term.
 OTHER_WORDS = 5.0
 EVIDENCE = 3
+#: Bytes of text that are compared at once.
+SLICE = 2 << 20
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -231,7 +233,7 @@ def _document_frequencies(docs: DataFrame, vocabulary: Vocabulary, text_col: str
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros(len(vocabulary.terms) + 1, np.int64), 0
         for batch in batches:
-            for part in slices(batch, text_col):
+            for part in slices(batch, text_col, SLICE):
                 counts, _ = vocabulary.counts(texts_of(part, text_col))
                 total[:-1] += (counts > 0).sum(axis=0)
                 total[-1] += len(counts)
@@ -321,4 +323,5 @@ def with_scores(docs: DataFrame, model: Model | float, text_col: str = "text",
                  for x in zip(ids.tolist(), cosines[:, :EVIDENCE].tolist(), real.tolist())]
         return [pa.array(scores, pa.float64()), pa.array(shown, evidence)]
 
-    return with_columns_in_arrow(docs, text_col, SCORED, score, docs.columns if carried is None else carried)
+    return with_columns_in_arrow(docs, text_col, SCORED, score,
+                                 docs.columns if carried is None else carried, SLICE)
