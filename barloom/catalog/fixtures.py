@@ -118,10 +118,13 @@ def statement_bodies(spark: SparkSession, folder: str, dataset: str) -> DataFram
         F.lit(5).alias("quarter"))
     rows = per_quarter.withColumn("flag", F.lit(0)).unionByName(
         per_year.withColumn("flag", F.lit(1)))
-    element = F.struct(F.lower("ticker").alias("ticker"), "quarter", "year",
-                       *_values(dataset, F.col("orders"), F.col("total")))
-    return rows.groupBy("ticker", "flag").agg(F.to_json(F.collect_list(element)).alias("json")) \
-        .select(*_body(dataset, F.col("ticker"), F.col("flag"), F.col("json")))
+    # four numbers of an element are shuffled; its many values are made of them afterwards
+    slim = F.collect_list(F.struct("quarter", "year", "orders", "total")).alias("slim")
+    element = F.transform("slim", lambda e: F.struct(
+        F.lower("ticker").alias("ticker"), e["quarter"].alias("quarter"), e["year"].alias("year"),
+        *_values(dataset, e["orders"], e["total"])))
+    return rows.groupBy("ticker", "flag").agg(slim) \
+        .select(*_body(dataset, F.col("ticker"), F.col("flag"), F.to_json(element)))
 
 
 def rating_bodies(spark: SparkSession, folder: str, dataset: str) -> DataFrame:
@@ -203,9 +206,14 @@ def paged_trades(spark: SparkSession, folder: str) -> DataFrame:
     return grouped.join(F.broadcast(last), "ticker").select("ticker", "page", body.alias("body"))
 
 
+#: Recorded bodies are kept in small row groups, so that a task reads little more than its own.
+RECORDED = {"parquet.block.size": str(8 << 20), "parquet.block.size.row.check.min": "10"}
+
+
 def archive(found: DataFrame, place: str) -> str:
     """Write recorded ``path, body`` rows for the transport that looks them up."""
-    found.select("path", "body").repartitionByRange(16, "path").sortWithinPartitions("path").write.parquet(place)
+    found.select("path", "body").repartitionByRange("path").sortWithinPartitions("path").write.options(
+        **RECORDED).parquet(place)
     return place
 
 

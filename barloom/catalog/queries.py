@@ -450,7 +450,7 @@ def fetch_landing(spark, folder):
     archive = new_path(spark, "archive")
     fx.table(spark, folder, "pages").select(
         F.col("page_id").cast("string").alias("request_key"), F.col("url").alias("ticker"),
-        F.lit(0).alias("flag"), F.col("html").alias("body")).write.parquet(archive)
+        F.lit(0).alias("flag"), F.col("html").alias("body")).write.options(**fx.RECORDED).parquet(archive)
     landed = fetch_recorded(spark, archive)
     return landed.select(F.col("request_key").cast("bigint").alias("page_id"),
                          F.col("ticker").alias("url"), F.col("body").alias("html"))
@@ -689,11 +689,12 @@ def rolling_null_seconds(spark, folder):
 def statements_end_to_end(spark, folder):
     """From the master list to a table: tickers, requests, recorded bodies (some are missing)."""
     name, recorded = "cash_flow", new_path(spark, "archive")
-    fx.bodies(spark, folder, name).filter(~F.col("ticker").endswith("7")).write.parquet(recorded)
+    fx.bodies(spark, folder, name).filter(~F.col("ticker").endswith("7")).write.options(
+        **fx.RECORDED).parquet(recorded)
     tickers = tickers_of_master_list(fx.master_list_bodies(spark, folder), MASTER_LIST)
     wanted = request_grid(tickers, name).drop("path")
-    found = wanted.join(recorded_requests(spark, recorded).select("request_key", "path"), "request_key", "left")
-    landed = fetch(found.withColumn("path", F.coalesce("path", F.lit(""))), replay, order=("path",))
+    found = wanted.join(recorded_requests(spark, recorded).drop("ticker", "flag"), "request_key", "left")
+    landed = fetch(found.withColumn("path", F.coalesce("path", F.lit(""))), replay, order=("file_path", "row_index"))
     db = _new_db(spark)
     good, failed = loads.readable(db, lambda _: landed, name)
     store.overwrite(loads.statements(good, name), db, name)
@@ -781,12 +782,12 @@ def trade_ids_of_loads(spark, folder):
 def fetch_after_failures(spark, folder):
     """Pages from a service that fails the first time for every seventh: only those are asked for again."""
     marks = new_path(spark, "marks")
-    fx.table(spark, folder, "pages").select(
-        F.col("page_id").cast("string").alias("path"), F.col("html").alias("body")).write.parquet(f"{marks}/archive")
+    archive = fx.archive(fx.table(spark, folder, "pages").select(
+        F.col("page_id").cast("string").alias("path"), F.col("html").alias("body")), f"{marks}/archive")
     requests = fx.table(spark, folder, "pages").select(
         F.col("page_id").cast("string").alias("request_key"), F.col("url").alias("ticker"), F.lit(0).alias("flag"),
         F.col("page_id").cast("string").alias("path"))
-    look_up, ledger = archived(f"{marks}/archive"), f"{marks}/ledger"
+    look_up, ledger = archived(archive), f"{marks}/ledger"
 
     def failing(paths):
         def passed():

@@ -399,7 +399,7 @@ def fetching_inbox(tickers: DataFrame, transport: Transport, folder: str, first:
 
     def inbox(name: str) -> DataFrame:
         if name not in landed:
-            landed[name] = settle(fetched(name), f"landed-{name}")
+            landed[name] = fetched(name)
         return landed[name]
 
     return inbox

@@ -12,7 +12,6 @@ from collections import deque
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-import pyarrow.dataset as ds
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -33,8 +32,8 @@ ATTEMPTS = 3
 #: Requests that a resumed fetch lands at once.
 WAVE_REQUESTS = 100_000
 ERROR_CHARS = 200
-#: Paths that are looked up in an archive at once.
-LOOKED_UP = 256
+#: Of recorded bodies: bytes up to which a row group is held whole, of a batch of a larger one, of the file's buffer.
+GROUP_BYTES, BATCH_BYTES, BUFFER_BYTES = 32 << 20, 8 << 20, 1 << 20
 #: Characters of bodies after which a batch is handed on.
 BATCH_CHARS = 8 << 20
 
@@ -150,8 +149,39 @@ def read_files(paths: Iterator[str]) -> Iterator[str | None]:
             yield stream.read().decode("utf-8")
 
 
+class _Group:
+    """The rows of a row group, in batches that are read on as rows are asked for. A small group is one batch, so any
+    order of its rows is as good; a large one is read again to go back."""
+
+    def __init__(self, parquet: pq.ParquetFile, number: int, columns: list[str]):
+        self.parquet, self.number, self.columns = parquet, number, columns
+        group = parquet.metadata.row_group(number)
+        names = [group.column(i).path_in_schema for i in range(group.num_columns)]
+        held = sum(group.column(names.index(c)).total_uncompressed_size for c in columns)
+        self.rows = group.num_rows if held <= GROUP_BYTES else max(1, group.num_rows * BATCH_BYTES // held)
+        self._begin()
+
+    def _begin(self) -> None:
+        self.batches = self.parquet.iter_batches(max(self.rows, 1), row_groups=[self.number], columns=self.columns)
+        self.first, self.batch = 0, None
+
+    def batch_of(self, row: int) -> pa.RecordBatch:
+        """The batch that holds a row, which is number ``row - self.first`` of it."""
+        if row < self.first:
+            self._begin()
+        while self.batch is None or row >= self.first + self.batch.num_rows:
+            self.first += self.batch.num_rows if self.batch is not None else 0
+            self.batch = next(self.batches)
+        return self.batch
+
+
+def _open(system: fs.FileSystem, name: str) -> pq.ParquetFile:
+    """A file that is read through a small buffer, not by whole column chunks."""
+    return pq.ParquetFile(system.open_input_file(name), buffer_size=BUFFER_BYTES, pre_buffer=False)
+
+
 def replay(paths: Iterator[str]) -> Iterator[str | None]:
-    """Transport for recorded bodies: ``file.parquet#row``, one row group in memory at a time.
+    """Transport for recorded bodies: ``file.parquet#row``, a batch of rows in memory at a time.
 
     An empty path, for what was not recorded, gives None.
     """
@@ -162,33 +192,95 @@ def replay(paths: Iterator[str]) -> Iterator[str | None]:
             yield None
             continue
         if name != opened:
-            system, inner = _filesystem(name)
-            parquet = pq.ParquetFile(system.open_input_file(inner))
-            sizes = [parquet.metadata.row_group(i).num_rows
-                     for i in range(parquet.num_row_groups)]
-            starts = [sum(sizes[:i]) for i in range(len(sizes))]
+            parquet = _open(*_filesystem(name))
+            sizes = [parquet.metadata.row_group(i).num_rows for i in range(parquet.num_row_groups)]
+            starts = [0, *itertools.accumulate(sizes)][:-1]
             opened, group = name, None
         wanted = bisect.bisect_right(starts, int(row)) - 1
-        if wanted != group:
-            bodies, group = parquet.read_row_group(wanted, columns=["body"]).column(0), wanted
-        yield bodies[int(row) - starts[wanted]].as_py()
+        if group is None or wanted != group.number:
+            group = _Group(parquet, wanted, ["body"])
+        place = int(row) - starts[wanted]
+        yield group.batch_of(place).column(0)[place - group.first].as_py()
+
+
+class _Recorded:
+    """An archive of ``path, body``, looked up path by path: the footers tell which row groups can hold a path, and
+    the one read last stays in memory, so that paths in the archive's order read every group once."""
+
+    def __init__(self, archive: str):
+        self.system, folder = _filesystem(archive)
+        found = self.system.get_file_info(fs.FileSelector(folder))
+        self.files = sorted(f.path for f in found if f.is_file and not f.base_name.startswith(("_", ".")))
+        groups = []
+        for place, name in enumerate(self.files):
+            footer = _open(self.system, name).metadata
+            for number in range(footer.num_row_groups):
+                group = footer.row_group(number)
+                columns = [group.column(i) for i in range(group.num_columns)]
+                told = next(c for c in columns if c.path_in_schema == "path").statistics
+                if told is not None and told.has_min_max:
+                    groups.append((told.min, told.max, place, number))
+                elif told is None or told.null_count != group.num_rows:
+                    groups.append(("", None, place, number))      # nothing is said: it may hold any path
+        groups.sort(key=lambda g: g[0])
+        self.groups, self.least = groups, [g[0] for g in groups]
+        # the greatest path so far; None is greater than any
+        self.greatest = list(itertools.accumulate(
+            (g[1] for g in groups), lambda a, b: None if a is None or b is None else max(a, b)))
+        self.held: tuple | None = None
+        self.rows: dict[str, int] = {}
+        self.bodies: _Group | None = None
+
+    def _holds(self, place: int, number: int, path: str) -> bool:
+        if self.held != (place, number):
+            parquet = _open(self.system, self.files[place])
+            paths = parquet.read_row_group(number, columns=["path"]).column(0).to_pylist()
+            self.rows = {p: row for row, p in enumerate(paths)}
+            self.bodies, self.held = _Group(parquet, number, ["body"]), (place, number)
+        return path in self.rows
+
+    def body(self, path: str | None) -> str | None:
+        """The body of a path; of several the last."""
+        if path is None:
+            return None
+        at = bisect.bisect_right(self.least, path) - 1
+        near = []
+        while at >= 0 and (self.greatest[at] is None or self.greatest[at] >= path):
+            _, most, place, number = self.groups[at]
+            if most is None or most >= path:
+                near.append((place, number))
+            at -= 1
+        for place, number in sorted(near, reverse=True):
+            if self._holds(place, number, path):
+                row = self.rows[path]
+                return self.bodies.batch_of(row).column(0)[row - self.bodies.first].as_py()
+        return None
+
+
+class _Archived:
+    """A transport that opens its archive once a task, however often it is begun anew."""
+
+    def __init__(self, archive: str):
+        self.archive, self.opened = archive, None
+
+    def __getstate__(self) -> dict:
+        return {"archive": self.archive, "opened": None}
+
+    def __call__(self, paths: Iterator[str]) -> Iterator[str | None]:
+        if self.opened is None:
+            self.opened = _Recorded(self.archive)
+        for path in paths:
+            yield self.opened.body(path)
 
 
 def archived(archive: str) -> Transport:
     """Transport for recorded bodies that are looked up by the path they were asked for.
 
-    ``archive`` is a Parquet folder with ``path`` and ``body``, in the order of ``path``, so that a request reads the
-    row groups that can hold it; a path that was not recorded gives None.
+    ``archive`` is a Parquet folder with ``path`` and ``body``, in the order of ``path`` and in small row groups, so that
+    a task reads the groups of its stretch of paths, each once; a path that was not recorded gives None. It asks for no
+    path ahead, so a failure costs one path.
     """
-    def transport(paths: Iterator[str]) -> Iterator[str | None]:
-        system, name = _filesystem(archive)
-        bodies = ds.dataset(name, filesystem=system, format="parquet")
-        while asked := list(itertools.islice(paths, LOOKED_UP)):
-            found = bodies.to_table(columns=["path", "body"], filter=ds.field("path").isin(asked))
-            body_of = dict(zip(found.column("path").to_pylist(), found.column("body").to_pylist()))
-            yield from (body_of.get(path) for path in asked)
-
-    return transport
+    return _Archived(archive)
 
 
 def recorded_requests(spark: SparkSession, archive: str) -> DataFrame:
@@ -241,10 +333,13 @@ class _BodyReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         system, name = _filesystem(self.folder)
-        files = system.get_file_info(fs.FileSelector(name))
-        return [_RequestFile(f.path) for f in files if f.base_name.endswith(".parquet")]
+        files = system.get_file_info(fs.FileSelector(name, allow_not_found=True))
+        # a wave without requests has no folder
+        return [_RequestFile(f.path) for f in files if f.base_name.endswith(".parquet")] or [_RequestFile("")]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        if not partition.path:
+            return
         system, _ = _filesystem(self.folder)
         requests = pq.ParquetFile(system.open_input_file(partition.path))
 
@@ -290,14 +385,19 @@ def body_source(transport: Transport, errors: bool = False) -> type[DataSource]:
     return BodySource
 
 
-def _fetched(requests: DataFrame, transport: Transport, partitions: int | None, order: tuple[str, ...],
-             errors: bool) -> DataFrame:
-    """The bodies of a request list, unwritten: the list is written as files, and a task fetches a file."""
+def _dealt(requests: DataFrame, partitions: int | None, order: tuple[str, ...], waves: int = 1) -> str:
+    """A request list as files in order, ``partitions`` of them in the folder of each wave (``wave=0`` and so on)."""
     spark = requests.sparkSession
     n = partitions or FILES_PER_CORE * spark.sparkContext.defaultParallelism
     listed = new_path(spark, "requests")
-    (requests.repartitionByRange(n, *order).sortWithinPartitions(*order)
-     .select("request_key", "ticker", "flag", "path").write.parquet(listed))
+    (requests.repartitionByRange(n * waves, *order)
+     .withColumn("wave", F.floor(F.spark_partition_id() / n).cast("int")).sortWithinPartitions("wave", *order)
+     .select("request_key", "ticker", "flag", "path", "wave").write.partitionBy("wave").parquet(listed))
+    return listed
+
+
+def _fetched(spark: SparkSession, listed: str, transport: Transport, errors: bool) -> DataFrame:
+    """The bodies of a folder of request files, unwritten: a task fetches a file."""
     ship_package(spark)
     spark.dataSource.register(body_source(transport, errors))
     return spark.read.format(SOURCE_NAME).option("requests", listed).load()
@@ -310,9 +410,9 @@ def fetch(requests: DataFrame, transport: Transport = read_files,
     One task fetches one of ``partitions`` request files, some to a core, so that slow ones even out, and a lost
     task asks again for its own file only. Everything downstream reads the landed copy.
     """
-    landed = new_path(requests.sparkSession, "bodies")
-    _fetched(requests, transport, partitions, order, False).write.parquet(landed)
-    return requests.sparkSession.read.parquet(landed)
+    spark, landed = requests.sparkSession, new_path(requests.sparkSession, "bodies")
+    _fetched(spark, f"{_dealt(requests, partitions, order)}/wave=0", transport, False).write.parquet(landed)
+    return spark.read.parquet(landed)
 
 
 def fetch_resumed(requests: DataFrame, transport: Transport, folder: str, attempts: int = ATTEMPTS,
@@ -320,7 +420,8 @@ def fetch_resumed(requests: DataFrame, transport: Transport, folder: str, attemp
     """Fetch what ``folder`` does not hold yet and return its landed bodies.
 
     ``folder`` belongs to one list of requests and is its ledger: a row for each answer, with the body or the error,
-    appended wave by wave, so that a run that dies loses the wave it was in and no other. A request that was
+    appended wave by wave, so that a run that dies loses the wave it was in and no other. Waves are stretches of the
+    paths in order, dealt at once, so each reads its part of an archive only. A request that was
     answered is never asked for again; one that failed is, up to ``attempts`` times in all, and then has no
     body. An answer of None is one. Two runs on one folder must not overlap.
     """
@@ -338,11 +439,11 @@ def fetch_resumed(requests: DataFrame, transport: Transport, folder: str, attemp
         counted = Observation()
         missing = settle(requests.join(done, "request_key", "left_anti").observe(
             counted, F.count(F.lit(1)).alias("n")), "missing")
-        waves = -(-observed(counted, n=0)["n"] // wave_requests)
-        wave, failed = F.pmod(F.xxhash64("request_key"), F.lit(max(waves, 1))), 0
+        waves, failed = -(-observed(counted, n=0)["n"] // wave_requests), 0
+        listed = _dealt(missing, partitions, ("path",), waves) if waves else None
         for number in range(waves):
-            seen, mine = Observation(), missing.filter(wave == number)
-            _fetched(mine, transport, partitions, ("request_key",), True).observe(
+            seen = Observation()
+            _fetched(spark, f"{listed}/wave={number}", transport, True).observe(
                 seen, F.count("error").alias("failed")).write.mode("append").parquet(folder)
             failed += observed(seen, failed=0)["failed"]
         if not failed:
