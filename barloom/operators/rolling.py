@@ -20,11 +20,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barloom.operators.ordering import carried_rows
+from barloom.session import broadcast_if_small
 
 MONTH_SECONDS = 2_629_800  # fixed value: 30.4375 days
 PART_SECONDS = 6 * MONTH_SECONDS
 DAY_SECONDS = 86_400
 SPARSE_FRAME_ROWS = 64
+#: At most so many cells make a frame.
+CELLS = 30
+CELL_SECONDS = MONTH_SECONDS // CELLS
 
 
 def is_sparse(span: int, step_seconds: int) -> bool:
@@ -95,6 +99,75 @@ def block_rolling(df: DataFrame, by: Sequence[str], sec: str, span: int,
                                         for name, (kind, column) in outputs.items()))
 
 
+def cell_rolling(df: DataFrame, keys: Sequence[str], sec: str, span: int,
+                 outputs: dict[str, tuple[str, str]]) -> DataFrame:
+    """The same as :func:`block_rolling` for whole series, by cells that are a whole fraction of the span.
+
+    A frame is the tail of one cell, the head of another and the whole cells between, whose sums are made map-side
+    and summed by cell. A task sorts cells, each of a thirtieth of the seconds of a frame, whatever the series holds.
+    ``df`` is read twice, so it should be written. Rows without a second are left out.
+    """
+    n = next(k for k in range(CELLS, 0, -1) if span % k == 0)
+    length = span // n
+    offset = F.pmod(sec, F.lit(length).cast("bigint"))
+    start = F.col(sec) - offset
+    running = {}
+    for kind, column in outputs.values():
+        if kind in ("sum", "avg"):
+            running[f"_sum_{column}"] = (F.sum, column)
+        if kind in ("count", "avg"):
+            running[f"_count_{column}"] = (F.count, column)
+    cells = df.filter(F.col(sec).isNotNull()).groupBy(*keys, start.alias("_cell")).agg(
+        *(aggregate(c).alias(name) for name, (aggregate, c) in running.items()))
+    between = Window.partitionBy(*keys).orderBy("_cell").rangeBetween(-(n - 1) * length, -length)
+    whole = broadcast_if_small(cells.select(
+        *(F.col(k).alias(f"_k_{k}") for k in keys), "_cell",
+        *((F.sum(name).over(between) if n > 1 else F.lit(None).cast("double")).alias(f"{name}_m") for name in running)))
+
+    blocks = df.select("*", offset.alias("_off"), F.explode(F.array(start, start + span)).alias("_block"))
+    in_head = F.col("_block") + F.col("_off") == F.col(sec)
+    group = Window.partitionBy(*keys, "_block")
+    head = group.orderBy("_off").rangeBetween(Window.unboundedPreceding, 0)
+    # the row of the same place of the cell a span before is as old as a frame may reach
+    tail = group.orderBy(F.col("_off").desc()).rangeBetween(Window.unboundedPreceding, 0)
+    sums = {f"{name}_h": aggregate(F.when(in_head, F.col(c))).over(head)
+            for name, (aggregate, c) in running.items()}
+    sums |= {f"{name}_t": aggregate(F.when(~in_head, F.col(c))).over(tail)
+             for name, (aggregate, c) in running.items()}
+    framed = blocks.withColumns(sums).filter(in_head)
+    match = [framed[k].eqNullSafe(whole[f"_k_{k}"]) for k in keys] + [framed["_block"] == whole["_cell"]]
+
+    def total(name: str) -> Column:
+        known = F.array_compact(F.array(*(F.col(f"{name}_{part}") for part in "tmh")))
+        return F.when(F.size(known) > 0, sum((F.coalesce(F.col(f"{name}_{part}"), F.lit(0)) for part in "mh"),
+                                             F.coalesce(F.col(f"{name}_t"), F.lit(0))))
+
+    def result(kind: str, column: str) -> Column:
+        if kind == "avg":
+            return F.try_divide(total(f"_sum_{column}"), total(f"_count_{column}"))
+        return total(f"_{kind}_{column}")
+
+    return framed.join(whole, match, "left").select(
+        *df.columns, *(result(kind, column).alias(name) for name, (kind, column) in outputs.items()))
+
+
+def previous_by_cells(df: DataFrame, keys: Sequence[str], sec: str, column: str, name: str,
+                      length: int = CELL_SECONDS) -> DataFrame:
+    """``column`` of the row before within ``keys``, for rows unique by second: within cells of ``length``
+    seconds, and for the first of a cell from the last of the nearest cell before. ``df`` is read twice."""
+    cell = floor_to(F.col(sec), length)
+    ends = df.filter(F.col(sec).isNotNull()).groupBy(*keys, cell.alias("_cell")).agg(
+        F.max_by(column, sec).alias("_end"))
+    before = F.lag("_end").over(Window.partitionBy(*keys).orderBy("_cell")).alias("_before")
+    handed = broadcast_if_small(ends.select(*(F.col(k).alias(f"_k_{k}") for k in keys), "_cell", before))
+    own = df.withColumn("_place", cell)
+    by_time = Window.partitionBy(*keys, "_place").orderBy(sec)
+    within = own.withColumns({"_row": F.row_number().over(by_time), "_last": F.lag(column).over(by_time)})
+    match = [within[k].eqNullSafe(handed[f"_k_{k}"]) for k in keys] + [within["_place"] == handed["_cell"]]
+    value = F.when(F.col("_row") == 1, F.col("_before")).otherwise(F.col("_last"))
+    return within.join(handed, match).select(*df.columns, value.alias(name))
+
+
 def range_frame(df: DataFrame, by: Sequence[str], sec: str, span: int,
                 outputs: dict[str, tuple[str, str]]) -> DataFrame:
     """The same as :func:`block_rolling` by Spark's range frame, for sparse series."""

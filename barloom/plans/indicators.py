@@ -15,9 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from barloom.functions.timefns import epoch_seconds
 from barloom.operators.ordering import latest_per_key
 from barloom.operators.rolling import (
-    DAY_SECONDS, MONTH_SECONDS, PART_SECONDS, block_rolling, floor_to, is_sparse, range_frame,
-    spread)
-from barloom.session import BROADCAST_ROWS, broadcast_if_small
+    CELL_SECONDS, DAY_SECONDS, MONTH_SECONDS, cell_rolling, floor_to, is_sparse, previous_by_cells, range_frame)
+from barloom.session import BROADCAST_ROWS, broadcast_if_small, settle
 
 OUTPUT = ["ticker", "time_stamp", "sma", "lower_bollinger", "higher_bollinger", "money_flow"]
 
@@ -34,23 +33,24 @@ def _compute(bars: DataFrame, span: int, divisor: float, average: str, step_seco
              part_seconds: int) -> DataFrame:
     """All intermediate columns; what a caller does not select is pruned from the plan.
 
-    Daily bars need one exchange and one sort by ticker. Denser series are cut by time, with parts
-    that reach back two spans (the deviation is a mean over means).
+    Daily bars need one exchange and one sort by ticker. Denser series are written and framed by cells of a
+    day or so (:func:`cell_rolling`), so that a task sorts cells and not months of a ticker.
     """
     series = bars.select(
         "ticker", "time_stamp", epoch_seconds(F.col("time_stamp")).alias("sec"),
         F.col("close").cast("double"), F.col(average).cast("double").alias("level"),
         typical_price().alias("typical_price"),
     )
-    by, own, framed = ["ticker"], F.lit(True), range_frame
-    if not is_sparse(span, step_seconds):
-        series = spread(series, ["ticker"], "sec", 2 * span, part_seconds, carry=True)
-        by, own, framed = ["ticker", "_part"], F.col("_own"), block_rolling
-
-    now, last = F.col("typical_price"), F.col("lag_typical_price")
-    previous = F.lag("typical_price").over(Window.partitionBy(*by).orderBy("sec"))
-    mean = framed(series.withColumn("lag_typical_price", previous), by, "sec", span,
-                  {"sma": ("avg", "level")})
+    by, now, last = ["ticker"], F.col("typical_price"), F.col("lag_typical_price")
+    level = {"sma": ("avg", "level")}
+    if is_sparse(span, step_seconds):
+        framed = range_frame
+        previous = F.lag("typical_price").over(Window.partitionBy(*by).orderBy("sec"))
+        mean = framed(series.withColumn("lag_typical_price", previous), by, "sec", span, level)
+    else:
+        framed = cell_rolling
+        series = previous_by_cells(settle(series, "series"), by, "sec", "typical_price", "lag_typical_price", part_seconds)
+        mean = settle(framed(settle(series, "previous"), by, "sec", span, level), "means")
     signed = mean.withColumns({
         "distance": F.pow(F.col("close") - F.col("sma"), 2),
         "positive": F.when(last < now, now).otherwise(F.lit(0.0)),
@@ -62,7 +62,7 @@ def _compute(bars: DataFrame, span: int, divisor: float, average: str, step_seco
     })
     deviation = F.sqrt(F.col("distance_sum") / divisor)
     ratio = F.try_divide("positive_sum", "negative_sum")
-    return summed.filter(own).select(
+    return summed.select(
         "ticker", "time_stamp", "sma", "distance", deviation.alias("deviation"),
         (F.col("level") + deviation).alias("lower_bollinger"),
         (F.col("level") - deviation).alias("higher_bollinger"),
@@ -73,7 +73,7 @@ def _compute(bars: DataFrame, span: int, divisor: float, average: str, step_seco
 
 def bollinger_bands(bars: DataFrame, span: int = MONTH_SECONDS, divisor: float = 30,
                     average: str = "volume", step_seconds: int = DAY_SECONDS,
-                    part_seconds: int = PART_SECONDS) -> DataFrame:
+                    part_seconds: int = CELL_SECONDS) -> DataFrame:
     """Mean, deviation and the two bands."""
     return _compute(bars, span, divisor, average, step_seconds, part_seconds).select(
         "ticker", "time_stamp", "sma", "distance", "deviation", "lower_bollinger",
@@ -81,7 +81,7 @@ def bollinger_bands(bars: DataFrame, span: int = MONTH_SECONDS, divisor: float =
 
 
 def money_flow(bars: DataFrame, span: int = MONTH_SECONDS, step_seconds: int = DAY_SECONDS,
-               part_seconds: int = PART_SECONDS) -> DataFrame:
+               part_seconds: int = CELL_SECONDS) -> DataFrame:
     """Typical price, its rises and falls, their ratio and the flow index."""
     return _compute(bars, span, 30, "volume", step_seconds, part_seconds).select(
         "ticker", "time_stamp", "typical_price", "lag_typical_price", "positive", "negative",
@@ -90,7 +90,7 @@ def money_flow(bars: DataFrame, span: int = MONTH_SECONDS, step_seconds: int = D
 
 def indicators(bars: DataFrame, span: int = MONTH_SECONDS, divisor: float = 30,
                average: str = "volume", step_seconds: int = DAY_SECONDS,
-               part_seconds: int = PART_SECONDS) -> DataFrame:
+               part_seconds: int = CELL_SECONDS) -> DataFrame:
     """The stored indicators of every bar."""
     return _compute(bars, span, divisor, average, step_seconds, part_seconds).select(*OUTPUT)
 

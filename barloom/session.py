@@ -35,14 +35,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+def settle(df: DataFrame, name: str = "settled", **options: str) -> DataFrame:
     """Write ``df`` once as Parquet below the shared folder and read that copy.
 
     Unlike a checkpoint, later reads take only the columns they need. Values that depend on how
-    rows were dealt (row ids, range names) stay as written, whatever executor is lost later.
+    rows were dealt (row ids, range names) stay as written, whatever executor is lost later. ``options`` are
+    those of the writer.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
