@@ -542,14 +542,17 @@ def _table_counts(spark: SparkSession, db: str, names) -> DataFrame:
     return counts
 
 
-def _inbox(spark: SparkSession, folder: str) -> loads.Inbox:
-    """Bodies by dataset, each landed once."""
+def _inbox(spark: SparkSession, folder: str, only: DataFrame | None = None) -> loads.Inbox:
+    """Bodies by dataset, each landed once; with ``only``, those of its tickers, as a service is asked for no other."""
     landed: dict[str, str] = {}
 
     def inbox(dataset: str) -> DataFrame:
         if dataset not in landed:
+            found = fx.bodies(spark, folder, dataset)
+            if only is not None:
+                found = found.join(F.broadcast(only.select("ticker").distinct()), "ticker", "left_semi").select(found.columns)
             landed[dataset] = new_path(spark, f"landed-{dataset}")
-            fx.bodies(spark, folder, dataset).write.parquet(landed[dataset])
+            found.write.option("compression", "zstd").parquet(landed[dataset])
         return spark.read.parquet(landed[dataset])
 
     return inbox
@@ -586,12 +589,12 @@ def daily_refresh(spark, folder):
 @query
 def sample_run(spark, folder):
     """Initial load and daily refresh of three companies, three brands and two kinds of trades."""
-    db, inbox = _new_db(spark), _inbox(spark, folder)
+    db = _new_db(spark)
     names = fx.listing(spark, folder).select("ticker")
     brands = fx.table(spark, folder, "part").select(F.col("p_brand").alias("ticker")).distinct()
     kinds = fx.trades(spark, folder).select("ticker").distinct()
-    few = ticker_sample(names).unionByName(ticker_sample(brands)).unionByName(ticker_sample(kinds, 2))
-    loads.sample_run(spark, db, inbox, few, AS_OF, n=8)
+    few = checkpoint(ticker_sample(names).unionByName(ticker_sample(brands)).unionByName(ticker_sample(kinds, 2)))
+    loads.sample_run(spark, db, _inbox(spark, folder, few), few, AS_OF, n=8)
     return _table_counts(spark, db, TABLES)
 
 
