@@ -47,7 +47,9 @@ def named(values: DataFrame, by: list[str], count: int) -> DataFrame:
 def text_names(texts: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``(row, length, norm)`` to ``(row, length, name)``: rows of one length share a name
     exactly when their ``norm`` is equal."""
-    pieces = F.regexp_extract_all("norm", F.lit("(?s).{1,%d}" % block_chars), F.lit(0))
+    # most texts are one block, which needs no pattern
+    pieces = F.when(F.col("length") <= block_chars, F.array("norm")).otherwise(
+        F.regexp_extract_all("norm", F.lit("(?s).{1,%d}" % block_chars), F.lit(0)))
     blocks = texts.select("row", "length", F.posexplode_outer(pieces).alias("at", "block")).select(
         "row", "length", F.coalesce("at", F.lit(0)).cast("long").alias("at"),
         F.coalesce("block", F.lit("")).alias("block"))
