@@ -287,27 +287,39 @@ def _classes(numbered: DataFrame, docs: DataFrame, width: int, threshold: float,
     crowded = settle(banded.join(shared, "bucket"), "crowded")
     bits = sketches.select("text", *BITS)
     crowded = settle(crowded.join(bits, "text"), "crowded")
-    links = found = None
+    joined = None           # texts and their components by all links so far
     for turn in range(ROUNDS_OF_STARS):
-        placed = crowded.withColumn("component", F.col("text")) if links is None else (
-            crowded.join(components(links).withColumnRenamed("node", "text"), "text", "left")
-            .withColumn("component", F.coalesce("component", "text")))
-        undecided = settle(_undecided(placed), "undecided")
+        undecided = settle(_undecided(_placed(crowded, joined)), "undecided")
         found = _verified(_stars(undecided, turn, threshold, slots), sketches, docs, width, threshold)
-        links = found.select("a", "b") if links is None else links.union(found.select("a", "b"))
+        joined = _joined(joined, found.select("a", "b"))
         crowded = undecided.drop("component")     # what is decided stays so
-    placed = crowded.join(components(links).withColumnRenamed("node", "text"), "text", "left").withColumn(
-        "component", F.coalesce("component", "text"))
-    undecided = settle(_undecided(placed), "undecided")
+    undecided = settle(_undecided(_placed(crowded, joined)), "undecided")
     more = _verified(_pairs(undecided, threshold, slots), sketches, docs, width, threshold)
     crowds = settle(_crowds(undecided), "crowded_buckets")
     held = _made_again(crowds.select("text").distinct(), sketches, docs, width)
     most = _block_links(crowds, held, threshold)
-    classes = components(links.union(more.select("a", "b")).union(most))
+    classes = _joined(joined, more.select("a", "b").union(most))
     return rows.join(classes.withColumnRenamed("node", "text"), "text", "left").select(
         "row", F.coalesce("component", "text").alias("class"))
 
 
+def _joined(joined: DataFrame | None, found: DataFrame) -> DataFrame:
+    """``(node, component)`` by the links of ``joined``, an earlier result, and those ``found`` since."""
+    if joined is None:
+        return components(found)
+    if found.isEmpty():
+        return joined
+    return components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found))
+
+
+def _placed(crowded: DataFrame, joined: DataFrame | None) -> DataFrame:
+    """``crowded`` with the component of each text; one that no link joins is its own."""
+    if joined is None:
+        return crowded.withColumn("component", F.col("text"))
+    return crowded.join(joined.withColumnRenamed("node", "text"), "text", "left").withColumn(
+        "component", F.coalesce("component", "text"))
+
+
 def _undecided(placed: DataFrame) -> DataFrame:
     """Rows of buckets that hold texts of two components or more."""
     open_buckets = placed.groupBy("bucket").agg(

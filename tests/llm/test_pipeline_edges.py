@@ -66,3 +66,25 @@ def test_settings_of_the_session_stay(spark):
     df = spark.createDataFrame([(r[0], r[1]) for r in rows(5)], "doc_id long, text string")
     assert near_dedup.without_near_duplicates(df).count() == 5
     assert [spark.conf.get(k) for k in keys] == before
+
+
+def test_components_go_on_from_an_earlier_result(spark, monkeypatch):
+    from barloom.llm import components as module
+    from barloom.llm.near_dedup import _joined
+
+    plans, settle = [], module.settle
+
+    def noted(df, name="settled", **options):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return settle(df, name, **options)
+
+    monkeypatch.setattr(module, "settle", noted)
+    first = [(2, 1), (3, 2), (9, 8), (12, 11), (13, 12), (14, 11)]
+    then = [(8, 3), (20, 14), (31, 30)]
+    schema = "a long, b long"
+    joined = _joined(None, spark.createDataFrame(first, schema))
+    assert all("SortMergeJoin" not in plan for _, plan in plans)      # few links are not shuffled to be joined
+    assert _joined(joined, spark.createDataFrame([], schema)) is joined
+    found = {r["node"]: r["component"] for r in _joined(joined, spark.createDataFrame(then, schema)).collect()}
+    whole = {r["node"]: r["component"] for r in module.components(spark.createDataFrame(first + then, schema)).collect()}
+    assert found == whole == {**dict.fromkeys((1, 2, 3, 8, 9), 1), **dict.fromkeys((11, 12, 13, 14, 20), 11), 30: 30, 31: 30}
