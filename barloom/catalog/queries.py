@@ -709,7 +709,7 @@ def statements_end_to_end(spark, folder):
 
 def _recorded(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
     """What a service would answer for these datasets of all companies, by path."""
-    tickers = fx.listing(spark, folder).select("ticker")
+    tickers = fx.listing(spark, folder).select("ticker").distinct()     # a body is recorded once, however many share a name
     found = fx.master_list_bodies(spark, folder).agg(F.to_json(F.struct(F.flatten(F.collect_list(
         F.from_json("body", MASTER_LIST)["items"])).alias("items"))).alias("body")).select(
         F.lit(ENDPOINTS[MASTER].path).alias("path"), "body")

@@ -420,4 +420,4 @@ def universe(spark: SparkSession, transport: Transport, folder: str) -> DataFram
     """The tickers of the master list, asked for by one request."""
     asked = request_grid(spark.createDataFrame([("",)], "ticker string"), MASTER)
     bodies = fetch_resumed(asked, transport, f"{folder.rstrip('/')}/{MASTER}", partitions=1)
-    return tickers_of_master_list(bodies, MASTER_LIST)
+    return settle(tickers_of_master_list(bodies, MASTER_LIST), "universe")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import bisect
 import itertools
+import math
 from collections import deque
 from collections.abc import Callable, Iterator
 
@@ -29,7 +30,7 @@ SOURCE_NAME = "barloom_bodies"
 #: Request files per core: more than one, so that a slow file does not leave the others' cores idle.
 FILES_PER_CORE = 4
 ATTEMPTS = 3
-#: Requests that a resumed fetch lands at once.
+#: Requests that a resumed fetch lands at once, at least.
 WAVE_REQUESTS = 100_000
 ERROR_CHARS = 200
 #: Of recorded bodies: bytes up to which a row group is held whole, of a batch of a larger one, of the file's buffer.
@@ -415,13 +416,21 @@ def fetch(requests: DataFrame, transport: Transport = read_files,
     return spark.read.parquet(landed)
 
 
+def _waves(requests: int, wave_requests: int) -> int:
+    """The root of the number of waves of ``wave_requests``, rounded up."""
+    least = -(-requests // wave_requests)
+    return math.isqrt(least - 1) + 1 if least else 0
+
+
 def fetch_resumed(requests: DataFrame, transport: Transport, folder: str, attempts: int = ATTEMPTS,
                   wave_requests: int = WAVE_REQUESTS, partitions: int | None = None) -> DataFrame:
     """Fetch what ``folder`` does not hold yet and return its landed bodies.
 
     ``folder`` belongs to one list of requests and is its ledger: a row for each answer, with the body or the error,
     appended wave by wave, so that a run that dies loses the wave it was in and no other. Waves are stretches of the
-    paths in order, dealt at once, so each reads its part of an archive only. A request that was
+    paths in order, dealt at once, so each reads its part of an archive only. Of more than ``wave_requests`` requests,
+    waves are as many as the root of what fits that size, so neither they nor their size grow as the list does. A
+    request that was
     answered is never asked for again; one that failed is, up to ``attempts`` times in all, and then has no
     body. An answer of None is one. Two runs on one folder must not overlap.
     """
@@ -439,7 +448,7 @@ def fetch_resumed(requests: DataFrame, transport: Transport, folder: str, attemp
         counted = Observation()
         missing = settle(requests.join(done, "request_key", "left_anti").observe(
             counted, F.count(F.lit(1)).alias("n")), "missing")
-        waves, failed = -(-observed(counted, n=0)["n"] // wave_requests), 0
+        waves, failed = _waves(observed(counted, n=0)["n"], wave_requests), 0
         listed = _dealt(missing, partitions, ("path",), waves) if waves else None
         for number in range(waves):
             seen = Observation()
