@@ -197,12 +197,13 @@ def load_trades(spark: SparkSession, db: str, inbox: Inbox, trading_date: date)
     name = "stock_intraday_transaction"
     good, _ = readable(db, inbox, name)
     key = ["ticker", "time_stamp"]
-    sent = store.keyed_rows(store.settled_rows(trades(good, trading_date), key, name), key, db, name)
+    sent = store.keyed_rows(store.counted_rows(trades(good, trading_date), key), key, db, name)
     stored = store.session_rows(spark, db, name, trading_date)
     fresh = store.settled_rows(sent.exceptAll(stored.select(*sent.columns)), key, name)
     if fresh.sent:
         start = store.take_ids(spark, db, fresh.sent)
-        store.append(numbered_trades(fresh.rows, start, fresh.sent), db, name)
+        # ranges of one day are written as they lie: a day is one partition, which one task would sort again
+        store.append(numbered_trades(fresh.rows, start, fresh.sent), db, name, dealt=True)
 
 
 def _columns_of(name: str) -> str:

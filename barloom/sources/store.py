@@ -133,8 +133,8 @@ def session_rows(spark: SparkSession, db: str, name: str, day: date) -> DataFram
     return spark.table(f"{db}.{name}").filter(F.col(HIDDEN_DATE) == F.lit(day)).select(*TABLES[name].columns)
 
 
-def _insert(df: DataFrame, db: str, name: str, overwrite: bool = False) -> None:
-    """Add rows, or replace all rows by them."""
+def _insert(df: DataFrame, db: str, name: str, overwrite: bool = False, dealt: bool = False) -> None:
+    """Add rows, or replace all rows by them. Rows that are ``dealt`` into parts of a good size stay in them."""
     table = TABLES[name]
     rows, by = conform(df, table.schema), _partition_column(table)
     if by:
@@ -142,14 +142,17 @@ def _insert(df: DataFrame, db: str, name: str, overwrite: bool = False) -> None:
         buckets = buckets_of(df.sparkSession, db, name) if name in SERIES else 0
         # one file per bucket and quarter; else adaptive rebalancing splits a large partition and joins
         # small ones, without a sampling pass
-        rows = rows.repartition(buckets, "ticker") if buckets else rows.hint("rebalance", by)
+        if buckets:
+            rows = rows.repartition(buckets, "ticker")
+        elif not dealt:
+            rows = rows.hint("rebalance", by)
         rows = rows.sortWithinPartitions(by, *table.key)
         rows = rows.select(*(c for c in rows.columns if c != by), by)
     rows.write.insertInto(f"{db}.{name}", overwrite=overwrite)
 
 
-def append(df: DataFrame, db: str, name: str) -> None:
-    _insert(df, db, name)
+def append(df: DataFrame, db: str, name: str, dealt: bool = False) -> None:
+    _insert(df, db, name, dealt=dealt)
 
 
 def _switch(spark: SparkSession, db: str, name: str, path: str) -> None:
@@ -241,6 +244,13 @@ def settled_rows(rows: DataFrame, keys: Iterable[str], name: str, part: Column |
     return Sent(settle(counted, name), **observed(seen, sent=0, null_keys=0))
 
 
+def counted_rows(rows: DataFrame, keys: Iterable[str]) -> Sent:
+    """:func:`settled_rows` of rows that are made of what is written aside already: a pass over their keys counts them,
+    and they are not written again."""
+    known = known_keys(list(keys))
+    return Sent(rows, *rows.agg(F.count(F.lit(1)), F.count_if(~known)).head())
+
+
 def keyed_rows(sent: Sent, keys: Iterable[str], db: str, name: str) -> DataFrame:
     """The rows that have a whole key; the others, if any were counted, go to the rejects."""
     keys = list(keys)
