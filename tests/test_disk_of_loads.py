@@ -2,12 +2,13 @@
 
 import os
 import uuid
+from datetime import date
 
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from barloom.model import ENDPOINTS, STATEMENTS
+from barloom.model import ENDPOINTS, RATINGS, STATEMENTS
 from barloom.operators.payload import PARSED, parse_once, unreadable
 from barloom.plans import loads
 from barloom.sources import store
@@ -102,9 +103,21 @@ def test_kept_rows_shuffle_no_row_of_another_ticker(spark):
 def test_real_numbers_are_stored_as_they_are(spark, db):
     sent = {n: bodies_of(spark, ("a", 0, cash("a", *((y, 1, 1.5) for y in range(1900, 2000))))) for n in STATEMENTS}
     loads.load_statements(db, sent.get)
-    for name in ("cash_flow",):
+    rated = {n: bodies_of(spark, ("a", 0, '{"ticker":"a"}')) for n in RATINGS}
+    loads.load_ratings(db, rated.get, date(2024, 2, 15))
+    for name in ("cash_flow", "valuation_rating"):
         group = pq.ParquetFile(spark.table(f"{db}.{name}").inputFiles()[0].removeprefix("file://")).metadata.row_group(0)
         columns = [group.column(i) for i in range(group.num_columns)]
         real = [c for c in columns if c.physical_type == "DOUBLE"]
         assert real and {c.compression for c in columns} == {"ZSTD"}
         assert not any("DICTIONARY" in e for c in real for e in c.encodings)
+
+
+def test_ratings_are_not_shuffled_to_be_written(spark, db, monkeypatch):
+    dealt, append = [], store.append
+    monkeypatch.setattr(store, "append", lambda *rest, **kept: (dealt.append(kept.get("dealt")), append(*rest, **kept))[1])
+    sent = {n: bodies_of(spark, *((f"t{i}", 0, f'{{"ticker":"t{i}"}}') for i in range(20))) for n in RATINGS}
+    for _ in range(2):
+        loads.load_ratings(db, sent.get, date(2024, 2, 15))
+    assert dealt == [True] * 12
+    assert all(store.read_table(spark, db, n).count() == 20 for n in RATINGS)
