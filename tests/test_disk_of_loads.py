@@ -8,6 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from barloom.catalog import fixtures as fx, queries
 from barloom.model import ENDPOINTS, RATINGS, STATEMENTS
 from barloom.operators.payload import PARSED, parse_once, unreadable
 from barloom.plans import loads
@@ -121,3 +122,18 @@ def test_ratings_are_not_shuffled_to_be_written(spark, db, monkeypatch):
         loads.load_ratings(db, sent.get, date(2024, 2, 15))
     assert dealt == [True] * 12
     assert all(store.read_table(spark, db, n).count() == 20 for n in RATINGS)
+
+
+def test_statements_are_made_of_rows_that_are_grouped_once(spark, tmp_path):
+    folder, before = str(tmp_path), kept_aside(spark)
+    spark.range(5).select(F.col("id").alias("c_custkey"), F.when(F.col("id") < 4, F.concat(F.lit("c"), F.col("id") % 3)).alias(
+        "c_name")).write.parquet(f"{folder}/customer.parquet")
+    spark.range(60).select((F.col("id") % 6).alias("o_custkey"), F.date_add(F.lit("2023-01-01").cast("date"), (
+        F.col("id") * 20).cast("int")).alias("o_orderdate"), (F.col("id") / 8).alias("o_totalprice")).write.parquet(
+        f"{folder}/orders.parquet")
+    inbox = queries._inbox(spark, folder)
+    for name in STATEMENTS:
+        size = [F.col("request_key"), F.json_array_length("body")]
+        sent, made = inbox(name).select(*size), fx.bodies(spark, folder, name).select(*size)
+        assert sent.exceptAll(made).isEmpty() and made.exceptAll(sent).isEmpty() and not sent.isEmpty()
+    assert names_of(kept_aside(spark) - before) == sorted(["lists", *(f"landed-{n}" for n in STATEMENTS)])
