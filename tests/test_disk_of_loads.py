@@ -1,6 +1,7 @@
 """What loads write and shuffle: the rows of statements once, real numbers as they are, no table for a few rows of it."""
 
 import os
+import threading
 import uuid
 from datetime import date
 
@@ -137,3 +138,14 @@ def test_statements_are_made_of_rows_that_are_grouped_once(spark, tmp_path):
         sent, made = inbox(name).select(*size), fx.bodies(spark, folder, name).select(*size)
         assert sent.exceptAll(made).isEmpty() and made.exceptAll(sent).isEmpty() and not sent.isEmpty()
     assert names_of(kept_aside(spark) - before) == sorted(["lists", *(f"landed-{n}" for n in STATEMENTS)])
+
+
+def test_inputs_of_a_step_are_read_side_by_side(spark):
+    both = threading.Barrier(2, timeout=30)
+
+    def inbox(name):
+        both.wait()
+        return bodies_of(spark, (name, 0, "1"))
+
+    parts = loads.inputs_digest(inbox, ["x", "y"]).split(",")
+    assert [p.split(":")[:2] for p in parts] == [["x", "1"], ["y", "1"]]
